@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
+from quarry.operators import graph
 from quarry.operators import index as ix
-from quarry.operators import search
+from quarry.operators import search, tfidf
+from quarry.operators.topk import top_k
 from quarry.plans import sql
 from quarry.plans import tables as tb
 
@@ -55,3 +57,295 @@ def and_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = ix.word_tokens(docs, ["doc_id"], "t")
     qw = search.query_tokens(tb.query_log(spark, sf_dir), "count")
     return search.and_search_tokens(tokens, qw, ("doc_id",))
+
+
+@register("and_search_multi_index", f"""
+WITH {sql.QUERY_LOG}, {sql.query_words('count')}, {sql.COUNT_DOCS}, {sql.COUNT_TOKENS},
+tc AS (SELECT ad.source AS index_id, ad.doc_name, tok.word, count(*) AS n
+       FROM tok JOIN ad USING (doc_id) GROUP BY ALL),
+nq AS (SELECT query_id, count(*) AS n_words FROM qw GROUP BY ALL),
+h AS (SELECT qw.query_id, tc.index_id, tc.doc_name, count(*) AS matched, sum(tc.n) AS rank
+      FROM qw JOIN tc USING (word) GROUP BY ALL)
+SELECT h.query_id, h.index_id, h.doc_name, CAST(h.rank AS BIGINT) AS rank
+FROM h JOIN nq USING (query_id) WHERE matched = n_words
+""")
+def and_search_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCH-2 / SET-1 / JN-3: one index per source, AND inside each index, names via doc tables."""
+    idx = ix.build_index(tb.documents(spark, sf_dir), "doc_name", "text", index_id="source")
+    qw = search.query_tokens(tb.query_log(spark, sf_dir), "count")
+    hits = search.and_search(idx.postings, qw, ("index_id", "doc_id"))
+    return ix.doc_names(idx.doc_table, hits).select("query_id", "index_id", "doc_name", "rank")
+
+
+@register("doc_table", f"""
+WITH {sql.COUNT_DOCS}, {sql.DOC_TABLE}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, doc_name FROM dt
+""")
+def doc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-1 / AGG-9: dense ids 1..N over indexed documents, in path-component order."""
+    d = ix.indexable_docs(tb.documents(spark, sf_dir), "doc_name", "text")
+    return ix.assign_doc_ids(d.select("index_id", "doc_name")).select("doc_id", "doc_name")
+
+
+@register("doc_table_per_index", f"""
+WITH {sql.COUNT_DOCS}, {sql.DOC_TABLE}
+SELECT index_id, CAST(local_id AS BIGINT) AS doc_id, doc_name FROM dt
+""")
+def doc_table_per_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-1 per index (each source has its own id space)."""
+    d = ix.indexable_docs(tb.documents(spark, sf_dir), "doc_name", "text", index_id="source")
+    return ix.assign_doc_ids(d.select("index_id", "doc_name"))
+
+
+@register("doc_lookup", f"""
+WITH {sql.COUNT_DOCS}, {sql.DOC_TABLE}
+SELECT cd.doc_name, CAST(coalesce(dt.doc_id, 0) AS BIGINT) AS doc_id FROM cd LEFT JOIN dt USING (doc_name)
+""")
+def doc_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-4: every document name -> its id, 0 when the document was not indexed."""
+    docs = tb.documents(spark, sf_dir)
+    d = ix.indexable_docs(docs, "doc_name", "text")
+    dt = ix.assign_doc_ids(d.select("index_id", "doc_name"))
+    names = docs.select(F.lit("0").alias("index_id"), "doc_name")
+    return ix.doc_ids(dt, names).select("doc_name", "doc_id")
+
+
+@register("word_positions", f"""
+WITH {sql.COUNT_DOCS}, {sql.COUNT_POSITIONS}
+SELECT doc_id, word, pos FROM pos
+""")
+def word_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1 + WIN-2: every word occurrence with its byte offset."""
+    return ix.positioned_tokens(_count_docs(spark, sf_dir), ["doc_id"], "t")
+
+
+@register("postings", f"""
+WITH {sql.COUNT_DOCS}, {sql.COUNT_POSITIONS}
+SELECT word, doc_id, CAST(count(*) AS INTEGER) AS n, list(pos ORDER BY pos) AS positions FROM pos GROUP BY ALL
+""")
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-4 / AGG-5 / AGG-13: word -> doc -> ascending positions."""
+    tokens = ix.positioned_tokens(_count_docs(spark, sf_dir), ["doc_id"], "t")
+    return ix.word_positions(tokens, ["doc_id"]).select("word", "doc_id", "n", "positions")
+
+
+@register("vocab_size", f"""
+WITH {sql.COUNT_DOCS}, {sql.COUNT_TOKENS}
+SELECT CAST(count(DISTINCT word) AS BIGINT) AS vocab_size, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_docs FROM tok
+""")
+def vocab_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-8 / AGG-9: distinct words and indexed documents."""
+    tokens = ix.word_tokens(_count_docs(spark, sf_dir), ["doc_id"], "t")
+    return tokens.agg(F.countDistinct("word").alias("vocab_size"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+@register("document_frequency", f"""
+WITH {sql.COUNT_DOCS}, {sql.COUNT_TOKENS}
+SELECT word, CAST(count(DISTINCT doc_id) AS BIGINT) AS df FROM tok GROUP BY word
+""")
+def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-6 over the count-dialect index."""
+    tc = ix.term_counts(ix.word_tokens(_count_docs(spark, sf_dir), ["doc_id"], "t"), ["doc_id"])
+    return tc.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+
+
+# ------------------------------------------------------------------ cosine dialect: TF-IDF model
+
+def _cosine_model(spark, sf_dir) -> tfidf.Model:
+    return tfidf.Model(tb.table(spark, sf_dir, "documents"), "doc_id", "text", "cosine")
+
+
+@register("term_frequency", f"""
+WITH {sql.cosine_model()}
+SELECT k AS doc_id, word, CAST(cnt AS BIGINT) AS cnt, round(tf, 6) AS tf FROM ctf
+""")
+def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-1/2/3: occurrences / document length."""
+    m = _cosine_model(spark, sf_dir)
+    return m.tf.select("doc_id", "word", "cnt", _r6("tf").alias("tf"))
+
+
+@register("idf", f"""
+WITH {sql.cosine_model()}
+SELECT word, CAST(df AS BIGINT) AS df, round(idf, 6) AS idf FROM cidf
+""")
+def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-6/7: ln(N / df), N = all documents."""
+    m = _cosine_model(spark, sf_dir)
+    return m.idf.select("word", "df", _r6("idf").alias("idf"))
+
+
+@register("tfidf_vectors", f"""
+WITH {sql.cosine_model()}
+SELECT k AS doc_id, word, round(w, 6) AS w FROM cvec
+""")
+def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-12 / JN-6: tf * idf for every (document, word), zeros kept."""
+    m = _cosine_model(spark, sf_dir)
+    return m.vectors.select("doc_id", "word", _r6("w").alias("w"))
+
+
+@register("doc_norms", f"""
+WITH {sql.cosine_model()}
+SELECT d.doc_id, round(coalesce(cnorm.norm, 0), 6) AS norm FROM documents d LEFT JOIN cnorm ON cnorm.k = d.doc_id
+""")
+def doc_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-10: L2 norm of each document vector (0 for a wordless document)."""
+    m = _cosine_model(spark, sf_dir)
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id")
+    return docs.join(m.norms, "doc_id", "left").select("doc_id", _r6(F.coalesce("norm", F.lit(0.0))).alias("norm"))
+
+
+_COSINE_REL = f"""{sql.QUERY_LOG}, {sql.query_words('cosine')}, {sql.cosine_model()},
+qcnt AS (SELECT query_id, word, count(*) AS cnt FROM qw GROUP BY ALL),
+qlen AS (SELECT query_id, count(*) AS qlen FROM qw GROUP BY ALL),
+qv AS (SELECT query_id, word, cnt, cnt / qlen * idf AS qv FROM qcnt JOIN qlen USING (query_id) JOIN cidf USING (word)),
+qn AS (SELECT query_id, sqrt(sum(qv * qv)) AS qnorm FROM qv GROUP BY ALL),
+num AS (SELECT query_id, k, sum(cnt * w * qv) AS num FROM qv JOIN cvec USING (word) GROUP BY ALL),
+rel AS (SELECT query_id, k, CASE WHEN norm * qnorm <> 0 THEN num / (norm * qnorm) ELSE 0 END AS relevance
+        FROM num JOIN cnorm USING (k) JOIN qn USING (query_id))"""
+
+
+@register("cosine_search", f"""
+WITH {_COSINE_REL}
+SELECT query_id, k AS doc_id, round(relevance, 6) AS relevance FROM rel
+""")
+def cosine_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCH-4 / JN-7: cosine relevance of each logged query to each document sharing a word."""
+    m = _cosine_model(spark, sf_dir)
+    qw = search.query_tokens(tb.query_log(spark, sf_dir), "cosine")
+    rel = search.cosine_search(m.vectors, m.norms, m.idf, qw, "doc_id")
+    return rel.select("query_id", "doc_id", _r6("relevance").alias("relevance"))
+
+
+@register("tfidf_search", f"""
+WITH {sql.QUERY_LOG}, {sql.query_words('tfidf')}, {sql.tfidf_model()}
+SELECT qw.query_id, ptf.k AS doc_id, round(sum(pidf.idf * ptf.tf), 6) AS score
+FROM qw JOIN pidf USING (word) JOIN ptf USING (word) GROUP BY ALL
+""")
+def tfidf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCH-3 / STR-3 / STR-4: OR search, score = sum over query tokens of idf * tf."""
+    m = tfidf.Model(tb.table(spark, sf_dir, "documents"), "doc_id", "text", "tfidf")
+    qw = search.query_tokens(tb.query_log(spark, sf_dir), "tfidf")
+    res = search.tfidf_search(m.tf, m.idf, qw, "doc_id")
+    return res.select("query_id", "doc_id", _r6("score").alias("score"))
+
+
+# ------------------------------------------------------------------ link graph and PageRank
+
+def _part_graph(spark, sf_dir):
+    nodes, links = tb.part_links(spark, sf_dir)
+    return graph.link_graph(nodes, links)
+
+
+@register("link_graph", f"""
+{sql.PART_GRAPH_EDGES}
+""")
+def link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GRF-1 / JN-8 / SET-3: distinct part-succession edges between known parts, no self-links."""
+    return _part_graph(spark, sf_dir)[1]
+
+
+@register("pagerank", f"""
+WITH {sql.pagerank_unrolled(sql.PART_GRAPH_NODES, sql.PART_GRAPH_EDGES, 5)}
+SELECT id, round(rank, 9) AS rank FROM pr5
+""")
+def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GRF-2 with limit 5 and epsilon 0 (so the oracle can unroll the steps)."""
+    nodes, edges = _part_graph(spark, sf_dir)
+    return graph.pagerank(nodes, edges, 0.85, 0.0, 5).select("id", F.round("rank", 9).alias("rank"))
+
+
+@register("pagerank_converged")
+def pagerank_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GRF-2 with the engine's settings (0.85, 1e-4, 200): stops at convergence."""
+    nodes, edges = _part_graph(spark, sf_dir)
+    return graph.pagerank(nodes, edges).select("id", F.round("rank", 9).alias("rank"))
+
+
+@register("ranked_search_topk", f"""
+WITH {_COSINE_REL}, {sql.pagerank_unrolled(sql.DOC_GRAPH_NODES, sql.DOC_GRAPH_EDGES, 5)},
+allq AS (SELECT DISTINCT query_id FROM ql),
+sc AS (SELECT q.query_id, d.doc_id, coalesce(rel.relevance, 0) * sqrt(pr5.rank) AS score
+       FROM allq q CROSS JOIN documents d JOIN pr5 ON pr5.id = d.doc_id
+       LEFT JOIN rel ON rel.query_id = q.query_id AND rel.k = d.doc_id)
+SELECT query_id, doc_id, round(score, 6) AS score, CAST(pos AS INTEGER) AS pos FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS pos FROM sc)
+WHERE pos <= 20
+""")
+def ranked_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCH-5 / SCH-6 / JN-12 / WIN-4: cosine * sqrt(PageRank) over every document, 20 best."""
+    m = _cosine_model(spark, sf_dir)
+    ql = tb.query_log(spark, sf_dir)
+    qw = search.query_tokens(ql, "cosine")
+    rel = search.cosine_search(m.vectors, m.norms, m.idf, qw, "doc_id")
+    nodes, links = tb.doc_links(spark, sf_dir)
+    nodes, edges = graph.link_graph(nodes, links)
+    ranks = graph.pagerank(nodes, edges, 0.85, 0.0, 5)
+    pages = tb.table(spark, sf_dir, "documents").select("doc_id")
+    top = search.ranked_search(rel, ranks, pages, ql, 20, "doc_id")
+    return top.select("query_id", "doc_id", _r6("score").alias("score"), F.col("pos").cast("int").alias("pos"))
+
+
+# ------------------------------------------------------------------ batch queries and result pages
+
+_AND_HITS = f"""{sql.QUERY_LOG}, {sql.query_words('count')}, {sql.COUNT_DOCS}, {sql.COUNT_TOKENS},
+tc AS (SELECT doc_id, word, count(*) AS n FROM tok GROUP BY ALL),
+nq AS (SELECT query_id, count(*) AS n_words FROM qw GROUP BY ALL),
+h0 AS (SELECT qw.query_id, tc.doc_id, count(*) AS matched, sum(tc.n) AS rank FROM qw JOIN tc USING (word) GROUP BY ALL),
+h AS (SELECT h0.query_id, h0.doc_id, CAST(h0.rank AS BIGINT) AS rank,
+             row_number() OVER (PARTITION BY h0.query_id ORDER BY h0.rank DESC, h0.doc_id) AS pos
+      FROM h0 JOIN nq USING (query_id) WHERE matched = n_words)"""
+
+
+def _batch_hits(spark, sf_dir) -> DataFrame:
+    hits = and_search(spark, sf_dir)
+    return search.display_rank(hits, "rank", "doc_id", "pos")
+
+
+@register("batch_query_log", f"""
+WITH {_AND_HITS}
+SELECT query_id, doc_id, rank, CAST(pos AS BIGINT) AS pos FROM h
+""")
+def batch_query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCH-7 / WIN-3 / SRT-1: all logged queries in one job, hits numbered 1..n per query."""
+    return _batch_hits(spark, sf_dir).select("query_id", "doc_id", "rank", "pos")
+
+
+_ESC = ("replace(replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), "
+        "'''', '&apos;'), '\"', '&quot;')")
+
+
+@register("result_page", f"""
+WITH {_AND_HITS}, cnt AS (SELECT query_id, count(*) AS n FROM h GROUP BY ALL)
+SELECT ql.query_id, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n_results,
+  CASE WHEN coalesce(cnt.n, 0) = 0 THEN 'No results found for <b>' || {_ESC.format(x='trim(lower(raw))')} || '</b>'
+       WHEN cnt.n = 1 THEN '1 result found for <b>' || {_ESC.format(x='trim(lower(raw))')} || '</b>'
+       ELSE CAST(cnt.n AS VARCHAR) || ' results found for <b>' || {_ESC.format(x='trim(lower(raw))')} || '</b>' END
+  AS header
+FROM ql LEFT JOIN cnt USING (query_id)
+""")
+def result_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-2 / AGG-16 / STR-8: per query the hit count and the escaped header sentence."""
+    return search.result_headers(tb.query_log(spark, sf_dir), and_search(spark, sf_dir))
+
+
+@register("result_lines", f"""
+WITH {_AND_HITS}
+SELECT h.query_id, CAST(h.pos AS BIGINT) AS pos,
+  ' <li> <a href="/static/' || d.doc_name || '">' || d.doc_name || '</a> [' || CAST(h.rank AS VARCHAR) || ']<br>' AS line
+FROM h JOIN cd d USING (doc_id)
+""")
+def result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-2 per hit: list line with the link (/static/ + name for non-http names) and the rank."""
+    hits = _batch_hits(spark, sf_dir).join(tb.documents(spark, sf_dir).select("doc_id", "doc_name"), "doc_id")
+    return search.result_lines(hits, "doc_name", "rank", "pos")
+
+
+@register("topk", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500
+""")
+def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-4: the 500 largest order totals (reported ascending)."""
+    orders = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return top_k(orders, "o_totalprice", 500, tiebreak="o_orderkey")
