@@ -43,11 +43,11 @@ def indexable_docs(docs: DataFrame, name: str = "doc_name", text: str = "text",
 def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_last_word: bool = False) -> DataFrame:
     """STR-1 + WIN-2: (keys..., word, pos) with pos the byte offset of the word's first letter."""
     chunk_re = "([A-Za-z]+[^A-Za-z]*)" if keep_last_word else "([A-Za-z]+[^A-Za-z]+)"
-    exploded = docs.select(
-        *keys,
-        tk.count_prefix_len(text).alias("_pre"),
-        F.posexplode(F.regexp_extract_all(F.col(text), F.lit(chunk_re), 1)).alias("_i", "_c"),
-    )
+    # Prefix length and chunk array are projected before the explode so neither is re-evaluated
+    # per exploded row.
+    arr = docs.select(*keys, tk.count_prefix_len(text).alias("_pre"),
+                      F.regexp_extract_all(F.col(text), F.lit(chunk_re), 1).alias("_cs"))
+    exploded = arr.select(*keys, "_pre", F.posexplode_outer("_cs").alias("_i", "_c")).where(F.col("_c").isNotNull())
     before = Window.partitionBy(*keys).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
     return exploded.select(
         *keys,
@@ -58,7 +58,9 @@ def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_la
 
 def word_tokens(docs: DataFrame, keys: list[str], text: str = "t") -> DataFrame:
     """STR-1 words without offsets: (keys..., word), one row per occurrence."""
-    return docs.select(*keys, F.explode(tk.count_words(text)).alias("word"))
+    # explode_outer + null filter: a plain explode adds an inferred size() filter that would run
+    # the tokenizer twice.
+    return docs.select(*keys, F.explode_outer(tk.count_words(text)).alias("word")).where(F.col("word").isNotNull())
 
 
 def term_counts(tokens: DataFrame, keys: list[str]) -> DataFrame:

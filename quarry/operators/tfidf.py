@@ -17,8 +17,13 @@ from quarry.session import broadcast_if_small
 def doc_tokens(docs: DataFrame, key: str, text: str, dialect: str) -> DataFrame:
     """(key, len, word): one row per token; ``len`` is the document's token count (AGG-2),
     computed inside the row so no shuffle is needed for it."""
-    words = tk.words_of(text, dialect)
-    return docs.select(F.col(key), F.size(words).alias("len"), F.explode(words).alias("word"))
+    # Array and its size are projected before the explode; written in one select, the size would be
+    # re-evaluated on every exploded row (quadratic in the document length).
+    arr = docs.select(F.col(key), tk.words_of(text, dialect).alias("_ws"))
+    arr = arr.select(key, "_ws", F.size("_ws").alias("len"))
+    # explode_outer: a plain explode makes Catalyst infer a size(array) > 0 filter that runs the
+    # tokenizer a second time; the outer form plus a null filter tokenizes each text once.
+    return arr.select(key, "len", F.explode_outer("_ws").alias("word")).where(F.col("word").isNotNull())
 
 
 def term_frequency(tokens: DataFrame, key: str) -> DataFrame:
