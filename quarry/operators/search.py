@@ -62,12 +62,17 @@ def display_rank(hits: DataFrame, score: str = "rank", key: str = "doc_id", name
     return ordinal_within(hits, ["query_id"], [F.col(score).desc(), F.col(key).asc()], name)
 
 
+# Scores equal to this many decimals are ties (broken by key): summation order differs between
+# engines and plans, and must not reorder mathematically equal scores.
+TIE_DIGITS = 12
+
+
 def top_k_per_query(scored: DataFrame, k: int, score: str = "score", key: str = "doc_id", name: str = "pos") -> DataFrame:
     """WIN-4: k best per query; Spark inserts a partial WindowGroupLimit before the shuffle, so a
     hot query sends at most k rows per map partition."""
     if k < 0:
         raise ValueError("k must be non-negative")
-    w = Window.partitionBy("query_id").orderBy(F.col(score).desc(), F.col(key).asc())
+    w = Window.partitionBy("query_id").orderBy(F.round(F.col(score), TIE_DIGITS).desc(), F.col(key).asc())
     return scored.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 

@@ -270,7 +270,7 @@ sc AS (SELECT q.query_id, d.doc_id, coalesce(rel.relevance, 0) * sqrt(pr5.rank)
        FROM allq q CROSS JOIN documents d JOIN pr5 ON pr5.id = d.doc_id
        LEFT JOIN rel ON rel.query_id = q.query_id AND rel.k = d.doc_id)
 SELECT query_id, doc_id, round(score, 6) AS score, CAST(pos AS INTEGER) AS pos FROM
-  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS pos FROM sc)
+  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) AS pos FROM sc)
 WHERE pos <= 20
 """)
 def ranked_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
