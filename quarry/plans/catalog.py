@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
+from quarry.functions import urls
 from quarry.operators import graph
 from quarry.operators import index as ix
-from quarry.operators import search, tfidf
+from quarry.operators import search, tfidf, web
 from quarry.operators.topk import top_k
 from quarry.plans import sql
 from quarry.plans import tables as tb
@@ -349,3 +350,164 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRT-4: the 500 largest order totals (reported ascending)."""
     orders = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return top_k(orders, "o_totalprice", 500, tiebreak="o_orderkey")
+
+
+# ------------------------------------------------------------------ URLs, filters and robots rules
+
+def _decode_sql(x: str) -> str:
+    code = ("((instr('0123456789ABCDEF', upper(substr(p, 2, 1))) - 1) * 16 "
+            "+ instr('0123456789ABCDEF', upper(substr(p, 3, 1))) - 1)")
+    return (f"array_to_string(list_transform(regexp_extract_all({x}, '(?s)(%[0-9A-Fa-f]{{2}}|.)', 1), "
+            f"lambda p: CASE WHEN p = '+' THEN ' ' WHEN length(p) = 3 AND {code} BETWEEN 32 AND 127 "
+            f"THEN chr(CAST({code} AS INTEGER)) ELSE p END), '')")
+
+
+_HOST_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)"
+_SUBJECT_SQL = ("regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) || "
+                "CASE WHEN regexp_matches(url, '^[^?#]*\\?') THEN '?' || regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) "
+                "ELSE '' END")
+
+
+@register("url_decode", f"""
+SELECT page_id, {_decode_sql("split_part(url, '?', 1)")} AS path, {_decode_sql('url')} AS decoded FROM pages
+""")
+def url_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-6: server-style decode of every page URL and of its path."""
+    p = tb.table(spark, sf_dir, "pages")
+    return p.select("page_id", urls.url_path("url").alias("path"), urls.url_decode("url").alias("decoded"))
+
+
+@register("url_args", f"""
+WITH a AS (SELECT page_id, unnest(string_split(split_part(url, '?', 2), '&')) AS kv,
+                  unnest(generate_series(0, len(string_split(split_part(url, '?', 2), '&')) - 1)) AS i
+           FROM pages WHERE len(string_split(url, '?')) >= 2),
+e AS (SELECT page_id, i, {_decode_sql("string_split(kv, '=')[1]")} AS k, {_decode_sql("string_split(kv, '=')[2]")} AS v
+      FROM a WHERE len(string_split(kv, '=')) = 2)
+SELECT page_id, k AS arg_key, arg_max(v, i) AS arg_value FROM e GROUP BY page_id, k
+""")
+def url_args(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-7: query arguments of every page URL, decoded, a later key wins (long form)."""
+    p = tb.table(spark, sf_dir, "pages")
+    pairs = p.select("page_id", F.explode(urls.url_arg_pairs("url")).alias("a"))
+    return pairs.groupBy("page_id", F.col("a.key").alias("arg_key")).agg(
+        F.max_by("a.value", "a.i").alias("arg_value"))
+
+
+@register("host_filter", f"""
+WITH h AS (SELECT {_HOST_SQL} AS host, count(*) AS n FROM pages GROUP BY 1 HAVING count(*) >= 2)
+SELECT page_id, url FROM pages WHERE {_HOST_SQL} IN (SELECT host FROM h)
+""")
+def host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-4: pages whose host is whitelisted; the whitelist is every host with two or more pages."""
+    p = tb.table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = (p.select(urls.url_host("url").alias("host")).groupBy("host").count()
+             .where(F.col("count") >= 2).select("host"))
+    return web.host_allowed(p, hosts, "url")
+
+
+_ROBOTS_AGENT = "quarrybot"
+
+
+def _robots_table(pages: DataFrame) -> DataFrame:
+    """One robots.txt per host of the page table, from a fixed template (blog hosts add a rule)."""
+    hosts = pages.select(urls.url_host("url").alias("host")).distinct()
+    text = F.concat(F.lit("User-agent: *\nDisallow: /fr/\nAllow: /fr/1\nDisallow: /*?utm_source=\n"),
+                    F.when(F.col("host").startswith("blog."), F.lit("Disallow: /es/ # no translations\n"))
+                    .otherwise(F.lit("")),
+                    F.lit("\nUser-agent: otherbot\nDisallow: /\n"))
+    return hosts.select("host", text.alias("text"))
+
+
+_ROBOTS_SQL = f"""
+rb AS (SELECT host, 'User-agent: *' || chr(10) || 'Disallow: /fr/' || chr(10) || 'Allow: /fr/1' || chr(10)
+         || 'Disallow: /*?utm_source=' || chr(10)
+         || CASE WHEN starts_with(host, 'blog.') THEN 'Disallow: /es/ # no translations' || chr(10) ELSE '' END
+         || chr(10) || 'User-agent: otherbot' || chr(10) || 'Disallow: /' || chr(10) AS text
+       FROM (SELECT DISTINCT {_HOST_SQL} AS host FROM pages)),
+rl AS (SELECT host, unnest(string_split(text, chr(10))) AS raw,
+              unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS ln FROM rb),
+rc AS (SELECT host, ln, trim(split_part(raw, '#', 1)) AS line FROM rl),
+rp AS (SELECT host, ln,
+         CASE WHEN strpos(line, ':') > 0 THEN trim(split_part(line, ':', 1)) ELSE 'Ignore' END AS directive,
+         CASE WHEN strpos(line, ':') > 0 THEN trim(substr(line, strpos(line, ':') + 1)) ELSE line END AS data
+       FROM rc WHERE line <> ''),
+ru AS (SELECT *, last_value(CASE WHEN directive = 'User-agent' THEN data END IGNORE NULLS)
+         OVER (PARTITION BY host ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ua FROM rp),
+rules AS (SELECT host, lower(directive) AS kind,
+            replace(replace(replace(replace(data, '\\', '\\\\'), '%', '\\%'), '_', '\\_'), '*', '%') || '%' AS lk
+          FROM ru WHERE directive IN ('Allow', 'Disallow') AND data <> ''
+            AND regexp_full_match('{_ROBOTS_AGENT}', replace(coalesce(ua, '*'), '*', '.*')))"""
+
+
+@register("robots_rules", f"""
+WITH {_ROBOTS_SQL} SELECT host, kind, lk AS like_pattern FROM rules
+""")
+def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-6: robots.txt of every host parsed into the rules that apply to our agent."""
+    rules = web.parse_robots(_robots_table(tb.table(spark, sf_dir, "pages")), _ROBOTS_AGENT)
+    return rules.select("host", "kind", web._like_prefix(F.col("pattern")).alias("like_pattern"))
+
+
+@register("robots_filter", f"""
+WITH {_ROBOTS_SQL},
+pg AS (SELECT page_id, {_HOST_SQL} AS host, {_SUBJECT_SQL} AS subject FROM pages)
+SELECT pg.page_id,
+  coalesce(bool_or(rules.kind = 'allow' AND pg.subject LIKE rules.lk ESCAPE '\\'), false)
+  OR NOT coalesce(bool_or(rules.kind = 'disallow' AND pg.subject LIKE rules.lk ESCAPE '\\'), false) AS allowed
+FROM pg LEFT JOIN rules USING (host) GROUP BY pg.page_id
+""")
+def robots_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-6..8 / JN-11: robots verdict for every page URL (allow wins, else disallow rejects)."""
+    pages = tb.table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = web.parse_robots(_robots_table(pages), _ROBOTS_AGENT)
+    return web.robots_filter(pages, rules, "url").select("page_id", "allowed")
+
+
+# ------------------------------------------------------------------ HTML pages
+
+_LINKS_SQL = """
+lk AS (SELECT page_id, url, regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1) AS hrefs FROM pages),
+lx AS (SELECT page_id, url, unnest(hrefs) AS href, unnest(generate_series(0, len(hrefs) - 1)) AS i FROM lk),
+links AS (SELECT page_id, url AS src_uri, CAST(i AS INTEGER) AS pos,
+            regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || split_part(href, '#', 1) AS dst_uri
+          FROM lx)"""
+
+
+def _parsed_pages(spark, sf_dir) -> DataFrame:
+    return web.parse_pages(tb.table(spark, sf_dir, "pages"))
+
+
+@register("page_links", f"""
+WITH {_LINKS_SQL} SELECT page_id, src_uri, pos, dst_uri FROM links
+""")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT-1 / STR-9: every <a href> of every page, resolved against the page URL, in order."""
+    return web.page_links(_parsed_pages(spark, sf_dir)).select(
+        "page_id", "src_uri", F.col("pos").cast("int").alias("pos"), "dst_uri")
+
+
+@register("extension_filter", f"""
+WITH {_LINKS_SQL},
+sub AS (SELECT page_id, pos, dst_uri, regexp_extract(dst_uri, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) ||
+          CASE WHEN regexp_matches(dst_uri, '^[^?#]*\\?') THEN '?' || regexp_extract(dst_uri, '^[^?#]*\\?([^#]*)', 1)
+          ELSE '' END AS subject FROM links)
+SELECT page_id, pos, dst_uri FROM sub WHERE NOT regexp_matches(subject, '{web.extension_pattern()}')
+""")
+def extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-5: outgoing links that do not point at a blacklisted file type."""
+    links = web.page_links(_parsed_pages(spark, sf_dir)).select(
+        "page_id", F.col("pos").cast("int").alias("pos"), "dst_uri")
+    return web.extension_filter(links, "dst_uri")
+
+
+@register("page_words")
+def page_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT-2 / STR-2: visible body words of every page (script, style and comments excluded)."""
+    parsed = _parsed_pages(spark, sf_dir)
+    return parsed.select("page_id", F.posexplode("words").alias("pos", "word"))
+
+
+@register("page_summary")
+def page_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT-3 / STR-13 / STR-14 / PRJ-1: uri, title (fallback uri) and blurb of every page."""
+    return web.summaries(_parsed_pages(spark, sf_dir))
