@@ -15,10 +15,13 @@ from quarry.functions import tokenize as tk
 from quarry.functions import urls
 from quarry.operators import graph
 from quarry.operators import index as ix
-from quarry.operators import search, tfidf, web
+from quarry.operators import quality, search, tfidf, web
 from quarry.operators.topk import top_k
 from quarry.plans import sql
 from quarry.plans import tables as tb
+from quarry.session import scratch_path
+from quarry.sources import index_store
+from quarry.streaming import stream as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -511,3 +514,123 @@ def page_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT-3 / STR-13 / STR-14 / PRJ-1: uri, title (fallback uri) and blurb of every page."""
     return web.summaries(_parsed_pages(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ written index, checks
+
+def _global_index(spark, sf_dir) -> ix.Index:
+    return ix.build_index(tb.documents(spark, sf_dir), "doc_name", "text")
+
+
+@register("posting_lookup", f"""
+WITH {sql.QUERY_LOG}, {sql.query_words('count')}, {sql.COUNT_DOCS}, {sql.COUNT_POSITIONS},
+pst AS (SELECT word, doc_id, CAST(count(*) AS INTEGER) AS n, list(pos ORDER BY pos) AS positions FROM pos GROUP BY ALL)
+SELECT pst.word, cd.doc_name, pst.n, pst.positions FROM pst JOIN cd USING (doc_id)
+WHERE pst.word IN (SELECT word FROM qw)
+""")
+def posting_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2 / SRC-7 / JN-1 / JN-5: write the index as bucketed Parquet with a manifest, reopen
+    it with validation and read the postings of every logged query word (bucket-pruned scan)."""
+    path = scratch_path(spark, "index")
+    index_store.write_index(_global_index(spark, sf_dir), path, buckets=16)
+    idx, buckets = index_store.open_indexes(spark, [path], validate=True)
+    words = search.query_tokens(tb.query_log(spark, sf_dir), "count").select("word")
+    hits = index_store.lookup_words(idx, words, buckets)
+    return ix.doc_names(idx.doc_table, hits).select("word", "doc_name", "n", "positions")
+
+
+_CHECK_NAMES = ["doc_id_unique", "doc_id_dense", "doc_name_ascii", "doc_name_length", "word_ascii_lower",
+                "word_length", "positions_count", "positions_increasing", "posting_unique", "posting_doc_resolves"]
+
+
+@register("index_check", f"""
+WITH {sql.COUNT_DOCS}, {sql.DOC_TABLE}, {sql.COUNT_POSITIONS},
+pst AS (SELECT dt.doc_id, pos.word, count(*) AS n, list(pos.pos ORDER BY pos.pos) AS positions
+        FROM pos JOIN dt ON dt.src_id = pos.doc_id GROUP BY ALL),
+c AS (SELECT
+  (SELECT count(*) - count(DISTINCT doc_id) FROM dt) AS doc_id_unique,
+  (SELECT CASE WHEN max(doc_id) = count(DISTINCT doc_id) AND min(doc_id) = 1 THEN 0 ELSE 1 END FROM dt) AS doc_id_dense,
+  (SELECT count(*) FILTER (WHERE regexp_matches(doc_name, '[^\\x00-\\x7F]')) FROM dt) AS doc_name_ascii,
+  (SELECT count(*) FILTER (WHERE length(doc_name) >= 1024) FROM dt) AS doc_name_length,
+  (SELECT count(*) FILTER (WHERE regexp_matches(word, '[^\\x00-\\x7F]') OR regexp_matches(word, '[A-Z]')) FROM pst)
+    AS word_ascii_lower,
+  (SELECT count(*) FILTER (WHERE length(word) >= 8192) FROM pst) AS word_length,
+  (SELECT count(*) FILTER (WHERE n >= 1000000 OR n <> len(positions)) FROM pst) AS positions_count,
+  (SELECT count(*) FILTER (WHERE positions <> list_sort(list_distinct(positions))) FROM pst) AS positions_increasing,
+  (SELECT count(*) FROM (SELECT word, doc_id FROM pst GROUP BY ALL HAVING count(*) > 1)) AS posting_unique,
+  (SELECT count(*) FROM pst WHERE doc_id NOT IN (SELECT doc_id FROM dt)) AS posting_doc_resolves)
+SELECT "check", CAST(violations AS BIGINT) AS violations FROM c
+UNPIVOT (violations FOR "check" IN ({", ".join(_CHECK_NAMES)}))
+""")
+def index_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-2..6: structural checks of the index built from documents (all zero when healthy)."""
+    return quality.check_index(_global_index(spark, sf_dir))
+
+
+@register("rank_check", f"""
+WITH {sql.pagerank_unrolled(sql.PART_GRAPH_NODES, sql.PART_GRAPH_EDGES, 5)},
+c AS (SELECT count(*) FILTER (WHERE rank <= 0) AS rank_positive,
+             CASE WHEN abs(sum(rank) - 1.0) > 1e-9 THEN 1 ELSE 0 END AS rank_sum FROM pr5)
+SELECT "check", CAST(violations AS BIGINT) AS violations FROM c UNPIVOT (violations FOR "check" IN (rank_positive, rank_sum))
+""")
+def rank_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-7: PageRank of the part graph is positive and sums to 1."""
+    nodes, edges = _part_graph(spark, sf_dir)
+    return quality.check_ranks(graph.pagerank(nodes, edges, 0.85, 0.0, 5))
+
+
+def _crawl_sql(levels: int, seeds: int, limit: int) -> str:
+    parts = [f"pe AS ({sql.PART_GRAPH_EDGES})",
+             f"l0 AS (SELECT id FROM ({sql.PART_GRAPH_NODES}) ORDER BY id LIMIT {seeds})",
+             "r0 AS (SELECT id, 0 AS distance FROM l0)"]
+    for d in range(1, levels + 1):
+        parts.append(f"l{d} AS (SELECT DISTINCT pe.dst AS id FROM l{d - 1} JOIN pe ON pe.src = l{d - 1}.id "
+                     f"WHERE pe.dst NOT IN (SELECT id FROM r{d - 1}))")
+        parts.append(f"r{d} AS (SELECT * FROM r{d - 1} UNION ALL SELECT id, {d} AS distance FROM l{d})")
+    return ("WITH " + ", ".join(parts) +
+            f" SELECT id, CAST(distance AS INTEGER) AS distance FROM r{levels} ORDER BY distance, id LIMIT {limit}")
+
+
+@register("crawl_order", _crawl_sql(8, 3, 100))
+def crawl_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GRF-4 / JN-9 / LIM-1 / SRT-7: breadth-first visit order over the part graph from the three
+    smallest part keys, 100 pages."""
+    nodes, edges = _part_graph(spark, sf_dir)
+    seeds = nodes.orderBy("id").limit(3)
+    return graph.bfs_order(edges, seeds, 100).select("id", F.col("distance").cast("int").alias("distance"))
+
+
+# ------------------------------------------------------------------ streaming
+
+@register("stream_queries", ORACLE["and_search"])
+def stream_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM-1: logged queries arrive as a file stream; each micro-batch is searched against the
+    fixed document tokens (foreachBatch, idempotent per batch id); result = the batch result."""
+    root = scratch_path(spark, "stream-queries")
+    bench = tb.table(spark, sf_dir, "benchmark")
+    stream = (spark.readStream.schema(bench.schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "benchmark.parquet").parquet(sf_dir))
+    tokens = ix.word_tokens(_count_docs(spark, sf_dir), ["doc_id"], "t")
+    q = streaming.stream_search(stream.withColumnRenamed("item_id", "query_id"), tokens, f"{root}/out",
+                                f"{root}/checkpoint", "count", raw_from=("query_id", "text"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("query_id", "doc_id", "rank")
+
+
+@register("incremental_index", f"""
+WITH {sql.COUNT_DOCS}, {sql.COUNT_POSITIONS}
+SELECT cd.doc_name, pos.word, CAST(count(*) AS INTEGER) AS n FROM pos JOIN cd USING (doc_id) GROUP BY ALL
+""")
+def incremental_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM-2 / SET-6: documents arrive in several files (one micro-batch each) and are appended to
+    an index whose ids continue across batches; result = postings keyed by document name."""
+    root = scratch_path(spark, "stream-index")
+    docs = tb.documents(spark, sf_dir).select("doc_name", "text", F.col("source"))
+    # The arriving files: the corpus split by source into four files (Spark derives them).
+    docs.repartition(4, "source").drop("source").write.parquet(f"{root}/incoming")
+    stream = (spark.readStream.schema("doc_name string, text string").option("maxFilesPerTrigger", 1)
+              .parquet(f"{root}/incoming"))
+    q = streaming.stream_index(stream, f"{root}/index", f"{root}/checkpoint")
+    q.awaitTermination()
+    idx = streaming.read_stream_index(spark, f"{root}/index")
+    return ix.doc_names(idx.doc_table, idx.postings).select("doc_name", "word", "n")
