@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
-from quarry.session import broadcast_if_small
+from quarry.session import broadcast_if_small, reliable_checkpoint
 
 
 def doc_tokens(docs: DataFrame, key: str, text: str, dialect: str) -> DataFrame:
@@ -28,8 +28,9 @@ def doc_tokens(docs: DataFrame, key: str, text: str, dialect: str) -> DataFrame:
 
 def term_frequency(tokens: DataFrame, key: str) -> DataFrame:
     """AGG-1/2/3: (key, word, cnt, len, tf)."""
-    return (tokens.groupBy(key, "word")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.first("len").alias("len"))
+    # len depends on the document only, so grouping on it costs nothing and avoids a first().
+    return (tokens.groupBy(key, "len", "word")
+            .agg(F.count(F.lit(1)).alias("cnt"))
             .withColumn("tf", F.col("cnt") / F.col("len")))
 
 
@@ -66,13 +67,19 @@ def unique_words(tokens: DataFrame, key: str) -> DataFrame:
 
 
 class Model:
-    """Materialisable TF-IDF model over a document frame (pages or documents)."""
+    """TF-IDF model over a document frame (pages or documents), materialised once.
 
-    def __init__(self, docs: DataFrame, key: str, text: str, dialect: str = "cosine"):
+    ``tf``, ``idf`` and ``norms`` are written to the shared checkpoint folder (the reference
+    precomputes them too), so every later size check, join or query reads files instead of
+    tokenizing the corpus again; ``vectors`` is the tf x idf join over those files.
+    """
+
+    def __init__(self, docs: DataFrame, key: str, text: str, dialect: str = "cosine", materialise: bool = True):
         self.key = key
         self.dialect = dialect
         self.n_docs = document_count(docs)
-        self.tf = term_frequency(doc_tokens(docs, key, text, dialect), key)
-        self.idf = idf(self.tf, self.n_docs)
+        keep = reliable_checkpoint if materialise else (lambda df: df)
+        self.tf = keep(term_frequency(doc_tokens(docs, key, text, dialect), key))
+        self.idf = keep(idf(self.tf, self.n_docs))
         self.vectors = tfidf_vectors(self.tf, self.idf, key)
-        self.norms = norms(self.vectors, key)
+        self.norms = keep(norms(self.vectors, key))

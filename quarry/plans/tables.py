@@ -10,8 +10,19 @@ from quarry.session import broadcast_if_small
 from quarry.sources import querylog
 
 
+# Tables whose rows carry long texts: tokenizing them is CPU-heavy per byte.
+TEXT_TABLES = {"documents", "pages", "benchmark", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  A text table whose scan yields fewer splits than the cluster has cores
+    (one Parquet row group cannot be split) is spread round-robin so tokenizing uses every core;
+    large inputs scan into many splits and are left alone."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and df._jdf.rdd().getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
