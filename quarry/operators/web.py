@@ -304,7 +304,7 @@ def read_raw_pages(df: DataFrame, content_col: str = "content", strict: bool = T
     c = F.col(content_col)
     header = F.regexp_extract(c, r"^<!-- METADATA\n((?:[^\n]*\n)*?)-->\n", 1)
     ok = c.startswith("<!-- METADATA\n") & c.contains("\n-->\n")
-    meta = F.str_to_map(F.regexp_replace(header, r"\n$", ""), "\n", ": ")
+    meta = F.str_to_map(F.regexp_replace(header, r"\n$", ""), F.lit("\n"), F.lit(": "))
     html = F.expr(f"substring({content_col}, instr({content_col}, '\\n-->\\n') + 5)")
     out = df.withColumn("metadata", F.when(ok, meta)).withColumn("html", F.when(ok, html))
     uri = F.col("metadata").getItem("uri")
