@@ -28,14 +28,15 @@ class Index:
 
 
 def indexable_docs(docs: DataFrame, name: str = "doc_name", text: str = "text", index_id=None,
-                   keep_last_word: bool = False) -> DataFrame:
+                   keep_last_word: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """SRC-2 + FLT-1 + FLT-2: C-string text, ASCII only, at least one word.
 
-    Returns (index_id, doc_name, t).
+    Returns (index_id, doc_name, t, *carry) — ``carry`` columns ride along so callers never
+    join the corpus back to itself.
     """
     iid = F.lit("0") if index_id is None else (F.col(index_id) if isinstance(index_id, str) else index_id)
     d = docs.select(iid.cast("string").alias("index_id"), F.col(name).cast("string").alias("doc_name"),
-                    tk.c_string(text).alias("t"))
+                    tk.c_string(text).alias("t"), *carry)
     has_words = F.col("t").rlike("[A-Za-z]") if keep_last_word else tk.has_count_words("t")
     return d.where(tk.is_ascii("t") & F.coalesce(has_words, F.lit(False)))
 

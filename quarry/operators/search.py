@@ -47,12 +47,15 @@ def and_search(postings: DataFrame, qwords: DataFrame, keys: tuple[str, ...] = (
 
 def and_search_tokens(tokens: DataFrame, qwords: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """SCH-1 straight from token rows (one per occurrence): tokens that match no query word are
-    dropped before the shuffle; rank = matched occurrences, match = distinct query tokens."""
+    dropped before the shuffle; rank = matched occurrences, match = distinct query tokens.
+
+    The distinct query tokens are a set bounded by the query's length, collected with map-side
+    partial aggregation, so the whole search costs one shuffle on (query_id, doc)."""
     qw = broadcast_if_small(qwords.select("query_id", "qi", "word"))
     sizes = broadcast_if_small(_query_sizes(qwords))
     hits = (tokens.select(*keys, "word").join(qw, "word")
             .groupBy("query_id", *keys)
-            .agg(F.countDistinct("qi").alias("matched"), F.count(F.lit(1)).alias("rank")))
+            .agg(F.size(F.collect_set("qi")).alias("matched"), F.count(F.lit(1)).alias("rank")))
     return hits.join(sizes, "query_id").where(F.col("matched") == F.col("n_words")) \
         .select("query_id", *keys, "rank")
 

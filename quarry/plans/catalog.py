@@ -43,9 +43,7 @@ def _r6(c) -> F.Column:
 # ------------------------------------------------------------------ count dialect: AND search
 
 def _count_docs(spark, sf_dir) -> DataFrame:
-    d = tb.documents(spark, sf_dir)
-    return ix.indexable_docs(d, "doc_name", "text").join(
-        d.select("doc_name", "doc_id", "source"), "doc_name")
+    return ix.indexable_docs(tb.documents(spark, sf_dir), "doc_name", "text", carry=("doc_id", "source"))
 
 
 @register("and_search", f"""
