@@ -33,3 +33,8 @@ def top_k_per(df: DataFrame, keys: list[str], col: str, k: int, tiebreak: str |
     order = [F.col(col).desc()] + ([F.col(tiebreak).asc()] if tiebreak else [])
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
+
+
+def rounded_average(df: DataFrame, keys: list[str], col: str, name: str = "avg") -> DataFrame:
+    """MTH-2: per-group mean rounded half-up to a whole number (not banker's rounding)."""
+    return df.groupBy(*keys).agg(F.floor(F.avg(col) + 0.5).cast("long").alias(name))

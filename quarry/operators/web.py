@@ -290,6 +290,14 @@ def page_links(parsed: DataFrame) -> DataFrame:
                          F.posexplode_outer("links").alias("pos", "dst_uri")).where(F.col("dst_uri").isNotNull())
 
 
+def distinct_pages(pages: DataFrame, uri_col: str = "uri", path_col: str = "path") -> DataFrame:
+    """SET-2: one page per URI; of several files with the same URI the smallest path wins
+    (deterministic, with map-side partial aggregation)."""
+    cols = [c for c in pages.columns if c not in (uri_col, path_col)]
+    best = pages.groupBy(uri_col).agg(F.min_by(F.struct(path_col, *cols), F.col(path_col)).alias("_p"))
+    return best.select(uri_col, "_p.*")
+
+
 def summaries(parsed: DataFrame) -> DataFrame:
     """PRJ-1: drop words and links early."""
     return parsed.select("page_id", "uri", "title", "blurb")

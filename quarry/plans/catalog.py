@@ -344,6 +344,15 @@ def result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.result_lines(hits, "doc_name", "rank", "pos")
 
 
+@register("rounded_average", """
+SELECT l_partkey, CAST(floor(avg(l_quantity) + 0.5) AS BIGINT) AS avg_quantity FROM lineitem GROUP BY l_partkey
+""")
+def rounded_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MTH-2: mean quantity per part rounded half-up."""
+    from quarry.operators.topk import rounded_average as ravg
+    return ravg(tb.table(spark, sf_dir, "lineitem"), ["l_partkey"], "l_quantity", "avg_quantity")
+
+
 @register("topk", """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500
 """)

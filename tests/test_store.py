@@ -49,3 +49,22 @@ def test_checks_find_violations(spark):
     checks = {r["check"]: r["violations"] for r in quality.check_index(ix.Index(dt, po)).collect()}
     assert checks["doc_id_dense"] == 1 and checks["word_ascii_lower"] == 1
     assert checks["positions_increasing"] == 1 and checks["posting_doc_resolves"] == 1
+
+
+def test_tampered_index_fails_validation(spark, built):
+    path = scratch_path(spark, "tamper")
+    index_store.write_index(built, path, buckets=4)
+    extra = spark.read.parquet(f"{path}/postings").limit(1)
+    extra.write.mode("append").partitionBy("bucket").parquet(f"{path}/postings")
+    with pytest.raises(ValueError):
+        index_store.open_index(spark, path, validate=True)
+    idx, _ = index_store.open_index(spark, path, validate=False)   # the web server's choice
+    assert idx.postings.count() == 10
+
+
+def test_distinct_pages(spark):
+    from quarry.operators import web
+    df = spark.createDataFrame([("u1", "b/x.html", "two"), ("u1", "a/x.html", "one"), ("u2", "c.html", "three")],
+                               "uri string, path string, body string")
+    got = {r["uri"]: (r["path"], r["body"]) for r in web.distinct_pages(df).collect()}
+    assert got == {"u1": ("a/x.html", "one"), "u2": ("c.html", "three")}

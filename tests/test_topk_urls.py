@@ -52,3 +52,18 @@ def test_escape_html(spark, raw, want):
 def test_crc32(spark):
     df = spark.createDataFrame([(bytearray([1, 2, 3, 4]),)], "b binary")
     assert df.select(urls.crc32_hex("b")).first()[0] == "0xB63CFBCD"
+
+
+def test_rounded_average_half_up(spark):
+    from quarry.operators.topk import rounded_average
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 2.0), ("b", 3.0), ("c", -1.0), ("c", -2.0)],
+                               "k string, v double")
+    assert {r["k"]: r["avg"] for r in rounded_average(df, ["k"], "v").collect()} == {"a": 2, "b": 3, "c": -1}
+
+
+def test_query_log_from_requests(spark):
+    from quarry.sources import querylog
+    reqs = spark.createDataFrame([(1, "/query?terms=Whale+Ocean"), (2, "/static/x.html"),
+                                  (3, "/query?terms=a&terms=b%20c")], "query_id long, uri string")
+    got = {r["query_id"]: r["raw"] for r in querylog.from_requests(reqs).collect()}
+    assert got == {1: "Whale Ocean", 3: "b c"}
