@@ -61,6 +61,13 @@ def vector_maps(vectors: DataFrame, key: str) -> DataFrame:
     return vectors.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "w"))).alias("vector"))
 
 
+def vector_weight(vector, word, default: float = 0.0):
+    """MAP-2: weight of ``word`` in a vector map, ``default`` when absent (get / getOrDefault)."""
+    v = F.col(vector) if isinstance(vector, str) else vector
+    w = F.lit(word) if isinstance(word, str) else word
+    return F.coalesce(F.try_element_at(v, w), F.lit(default))
+
+
 def unique_words(tokens: DataFrame, key: str) -> DataFrame:
     """AGG-11: distinct words per document."""
     return tokens.select(key, "word").distinct()

@@ -328,3 +328,8 @@ def with_metadata_header(df: DataFrame, uri_col: str = "uri", body_col: str = "b
     content = F.concat(F.lit("<!-- METADATA\nuri: "), F.col(uri_col), F.lit("\nlocal: false\n-->\n"), F.col(body_col))
     return df.select(urls.url_host(uri_col).alias("host"), urls.md5_hex(uri_col).alias("page_key"),
                      F.col(uri_col).alias("uri"), content.alias("content"))
+
+
+def save_raw_pages(fetched: DataFrame, path: str, uri_col: str = "uri", body_col: str = "body") -> None:
+    """SNK-3: fetched pages with their metadata header, one folder per host, keyed by md5(uri)."""
+    with_metadata_header(fetched, uri_col, body_col).write.mode("append").partitionBy("host").parquet(path)

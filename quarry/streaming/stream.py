@@ -56,8 +56,8 @@ def stream_index(doc_stream: DataFrame, path: str, checkpoint: str, name: str =
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         old = existing(batch.sparkSession, epoch_id)
-        new = ix.build_index(batch, name, text, existing=None)
         if old is None:
+            new = ix.build_index(batch, name, text)
             fresh_docs, fresh_posts = new.doc_table, new.postings
         else:
             grown = ix.build_index(batch, name, text, existing=old)

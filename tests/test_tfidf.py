@@ -62,3 +62,12 @@ def test_python_tf(spark):
     m = tfidf.Model(docs, "doc_id", "text", "tfidf", materialise=False)
     tf = {r["word"]: r["tf"] for r in m.tf.collect()}
     assert tf == {"the": 0.25, "cutest": 0.5, "dog": 0.25}
+
+
+def test_vector_maps(spark, model):
+    maps = {r["uri"]: r for r in tfidf.vector_maps(model.vectors, "uri")
+            .select("uri", tfidf.vector_weight("vector", "cat").alias("cat"),
+                    tfidf.vector_weight("vector", "zebra", -1.0).alias("zebra"),
+                    F.map_contains_key("vector", "dog").alias("has_dog")).collect()}
+    assert maps["a"]["cat"] == pytest.approx(0.183102, abs=1e-6) and maps["a"]["zebra"] == -1.0
+    assert maps["c"]["has_dog"] and not maps["a"]["has_dog"]

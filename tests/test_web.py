@@ -75,3 +75,15 @@ def test_metadata_header(spark):
     rows = web.read_raw_pages(df, strict=False).collect()
     assert rows[0]["uri"] == "http://a.b/c" and rows[0]["html"] == "<html>x</html>"
     assert rows[1]["uri"] is None and rows[1]["error"] is not None
+
+
+def test_save_raw_pages(spark):
+    import tempfile
+    path = tempfile.mkdtemp(prefix="quarry-raw-") + "/raw"
+    df = spark.createDataFrame([("http://a.org/x", "<p>x</p>"), ("http://b.org/y", "<p>y</p>")], "uri string, body string")
+    web.save_raw_pages(df, path)
+    back = spark.read.parquet(path)
+    rows = {r["host"]: r for r in back.collect()}
+    assert set(rows) == {"a.org", "b.org"}
+    parsed = web.read_raw_pages(back.select("content")).collect()
+    assert sorted(r["uri"] for r in parsed) == ["http://a.org/x", "http://b.org/y"]
