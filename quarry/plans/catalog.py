@@ -629,14 +629,14 @@ WITH {sql.COUNT_DOCS}, {sql.COUNT_POSITIONS}
 SELECT cd.doc_name, pos.word, CAST(count(*) AS INTEGER) AS n FROM pos JOIN cd USING (doc_id) GROUP BY ALL
 """)
 def incremental_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STM-2 / SET-6: documents arrive in several files (one micro-batch each) and are appended to
-    an index whose ids continue across batches; result = postings keyed by document name."""
+    """STM-2 / SET-6: the documents table arrives as a file stream (one file per micro-batch) and
+    is appended to an index whose ids continue across batches; result = postings keyed by
+    document name.  The table's own files are streamed; nothing is copied."""
     root = scratch_path(spark, "stream-index")
-    docs = tb.documents(spark, sf_dir).select("doc_name", "text", F.col("source"))
-    # The arriving files: the corpus split by source into four files (Spark derives them).
-    docs.repartition(4, "source").drop("source").write.parquet(f"{root}/incoming")
-    stream = (spark.readStream.schema("doc_name string, text string").option("maxFilesPerTrigger", 1)
-              .parquet(f"{root}/incoming"))
+    schema = tb.table(spark, sf_dir, "documents").schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+              .select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("doc_name"), "text"))
     q = streaming.stream_index(stream, f"{root}/index", f"{root}/checkpoint")
     q.awaitTermination()
     idx = streaming.read_stream_index(spark, f"{root}/index")
