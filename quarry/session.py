@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,11 +67,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
 
-    Unlike a local checkpoint, the files survive the loss of the executor that wrote them.
-    The checkpointed frame keeps the output partitioning of ``df``.
+    The frame is persisted first: an eager checkpoint runs one job for the action and a second
+    one to write the files, and with the cache the second job reads the first one's output
+    instead of recomputing the plan.  The files survive the loss of the executors that wrote
+    them (unlike a local checkpoint); the cache is released once they exist.  The checkpointed
+    frame keeps the output partitioning of ``df``.
     """
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
