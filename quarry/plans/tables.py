@@ -19,10 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     (one Parquet row group cannot be split) is spread round-robin so tokenizing uses every core;
     large inputs scan into many splits and are left alone."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in TEXT_TABLES and df._jdf.rdd().getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    if name not in TEXT_TABLES:
+        return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df._jdf.rdd().getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM handle (remote session): leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,16 +41,20 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster; a private one only if none is configured."""
-    jsc = spark.sparkContext._jsc.sc()
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir")
+    except Exception:  # noqa: BLE001 - unset key
+        configured = None
+    try:
+        jsc = spark.sparkContext._jsc.sc()
+    except Exception:  # noqa: BLE001 - remote session: the server owns the checkpoint folder
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set") from None
+        return configured
     current = jsc.getCheckpointDir()
     if current.isDefined():
         return current.get()
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
+    configured = configured or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         # Only reached where the session names no shared folder, i.e. local tests.
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
