@@ -7,6 +7,8 @@ norm(doc) = sqrt(sum of squared weights).
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,19 +76,35 @@ def unique_words(tokens: DataFrame, key: str) -> DataFrame:
 
 
 class Model:
-    """TF-IDF model over a document frame (pages or documents), materialised once.
+    """TF-IDF model over a document frame (pages or documents), materialised on first use.
 
-    ``tf``, ``idf`` and ``norms`` are written to the shared checkpoint folder (the reference
-    precomputes them too), so every later size check, join or query reads files instead of
-    tokenizing the corpus again; ``vectors`` is the tf x idf join over those files.
+    ``tf``, ``idf`` and ``norms`` are written to the shared checkpoint folder the first time they
+    are needed (the reference precomputes them too), so later size checks, joins and queries read
+    files instead of tokenizing the corpus again; ``vectors`` is the tf x idf join over them.
     """
 
     def __init__(self, docs: DataFrame, key: str, text: str, dialect: str = "cosine", materialise: bool = True):
         self.key = key
         self.dialect = dialect
-        self.n_docs = document_count(docs)
-        keep = reliable_checkpoint if materialise else (lambda df: df)
-        self.tf = keep(term_frequency(doc_tokens(docs, key, text, dialect), key))
-        self.idf = keep(idf(self.tf, self.n_docs))
-        self.vectors = tfidf_vectors(self.tf, self.idf, key)
-        self.norms = keep(norms(self.vectors, key))
+        self._docs, self._text = docs, text
+        self._keep = reliable_checkpoint if materialise else (lambda df: df)
+
+    @cached_property
+    def n_docs(self) -> int:
+        return document_count(self._docs)
+
+    @cached_property
+    def tf(self) -> DataFrame:
+        return self._keep(term_frequency(doc_tokens(self._docs, self.key, self._text, self.dialect), self.key))
+
+    @cached_property
+    def idf(self) -> DataFrame:
+        return self._keep(idf(self.tf, self.n_docs))
+
+    @cached_property
+    def vectors(self) -> DataFrame:
+        return tfidf_vectors(self.tf, self.idf, self.key)
+
+    @cached_property
+    def norms(self) -> DataFrame:
+        return self._keep(norms(self.vectors, self.key))
