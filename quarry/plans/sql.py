@@ -13,8 +13,8 @@ STR3 = ("CASE WHEN regexp_replace({x}, '^" + _WS + "|" + _WS + "$', '', 'g') = '
         "list_transform(string_split_regex(regexp_replace({x}, '^" + _WS + "|" + _WS + "$', '', 'g'), '" + _WS + "'), "
         r"lambda x: lower(regexp_replace(x, '[^\p{{L}}\p{{N}}_]+', '', 'g'))) END")
 
-QUERY_LOG = ("ql AS (SELECT item_id AS query_id, array_to_string(list_slice(" + STR2.format(x="text")
-             + ", 1, 3), ' ') AS raw FROM benchmark)")
+QUERY_LOG = ("ql AS (SELECT item_id AS query_id, array_to_string(" + STR2.format(x="text")
+             + ", ' ') AS raw FROM benchmark)")
 
 
 def query_words(dialect: str) -> str:

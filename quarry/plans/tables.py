@@ -36,8 +36,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """benchmark texts as a query log: first three cosine-dialect tokens of each item."""
-    return querylog.from_texts(table(spark, sf_dir, "benchmark"), "item_id", "text", 3)
+    """benchmark texts as a query log: every item is one query made of its whole text."""
+    return querylog.from_texts(table(spark, sf_dir, "benchmark"), "item_id", "text")
 
 
 def part_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

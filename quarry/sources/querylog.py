@@ -9,10 +9,11 @@ from quarry.functions import tokenize as tk
 from quarry.functions import urls
 
 
-def from_texts(df: DataFrame, id_col: str, text_col: str, n_terms: int = 3) -> DataFrame:
-    """A query per text row: its first ``n_terms`` cosine-dialect tokens joined by spaces."""
+def from_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A query per text row: the whole text's cosine-dialect tokens joined by single spaces
+    (lower-case, punctuation removed), so every dialect's query tokenizer sees clean words."""
     return df.select(F.col(id_col).alias("query_id"),
-                     F.array_join(F.slice(tk.cosine_words(text_col), 1, n_terms), " ").alias("raw"))
+                     F.array_join(tk.cosine_words(text_col), " ").alias("raw"))
 
 
 def from_requests(df: DataFrame, id_col: str = "query_id", uri_col: str = "uri",
