@@ -19,7 +19,7 @@ from quarry.operators import quality, search, tfidf, web
 from quarry.operators.topk import top_k
 from quarry.plans import sql
 from quarry.plans import tables as tb
-from quarry.session import scratch_path
+from quarry.session import reliable_checkpoint, scratch_path
 from quarry.sources import index_store
 from quarry.streaming import stream as streaming
 
@@ -570,8 +570,12 @@ SELECT "check", CAST(violations AS BIGINT) AS violations FROM c
 UNPIVOT (violations FOR "check" IN ({", ".join(_CHECK_NAMES)}))
 """)
 def index_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DQ-2..6: structural checks of the index built from documents (all zero when healthy)."""
-    return quality.check_index(_global_index(spark, sf_dir))
+    """DQ-2..6: structural checks of the index built from documents (all zero when healthy).
+
+    The checks scan the index several times, so it is materialised once first (as a checker
+    reads a written index)."""
+    idx = _global_index(spark, sf_dir)
+    return quality.check_index(ix.Index(reliable_checkpoint(idx.doc_table), reliable_checkpoint(idx.postings)))
 
 
 @register("rank_check", f"""
