@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quarry.functions import tokenize as tk
 from quarry.functions import urls
 from quarry.operators.ordinals import ordinal_within, with_ordinal
-from quarry.session import broadcast_if_small
+from quarry.session import broadcast_if_small, reliable_checkpoint
 
 
 def query_tokens(query_log: DataFrame, dialect: str = "count", raw: str = "raw") -> DataFrame:
@@ -133,7 +133,8 @@ def ranked_search(relevance: DataFrame, ranks: DataFrame, pages: DataFrame, quer
                            .otherwise(F.raise_error(F.lit("all page ranks should be positive"))).alias("prank"))
     scored = (relevance.join(checked, key)
               .select("query_id", key, (F.col("relevance") * F.sqrt("prank")).alias("score")))
-    positive = scored.where(F.col("score") > 0)
+    # Used by three branches below; written once so the scoring join is not recomputed per branch.
+    positive = reliable_checkpoint(scored.where(F.col("score") > 0))
     best = top_k_per_query(positive, k, "score", key).drop("pos")
     npos = positive.groupBy("query_id").agg(F.count(F.lit(1)).alias("npos"))
     need = (queries.select("query_id").distinct().join(npos, "query_id", "left")
