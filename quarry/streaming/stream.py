@@ -16,18 +16,19 @@ from quarry.operators import search
 from quarry.sources import querylog
 
 
-def stream_search(query_stream: DataFrame, tokens: DataFrame, sink: str, checkpoint: str,
+def stream_search(query_stream: DataFrame, postings: DataFrame, sink: str, checkpoint: str,
                   dialect: str = "count", raw_from: tuple[str, str] | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    """STM-1: each micro-batch of queries runs SCH-1 against the static token/posting table.
+                  keys: tuple[str, ...] = ("doc_id",), available_now: bool = True) -> StreamingQuery:
+    """STM-1: each micro-batch of queries runs SCH-1 against a fixed, materialised index.
 
-    ``query_stream`` has (query_id, raw); with ``raw_from=(id_col, text_col)`` raw queries are
-    first derived from text rows.  ``tokens`` has (doc_id, word) — one row per occurrence.
-    Output: ``sink/batch_id=E`` with (query_id, doc_id, rank).
+    ``postings`` has (keys..., word, n) — term counts or written postings, read from files so a
+    batch only probes it.  ``query_stream`` has (query_id, raw); with ``raw_from=(id_col,
+    text_col)`` raw queries are first derived from text rows.  Output: ``sink/batch_id=E`` with
+    (query_id, keys..., rank).
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
         log = querylog.from_texts(batch, *raw_from) if raw_from else batch.select("query_id", "raw")
-        hits = search.and_search_tokens(tokens, search.query_tokens(log, dialect), ("doc_id",))
+        hits = search.and_search(postings, search.query_tokens(log, dialect), keys)
         hits.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={epoch_id}")
 
     w = query_stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

@@ -35,8 +35,8 @@ def test_stream_search_matches_batch(spark):
     root = tempfile.mkdtemp(prefix="quarry-sts-")
     spark.createDataFrame([(1, "apple banana"), (2, "cherry")], "query_id long, raw string") \
         .write.parquet(os.path.join(root, "q"))
-    tokens = spark.createDataFrame([(10, "apple"), (10, "banana"), (10, "apple"), (11, "cherry")],
-                                   "doc_id long, word string")
+    tokens = spark.createDataFrame([(10, "apple", 2), (10, "banana", 1), (11, "cherry", 1)],
+                                   "doc_id long, word string, n int")
     stream = spark.readStream.schema("query_id long, raw string").parquet(os.path.join(root, "q"))
     q = streaming.stream_search(stream, tokens, os.path.join(root, "out"), os.path.join(root, "ckpt"))
     q.awaitTermination()
