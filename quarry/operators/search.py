@@ -30,34 +30,55 @@ def _query_sizes(qwords: DataFrame) -> DataFrame:
     return qwords.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_words"))
 
 
+def _and_core(tc: DataFrame, qwords: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """AND of all query tokens over term counts ``tc(keys..., word, n)`` restricted to the
+    query vocabulary.
+
+    Intersection order as in the reference: each query starts from its rarest word (smallest
+    document frequency, ties by word); only documents holding it become candidates, and only
+    candidates are checked against the other words.  No row is multiplied by the number of
+    queries that share a common word.  A query with a word absent from the index has no hits.
+    """
+    qw = qwords.select("query_id", "qi", "word")
+    df = tc.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    per_query = (qw.join(broadcast_if_small(df), "word", "left")
+                 .groupBy("query_id")
+                 .agg(F.min_by("word", F.struct("df", "word")).alias("rare"),
+                      F.count_if(F.col("df").isNull()).alias("missing"),
+                      F.count(F.lit(1)).alias("n_words"))
+                 .where(F.col("missing") == 0))
+    per_query = broadcast_if_small(per_query)
+    candidates = tc.select(*keys, "word").join(
+        per_query.select("query_id", F.col("rare").alias("word")), "word").select("query_id", *keys)
+    probes = candidates.join(broadcast_if_small(qw), "query_id")
+    hits = (probes.join(tc.select(*keys, "word", "n"), [*keys, "word"])
+            .groupBy("query_id", *keys)
+            .agg(F.count(F.lit(1)).alias("matched"), F.sum("n").cast("long").alias("rank")))
+    return (hits.join(per_query.select("query_id", "n_words"), "query_id")
+            .where(F.col("matched") == F.col("n_words")).select("query_id", *keys, "rank"))
+
+
 def and_search(postings: DataFrame, qwords: DataFrame, keys: tuple[str, ...] = ("index_id", "doc_id")) -> DataFrame:
     """SCH-1 / SCH-2 / JN-1 / JN-2 over term counts or postings (one row per (doc, word) with ``n``).
 
-    Relational division: a document is a hit when the number of matched query tokens equals
-    the query's token count; AND is evaluated inside each index (``index_id`` is a key).
+    Relational division: a document is a hit when every query token is among its words; rank is
+    the sum of the occurrence counts over the query tokens (a repeated token counts again).  AND
+    is evaluated inside each index when ``index_id`` is a key.  The postings are first cut to the
+    query vocabulary with a broadcast semi join and written once (three consumers below).
     """
-    qw = broadcast_if_small(qwords.select("query_id", "qi", "word"))
-    sizes = broadcast_if_small(_query_sizes(qwords))
-    hits = (postings.select(*keys, "word", "n").join(qw, "word")
-            .groupBy("query_id", *keys)
-            .agg(F.count(F.lit(1)).alias("matched"), F.sum("n").cast("long").alias("rank")))
-    return hits.join(sizes, "query_id").where(F.col("matched") == F.col("n_words")) \
-        .select("query_id", *keys, "rank")
+    vocab = broadcast_if_small(qwords.select("word").distinct())
+    tc = reliable_checkpoint(postings.select(*keys, "word", "n").join(vocab, "word", "left_semi"))
+    return _and_core(tc, qwords, keys)
 
 
 def and_search_tokens(tokens: DataFrame, qwords: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """SCH-1 straight from token rows (one per occurrence): tokens that match no query word are
-    dropped before the shuffle; rank = matched occurrences, match = distinct query tokens.
-
-    The distinct query tokens are a set bounded by the query's length, collected with map-side
-    partial aggregation, so the whole search costs one shuffle on (query_id, doc)."""
-    qw = broadcast_if_small(qwords.select("query_id", "qi", "word"))
-    sizes = broadcast_if_small(_query_sizes(qwords))
-    hits = (tokens.select(*keys, "word").join(qw, "word")
-            .groupBy("query_id", *keys)
-            .agg(F.size(F.collect_set("qi")).alias("matched"), F.count(F.lit(1)).alias("rank")))
-    return hits.join(sizes, "query_id").where(F.col("matched") == F.col("n_words")) \
-        .select("query_id", *keys, "rank")
+    """SCH-1 straight from token rows (one per occurrence).  Tokens whose word is in no query
+    are dropped by a broadcast semi join before the shuffle (no row is multiplied); the rest are
+    counted per (doc, word) with map-side partial aggregation and searched as term counts."""
+    vocab = broadcast_if_small(qwords.select("word").distinct())
+    kept = tokens.select(*keys, "word").join(vocab, "word", "left_semi")
+    tc = reliable_checkpoint(kept.groupBy(*keys, "word").agg(F.count(F.lit(1)).cast("int").alias("n")))
+    return _and_core(tc, qwords, keys)
 
 
 def display_rank(hits: DataFrame, score: str = "rank", key: str = "doc_id", name: str = "pos") -> DataFrame:
