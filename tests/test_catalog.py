@@ -24,5 +24,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.columns == ["query_id", "doc_id", "rank"]
-    assert df.count() >= 0
+    assert df.columns == ["query_id", "doc_id", "score", "pos"]
+    assert df.count() == 20 * spark.read.parquet(f"{SF}/benchmark.parquet").count()
