@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
 from quarry.functions import urls
-from quarry.operators.ordinals import ordinal_within, with_ordinal
+from quarry.operators.ordinals import ordinal_within
 from quarry.session import broadcast_if_small, reliable_checkpoint
 
 
@@ -161,7 +161,11 @@ def ranked_search(relevance: DataFrame, ranks: DataFrame, pages: DataFrame, quer
     need = (queries.select("query_id").distinct().join(npos, "query_id", "left")
             .select("query_id", F.coalesce("npos", F.lit(0)).alias("npos"))
             .where(F.col("npos") < k))
-    ordered_pages = with_ordinal(pages.select(key).distinct(), [key], "_ord")
+    # A query that needs filling has fewer than k positives, so every slot is below 2k: only the
+    # first 2k pages in key order can take part (exact).  They come from a bounded top-k
+    # (TakeOrderedAndProject), so the page table is never sorted; numbering 2k rows is trivial.
+    first = pages.select(key).distinct().orderBy(key).limit(2 * k)
+    ordered_pages = first.withColumn("_ord", F.row_number().over(Window.orderBy(key)))
     slots = need.select("query_id", "npos", F.explode(F.sequence(F.lit(1), F.col("npos") + k)).alias("_ord"))
     fill = (slots.join(ordered_pages, "_ord")
             .join(positive.select("query_id", key), ["query_id", key], "left_anti"))
