@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions import tokenize as tk
 from quarry.functions import urls
 from quarry.operators import graph
 from quarry.operators import index as ix
