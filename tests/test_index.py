@@ -78,3 +78,19 @@ def test_skewed_group_ordinals(spark):
     out = ordinal_within(df, ["g"], [F.col("v").desc()], "pos")
     got = {(r["g"], r["v"]): r["pos"] for r in out.collect()}
     assert got[("hot", 2999)] == 1 and got[("hot", 0)] == 3000 and got[("cold", 4)] == 1
+
+
+def test_web_dialect_double_space_finds_nothing(spark):
+    log = spark.createDataFrame([(1, "apples  bananas"), (2, "apples bananas")], "query_id long, raw string")
+    web = search.and_search(_postings(spark), search.query_tokens(log, "web"))
+    shell = search.and_search(_postings(spark), search.query_tokens(log, "count"))
+    assert {r["query_id"] for r in web.collect()} == {2}          # the empty word matches nothing
+    assert {r["query_id"] for r in shell.collect()} == {1, 2}     # default collapses spaces
+
+
+def test_same_document_in_two_indices_appears_twice(spark):
+    p = _postings(spark)
+    two = p.unionByName(p.withColumn("index_id", F.lit("1")))
+    log = spark.createDataFrame([(1, "pears")], "query_id long, raw string")
+    hits = search.and_search(two, search.query_tokens(log, "count"))
+    assert sorted((r["index_id"], r["doc_id"]) for r in hits.collect()) == [("0", 1234), ("1", 1234)]
