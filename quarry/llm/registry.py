@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, quality_rules
+from quarry.llm import bpe, decontaminate, language_id, quality_rules
 
 QUERIES = {
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_language_id": language_id.op6_language_id,
+}
+ORACLE: dict[str, str] = {
+    "op5_decontaminate": decontaminate.ORACLE,
 }
-ORACLE: dict[str, str] = {}
