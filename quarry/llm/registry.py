@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontaminate, language_id, quality_rules
+from quarry.llm import bpe, decontaminate, language_id, quality_model, quality_rules, toxicity
 
 QUERIES = {
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_language_id": language_id.op6_language_id,
+    "op9_quality_model": quality_model.op9_quality_model,
 }
 ORACLE: dict[str, str] = {
     "op5_decontaminate": decontaminate.ORACLE,
