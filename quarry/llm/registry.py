@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontaminate, language_id, quality_model, quality_rules, toxicity
+from quarry.llm import bpe, decontaminate, html_wrappers, language_id, quality_model, quality_rules, toxicity
 
 QUERIES = {
     "op2_byte_bpe": bpe.op2_byte_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_language_id": language_id.op6_language_id,
+    "op8_html_wrappers": html_wrappers.op8_html_wrappers,
     "op9_quality_model": quality_model.op9_quality_model,
 }
 ORACLE: dict[str, str] = {
