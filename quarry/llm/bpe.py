@@ -17,10 +17,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import sys
+from array import array
 from collections.abc import Iterable
 from heapq import heappop, heappush
+from itertools import chain
 
-import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -156,23 +158,30 @@ class Codec:
         """Ids of a text: each match of the pattern is encoded separately."""
         if self.unit is None:
             return self.encode_unit(text)
-        ids: list[int] = []
-        units, new, extend = self.units, self.units.new, ids.extend
-        for unit in self.unit.findall(text):
-            known = new.get(unit)
+        units = self.unit.findall(text)
+        found = list(map(self.units.new.get, units))
+        for i, known in enumerate(found):
             if known is None:
-                known = units.get(unit)
+                unit = units[i]
+                known = self.units.get(unit)
                 if known is None:
                     known = self.encode_unit(unit)
-                    units.put(unit, known)
-                    new = units.new
-            extend(known)
-        return ids
+                    self.units.put(unit, known)
+                found[i] = known
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+def little_endian(ids: list[int]) -> bytes:
+    """The ids as unsigned 32-bit integers, low byte first."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 _codecs: dict[tuple, Codec] = {}
 
 
@@ -212,7 +221,7 @@ def bpe_digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for t in texts:
             ids = c.encode(t or "")
             out["n_tokens"].append(len(ids))
-            out["ids_sha256"].append(hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+            out["ids_sha256"].append(hashlib.sha256(little_endian(ids)).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(c.decode(ids)).hexdigest())
         return out
     return map_rows(docs, rows, ["doc_id", "text"], SCHEMA)
