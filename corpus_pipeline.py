@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, quality_rules
+from quarry.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
 from quarry.llm.common import table, written
 
 
@@ -20,12 +20,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(docs, *bpe.default_vocabulary())
 
 
 STAGES = [
     ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near),
+    ("decontaminate", benchmark),
     ("byte_bpe", encode),
 ]
 

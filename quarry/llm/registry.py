@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontaminate, html_wrappers, language_id, quality_model, quality_rules, toxicity
+from quarry.llm import bpe, decontaminate, html_wrappers, language_id, line_dedup, near_dedup, quality_model, quality_rules, toxicity
 
 QUERIES = {
+    "op1_near_dedup": near_dedup.op1_near_dedup,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_language_id": language_id.op6_language_id,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_html_wrappers": html_wrappers.op8_html_wrappers,
     "op9_quality_model": quality_model.op9_quality_model,
 }
