@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontaminate, html_wrappers, language_id, line_dedup, near_dedup, quality_model, quality_rules, toxicity
+from quarry.llm import bpe, decontaminate, html_wrappers, language_id, line_dedup, near_dedup, quality_model, quality_rules, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_html_wrappers": html_wrappers.op8_html_wrappers,
     "op9_quality_model": quality_model.op9_quality_model,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 ORACLE: dict[str, str] = {
     "op5_decontaminate": decontaminate.ORACLE,
