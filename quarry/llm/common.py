@@ -25,10 +25,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Key of a row for joins back to its table: the id together with a digest of the text, so that
-    rows that repeat an id with another text stay apart and rows repeated in full share decisions."""
-    return F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.lit(11), F.col(text)).alias("h"))
+def packed(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns), doc_id and text: whatever the table's other columns are called, they clash with nothing."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "text")
 
 
 def map_rows(df: DataFrame, fn: Callable[[list], dict], columns: list[str], schema: str) -> DataFrame:

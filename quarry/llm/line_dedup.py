@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import table, written
+from quarry.llm.common import packed, table, written
 
 RARE_DOCS = 50                 # a line in more documents is no evidence by itself
 LONG_LINE = 40                 # characters of a line that is evidence, and that lets a block go
@@ -156,11 +156,11 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     """The documents without the deleted lines, with all of their columns; documents with nothing left go."""
     text = F.when(F.col("_left").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
     empty = F.col("_left").isNotNull() & (F.btrim(F.array_join("_left", ""), F.lit(" \t\n\x0b\x0c\r")) == "")
-    out = with_cuts(docs).where(~empty).withColumn("text", text)
+    values = {c: F.col("row").getField(c) for c in docs.columns} | {"text": text}
     if "n_chars" in docs.columns:
-        length = F.when(F.col("_left").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        out = out.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        length = F.when(F.col("_left").isNull(), values["n_chars"]).otherwise(F.length(text))
+        values["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
+    return with_cuts(packed(docs)).where(~empty).select(*[v.alias(c) for c, v in values.items()])
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import table, written
+from quarry.llm.common import packed, table, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -244,10 +244,10 @@ def has_word() -> Column:
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """One document of each class of near duplicates, with all columns; documents without words stay."""
-    best = classed(docs).where(~has_word() | ((F.col("_id") == F.col("_class")) & (F.col("_t") == F.col("_best"))))
+    best = classed(packed(docs)).where(~has_word() | ((F.col("_id") == F.col("_class")) & (F.col("_t") == F.col("_best"))))
     row = Window.partitionBy("_t", "_id").orderBy("_id")
     once = best.where(has_word()).withColumn("_n", F.row_number().over(row)).where("_n = 1")
-    return once.select(*docs.columns).unionByName(docs.where(~has_word()))
+    return once.select("row.*").union(docs.where(~has_word()))
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
