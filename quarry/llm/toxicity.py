@@ -1,16 +1,15 @@
 """Operator 4, toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max index.
 
-Terms are the words, and beginnings of words, that tell the labels apart: their document counts by label are taken over every labelled
-row that may be learned from, and a term is kept if its counts differ by a large factor and more than
-chance allows (at most TERMS of them).  Texts are TF-IDF vectors over these terms.  A bounded sample of
-labelled examples, dealt into blocks, forms an inverted index; each term keeps its largest weight in
+Terms are the words, and beginnings of words, that tell the labels apart: a term is kept if its document
+counts under the two labels differ by a large factor and by more than chance allows (at most TERMS of them).
+Texts are TF-IDF vectors over these terms, with document frequencies over all documents.  Labelled examples, dealt into blocks, forms an inverted index; each term keeps its largest weight in
 each block.  A text's blocks are opened in the order of their upper bounds until no block
 can hold a nearer example than those found, so the nearest ones are exact.  Their votes are
 weighted by cosine and shrunk to the base rate, and isotonic regression on other labelled rows turns
 votes into probabilities.  The nearest examples are returned as evidence.
 
-Bounded, and documented here: TERMS terms, EXAMPLES indexed rows, CALIBRATION rows; the sample takes the
-smallest hashes of the ids within each label.
+The classifier is fitted on a bounded sample of labelled rows: LABELLED rows of each label (the smallest hashes of
+their ids) choose at most TERMS terms, and of these rows EXAMPLES are indexed and CALIBRATION calibrate.
 
 Defined results: null and empty texts, and texts without a term, have no neighbours and get the
 calibrated score of no vote; rows with a null label and ids with contradicting labels are not learned
@@ -30,9 +29,10 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import crc_col, crc_of, map_rows, table
 from quarry.llm.decontaminate import words_of
-from quarry.llm.quality_model import clean_labels
+from quarry.llm.quality_model import bounded_sample, clean_labels
 
 TERMS = 4000
+LABELLED = 20_000              # of each label, to choose terms by
 EXAMPLES = 4000                # of each label, in the index
 CALIBRATION = 2000             # of each label, for the calibration
 BEGINNINGS = (4, 5, 6, 7)      # letters of a word's beginnings that are terms too, written with a star
@@ -163,8 +163,8 @@ def term_counts(labelled: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")))
 
 
-def choose_terms(counts: DataFrame, zeros: int, ones: int) -> dict[bytes, float]:
-    """word -> idf of the kept terms, most telling first."""
+def choose_terms(counts: DataFrame, zeros: int, ones: int) -> list[bytes]:
+    """The kept terms, most telling first."""
     a, b, n = F.col("ones"), F.col("zeros"), zeros + ones
     both = a + b
     part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
@@ -172,34 +172,50 @@ def choose_terms(counts: DataFrame, zeros: int, ones: int) -> dict[bytes, float]
     lift = ((a + 0.5) / (ones + 1)) / ((b + 0.5) / (zeros + 1))
     kept = (counts.withColumn("g", g).withColumn("lift", lift)
             .where((F.col("g") >= SIGNIFICANCE) & ((F.col("lift") >= LIFT) | (F.col("lift") <= 1 / LIFT)))
-            .orderBy(F.desc("g"), "word").limit(TERMS).select("word", F.log(1 + n / both).alias("idf")))
-    return {bytes(r["word"]): r["idf"] for r in kept.collect()}
+            .orderBy(F.desc("g"), "word").limit(TERMS).select("word"))
+    return [bytes(r["word"]) for r in kept.collect()]
+
+
+def inverse_frequency(docs: DataFrame, terms: list[bytes]) -> dict[bytes, float]:
+    """term -> idf, from its document frequency over all documents; at most TERMS counts leave a batch."""
+    shared = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, seen = 0, Counter()
+        for batch in batches:
+            n += batch.num_rows
+            for text in batch.column(0).to_pylist():
+                seen.update({t for t, _ in terms_of(set(words_of(text))) if t in shared.value})
+        yield pa.RecordBatch.from_arrays([pa.array([None, *seen], pa.binary()), pa.array([n, *seen.values()], pa.int64())],
+                                         names=["word", "n"])
+
+    counted = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    df = {r["word"] and bytes(r["word"]): r["n"] for r in counted}
+    return {t: float(np.log(1 + df[None] / max(1, df.get(t, 0)))) for t in terms}
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     learn = clean_labels(labels, "toxic", crc_col() % 4 != 2)
     sizes = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
-    zeros, ones = sizes.get(0, 0), sizes.get(1, 0)
-    if not zeros or not ones:
+    if not sizes.get(0) or not sizes.get(1):
         return Model({}, [], 0.0, [])
-    labelled = docs.select("doc_id", "text").join(learn.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id")).drop("_id")
-    idf = choose_terms(term_counts(labelled), zeros, ones)
-    order = F.xxhash64(F.lit(4), "doc_id")
-    sample = None
-    for label in (0, 1):
-        part = learn.where(F.col("label") == label).orderBy(order, "doc_id").limit(EXAMPLES + CALIBRATION)
-        sample = part if sample is None else sample.unionByName(part)
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample.withColumnRenamed("doc_id", "_id")),
-                                                F.col("doc_id") == F.col("_id")).drop("_id")
+    part = {k: bounded_sample(learn.where(F.col("label") == k), sizes[k], LABELLED) for k in (0, 1)}
+    sample = part[0].unionByName(part[1]).withColumnRenamed("doc_id", "_id")
+    picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).drop("_id")
+    kept = choose_terms(term_counts(picked), min(LABELLED, sizes[0]), min(LABELLED, sizes[1]))
+    idf = inverse_frequency(docs, kept)
+    fewer = {k: bounded_sample(learn.where(F.col("label") == k), sizes[k], EXAMPLES + CALIBRATION) for k in (0, 1)}
+    sample = fewer[0].unionByName(fewer[1]).withColumnRenamed("doc_id", "_id")
+    picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).drop("_id")
     shared = docs.sparkSession.sparkContext.broadcast(frozenset(idf))
 
-    def kept(text: str | None) -> list[bytes]:             # only the words with a kept term leave the task
+    def useful(text: str | None) -> list[bytes]:           # only the words with a kept term leave the task
         words = words_of(text)
-        useful = {w for t, w in terms_of(set(words)) if t in shared.value}
-        return [w for w in words if w in useful]
+        some = {w for t, w in terms_of(set(words)) if t in shared.value}
+        return [w for w in words if w in some]
 
     def terms(ids: list, labels: list, texts: list) -> dict:
-        return {"doc_id": ids, "label": labels, "words": [kept(t) for t in texts]}
+        return {"doc_id": ids, "label": labels, "words": [useful(t) for t in texts]}
 
     got = map_rows(picked, terms, ["doc_id", "label", "text"], "doc_id long, label int, words array<binary>").toArrow().to_pylist()
     # A third of the sample, by another hash of the id, calibrates; the rest is indexed.
@@ -212,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         calibration += own[:cut]
         examples += own[cut:]
     examples.sort(key=lambda r: (sorted(set(r[2])), r[1], r[0]))    # like examples share a block: tighter bounds
-    return Model(idf, examples, ones / (zeros + ones), calibration)
+    return Model(idf, examples, sizes[1] / (sizes[0] + sizes[1]), calibration)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
