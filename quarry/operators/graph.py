@@ -1,20 +1,19 @@
 """Link graph, PageRank and breadth-first crawl order.
 
-PageRank is a DataFrame loop.  Edge weights 1/outdeg are computed once and the weighted edge
-table is written to the shared checkpoint folder.  Each step joins the current ranks to the
-edges (ranks broadcast when the node count is checked small, otherwise a shuffle join that
-AQE splits on a hot source), sums contributions per target with map-side partial aggregation,
-caches each step and writes it with a reliable checkpoint every few steps (lineage stays short and
-survives lost executors), and runs one aggregate action per step for (max change, dangling mass).
+PageRank is a DataFrame loop.  Edge weights 1/outdeg are computed once and written bucketed by source, so a
+step shuffles the ranks and the partial sums per target, never the edges.  A source with very many
+links is split over several buckets (salted by target).  Every step is written once; one
+aggregate per step gives the largest change and the dangling mass.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import BROADCAST_MAX_ROWS, broadcast_if_small, reliable_checkpoint
+from quarry.session import reliable_checkpoint, scratch_path, sized_side
 
 
 def link_graph(nodes: DataFrame, links: DataFrame, keep_self_links: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -32,54 +31,61 @@ def link_graph(nodes: DataFrame, links: DataFrame, keep_self_links: bool = False
     return node_ids, edges
 
 
-def pagerank(nodes: DataFrame, edges: DataFrame, decay: float = 0.85, epsilon: float = 1e-4,
-             limit: int = 200, checkpoint_every: int = 4) -> DataFrame:
+# Links of one source in one bucket; a source with more is split.
+LINKS_PER_BUCKET = 100_000
+
+
+def bucketed_edges(edges: DataFrame, outdeg: DataFrame) -> DataFrame:
+    """src, salt, dst, wt (1/outdeg), bucketed by (src, salt) in the shared folder."""
+    spark = edges.sparkSession
+    parts = F.ceil(F.col("outdeg") / LINKS_PER_BUCKET)
+    weighted = edges.join(outdeg, "src").select(
+        "src", F.pmod(F.xxhash64("dst"), parts).alias("salt"), "dst", (1.0 / F.col("outdeg")).alias("wt"))
+    name = f"quarry_edges_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (weighted.repartition(buckets, "src", "salt").write.format("parquet").bucketBy(buckets, "src", "salt").sortBy("src", "salt")
+     .option("path", scratch_path(spark, "edges")).saveAsTable(name))
+    return spark.table(name)
+
+
+def pagerank(nodes: DataFrame, edges: DataFrame, decay: float = 0.85, epsilon: float = 1e-4, limit: int = 200) -> DataFrame:
     """GRF-2: (id, rank).
 
     new(p) = decay * (sum over q->p of old(q)/outdeg(q) + dangling/N) + (1 - decay)/N.
     Stops when every |new - old| <= epsilon and then returns the ranks from *before* that step;
-    after ``limit`` steps returns the latest ranks; limit 0 returns 1/N.
+    after ``limit`` steps returns the latest ranks; limit 0 returns 1/N.  Ranks shrink with the number
+    of pages, so pass an epsilon that is a share of 1/N for large graphs.
     """
-    node_ids = reliable_checkpoint(nodes.select("id").distinct())
+    node_ids = reliable_checkpoint(nodes.select("id").distinct(), "nodes")
     n = node_ids.count()
     if n == 0:
         return node_ids.withColumn("rank", F.lit(0.0))
-    outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
-    weighted = reliable_checkpoint(
-        edges.join(broadcast_if_small(outdeg), "src").select("src", "dst", (1.0 / F.col("outdeg")).alias("wt")))
+    outdeg = reliable_checkpoint(edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg")), "outdeg")
+    weighted = bucketed_edges(edges, outdeg)
     ranks = reliable_checkpoint(
         node_ids.join(outdeg.withColumnRenamed("src", "id"), "id", "left")
-        .select("id", F.col("outdeg").isNull().alias("dangling"), F.lit(1.0 / n).alias("rank")))
-    small = n <= BROADCAST_MAX_ROWS
+        .select("id", F.col("outdeg").isNull().alias("dangling"),
+                F.coalesce(F.ceil(F.col("outdeg") / LINKS_PER_BUCKET), F.lit(0)).alias("parts"), F.lit(1.0 / n).alias("rank")), "ranks")
     dangling_mass = ranks.where("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
     base = (1.0 - decay) / n
-    step, held = 0, None
     for _ in range(limit):
-        src_side = ranks.select(F.col("id").alias("src"), F.col("rank").alias("r"))
-        if small:
-            src_side = F.broadcast(src_side)
-        contrib = (weighted.join(src_side, "src")
+        # A source stands once for each of its bucket parts; sources without links stand nowhere.
+        src_side = (ranks.where("parts > 0")
+                    .select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("salt"),
+                            F.col("rank").alias("r")))
+        contrib = (weighted.join(src_side, ["src", "salt"])
                    .groupBy("dst").agg(F.sum(F.col("r") * F.col("wt")).alias("c")))
-        new = (ranks.join(contrib.withColumnRenamed("dst", "id"), "id", "left")
-               .select("id", "dangling",
-                       (F.lit(decay) * (F.coalesce("c", F.lit(0.0)) + F.lit(dangling_mass / n)) + F.lit(base))
-                       .alias("rank"),
-                       F.col("rank").alias("prev")))
-        # Each step is cached; every ``checkpoint_every`` steps it is also written to the shared
-        # folder, so a lost executor costs at most that many steps of recomputation.
-        step += 1
-        new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        if step % checkpoint_every == 0:
-            new = reliable_checkpoint(new)
+        new = reliable_checkpoint(
+            ranks.join(contrib.withColumnRenamed("dst", "id"), "id", "left")
+            .select("id", "dangling", "parts",
+                    (F.lit(decay) * (F.coalesce("c", F.lit(0.0)) + F.lit(dangling_mass / n)) + F.lit(base)).alias("rank"),
+                    F.col("rank").alias("prev")), "ranks")
         stats = new.agg(F.max(F.abs(F.col("rank") - F.col("prev"))).alias("delta"),
                         F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dm")).first()
-        if held is not None:
-            held.unpersist(blocking=False)
-        held = new
         if stats["delta"] <= epsilon:
             return new.select("id", F.col("prev").alias("rank"))
         dangling_mass = stats["dm"]
-        ranks = new.select("id", "dangling", "rank")
+        ranks = new.select("id", "dangling", "parts", "rank")
     return ranks.select("id", "rank")
 
 
@@ -94,36 +100,32 @@ def bfs_order(edges: DataFrame, seeds: DataFrame, limit: int, allow=None, visite
     """GRF-4 / JN-9 / LIM-1 / SRT-7: visit order by (distance, id), at most ``limit`` nodes.
 
     Level-synchronous breadth-first search: each level joins the frontier to the edges, drops
-    nodes already reached (anti join) and keeps the smallest distance per node.  ``allow`` is an
-    optional Column predicate on ``id`` (host whitelist, URL filters): nodes failing it are
-    neither visited, counted nor expanded.  ``visited`` (column
-    ``id``) holds nodes fetched in an earlier run; they are skipped.  Stops as soon as the
-    visited count reaches ``limit`` or the frontier is empty.
+    nodes already reached (anti join with every earlier level) and keeps the smallest distance per
+    node.  ``allow`` filters candidates: a Column predicate on ``id``, or a function from a frame with
+    ``id`` to the rows that may be fetched (host whitelist, robots and extension filters are joins);
+    nodes that fail it are neither visited, counted nor expanded.  ``visited`` (column ``id``) holds
+    nodes fetched in an earlier run; they are skipped.  Each level is written once.  Stops as soon
+    as the visited count reaches ``limit`` or the frontier is empty.
     """
     if limit < 0:
         raise ValueError("limit must be non-negative")
-    level = seeds.select("id").distinct()
-    if visited is not None:
-        level = level.join(visited.select("id"), "id", "left_anti")
-    if allow is not None:
-        level = level.where(allow)
-    level = reliable_checkpoint(level.withColumn("distance", F.lit(0)))
-    reached = level
-    count = level.count()
-    d = 0
-    while count < limit:
-        frontier_size = level.count()
-        if frontier_size == 0:
-            break
-        d += 1
-        nxt = (edges.join(broadcast_if_small(level.select(F.col("id").alias("src"))), "src")
-               .select(F.col("dst").alias("id")).distinct()
-               .join(reached.select("id"), "id", "left_anti"))
+
+    def admitted(level: DataFrame) -> DataFrame:
         if visited is not None:
-            nxt = nxt.join(visited.select("id"), "id", "left_anti")
+            level = level.join(visited.select("id"), "id", "left_anti")
         if allow is not None:
-            nxt = nxt.where(allow)
-        level = reliable_checkpoint(nxt.withColumn("distance", F.lit(d)))
-        reached = reliable_checkpoint(reached.unionByName(level))
-        count += level.count()
+            level = allow(level) if callable(allow) else level.where(allow)
+        return level.select("id")
+
+    levels = [reliable_checkpoint(admitted(seeds.select("id").distinct()).withColumn("distance", F.lit(0)), "level")]
+    count = size = levels[0].count()
+    reached = levels[0]
+    while count < limit and size:
+        nxt = (edges.join(levels[-1].select(F.col("id").alias("src")), "src")
+               .select(F.col("dst").alias("id")).distinct()
+               .join(reached.select("id"), "id", "left_anti"))
+        levels.append(reliable_checkpoint(admitted(nxt).withColumn("distance", F.lit(len(levels))), "level"))
+        reached = reached.unionByName(levels[-1])
+        size = levels[-1].count()
+        count += size
     return reached.orderBy("distance", "id").limit(limit)

@@ -1,30 +1,33 @@
 """Inverted index of the count dialect: doc table, word positions and postings.
 
-Long form throughout: ``tokens(index_id, doc_id, word, pos)`` ->
+Long form throughout: ``tokens(index_id, doc_name, word, pos)`` ->
 ``postings(index_id, word, doc_id, n, positions)``.  Offsets come from a running sum of chunk
 lengths inside one document (the window is partitioned by document, whose size is bounded by
-one text value); that hash partitioning on the document key is then reused by the
-``(document, word)`` aggregation, so tokens are shuffled once.
+one text value); the ``(document, word)`` aggregation reuses that partitioning.  Ids are joined to the
+finished postings, so no text crosses the network for them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
 from quarry.operators.ordinals import ordinal_within
-from quarry.session import broadcast_if_small
+from quarry.session import sized_side
 
 
 @dataclass
 class Index:
-    """doc_table(index_id, doc_id, doc_name); postings(index_id, word, doc_id, n, positions)."""
+    """doc_table(index_id, doc_id, doc_name); postings(index_id, word, doc_id, n, positions).
+
+    ``parts`` is set on indices opened from files: the postings of each with its bucket count."""
 
     doc_table: DataFrame
     postings: DataFrame
+    parts: tuple[tuple[DataFrame, int], ...] = ()
 
 
 def indexable_docs(docs: DataFrame, name: str = "doc_name", text: str = "text", index_id=None,
@@ -49,10 +52,8 @@ def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_la
     # (doc, word) aggregation find their distribution already in place.
     # Prefix length and chunk array are projected before the explode so neither is re-evaluated
     # per exploded row.
-    # The partition count is explicit: text is small next to the work done on it, so AQE must not
-    # coalesce this shuffle into a few tasks.
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    arr = docs.repartition(n_parts, *keys).select(*keys, tk.count_prefix_len(text).alias("_pre"),
+    # No partition count is given, so AQE may coalesce or split this shuffle.
+    arr = docs.repartition(*keys).select(*keys, tk.count_prefix_len(text).alias("_pre"),
                       F.regexp_extract_all(F.col(text), F.lit(chunk_re), 1).alias("_cs"))
     exploded = arr.select(*keys, "_pre", F.posexplode_outer("_cs").alias("_i", "_c")).where(F.col("_c").isNotNull())
     before = Window.partitionBy(*keys).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
@@ -97,7 +98,7 @@ def assign_doc_ids(names: DataFrame, existing: DataFrame | None = None) -> DataF
     old = existing.select("index_id", "doc_id", "doc_name")
     fresh = distinct.join(old.select("index_id", "doc_name"), ["index_id", "doc_name"], "left_anti")
     fresh = ordinal_within(fresh, ["index_id"], order, "_local")
-    top = broadcast_if_small(old.groupBy("index_id").agg(F.max("doc_id").alias("_top")))
+    top = sized_side(old.groupBy("index_id").agg(F.max("doc_id").alias("_top")))
     fresh = (fresh.join(top, "index_id", "left")
              .select("index_id", (F.coalesce("_top", F.lit(0)) + F.col("_local")).alias("doc_id"), "doc_name"))
     return old.unionByName(fresh)
@@ -106,13 +107,16 @@ def assign_doc_ids(names: DataFrame, existing: DataFrame | None = None) -> DataF
 def build_index(docs: DataFrame, name: str = "doc_name", text: str = "text", index_id=None,
                 keep_last_word: bool = False, existing: Index | None = None) -> Index:
     """SRC-1..2 -> FLT-1/2 -> WIN-1 -> STR-1 -> WIN-2 -> AGG-4/5: an in-memory (lazy) index."""
-    d = indexable_docs(docs, name, text, index_id, keep_last_word)
-    doc_table = assign_doc_ids(d.select("index_id", "doc_name"), None if existing is None else existing.doc_table)
-    with_ids = d.join(doc_table, ["index_id", "doc_name"])
+    key = ["index_id", "doc_name"]
+    d = indexable_docs(docs, name, text, index_id, keep_last_word).select(*key, "t")
     if existing is not None:
-        with_ids = with_ids.join(existing.doc_table.select("index_id", "doc_name"), ["index_id", "doc_name"], "left_anti")
-    tokens = positioned_tokens(with_ids, ["index_id", "doc_id"], "t", keep_last_word)
-    postings = word_positions(tokens, ["index_id", "doc_id"]).select("index_id", "word", "doc_id", "n", "positions")
+        d = d.join(existing.doc_table.select(*key), key, "left_anti")
+    doc_table = assign_doc_ids(d.select(*key), None if existing is None else existing.doc_table)
+    # One document per name: of several texts under one name the smallest is indexed.
+    first = Window.partitionBy(*key).orderBy("t")
+    one = d.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*key, "t")
+    tokens = positioned_tokens(one, key, "t", keep_last_word)
+    postings = word_positions(tokens, key).join(doc_table, key).select("index_id", "word", "doc_id", "n", "positions")
     if existing is not None:
         postings = existing.postings.select("index_id", "word", "doc_id", "n", "positions").unionByName(postings)
     return Index(doc_table, postings)
@@ -129,17 +133,8 @@ def doc_names(doc_table: DataFrame, ids: DataFrame) -> DataFrame:
     return ids.join(doc_table, ["index_id", "doc_id"])
 
 
-def vocabulary_size(postings: DataFrame) -> Column:
-    """AGG-8 expression over postings: distinct words (exact)."""
-    return F.countDistinct("word")
-
-
-def document_frequency(postings: DataFrame) -> DataFrame:
-    """AGG-6 over postings: documents containing each word, per index."""
-    return postings.groupBy("index_id", "word").agg(F.count(F.lit(1)).alias("df"))
-
-
 def lookup_positions(postings: DataFrame, word: str, doc_id: int, index_id: str = "0") -> DataFrame:
-    """JN-5: positions of ``word`` in ``doc_id``; empty frame when absent."""
+    """JN-5 over postings in memory: positions of ``word`` in ``doc_id``; empty frame when absent.  For a written
+    index use ``index_store.lookup_positions``, which reads the word's bucket only."""
     return postings.where((F.col("index_id") == index_id) & (F.col("word") == word) & (F.col("doc_id") == doc_id)) \
         .select("positions")

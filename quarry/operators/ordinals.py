@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import broadcast_if_small, reliable_checkpoint
+from quarry.session import sized_side, reliable_checkpoint
 
 
 def _exprs(cols: Sequence) -> list[Column]:
@@ -46,7 +46,7 @@ def ordinal_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence, n
     """1..n inside each group of ``group_by`` following ``order_by`` (skew-safe row_number)."""
     g = with_ordinal(df, [*group_by, *order_by], "_g")
     first = g.groupBy(*group_by).agg(F.min("_g").alias("_g0"))
-    first = broadcast_if_small(first)
+    first = sized_side(first)
     return g.join(first, list(group_by)).withColumn(name, F.col("_g") - F.col("_g0") + 1).drop("_g", "_g0")
 
 

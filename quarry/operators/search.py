@@ -5,8 +5,8 @@
 * cosine_search   SCH-4    cosine of TF-IDF vectors; the numerator repeats per query token
 * ranked_search   SCH-5/6  cosine * sqrt(PageRank), k best per query, zero scores included
 
-Query words are joined to the (large) token/posting side with a size-checked broadcast, so the
-large side is never shuffled on ``word`` (a hot word would land in one task).  Scores are
+Query words are written first; below Catalyst's byte threshold they are broadcast, so the large
+token/posting side is not shuffled on ``word``, and beyond it the join shuffles with skew splitting.  Scores are
 aggregated on ``(query_id, doc)``.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quarry.functions import tokenize as tk
 from quarry.functions import urls
 from quarry.operators.ordinals import ordinal_within
-from quarry.session import broadcast_if_small, reliable_checkpoint
+from quarry.session import sized_side, reliable_checkpoint
 
 
 def query_tokens(query_log: DataFrame, dialect: str = "count", raw: str = "raw") -> DataFrame:
@@ -41,16 +41,16 @@ def _and_core(tc: DataFrame, qwords: DataFrame, keys: tuple[str, ...]) -> DataFr
     """
     qw = qwords.select("query_id", "qi", "word")
     df = tc.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    per_query = (qw.join(broadcast_if_small(df), "word", "left")
+    per_query = (qw.join(sized_side(df), "word", "left")
                  .groupBy("query_id")
                  .agg(F.min_by("word", F.struct("df", "word")).alias("rare"),
                       F.count_if(F.col("df").isNull()).alias("missing"),
                       F.count(F.lit(1)).alias("n_words"))
                  .where(F.col("missing") == 0))
-    per_query = broadcast_if_small(per_query)
+    per_query = sized_side(per_query)
     candidates = tc.select(*keys, "word").join(
         per_query.select("query_id", F.col("rare").alias("word")), "word").select("query_id", *keys)
-    probes = candidates.join(broadcast_if_small(qw), "query_id")
+    probes = candidates.join(sized_side(qw), "query_id")
     hits = (probes.join(tc.select(*keys, "word", "n"), [*keys, "word"])
             .groupBy("query_id", *keys)
             .agg(F.count(F.lit(1)).alias("matched"), F.sum("n").cast("long").alias("rank")))
@@ -66,7 +66,7 @@ def and_search(postings: DataFrame, qwords: DataFrame, keys: tuple[str, ...] = (
     is evaluated inside each index when ``index_id`` is a key.  The postings are first cut to the
     query vocabulary with a broadcast semi join and written once (three consumers below).
     """
-    vocab = broadcast_if_small(qwords.select("word").distinct())
+    vocab = sized_side(qwords.select("word").distinct())
     tc = reliable_checkpoint(postings.select(*keys, "word", "n").join(vocab, "word", "left_semi"))
     return _and_core(tc, qwords, keys)
 
@@ -75,7 +75,7 @@ def and_search_tokens(tokens: DataFrame, qwords: DataFrame, keys: tuple[str, ...
     """SCH-1 straight from token rows (one per occurrence).  Tokens whose word is in no query
     are dropped by a broadcast semi join before the shuffle (no row is multiplied); the rest are
     counted per (doc, word) with map-side partial aggregation and searched as term counts."""
-    vocab = broadcast_if_small(qwords.select("word").distinct())
+    vocab = sized_side(qwords.select("word").distinct())
     kept = tokens.select(*keys, "word").join(vocab, "word", "left_semi")
     tc = reliable_checkpoint(kept.groupBy(*keys, "word").agg(F.count(F.lit(1)).cast("int").alias("n")))
     return _and_core(tc, qwords, keys)
@@ -86,9 +86,17 @@ def display_rank(hits: DataFrame, score: str = "rank", key: str = "doc_id", name
     return ordinal_within(hits, ["query_id"], [F.col(score).desc(), F.col(key).asc()], name)
 
 
-# Scores equal to this many decimals are ties (broken by key): summation order differs between
-# engines and plans, and must not reorder mathematically equal scores.
-TIE_DIGITS = 12
+# Scores that agree in about eleven significant digits are ties (broken by key): summation order
+# differs between plans, and must not reorder mathematically equal scores.  The tolerance is relative
+# (digits of the logarithm), so it means the same for scores of any magnitude.
+TIE_LOG_DIGITS = 11
+
+
+def score_order(score: str) -> list:
+    """Descending order of a score with relative ties: sign first, then magnitude."""
+    s = F.col(score)
+    size = F.round(F.log10(F.abs(F.when(s != 0, s))), TIE_LOG_DIGITS)
+    return [F.signum(s).desc(), F.when(s < 0, -size).otherwise(size).desc()]
 
 
 def top_k_per_query(scored: DataFrame, k: int, score: str = "score", key: str = "doc_id", name: str = "pos") -> DataFrame:
@@ -96,20 +104,25 @@ def top_k_per_query(scored: DataFrame, k: int, score: str = "score", key: str =
     hot query sends at most k rows per map partition."""
     if k < 0:
         raise ValueError("k must be non-negative")
-    w = Window.partitionBy("query_id").orderBy(F.round(F.col(score), TIE_DIGITS).desc(), F.col(key).asc())
+    w = Window.partitionBy("query_id").orderBy(*score_order(score), F.col(key).asc())
     return scored.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
 def tfidf_search(tf: DataFrame, idf_df: DataFrame, qwords: DataFrame, key: str = "doc_id") -> DataFrame:
     """SCH-3: documents containing any query token, score = sum over tokens of idf * tf
     (repeated tokens add again; score 0 is kept when df = N)."""
-    qw = qwords.select("query_id", "qi", "word").join(broadcast_if_small(idf_df.select("word", "idf")), "word")
-    qw = broadcast_if_small(qw)
+    qw = sized_side(known_idf(idf_df, qwords).join(qwords.select("query_id", "qi", "word"), "word"))
     return (tf.select(key, "word", "tf").join(qw, "word")
             .groupBy("query_id", key)
             .agg(F.sum(F.col("idf") * F.col("tf")).alias("score")))
 
 
+def known_idf(idf_df: DataFrame, qwords: DataFrame) -> DataFrame:
+    """(word, idf) of the query words only: the vocabulary itself is never a join's small side."""
+    words = sized_side(qwords.select("word").distinct())
+    return idf_df.select("word", "idf").join(words, "word", "left_semi")
+
+
 def query_vectors(qwords: DataFrame, idf_df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Query side of SCH-4: (query_id, word, cnt, qv) for known words and (query_id, qnorm).
 
@@ -118,23 +131,29 @@ def query_vectors(qwords: DataFrame, idf_df: DataFrame) -> tuple[DataFrame, Data
     qlen = qwords.groupBy("query_id").agg(F.count(F.lit(1)).alias("qlen"))
     counts = qwords.groupBy("query_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
     qv = (counts.join(qlen, "query_id")
-          .join(broadcast_if_small(idf_df.select("word", "idf")), "word")
+          .join(known_idf(idf_df, qwords), "word")
           .select("query_id", "word", "cnt", (F.col("cnt") / F.col("qlen") * F.col("idf")).alias("qv")))
     qnorm = qv.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qv") * F.col("qv"))).alias("qnorm"))
     return qv, qnorm
 
 
+def query_term_weights(tf: DataFrame, idf_df: DataFrame, qwords: DataFrame, key: str) -> DataFrame:
+    """(key, word, w) of the query words only: all that a search needs of the TF-IDF vectors."""
+    idf_side = sized_side(known_idf(idf_df, qwords))
+    return tf.select(key, "word", "tf").join(idf_side, "word").select(key, "word", (F.col("tf") * F.col("idf")).alias("w"))
+
+
 def cosine_search(vectors: DataFrame, doc_norms: DataFrame, idf_df: DataFrame, qwords: DataFrame,
                   key: str = "doc_id") -> DataFrame:
     """SCH-4 / JN-7: (query_id, key, relevance) for documents sharing a known word with the query."""
     qv, qnorm = query_vectors(qwords, idf_df)
-    qv = broadcast_if_small(qv)
+    qv = sized_side(qv)
     num = (vectors.select(key, "word", "w").join(qv, "word")
            .groupBy("query_id", key)
            .agg(F.sum(F.col("cnt") * F.col("w") * F.col("qv")).alias("num")))
     den = F.col("norm") * F.col("qnorm")
     return (num.join(doc_norms.select(key, "norm"), key)
-            .join(broadcast_if_small(qnorm), "query_id")
+            .join(sized_side(qnorm), "query_id")
             .select("query_id", key, F.when(den != 0, F.col("num") / den).otherwise(F.lit(0.0)).alias("relevance")))
 
 
@@ -151,7 +170,7 @@ def ranked_search(relevance: DataFrame, ranks: DataFrame, pages: DataFrame, quer
         raise ValueError("k must be non-negative")
     checked = ranks.select(F.col("id").alias(key),
                            F.when(F.col("rank") > 0, F.col("rank"))
-                           .otherwise(F.raise_error(F.lit("all page ranks should be positive"))).alias("prank"))
+                           .otherwise(F.raise_error(F.lit("a page without a positive rank"))).alias("prank"))
     scored = (relevance.join(checked, key)
               .select("query_id", key, (F.col("relevance") * F.sqrt("prank")).alias("score")))
     # Used by three branches below; written once so the scoring join is not recomputed per branch.

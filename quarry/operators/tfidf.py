@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
-from quarry.session import broadcast_if_small, reliable_checkpoint
+from quarry.session import reliable_checkpoint
 
 
 def doc_tokens(docs: DataFrame, key: str, text: str, dialect: str) -> DataFrame:
@@ -48,9 +48,8 @@ def idf(tf: DataFrame, n_docs: int) -> DataFrame:
 
 
 def tfidf_vectors(tf: DataFrame, idf_df: DataFrame, key: str) -> DataFrame:
-    """AGG-12 / JN-6: (key, word, tf, w); the idf side is broadcast only when its size is checked."""
-    idf_side = broadcast_if_small(idf_df.select("word", "idf"))
-    return tf.join(idf_side, "word").select(key, "word", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    """AGG-12 / JN-6: (key, word, tf, w); Catalyst chooses the join by the sizes of the written tables."""
+    return tf.join(idf_df.select("word", "idf"), "word").select(key, "word", "tf", (F.col("tf") * F.col("idf")).alias("w"))
 
 
 def norms(vectors: DataFrame, key: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
 from quarry.functions import urls
-from quarry.session import broadcast_if_small
+from quarry.session import sized_side
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the reference's lists).
@@ -66,7 +66,7 @@ def content_type_filter(df: DataFrame, col: str = "content_type", types: list[st
 
 def host_allowed(df: DataFrame, hosts: DataFrame, url_col: str = "url") -> DataFrame:
     """FLT-4: keep rows whose URL host is in ``hosts(host)`` (size-checked broadcast semi join)."""
-    h = broadcast_if_small(hosts.select("host").distinct())
+    h = sized_side(hosts.select("host").distinct())
     return df.withColumn("_host", urls.url_host(url_col)).join(h.withColumnRenamed("host", "_host"), "_host",
                                                                 "left_semi").drop("_host")
 
@@ -81,22 +81,23 @@ def parse_robots(robots: DataFrame, agent: str) -> DataFrame:
     """FLT-6: robots(host, text) -> rules(host, kind, pattern) that apply to ``agent``.
 
     Per line: cut the '#' comment, trim, split on the first ':'; a ``User-agent`` line sets the
-    current agent pattern ('*' is a wildcard, the whole agent must match; lines before any
-    ``User-agent`` apply to every agent); ``Allow`` / ``Disallow`` with non-empty data are rules.
+    current agent pattern ('*' is a wildcard, all else is literal, the whole agent must match; lines
+    before any ``User-agent`` apply to every agent); ``Allow`` / ``Disallow`` with non-empty data are
+    rules.  Several texts of one host are read one by one and their rules united.
     """
-    lines = robots.select("host", F.posexplode(F.split("text", "\n")).alias("ln", "raw"))
+    texts = robots.select("host", "text", F.xxhash64("text").alias("tid")).distinct()
+    lines = texts.select("host", "tid", F.posexplode(F.split("text", "\n")).alias("ln", "raw"))
     line = _java_trim(F.substring_index(F.col("raw"), "#", 1))
-    lines = lines.select("host", "ln", line.alias("line")).where(F.col("line") != "")
-    has_colon = F.instr("line", ":") > 0
-    directive = F.when(has_colon, _java_trim(F.substring_index("line", ":", 1))).otherwise(F.lit("Ignore"))
-    data = F.when(has_colon, _java_trim(F.expr("substring(line, instr(line, ':') + 1)"))).otherwise(F.col("line"))
-    parsed = lines.select("host", "ln", directive.alias("directive"), data.alias("data"))
-    # one robots text per host: the window holds the lines of one text.
-    upto = Window.partitionBy("host").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.select("host", "tid", "ln", line.alias("line")).where(F.instr("line", ":") > 0)
+    directive = _java_trim(F.substring_index("line", ":", 1))
+    data = _java_trim(F.expr("substring(line, instr(line, ':') + 1)"))
+    parsed = lines.select("host", "tid", "ln", directive.alias("directive"), data.alias("data"))
+    # the window holds the lines of one text.
+    upto = Window.partitionBy("host", "tid").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
     ua = F.last(F.when(F.col("directive") == "User-agent", F.col("data")), ignorenulls=True).over(upto)
     parsed = parsed.withColumn("ua", ua)
-    ua_regex = F.concat(F.lit("^(?:"), F.replace(F.coalesce("ua", F.lit("*")), F.lit("*"), F.lit(".*")), F.lit(")$"))
-    applies = F.regexp(F.lit(agent), ua_regex)
+    wanted = _like_literal(F.coalesce("ua", F.lit("*")))
+    applies = F.like(F.lit(agent), wanted)
     rules = parsed.where(F.col("directive").isin("Allow", "Disallow") & (F.col("data") != "") & applies)
     return rules.select("host", F.lower("directive").alias("kind"), F.col("data").alias("pattern"))
 
@@ -109,11 +110,16 @@ def combine_rules(*rules: DataFrame) -> DataFrame:
     return out
 
 
-def _like_prefix(pattern: Column) -> Column:
-    """Robots pattern -> LIKE prefix pattern: literal text, '*' as wildcard, anchored at start."""
+def _like_literal(pattern: Column) -> Column:
+    """A pattern of literal text and '*' as a LIKE pattern for the whole string."""
     esc = F.replace(F.replace(F.replace(pattern, F.lit("\\"), F.lit("\\\\")), F.lit("%"), F.lit("\\%")),
                     F.lit("_"), F.lit("\\_"))
-    return F.concat(F.replace(esc, F.lit("*"), F.lit("%")), F.lit("%"))
+    return F.replace(esc, F.lit("*"), F.lit("%"))
+
+
+def _like_prefix(pattern: Column) -> Column:
+    """Robots pattern -> LIKE prefix pattern: literal text, '*' as wildcard, anchored at start."""
+    return F.concat(_like_literal(pattern), F.lit("%"))
 
 
 def robots_filter(df: DataFrame, rules: DataFrame, url_col: str = "url", keep: bool = False) -> DataFrame:
@@ -122,7 +128,7 @@ def robots_filter(df: DataFrame, rules: DataFrame, url_col: str = "url", keep: b
     rows by host; with ``keep`` only allowed rows are returned."""
     per_host = (rules.select("host", "kind", _like_prefix(F.col("pattern")).alias("lk"))
                 .groupBy("host").agg(F.collect_list(F.struct("kind", "lk")).alias("_rules")))
-    per_host = broadcast_if_small(per_host.withColumnRenamed("host", "_host"))
+    per_host = sized_side(per_host.withColumnRenamed("host", "_host"))
     rows = (df.withColumn("_host", urls.url_host(url_col)).withColumn("_subject", urls.url_subject(url_col))
             .join(per_host, "_host", "left"))
     allow = F.expr("exists(coalesce(_rules, array()), r -> r.kind = 'allow' AND _subject LIKE r.lk)")
@@ -139,7 +145,8 @@ _BLOCK_TAGS = {
     "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "table", "tbody", "td", "tfoot",
     "th", "thead", "title", "tr", "ul",
 }
-_SKIP_TAGS = {"script", "style", "noscript", "template"}
+_SKIP_TAGS = {"script", "style", "template"}
+_HEAD_TAGS = {"html", "head", "title", "base", "link", "meta", "noscript"} | _SKIP_TAGS
 _BAD_URI = re.compile(r"[\s\"<>\\^`{|}]|%(?![0-9A-Fa-f]{2})")
 _WS_RUN = re.compile(r"[ \t\n\r\f]+")
 
@@ -150,6 +157,7 @@ class _PageParser(HTMLParser):
         self.title, self.body, self.article, self.links = [], [], [], []
         self.description = None
         self.skip = self.in_title = self.in_body = self.in_article = 0
+        self.in_head = False
 
     def _sep(self):
         if self.in_body:
@@ -158,12 +166,15 @@ class _PageParser(HTMLParser):
             self.article.append(" ")
 
     def handle_starttag(self, tag, attrs):
+        # A page without a body tag has one all the same: it opens at the first thing that no head can hold, and
+        # what follows its end tag still belongs to it.
+        self.in_head = tag == "head" or self.in_head and tag in _HEAD_TAGS
+        if tag not in _HEAD_TAGS and not self.in_body:
+            self.in_body = 1
         if tag in _SKIP_TAGS:
             self.skip += 1
         elif tag == "title":
             self.in_title += 1
-        elif tag == "body":
-            self.in_body += 1
         elif tag == "article":
             self.in_article += 1
         elif tag == "a":
@@ -185,8 +196,8 @@ class _PageParser(HTMLParser):
             self.skip = max(0, self.skip - 1)
         elif tag == "title":
             self.in_title = max(0, self.in_title - 1)
-        elif tag == "body":
-            self.in_body = max(0, self.in_body - 1)
+        elif tag == "head":
+            self.in_head = False
         elif tag == "article":
             self.in_article = max(0, self.in_article - 1)
 
@@ -196,6 +207,8 @@ class _PageParser(HTMLParser):
         if self.in_title:
             self.title.append(data)
             return
+        if not self.in_body and not self.in_head and data.strip():
+            self.in_body = 1
         if self.in_body:
             self.body.append(data)
         if self.in_article:
@@ -207,8 +220,8 @@ def _norm_ws(parts: list[str]) -> str:
 
 
 def resolve_link(base: str, href: str) -> str | None:
-    """STR-9: resolve against the page URI, drop the fragment, collapse dot segments; malformed
-    links and links without a host (mailto:, javascript:) are dropped."""
+    """STR-9: resolve against the page URI, drop the fragment, collapse dot segments (of absolute links
+    too); malformed links and links without a host (mailto:, javascript:) are dropped."""
     if _BAD_URI.search(href):
         return None
     try:
@@ -218,20 +231,36 @@ def resolve_link(base: str, href: str) -> str | None:
         return None
     if not p.scheme or not p.netloc:
         return None
-    return urlunsplit((p.scheme, p.netloc, p.path, p.query, ""))
+    return urlunsplit((p.scheme, p.netloc, _without_dots(p.path), p.query, ""))
+
+
+def _without_dots(path: str) -> str:
+    """A path without '.' and '..' segments; '..' above the root goes."""
+    if "/." not in path:
+        return path
+    out: list[str] = []
+    for part in path.split("/"):
+        if part == "..":
+            if len(out) > 1:
+                out.pop()
+        elif part != ".":
+            out.append(part)
+    if path.endswith(("/.", "/..")):
+        out.append("")
+    return "/".join(out) or "/"
 
 
 def _parse_batches(batches):
     for pdf in batches:
         out = {"page_id": [], "uri": [], "title": [], "description": [], "body_text": [], "article_text": [],
-               "links": []}
+               "links": [], "error": []}
         for pid, uri, html in zip(pdf["page_id"], pdf["uri"], pdf["html"]):
-            p = _PageParser()
+            p, error = _PageParser(), None
             try:
                 p.feed(html or "")
                 p.close()
-            except Exception:  # noqa: BLE001 - a broken page keeps what was parsed
-                pass
+            except (AssertionError, ValueError, IndexError) as broken:
+                error = f"{type(broken).__name__}: {broken}"     # the row keeps what was parsed, and says so
             links = [r for r in (resolve_link(uri, h) for h in p.links) if r is not None]
             out["page_id"].append(pid)
             out["uri"].append(uri)
@@ -240,11 +269,12 @@ def _parse_batches(batches):
             out["body_text"].append(_norm_ws(p.body))
             out["article_text"].append(_norm_ws(p.article))
             out["links"].append(links)
+            out["error"].append(error)
         yield pd.DataFrame(out)
 
 
 PARSED_SCHEMA = ("page_id long, uri string, title string, description string, body_text string, "
-                 "article_text string, links array<string>")
+                 "article_text string, links array<string>, error string")
 
 
 def blurb(description, text) -> Column:
@@ -266,7 +296,7 @@ def blurb(description, text) -> Column:
 
 
 def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """EXT-1..3 / STR-14 / STR-13: (page_id, uri, title, blurb, words, links).
+    """EXT-1..3 / STR-14 / STR-13 / UDF-4: (page_id, uri, title, blurb, words, links, error).
 
     The Python step emits texts and resolved links; words (STR-2), title fallback and blurb are
     computed in the JVM.  The article text stands in for the reference's readability extractor.
@@ -281,6 +311,7 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         blurb("description", body).alias("blurb"),
         tk.cosine_words("body_text").alias("words"),
         "links",
+        "error",
     )
 
 
@@ -305,6 +336,8 @@ def summaries(parsed: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------------- raw page files
 
+HOST_BUCKETS = 64
+
 def read_raw_pages(df: DataFrame, content_col: str = "content", strict: bool = True) -> DataFrame:
     """SRC-5: files that start with a ``<!-- METADATA`` block of ``key: value`` lines up to
     ``-->``; ``uri`` keys the page.  Strict mode raises on a file without the header; otherwise
@@ -317,7 +350,7 @@ def read_raw_pages(df: DataFrame, content_col: str = "content", strict: bool = T
     out = df.withColumn("metadata", F.when(ok, meta)).withColumn("html", F.when(ok, html))
     uri = F.col("metadata").getItem("uri")
     if strict:
-        uri = F.when(ok, uri).otherwise(F.raise_error(F.lit("Local webpage does not start with metadata header")))
+        uri = F.when(ok, uri).otherwise(F.raise_error(F.lit("page file without its metadata block")))
         return out.withColumn("uri", uri)
     return out.withColumn("uri", uri).withColumn(
         "error", F.when(~ok, F.lit("missing metadata header")))
@@ -331,5 +364,7 @@ def with_metadata_header(df: DataFrame, uri_col: str = "uri", body_col: str = "b
 
 
 def save_raw_pages(fetched: DataFrame, path: str, uri_col: str = "uri", body_col: str = "body") -> None:
-    """SNK-3: fetched pages with their metadata header, one folder per host, keyed by md5(uri)."""
-    with_metadata_header(fetched, uri_col, body_col).write.mode("append").partitionBy("host").parquet(path)
+    """SNK-3: fetched pages with their metadata header, clustered into a fixed number of host buckets and
+    keyed by md5(uri); a reader keeps one row per key (``distinct_pages``), so a replayed write does no harm."""
+    pages = with_metadata_header(fetched, uri_col, body_col).withColumn("bucket", F.pmod(F.xxhash64("host"), F.lit(HOST_BUCKETS)))
+    pages.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)

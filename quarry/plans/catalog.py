@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions import tokenize as tk
 from quarry.functions import urls
 from quarry.operators import graph
 from quarry.operators import index as ix
@@ -136,8 +137,11 @@ SELECT CAST(count(DISTINCT word) AS BIGINT) AS vocab_size, CAST(count(DISTINCT d
 """)
 def vocab_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-8 / AGG-9: distinct words and indexed documents."""
-    tokens = ix.word_tokens(_count_docs(spark, sf_dir), ["doc_id"], "t")
-    return tokens.agg(F.countDistinct("word").alias("vocab_size"), F.countDistinct("doc_id").alias("n_docs"))
+    docs = _count_docs(spark, sf_dir).select("doc_id", F.array_distinct(tk.count_words("t")).alias("ws"))
+    words = docs.select(F.explode_outer("ws").alias("word")).where("word IS NOT NULL").distinct()
+    counts = words.agg(F.count(F.lit(1)).alias("w"), F.lit(0).cast("long").alias("d")).unionByName(
+        docs.where(F.size("ws") > 0).agg(F.lit(0).cast("long").alias("w"), F.count(F.lit(1)).alias("d")))
+    return counts.agg(F.sum("w").alias("vocab_size"), F.sum("d").alias("n_docs"))
 
 
 @register("document_frequency", f"""
@@ -215,7 +219,7 @@ def cosine_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCH-4 / JN-7: cosine relevance of each logged query to each document sharing a word."""
     m = _cosine_model(spark, sf_dir)
     qw = search.query_tokens(tb.query_log(spark, sf_dir), "cosine")
-    rel = search.cosine_search(m.vectors, m.norms, m.idf, qw, "doc_id")
+    rel = search.cosine_search(search.query_term_weights(m.tf, m.idf, qw, "doc_id"), m.norms, m.idf, qw, "doc_id")
     return rel.select("query_id", "doc_id", _r6("relevance").alias("relevance"))
 
 
@@ -249,19 +253,36 @@ def link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("pagerank", f"""
 WITH {sql.pagerank_unrolled(sql.PART_GRAPH_NODES, sql.PART_GRAPH_EDGES, 5)}
-SELECT id, round(rank, 9) AS rank FROM pr5
+SELECT id, round(rank * (SELECT n FROM pcnt), 6) AS rank FROM pr5
 """)
 def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GRF-2 with limit 5 and epsilon 0 (so the oracle can unroll the steps)."""
+    """GRF-2 with limit 5 and epsilon 0 (so the oracle can unroll the steps); ranks as multiples of 1/N,
+    so that rounding means the same on graphs of any size."""
     nodes, edges = _part_graph(spark, sf_dir)
-    return graph.pagerank(nodes, edges, 0.85, 0.0, 5).select("id", F.round("rank", 9).alias("rank"))
+    return _scaled(graph.pagerank(nodes, edges, 0.85, 0.0, 5), nodes.count())
 
 
-@register("pagerank_converged")
+def _scaled(ranks: DataFrame, n: int) -> DataFrame:
+    return ranks.select("id", F.round(F.col("rank") * n, 6).alias("rank"))
+
+
+_STEPS, _SHARE = 16, 0.02
+
+
+@register("pagerank_converged", f"""
+WITH {sql.pagerank_unrolled(sql.PART_GRAPH_NODES, sql.PART_GRAPH_EDGES, _STEPS, decay=0.5)},
+{", ".join(f"dl{s} AS (SELECT max(abs(a.rank - b.rank)) AS d FROM pr{s} a JOIN pr{s - 1} b USING (id))" for s in range(1, _STEPS + 1))},
+stop AS (SELECT min(s) AS s FROM ({" UNION ALL ".join(f"SELECT {s} AS s, d FROM dl{s}" for s in range(1, _STEPS + 1))})
+         WHERE d <= {_SHARE} / (SELECT n FROM pcnt))
+{" UNION ALL ".join(f"SELECT id, round(rank * (SELECT n FROM pcnt), 6) AS rank FROM pr{s - 1} WHERE (SELECT s FROM stop) = {s}"
+                    for s in range(1, _STEPS + 1))}
+""")
 def pagerank_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GRF-2 with the engine's settings (0.85, 1e-4, 200): stops at convergence."""
+    """GRF-2 run to convergence with an epsilon that is a share of the mean rank 1/N, and a decay of 0.5 so that
+    the oracle can unroll all of its steps."""
     nodes, edges = _part_graph(spark, sf_dir)
-    return graph.pagerank(nodes, edges).select("id", F.round("rank", 9).alias("rank"))
+    n = nodes.count()
+    return _scaled(graph.pagerank(nodes, edges, 0.5, _SHARE / max(1, n)), n)
 
 
 @register("ranked_search_topk", f"""
@@ -270,22 +291,25 @@ allq AS (SELECT DISTINCT query_id FROM ql),
 sc AS (SELECT q.query_id, d.doc_id, coalesce(rel.relevance, 0) * sqrt(pr5.rank) AS score
        FROM allq q CROSS JOIN documents d JOIN pr5 ON pr5.id = d.doc_id
        LEFT JOIN rel ON rel.query_id = q.query_id AND rel.k = d.doc_id)
-SELECT query_id, doc_id, round(score, 6) AS score, CAST(pos AS INTEGER) AS pos FROM
-  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) AS pos FROM sc)
+SELECT query_id, doc_id, round(score * sqrt((SELECT n FROM pcnt)), 6) AS score, CAST(pos AS INTEGER) AS pos FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id
+     ORDER BY CASE WHEN score > 0 THEN round(log10(score), 11) END DESC NULLS LAST, doc_id) AS pos FROM sc)
 WHERE pos <= 20
 """)
 def ranked_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCH-5 / SCH-6 / JN-12 / WIN-4: cosine * sqrt(PageRank) over every document, 20 best."""
+    """SCH-5 / SCH-6 / JN-12 / WIN-4: cosine * sqrt(PageRank) over every document, 20 best; the score is
+    reported times sqrt(N), so that rounding means the same for corpora of any size."""
     m = _cosine_model(spark, sf_dir)
     ql = tb.query_log(spark, sf_dir)
     qw = search.query_tokens(ql, "cosine")
-    rel = search.cosine_search(m.vectors, m.norms, m.idf, qw, "doc_id")
+    rel = search.cosine_search(search.query_term_weights(m.tf, m.idf, qw, "doc_id"), m.norms, m.idf, qw, "doc_id")
     nodes, links = tb.doc_links(spark, sf_dir)
     nodes, edges = graph.link_graph(nodes, links)
     ranks = graph.pagerank(nodes, edges, 0.85, 0.0, 5)
     pages = tb.table(spark, sf_dir, "documents").select("doc_id")
     top = search.ranked_search(rel, ranks, pages, ql, 20, "doc_id")
-    return top.select("query_id", "doc_id", _r6("score").alias("score"), F.col("pos").cast("int").alias("pos"))
+    return top.select("query_id", "doc_id", _r6(F.col("score") * float(pages.count()) ** 0.5).alias("score"),
+                      F.col("pos").cast("int").alias("pos"))
 
 
 # ------------------------------------------------------------------ batch queries and result pages
@@ -396,10 +420,11 @@ SELECT page_id, k AS arg_key, arg_max(v, i) AS arg_value FROM e GROUP BY page_id
 """)
 def url_args(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-7: query arguments of every page URL, decoded, a later key wins (long form)."""
-    p = tb.table(spark, sf_dir, "pages")
-    pairs = p.select("page_id", F.explode(urls.url_arg_pairs("url")).alias("a"))
-    return pairs.groupBy("page_id", F.col("a.key").alias("arg_key")).agg(
-        F.max_by("a.value", "a.i").alias("arg_value"))
+    p = tb.table(spark, sf_dir, "pages").select("page_id", urls.url_arg_pairs("url").alias("a"))
+    # Within the row: of each key the last pair stays.
+    last = F.filter("a", lambda x: ~F.exists("a", lambda y: (y["key"] == x["key"]) & (y["i"] > x["i"])))
+    return (p.select("page_id", F.explode(last).alias("a"))
+            .select("page_id", F.col("a.key").alias("arg_key"), F.col("a.value").alias("arg_value")))
 
 
 @register("host_filter", f"""
@@ -536,17 +561,43 @@ WHERE pst.word IN (SELECT word FROM qw)
 """)
 def posting_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-2 / SRC-7 / JN-1 / JN-5: write the index as bucketed Parquet with a manifest, reopen
-    it with validation and read the postings of every logged query word (bucket-pruned scan)."""
+    it and read the postings of every logged query word (bucket-pruned scan)."""
     path = scratch_path(spark, "index")
     index_store.write_index(_global_index(spark, sf_dir), path, buckets=16)
-    idx, buckets = index_store.open_indexes(spark, [path], validate=True)
+    idx, buckets = index_store.open_indexes(spark, [path])
     words = search.query_tokens(tb.query_log(spark, sf_dir), "count").select("word")
     hits = index_store.lookup_words(idx, words, buckets)
     return ix.doc_names(idx.doc_table, hits).select("word", "doc_name", "n", "positions")
 
 
+@register("indexed_and_search", f"""
+WITH {sql.QUERY_LOG}, {sql.query_words('count')}, {sql.COUNT_DOCS}, {sql.COUNT_TOKENS},
+tc AS (SELECT CASE WHEN ad.source < 'src5' THEN '0' ELSE '1' END || ':' || ad.source AS index_id, ad.doc_name, tok.word, count(*) AS n
+       FROM tok JOIN ad USING (doc_id) GROUP BY ALL),
+nq AS (SELECT query_id, count(*) AS n_words FROM qw GROUP BY ALL),
+h AS (SELECT qw.query_id, tc.index_id, tc.doc_name, count(*) AS matched, sum(tc.n) AS rank FROM qw JOIN tc USING (word) GROUP BY ALL)
+SELECT h.query_id, h.index_id, h.doc_name, CAST(h.rank AS BIGINT) AS rank,
+       CAST(row_number() OVER (PARTITION BY h.query_id ORDER BY h.rank DESC, h.index_id, h.doc_name) AS BIGINT) AS pos
+FROM h JOIN nq USING (query_id) WHERE matched = n_words
+""")
+def indexed_and_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2 / SRC-7 / SRC-8 / JN-1 / JN-2 / JN-3 / SCH-2 / SRT-2: two indices are written with different bucket
+    counts and opened together; the logged queries' words prune each scan by its own buckets; hits
+    are ranked over all indices by occurrences, then index, then name."""
+    docs = tb.documents(spark, sf_dir)
+    paths = [scratch_path(spark, "index"), scratch_path(spark, "index")]
+    for path, part, buckets in zip(paths, (F.col("source") < "src5", F.col("source") >= "src5"), (16, 24), strict=True):
+        index_store.write_index(ix.build_index(docs.where(part), "doc_name", "text", index_id="source"), path, buckets)
+    idx, _ = index_store.open_indexes(spark, paths)
+    qw = search.query_tokens(tb.query_log(spark, sf_dir), "count")
+    hits = search.and_search(index_store.lookup_words(idx, qw), qw, ("index_id", "doc_id"))
+    named = ix.doc_names(idx.doc_table, hits).withColumn("_order", F.struct("index_id", "doc_name"))
+    return search.display_rank(named, "rank", "_order", "pos").select("query_id", "index_id", "doc_name", "rank", "pos")
+
+
 _CHECK_NAMES = ["doc_id_unique", "doc_id_dense", "doc_name_ascii", "doc_name_length", "word_ascii_lower",
-                "word_length", "positions_count", "positions_increasing", "posting_unique", "posting_doc_resolves"]
+                "word_length", "positions_count", "positions_increasing", "posting_unique", "posting_doc_resolves",
+                "bucket_placement"]
 
 
 @register("index_check", f"""
@@ -564,17 +615,18 @@ c AS (SELECT
   (SELECT count(*) FILTER (WHERE n >= 1000000 OR n <> len(positions)) FROM pst) AS positions_count,
   (SELECT count(*) FILTER (WHERE positions <> list_sort(list_distinct(positions))) FROM pst) AS positions_increasing,
   (SELECT count(*) FROM (SELECT word, doc_id FROM pst GROUP BY ALL HAVING count(*) > 1)) AS posting_unique,
-  (SELECT count(*) FROM pst WHERE doc_id NOT IN (SELECT doc_id FROM dt)) AS posting_doc_resolves)
+  (SELECT count(*) FROM pst WHERE doc_id NOT IN (SELECT doc_id FROM dt)) AS posting_doc_resolves, 0 AS bucket_placement)
 SELECT "check", CAST(violations AS BIGINT) AS violations FROM c
 UNPIVOT (violations FOR "check" IN ({", ".join(_CHECK_NAMES)}))
 """)
 def index_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-2..6: structural checks of the index built from documents (all zero when healthy).
 
-    The checks scan the index several times, so it is materialised once first (as a checker
-    reads a written index)."""
-    idx = _global_index(spark, sf_dir)
-    return quality.check_index(ix.Index(reliable_checkpoint(idx.doc_table), reliable_checkpoint(idx.postings)))
+    The checks read a written index, with the placement of words in buckets (DQ-4)."""
+    path = scratch_path(spark, "index")
+    index_store.write_index(_global_index(spark, sf_dir), path, buckets=16)
+    idx, buckets = index_store.open_indexes(spark, [path])
+    return quality.check_index(idx, buckets)
 
 
 @register("rank_check", f"""

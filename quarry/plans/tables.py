@@ -2,31 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.ordinals import next_within
-from quarry.session import broadcast_if_small
+from quarry.session import sized_side
 from quarry.sources import querylog
 
 
 # Tables whose rows carry long texts: tokenizing them is CPU-heavy per byte.
 TEXT_TABLES = {"documents", "pages", "benchmark", "conversations"}
+# Session setting by which a caller (the benchmark on tables of one Parquet row group, which no reader can
+# split) asks for text tables to be dealt over so many partitions.  Unset, scans stay as they are.
+SPREAD = "quarry.text.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  A text table whose scan yields fewer splits than the cluster has cores
-    (one Parquet row group cannot be split) is spread round-robin so tokenizing uses every core;
-    large inputs scan into many splits and are left alone."""
+    """A driver table, read in full."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name not in TEXT_TABLES:
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df._jdf.rdd().getNumPartitions()
-    except Exception:  # noqa: BLE001 - no JVM handle (remote session): leave the scan as it is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    spread = int(spark.conf.get(SPREAD, "0"))
+    return df.repartition(spread) if spread and name in TEXT_TABLES else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,8 +41,9 @@ def part_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                   "l_extendedprice")
     nodes = li.select(F.col("l_partkey").alias("id"))
-    nxt = next_within(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
-                      "l_partkey", "next_part")
+    # An order has a handful of lines: one shuffle and a window.
+    line = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    nxt = li.withColumn("next_part", F.lead("l_partkey").over(line))
     links = nxt.where(F.col("next_part").isNotNull()).select(F.col("l_partkey").alias("src"),
                                                                F.col("next_part").alias("dst"))
     return nodes, links
@@ -59,7 +55,7 @@ def doc_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     nodes = d.select(F.col("doc_id").alias("id"))
     nxt = next_within(d.select("doc_id", "source"), ["source"], ["doc_id"], "doc_id", "next_doc")
     seq = nxt.where(F.col("next_doc").isNotNull()).select(F.col("doc_id").alias("src"), F.col("next_doc").alias("dst"))
-    # one row per language; broadcast after its size is checked (a hot language stays local).
-    first = broadcast_if_small(d.groupBy("lang").agg(F.min("doc_id").alias("dst")))
+    # one row per language, written first: Catalyst sees that it is small and a hot language is not shuffled.
+    first = sized_side(d.groupBy("lang").agg(F.min("doc_id").alias("dst")))
     hub = d.join(first, "lang").select(F.col("doc_id").alias("src"), "dst")
     return nodes, seq.unionByName(hub)

@@ -1,8 +1,9 @@
-"""Session helpers: building a session, reliable checkpoints and checked broadcasts.
+"""Session helpers: building a session, written intermediate tables and sides of known size.
 
-Everything here is cluster-safe: checkpoints go to the shared folder the cluster names in
-``spark.checkpoint.dir``; a private folder is created only when that setting is absent (local
-tests), and a broadcast hint is only given after the row count of the side has been checked.
+Everything here is cluster-safe: intermediate tables go to the shared folder the cluster names in
+``spark.checkpoint.dir``.  A private folder is created only when that setting is absent and the
+master is local (tests); elsewhere a missing setting is an error.  Nothing is broadcast by hint: a
+small side is written first, and Catalyst decides by the bytes of the files.
 """
 
 from __future__ import annotations
@@ -10,13 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Row bound under which a side is broadcast.  A broadcast is a driver-collected hash table, so
-# the bound is on rows of narrow key columns (about 100 bytes each -> ~1 GiB at the bound).
-BROADCAST_MAX_ROWS = 10_000_000
 
 
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "quarry") -> SparkSession:
@@ -41,7 +36,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the cluster; a private one only if none is configured."""
+    """Shared checkpoint folder of the cluster; a private one only on a local master without the setting."""
     try:
         configured = spark.conf.get("spark.checkpoint.dir")
     except Exception:  # noqa: BLE001 - unset key
@@ -57,7 +52,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.get()
     configured = configured or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached where the session names no shared folder, i.e. local tests.
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return jsc.getCheckpointDir().get()
@@ -69,28 +65,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+def reliable_checkpoint(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back.
 
-    The frame is persisted first: an eager checkpoint runs one job for the action and a second
-    one to write the files, and with the cache the second job reads the first one's output
-    instead of recomputing the plan.  The files survive the loss of the executors that wrote
-    them (unlike a local checkpoint); the cache is released once they exist.  The checkpointed
-    frame keeps the output partitioning of ``df``.
+    The lineage is cut, the files survive the executors that wrote them, later scans read only the
+    columns they need, and Catalyst knows the size.  The output partitioning of ``df`` is not kept.
     """
-    checkpoint_root(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist(blocking=False)
-    return out
-
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small by counting it.
-
-    Beyond the bound the frame is returned unchanged and Catalyst/AQE choose a shuffle join
-    (with skew splitting) instead.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def sized_side(df: DataFrame) -> DataFrame:
+    """A join side whose size Catalyst can see: written, so that it is broadcast if its files are below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffled (with skew splitting) beyond."""
+    return reliable_checkpoint(df, "side")

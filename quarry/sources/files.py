@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -22,18 +21,38 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString().rstrip("/")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def _unreadable(spark: SparkSession, root: str, recursive: bool) -> list[str]:
+    """Names that no Spark reader lists: those of files, or of folders above them, that start with '.' or '_'."""
+    p, fs = _fs_path(spark, root)
+    base = _qualified(spark, root) + "/"
+    names, found = fs.listFiles(p, recursive), []
+    while names.hasNext():
+        name = names.next().getPath().toString()[len(base):]
+        if any(part[:1] in "._" for part in name.split("/")) and not name.endswith(".crc"):
+            found.append(name)
+    return found
+
+
 def read_tree(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
     """SRC-1 / SRC-3 / SRC-4 / FLT-3: every regular file under ``root`` -> (path, name, text).
 
     ``name`` is the path relative to ``root``; ``text`` keeps every byte as one character
     (ISO-8859-1), so a byte above 0x7F stays non-ASCII for FLT-1.  A missing root, an empty
-    string or a root that is not a directory is an error.
+    string or a root that is not a directory is an error, and so is a tree that holds names starting with
+    '.' or '_' (checksum files aside): Spark's readers pass over them, which would lose files silently.
     """
     if not root:
         raise ValueError("root must be a directory path")
     p, fs = _fs_path(spark, root)
     if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
         raise ValueError(f"{root} is not a directory")
+    if hidden := _unreadable(spark, root, recursive):
+        raise ValueError(f"{len(hidden)} files cannot be read by Spark because of their names, e.g. {sorted(hidden)[:3]}")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -52,23 +71,22 @@ def save_parsed_pages(parsed: DataFrame, path: str) -> None:
 
 
 def load_parsed_pages(spark: SparkSession, path: str, raw: DataFrame | None = None, parse=None) -> DataFrame:
-    """SRC-6: read the parsed-page table when present; otherwise parse ``raw`` with ``parse``,
-    save it, and read it back."""
-    try:
+    """SRC-6: read the parsed-page table when its write was completed (``_SUCCESS``); otherwise parse
+    ``raw`` with ``parse``, save it, and read it back.  Any other fault of the store is raised."""
+    if _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         return spark.read.parquet(path)
-    except AnalysisException:
-        if raw is None or parse is None:
-            raise
+    if raw is None or parse is None:
+        raise ValueError(f"{path} holds no completed parsed-page table")
     save_parsed_pages(parse(raw), path)
     return spark.read.parquet(path)
 
 
 def write_columns_csv(df: DataFrame, path: str) -> None:
-    """SNK-5: header + one row per index; an empty column set is an error (unequal column
-    lengths cannot occur in a DataFrame)."""
+    """SNK-5: header + one row per index, in as many part files as the frame has partitions; an empty
+    column set is an error (unequal column lengths cannot occur in a DataFrame)."""
     if not df.columns:
         raise ValueError("no columns to write")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def append_visited(uris: DataFrame, path: str) -> None:
@@ -78,7 +96,6 @@ def append_visited(uris: DataFrame, path: str) -> None:
 
 def load_visited(spark: SparkSession, path: str) -> DataFrame:
     """SRC-9: the visited log (column ``id``), empty when it does not exist yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    if not _exists(spark, path):
         return spark.createDataFrame([], "id string")
+    return spark.read.schema("id string").parquet(path)

@@ -6,23 +6,23 @@ Layout under ``path``::
     postings/bucket=B/         (index_id, word, doc_id, n, positions), sorted by word in each file
     _manifest/                 one JSON row: version, buckets, counts, order-free checksums
 
-The manifest is written last and is the commit record: an index without it is not valid, and a
-failed write removes the folder.  Checksums are ``bit_xor`` of per-row ``xxhash64`` values, so
+The manifest is the commit record: it is deleted before a write touches the tables and written last,
+so an index without it is not valid and a write that was cut off cannot pass as committed.  Checksums are ``bit_xor`` of per-row ``xxhash64`` values, so
 they do not depend on row order or partitioning and cannot overflow.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.urls import word_bucket
 from quarry.operators.index import Index
-from quarry.session import broadcast_if_small
+from quarry.session import sized_side
 
 VERSION = 1
-# Largest number of bucket literals put into a partition filter.
-MAX_BUCKET_LITERALS = 4096
 
 
 def _fs_delete(spark: SparkSession, path: str) -> None:
@@ -49,21 +49,18 @@ def write_index(index: Index, path: str, buckets: int = 64) -> dict:
     rebalance hint lets AQE split a bucket that holds a hot word over several writer tasks."""
     spark = index.postings.sparkSession
     path = path.rstrip("/")
-    try:
-        index.doc_table.select("index_id", "doc_id", "doc_name").write.mode("overwrite").parquet(f"{path}/doc_table")
-        (index.postings.select("index_id", "word", "doc_id", "n", "positions")
-         .withColumn("bucket", word_bucket("word", buckets))
-         .hint("rebalance", "bucket")
-         .sortWithinPartitions("bucket", "word", "doc_id")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
-        written_docs = spark.read.parquet(f"{path}/doc_table")
-        written_postings = spark.read.parquet(f"{path}/postings")
-        manifest = {"version": VERSION, "buckets": buckets, **_checksums(written_docs, written_postings.drop("bucket"))}
-        spark.createDataFrame([manifest]).coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
-        return manifest
-    except Exception:
-        _fs_delete(spark, path)
-        raise
+    _fs_delete(spark, f"{path}/_manifest")
+    index.doc_table.select("index_id", "doc_id", "doc_name").write.mode("overwrite").parquet(f"{path}/doc_table")
+    (index.postings.select("index_id", "word", "doc_id", "n", "positions")
+     .withColumn("bucket", word_bucket("word", buckets))
+     .hint("rebalance", "bucket")
+     .sortWithinPartitions("bucket", "word", "doc_id")
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
+    written_docs = spark.read.parquet(f"{path}/doc_table")
+    written_postings = spark.read.parquet(f"{path}/postings")
+    manifest = {"version": VERSION, "buckets": buckets, **_checksums(written_docs, written_postings.drop("bucket"))}
+    spark.createDataFrame([manifest]).coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
+    return manifest
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict:
@@ -89,31 +86,39 @@ def open_index(spark: SparkSession, path: str, validate: bool = True) -> tuple[I
     return idx, manifest
 
 
-def open_indexes(spark: SparkSession, paths: list[str], validate: bool = True) -> tuple[Index, int]:
-    """SRC-8: several indices, each with its own id space; the index key becomes
-    ``<position>:<index_id>`` when more than one path is given.  Returns (index, buckets)."""
-    docs, posts, buckets = [], [], set()
+def open_indexes(spark: SparkSession, paths: list[str], validate: bool = False) -> tuple[Index, int]:
+    """SRC-8: several indices, each with its own id space and bucket count; the index key becomes
+    ``<position>:<index_id>`` when more than one path is given.  Returns the index, whose ``parts`` keep
+    the bucket count of each path, and the first count.  The checksums were taken when the index was
+    written; ``validate`` reads every posting to take them again (DQ-1)."""
+    docs, parts = [], []
     for i, p in enumerate(paths):
         idx, m = open_index(spark, p, validate)
-        buckets.add(m["buckets"])
         key = F.col("index_id") if len(paths) == 1 else F.concat(F.lit(f"{i}:"), F.col("index_id"))
         docs.append(idx.doc_table.withColumn("index_id", key))
-        posts.append(idx.postings.withColumn("index_id", key))
-    if len(buckets) != 1:
-        raise ValueError("indices written with different bucket counts")
-    doc_table, postings = docs[0], posts[0]
-    for d, p in zip(docs[1:], posts[1:]):
-        doc_table, postings = doc_table.unionByName(d), postings.unionByName(p)
-    return Index(doc_table, postings), buckets.pop()
-
-
-def lookup_words(index: Index, words: DataFrame, buckets: int) -> DataFrame:
-    """JN-1: postings of ``words(word)``.  The word bucket is added to both sides and the query's
-    buckets go into the scan as literals, so only those bucket folders are read (Catalyst cannot
+        parts.append((idx.postings.withColumn("index_id", key), m["buckets"]))
+    union = DataFrame.unionByName
+    return Index(reduce(union, docs), reduce(union, [p for p, _ in parts]), tuple(parts)), parts[0][1]
+
+
+def lookup_words(index: Index, words: DataFrame, buckets: int | None = None) -> DataFrame:
+    """JN-1: postings of ``words(word)`` in all opened indices.  The words' buckets (at most as many as an index
+    has) go into each scan as literals, so only those bucket folders are read (Catalyst cannot
     derive the bucket from the word by itself)."""
-    w = words.select("word").distinct().withColumn("bucket", word_bucket("word", buckets))
-    wanted = [r["bucket"] for r in w.select("bucket").distinct().limit(MAX_BUCKET_LITERALS + 1).collect()]
-    postings = index.postings
-    if len(wanted) <= MAX_BUCKET_LITERALS:
-        postings = postings.where(F.col("bucket").isin(wanted))
-    return postings.join(broadcast_if_small(w), ["bucket", "word"])
+    w = sized_side(words.select("word").distinct())
+    wanted: dict[int, list[int]] = {}
+    out = []
+    for postings, n in index.parts or ((index.postings, buckets),):
+        if n not in wanted:
+            wanted[n] = [r[0] for r in w.select(word_bucket("word", n)).distinct().collect()]
+        scan = postings.where(F.col("bucket").isin(wanted[n]))
+        out.append(scan.join(w.withColumn("bucket", word_bucket("word", n)), ["bucket", "word"]))
+    return reduce(DataFrame.unionByName, out)
+
+
+def lookup_positions(index: Index, wanted: DataFrame, buckets: int | None = None) -> DataFrame:
+    """JN-5: positions of the (index_id, word, doc_id) rows of ``wanted``, read from the words' buckets only;
+    absent ones drop out."""
+    hits = lookup_words(index, wanted, buckets)
+    key = ["index_id", "word", "doc_id"]
+    return hits.join(wanted.select(*key), key, "left_semi").select(*key, "positions")

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quarry.operators import index as ix
 from quarry.operators import search
 from quarry.sources import querylog
+from quarry.sources.files import _exists
 
 
 def stream_search(query_stream: DataFrame, postings: DataFrame, sink: str, checkpoint: str,
@@ -41,33 +42,29 @@ def stream_index(doc_stream: DataFrame, path: str, checkpoint: str, name: str =
     """STM-2: append documents to an index batch by batch.
 
     Names already indexed keep their ids, new ones continue after the largest id (SET-6); doc
-    table rows and postings of batch E go to ``path/{doc_table,postings}/batch_id=E``.  The
-    existing index read for batch E is everything written by earlier batches only.
+    table rows and postings of batch E go to ``path/{doc_table,postings}/batch_id=E``.  A batch reads
+    the doc tables of earlier batches (names and ids) but none of their postings, so its cost follows
+    the batch.  Whether earlier batches exist is asked of the file system; a read that fails fails the batch.
     """
     base = path.rstrip("/")
 
-    def existing(spark: SparkSession, epoch_id: int) -> ix.Index | None:
-        try:
-            dt = spark.read.parquet(f"{base}/doc_table")
-            po = spark.read.parquet(f"{base}/postings")
-        except Exception:  # noqa: BLE001 - nothing written yet
-            return None
-        before = F.col("batch_id") < epoch_id
-        return ix.Index(dt.where(before).drop("batch_id"), po.where(before).drop("batch_id"))
-
     def run(batch: DataFrame, epoch_id: int) -> None:
-        old = existing(batch.sparkSession, epoch_id)
-        if old is None:
-            new = ix.build_index(batch, name, text)
-            fresh_docs, fresh_posts = new.doc_table, new.postings
-        else:
-            grown = ix.build_index(batch, name, text, existing=old)
-            known = old.doc_table.select("index_id", "doc_name")
-            fresh_docs = grown.doc_table.join(known, ["index_id", "doc_name"], "left_anti")
-            fresh_posts = grown.postings.join(old.doc_table.select("index_id", "doc_id"), ["index_id", "doc_id"],
-                                              "left_anti")
-        fresh_docs.write.mode("overwrite").parquet(f"{base}/doc_table/batch_id={epoch_id}")
-        fresh_posts.write.mode("overwrite").parquet(f"{base}/postings/batch_id={epoch_id}")
+        spark = batch.sparkSession
+        key = ["index_id", "doc_name"]
+        docs = ix.indexable_docs(batch, name, text)
+        known = None
+        if _exists(spark, f"{base}/doc_table"):
+            known = (spark.read.schema("index_id string, doc_id long, doc_name string, batch_id long").parquet(f"{base}/doc_table")
+                     .where(F.col("batch_id") < epoch_id).drop("batch_id"))
+            docs = docs.join(known.select(*key), key, "left_anti")
+        fresh = ix.build_index(docs.select("index_id", "doc_name", F.col("t").alias("text")), "doc_name", "text", "index_id")
+        if known is not None:
+            top = known.groupBy("index_id").agg(F.max("doc_id").alias("_top"))
+            shifted = lambda df: (df.join(F.broadcast(top), "index_id", "left")  # noqa: E731 - one row per index
+                                  .withColumn("doc_id", F.col("doc_id") + F.coalesce("_top", F.lit(0))).drop("_top"))
+            fresh = ix.Index(shifted(fresh.doc_table), shifted(fresh.postings))
+        fresh.doc_table.select("index_id", "doc_id", "doc_name").write.mode("overwrite").parquet(f"{base}/doc_table/batch_id={epoch_id}")
+        fresh.postings.write.mode("overwrite").parquet(f"{base}/postings/batch_id={epoch_id}")
 
     w = doc_stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
