@@ -11,9 +11,11 @@ So small documents get many darts per element and long ones few, about K log K i
 Coordinates are joined in bands.  Texts that share a band are candidates, and every candidate
 pair that matters is verified on its whole texts (Jaccard similarity of THRESHOLD or more):
 1. equal texts are one node;
-2. in each bucket every node is compared with the bucket's first node: links grow with the rows;
-3. nodes of one bucket that these links leave in different components are compared with each other,
-   so no link between candidates is lost, while groups of copies are never expanded into pairs.
+2. in each bucket every node is compared with up to CENTRES nodes of it, so that links grow with the rows;
+   buckets that still hold several components get further centres, from the open ones only, as long as
+   that is less work than step 3;
+3. nodes of one bucket that are still in different components are compared with each other, so no
+   link between candidates is lost, while groups of copies are never expanded into pairs.
 Classes are the connected components, found by joins on written tables.
 
 A pair at the threshold misses all BANDS bands of ROWS with a chance of (1 - 0.8^6)^30 = 1e-4.
@@ -41,6 +43,8 @@ WORDS = 5
 THRESHOLD = 0.8
 ROWS, BANDS = 6, 30
 K = ROWS * BANDS
+CENTRES = 4                    # nodes of a bucket that all others are compared with, in each round
+ROUNDS = 5                     # of centres at most; what is open then is compared in full
 SPARE = 4.0                    # darts per coordinate beyond log K: all but 2 % of the documents fill at once
 CHUNK = 1_000_000              # elements thrown at together
 
@@ -201,28 +205,58 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def masks(turn: int) -> list[int]:
+    """Numbers that, xor-ed with the nodes, put them into another order for each centre and round."""
+    return [int(m) & (1 << 50) - 1 for m in mix(np.arange(turn * CENTRES, (turn + 1) * CENTRES, dtype=np.uint64))]
+
+
+def centres(turn: int) -> list[Column]:
+    return [F.min(F.col("node").bitwiseXOR(F.lit(m))).alias(f"c{i}") for i, m in enumerate(masks(turn))]
+
+
+def centre_array(turn: int) -> Column:
+    return F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(m)) for i, m in enumerate(masks(turn))]).alias("centres")
+
+
+def with_centres(rows: DataFrame) -> DataFrame:
+    """Pairs (u, v), u > v, of each node with the centres of its bucket."""
+    pairs = rows.select("node", F.explode("centres").alias("c")).where("node <> c")
+    return pairs.select(F.greatest("node", "c").alias("u"), F.least("node", "c").alias("v")).distinct()
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """_t, class_id, class_text: for every distinct text that is near another one, its class (of smallest id)."""
     nodes = nodes_of(docs)
     rows = written(nodes.select("node", F.explode("bands").alias("bucket")), "near-buckets")
-    first = rows.groupBy("bucket").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "v")
-    shared = written(rows.join(first, "bucket"), "near-shared")
-    stars = written(shared.where("node <> v").select(F.col("node").alias("u"), "v").distinct(), "near-stars")
+    first = rows.groupBy("bucket").agg(*centres(0), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    shared = written(rows.join(first, "bucket").select("bucket", "node", centre_array(0)), "near-shared")
     wanted = shared.select("node").distinct().join(nodes.select("node", "_id", "_t"), "node")
     texts = written(keyed(docs.select("doc_id", "text")).join(wanted, ["_id", "_t"])
                     .groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    links = written(verified(stars, texts), "near-verified")
+    tried = written(with_centres(shared), "near-tried")
+    links = written(verified(tried, texts), "near-verified")
     comps = components(links)
-    # Buckets that still hold several components: compare across them what no star has compared.
-    tagged = shared.select("bucket", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    split = tagged.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("bucket")
-    open_rows = written(tagged.join(split, "bucket"), "near-open")
-    one = open_rows.select("bucket", F.col("node").alias("u"), F.col("comp").alias("cu"))
-    two = open_rows.select("bucket", F.col("node").alias("v"), F.col("comp").alias("cv"))
-    rest = one.join(two, "bucket").where("cu > cv").select("u", "v").distinct()
-    rest = rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
-    more = written(verified(rest, texts), "near-verified")
-    if not more.isEmpty():
+    pairs = None
+    for turn in range(1, ROUNDS + 1):
+        tagged = shared.select("bucket", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        split = tagged.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("bucket")
+        open_rows = written(tagged.join(split, "bucket"), "near-open")
+        sizes = open_rows.groupBy("bucket", "comp").count().groupBy("bucket").agg(
+            F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("q"))
+        n_open, pairs = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2), F.lit(0.0))).first()
+        if pairs <= CENTRES * n_open or turn == ROUNDS:
+            break
+        middle = open_rows.groupBy("bucket").agg(*centres(turn))
+        more = with_centres(open_rows.join(middle, "bucket").select("bucket", "node", centre_array(turn)))
+        more = written(more.join(tried, ["u", "v"], "left_anti"), "near-tried")
+        tried = tried.unionByName(more)
+        links = links.unionByName(written(verified(more, texts), "near-verified"))
+        comps = components(links)
+    if pairs:
+        one = open_rows.select("bucket", F.col("node").alias("u"), F.col("comp").alias("cu"))
+        two = open_rows.select("bucket", F.col("node").alias("v"), F.col("comp").alias("cv"))
+        rest = one.join(two, "bucket").where("cu > cv").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        more = written(verified(rest.join(tried, ["u", "v"], "left_anti"), texts), "near-verified")
         comps = components(links.unionByName(more))
     named = comps.join(nodes.select("node", "_id", "_t"), "node")
     best = named.groupBy("comp").agg(F.min(F.struct("_id", "_t")).alias("best"))
