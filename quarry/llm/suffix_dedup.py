@@ -10,7 +10,8 @@ decide; three steps before bring together what can be equal and leave out what c
    equal strings come to the same group.  A context is a run of such starts with all of their bytes.
    Contexts equal as a whole (copies) are one context with a count before anything is sorted: all of
    its strings repeat.
-3. Suffix arrays.  In a group with a context seen once, the suffixes of all its distinct contexts are
+3. Suffix arrays.  In a group with a context seen once, contexts that lie in another one as a whole (copies cut
+   off by an edit) are marked in both and left to the longer one; the suffixes of the contexts that remain are
    ordered by linear grouping, and neighbours in the order that agree in SPAN bytes are repeats.
 
 Suffix order (GSACA): suffixes are grouped by their longest Lyndon prefix.  Groups are taken in
@@ -189,8 +190,35 @@ def suffix_order(seq: list[int]) -> list[int]:
         p = order[i]
 
 
+def repeats_itself(text: bytes) -> bool:
+    """Whether a context may hold the same SPAN bytes at two starts.  All of its starts share the bytes in the middle
+    (if there are few enough of them), which then occur twice as well."""
+    starts = len(text) - SPAN + 1
+    middle = text[starts - 1:SPAN]
+    return not middle or text.find(middle, text.find(middle) + 1) >= 0
+
+
 def repeats(texts: list[bytes]) -> list[list[tuple[int, int]]]:
     """For each of some distinct contexts, the runs of starts whose SPAN bytes occur twice or more in them."""
+    twice = [np.zeros(len(t) - SPAN + 1, bool) for t in texts]
+    longest: list[int] = []
+    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+        for k in longest:
+            at = texts[k].find(texts[i])
+            if at >= 0:                                    # whole inside a longer one: both repeat
+                twice[i][:] = True
+                twice[k][at:at + len(twice[i])] = True
+                break
+        else:
+            longest.append(i)
+    if len(longest) > 1 or repeats_itself(texts[longest[0]]):
+        for i, found in zip(longest, sorted_repeats([texts[i] for i in longest]), strict=True):
+            twice[i] |= found
+    return [runs(t) for t in twice]
+
+
+def sorted_repeats(texts: list[bytes]) -> list[np.ndarray]:
+    """Masks of the starts whose SPAN bytes occur twice or more in the contexts, by their suffix array."""
     seq: list[int] = []
     base = []
     for t in texts:
@@ -207,7 +235,7 @@ def repeats(texts: list[bytes]) -> list[list[tuple[int, int]]]:
     for a, b in zip(order, order[1:], strict=False):
         if data[a:a + SPAN] == data[b:b + SPAN]:
             twice[a] = twice[b] = True
-    return [runs(twice[b:b + len(t)]) for b, t in zip(base, texts, strict=True)]
+    return [twice[b:b + len(t) - SPAN + 1] for b, t in zip(base, texts, strict=True)]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
