@@ -11,7 +11,8 @@ decide; three steps before bring together what can be equal and leave out what c
    Contexts equal as a whole (copies) are one context with a count before anything is sorted: all of
    its strings repeat.
 3. Suffix arrays.  In a group with a context seen once, contexts that lie in another one as a whole (copies cut
-   off by an edit) are marked in both and left to the longer one; the suffixes of the contexts that remain are
+   off by an edit) are marked in both and left to the longer one, and loops are cut to a few turns (their strings
+   all repeat); the suffixes of what remains are
    ordered by linear grouping, and neighbours in the order that agree in SPAN bytes are repeats.
 
 Suffix order (GSACA): suffixes are grouped by their longest Lyndon prefix.  Groups are taken in
@@ -211,14 +212,61 @@ def repeats(texts: list[bytes]) -> list[list[tuple[int, int]]]:
                 break
         else:
             longest.append(i)
-    if len(longest) > 1 or repeats_itself(texts[longest[0]]):
-        for i, found in zip(longest, sorted_repeats([texts[i] for i in longest]), strict=True):
-            twice[i] |= found
+    cuts = [cut_loop(texts[i]) for i in longest]
+    found = [np.zeros(len(c[0]) - SPAN + 1, bool) for c in cuts]
+    if len(longest) > 1 or repeats_itself(cuts[0][0]):
+        parts = possible_parts([c[0] for c in cuts])
+        for (i, a, b), f in zip(parts, sorted_repeats([cuts[i][0][a:b + SPAN - 1] for i, a, b in parts]), strict=True):
+            found[i][a:b] = f
+    for i, (_, at, gone, low, high), f in zip(longest, cuts, found, strict=True):
+        twice[i][:at] |= f[:at]
+        twice[i][at + gone:] |= f[at:]
+        twice[i][low:high] = True
     return [runs(t) for t in twice]
 
 
+def possible_parts(texts: list[bytes]) -> list[tuple[int, int, int]]:
+    """(context, first start, end of starts) of the starts whose SPAN bytes hold no short gram that stands once in
+    all of these contexts: no other start can repeat."""
+    grams = [gram_hashes(t, SHORT_GRAM) for t in texts]
+    _, which, n = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    single = n[which] == 1
+    out, at = [], 0
+    for i, g in enumerate(grams):
+        seen = np.concatenate([[0], np.cumsum(single[at:at + len(g)])])
+        at += len(g)
+        inside = SPAN - SHORT_GRAM + 1
+        out += [(i, a, b) for a, b in runs(seen[inside:] == seen[:-inside])]
+    return out
+
+
+def cut_loop(text: bytes) -> tuple[bytes, int, int, int, int]:
+    """The context with the middle of its loop taken out: what is left, the place and number of the bytes gone, and
+    the starts (low, high) of the loop, which all repeat.
+
+    Bytes that agree with those one turn on make a loop.  Three turns and SPAN bytes of it stay, so every string of
+    SPAN bytes that occurs in the context occurs in what is left, and at its own distance from either end."""
+    half = max(0, (len(text) - SPAN) // 2)
+    turn = text.find(text[half:half + SPAN], half + 1) - half
+    if turn > 0:
+        a = np.frombuffer(text, np.uint8)
+        other = np.flatnonzero(a[:-turn] != a[turn:])
+        k = int(np.searchsorted(other, half))
+        low = int(other[k - 1]) + 1 if k else 0
+        end = (int(other[k]) if k < len(other) else len(text) - turn) + turn      # the loop is text[low:end]
+        gone = (end - low - SPAN - 3 * turn) // turn * turn
+        if gone > 0:
+            at = low + turn
+            return text[:at] + text[at + gone:], at, gone, low, end - SPAN + 1
+    return text, 0, 0, 0, 0
+
+
+
+
 def sorted_repeats(texts: list[bytes]) -> list[np.ndarray]:
-    """Masks of the starts whose SPAN bytes occur twice or more in the contexts, by their suffix array."""
+    """Masks of the starts whose SPAN bytes occur twice or more in the texts, by their suffix array."""
+    if not texts:
+        return []
     seq: list[int] = []
     base = []
     for t in texts:
