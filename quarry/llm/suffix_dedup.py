@@ -36,7 +36,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -348,13 +347,33 @@ def repeated_starts(found: DataFrame) -> DataFrame:
     groups = distinct.groupBy("g").agg(F.min("m").alias("least"), F.sum(F.length("context")).alias("size")).where("least = 1")
     unsure = distinct.select("g", "c", "context").join(groups.select("g", "size"), "g")
 
-    def sort_group(group: pd.DataFrame) -> pd.DataFrame:
-        texts = [bytes(t) for t in group["context"]]
-        return pd.DataFrame({"g": group["g"], "c": group["c"],
-                             "runs": [[{"a": a, "b": b} for a, b in r] for r in repeats(texts)]})
+    def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows come sorted by group; one group at a time is held, over the ends of batches."""
+        group, names, texts = None, [], []
+
+        def done() -> pa.RecordBatch:
+            made = [[{"a": a, "b": b} for a, b in r] for r in repeats(texts)]
+            return pa.RecordBatch.from_arrays([pa.array([group] * len(names), pa.int64()), pa.array(names, pa.binary()),
+                                               pa.array(made, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))],
+                                              names=["g", "c", "runs"])
+
+        for batch in batches:
+            finished = []
+            for g, c, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if g != group and names:
+                    finished.append(done())
+                    names, texts = [], []
+                group = g
+                names.append(c)
+                texts.append(t)
+            if finished:
+                yield pa.Table.from_batches(finished).combine_chunks().to_batches()[0]
+        if names:
+            yield done()
 
     shape = "g long, c binary, runs array<struct<a:int,b:int>>"
-    ordered = (unsure.where(F.col("size") <= GROUP_BYTES).select("g", "c", "context").groupBy("g").applyInPandas(sort_group, shape))
+    ordered = (unsure.where(F.col("size") <= GROUP_BYTES).select("g", "c", "context").repartition("g")
+               .sortWithinPartitions("g").mapInArrow(sort_groups, shape))
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
