@@ -30,6 +30,7 @@ result; the filter keeps every column as it was.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -126,10 +127,19 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return out.astype(np.uint64).view(np.int64)
 
 
-def jaccard(a: str, b: str) -> float:
-    x, y = np.unique(shingles(a)), np.unique(shingles(b))
+@lru_cache(maxsize=64)
+def shingle_set(text: str) -> np.ndarray:
+    """Distinct shingles in order; a centre's text comes up many times in a row."""
+    return np.unique(shingles(text))
+
+
+def similar(a: str, b: str) -> bool:
+    """Whether the Jaccard similarity of two whole texts reaches the threshold."""
+    x, y = shingle_set(a), shingle_set(b)
+    if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
+        return False                                       # too unlike in size
     common = len(np.intersect1d(x, y, assume_unique=True))
-    return common / max(1, len(x) + len(y) - common)
+    return common >= THRESHOLD * max(1, len(x) + len(y) - common)
 
 
 def text_bands(texts: list[str | None], counts: bool = False) -> list[list[int] | None]:
@@ -179,7 +189,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) whose whole texts are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [jaccard(a, b) >= THRESHOLD
+            near = [similar(a, b)
                     for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
