@@ -47,7 +47,8 @@ K = ROWS * BANDS
 CENTRES = 4                    # nodes of a bucket that all others are compared with, in each round
 ROUNDS = 5                     # of centres at most; what is open then is compared in full
 SPARE = 4.0                    # darts per coordinate beyond log K: all but 2 % of the documents fill at once
-CHUNK = 1_000_000              # elements thrown at together
+CHUNK = 500_000                # elements thrown at together,
+CHUNK_TEXTS = 500              # of so many texts at most: each takes some 1,700 darts, however short it is
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -159,7 +160,7 @@ def text_bands(texts: list[str | None], counts: bool = False) -> list[list[int]
     for text in texts:
         part.append(weighted(text, counts))
         size += len(part[-1][0])
-        if size >= CHUNK:
+        if size >= CHUNK or len(part) >= CHUNK_TEXTS:
             done()
             size = 0
     done()
