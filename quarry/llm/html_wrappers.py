@@ -1,15 +1,20 @@
 """Operator 8, main text of web pages by wrappers inferred for each host (union-free expressions).
 
 A page is read as nested token streams: for each element the sequence of its block children and text
-slots.  Streams of the same place (host and element path) are aligned one after another: runs that
-repeat become repeated groups, tokens that only one side has become optional groups, and texts are
-slots.  The result, one union-free expression for each place, is the host's wrapper.  Its slots are sorted
-into article and surroundings host-wide: by the names and roles of the elements on the way, and by where
-most of the remaining text of the host's pages lies.  Each page is then read along its host's wrapper.
+slots.  Texts that stand on most of a host's pages at the same place are template, the others data; Spark counts
+them by host, place and digest.  Pages of one skeleton are a layout.  Streams of the same place (host, layout and
+element path) are aligned one after another: runs that repeat become repeated groups, tokens that only one side
+has become optional groups, and texts are slots, of data or of template.  The result is the layout's wrapper: a
+union-free expression for each place.  Names and roles of elements set surroundings apart; the article is an
+<article> or <main> with text, else the deepest element with most of the layout's data, or, if that is in a
+repeated group, the element around the group.  Each page is read along the wrapper of its layout: template texts
+outside <article> and <main> are dropped, unless the page has nothing else, and a page without data
+in its layout's article gives its own largest block.
 
 Streams are collapsed and counted in every batch before they are shuffled, and a place's distinct
-streams are folded in SALT parts first, so a host with a third of all pages has no larger group than
-its number of different layouts.  Pages join their wrapper by host; Catalyst chooses the join by size.
+streams are folded in SALT parts first.  A layout is a group of its own, so a host with a third of all pages makes no
+larger group than one skeleton has places.  Pages join the template by host and the wrapper by host and layout;
+Catalyst chooses the joins by size.
 
 Defined results: null and empty html give an empty text; a page without a usable url belongs to the host
 ''; a repeated page gives equal rows; html cut off anywhere is read as if its elements were
@@ -19,11 +24,12 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -34,6 +40,8 @@ from quarry.llm.common import table, written
 
 SALT = 32
 LONGEST_GROUP = 4              # tokens of a repeated group that is looked for
+TEMPLATE_PAGES = 3             # a text on fewer pages of a host is data
+TEMPLATE_SHARE = 0.5           # a text on more than this share of the host's pages with its place is template
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 # --- fixed values: how HTML names things ---
@@ -55,6 +63,8 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
           "th": {"tr", "table"}, "option": {"select"}}
+NAMED = re.compile(r"/(?:article|main)(?:\.[^/!]*)?(?:/|$)")
+LEAF = re.compile(r"/(?:p|h\d|li|td|th|tr|pre|blockquote|dd|dt)(?:\.[^/!]*)?(?:/|$)")
 # --------------------------------------------
 
 TOKEN = re.compile(
@@ -213,16 +223,32 @@ def align(a: list[str], b: list[str]) -> list[str]:
     return collapse(out)
 
 
-def streams(source: str | None) -> dict[str, tuple[list[list[str]], int]]:
-    """Path -> the collapsed token streams of the elements there, and the characters of their own text."""
+def layout_of(paths: Iterable[str]) -> int:
+    """All pages of a host are one layout."""
+    return 0
+
+
+def digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def is_candidate(path: str) -> bool:
+    """Whether constant text at the place is template: not around an article anyway, and not inside its tag."""
+    return not path.endswith("!") and not NAMED.search(path)
+
+
+def streams(source: str | None, constant: frozenset = frozenset()) -> dict[str, tuple[list[list[str]], int]]:
+    """Path -> the collapsed token streams of the elements there, and the characters of their own data.
+    A text is '#' where it is data and '=' where it is constant over the host's pages."""
     found: dict[str, tuple[list[list[str]], int]] = {}
     stack: list[list[str]] = [[]]
     chars: dict[str, int] = defaultdict(int)
     seen: dict[str, list[list[str]]] = defaultdict(list)
     for kind, path, what in blocks_of(source):
         if kind == "text":
-            stack[-1].append("#")
-            chars[path] += len(what)
+            data = not constant or (path, digest(what)) not in constant
+            stack[-1].append("#" if data else "=")
+            chars[path] += len(what) if data else 0
         elif kind == "open":
             stack[-1].append(what)
             if what.split(".")[0] not in VOID:
@@ -240,23 +266,82 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def stream_counts(pages: DataFrame) -> DataFrame:
-    """host, path, stream, chars: the distinct token streams of every place, counted in each batch first."""
+def constants(pages: DataFrame) -> DataFrame:
+    """host, constant (JSON: place -> digests of its template texts).  A text is template where it stands on most of the
+    host's pages that have its place, and on different ones: exact copies of one page make nothing template."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple, int] = defaultdict(int)
+            counts: dict[tuple, list[int]] = {}
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for path, (lists, chars) in streams(source).items():
+                page, own = digest(source or ""), set()
+                for kind, path, what in blocks_of(source):
+                    if kind == "text" and is_candidate(path):
+                        own |= {(host, path, digest(what)), (host, path, None)}
+                for key in own:
+                    n, low, high = counts.get(key, (0, page, page))
+                    counts[key] = [n + 1, min(low, page), max(high, page)]
+            rows = list(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
+                 pa.array([r[2] for r in rows], pa.int64()), *(pa.array([counts[r][k] for r in rows], pa.int64()) for k in range(3))],
+                names=["host", "path", "h", "n", "low", "high"])
+
+    counted = written(pages.select(host_of(F.col("url")).alias("host"), "html")
+                      .mapInArrow(run, "host string, path string, h long, n long, low long, high long")
+                      .groupBy("host", "path", "h").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+                      .where(F.col("h").isNull() | (F.col("n") >= TEMPLATE_PAGES)), "html-texts")
+    places = counted.where(F.col("h").isNull()).select("host", "path", F.col("n").alias("pages"))
+    return (counted.where(F.col("h").isNotNull() & (F.col("low") != F.col("high"))).join(places, ["host", "path"])
+            .where(F.col("n") > TEMPLATE_SHARE * F.col("pages"))
+            .groupBy("host", "path").agg(F.sort_array(F.collect_list("h")).alias("hs"))
+            .groupBy("host").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("path", "hs")))).alias("constant")))
+
+
+def with_constants(pages: DataFrame, template: DataFrame) -> DataFrame:
+    """_host, html, constant and the named columns of every page."""
+    return (pages.select("page_id", "url", "html", host_of(F.col("url")).alias("_host"))
+            .join(template.select(F.col("host").alias("_host"), "constant"), "_host", "left"))
+
+
+class Known:
+    """Parsed template texts of the hosts a task has met."""
+
+    def __init__(self) -> None:
+        self.parsed: dict[str, frozenset] = {}
+
+    def get(self, constant: str | None) -> frozenset:
+        if constant is None:
+            return frozenset()
+        if constant not in self.parsed:
+            if len(self.parsed) > 1000:
+                self.parsed.clear()
+            self.parsed[constant] = frozenset((p, h) for p, hs in json.loads(constant).items() for h in hs)
+        return self.parsed[constant]
+
+
+def stream_counts(pages: DataFrame, template: DataFrame) -> DataFrame:
+    """host, layout, path, stream, chars: the distinct token streams of every place, counted in each batch first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known()
+        for batch in batches:
+            counts: dict[tuple, int] = defaultdict(int)
+            for host, source, constant in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                found = streams(source, known.get(constant))
+                layout = layout_of(found)
+                for path, (lists, chars) in found.items():
+                    if path.endswith("!"):
+                        continue
                     for i, s in enumerate(lists):
-                        counts[host, path, json.dumps(s)] += 0 if i else chars
+                        counts[host, layout, path, json.dumps(s)] += 0 if i else chars
             rows = list(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)]
-                                             + [pa.array([counts[r] for r in rows], pa.int64())],
-                                             names=["host", "path", "stream", "chars"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                 *(pa.array([r[k] for r in rows], pa.string()) for k in (2, 3)), pa.array([counts[r] for r in rows], pa.int64())],
+                names=["host", "layout", "path", "stream", "chars"])
 
-    return (pages.select(host_of(F.col("url")).alias("host"), "html")
-            .mapInArrow(run, "host string, path string, stream string, chars long")
-            .groupBy("host", "path", "stream").agg(F.sum("chars").alias("chars")))
+    return (with_constants(pages, template).select(F.col("_host").alias("host"), "html", "constant")
+            .mapInArrow(run, "host string, layout long, path string, stream string, chars long")
+            .groupBy("host", "layout", "path", "stream").agg(F.sum("chars").alias("chars")))
 
 
 def fold(group: pd.DataFrame) -> tuple[str, int]:
@@ -267,9 +352,16 @@ def fold(group: pd.DataFrame) -> tuple[str, int]:
     return json.dumps(wrapper), int(group["chars"].sum())
 
 
-def main_path(places: dict[str, int]) -> str:
-    """The element that holds the host's article: <article> or <main> where there is one, else the deepest
-    element with most of the text that does not lie around it."""
+def repeats(path: str, expressions: dict[str, list[str]]) -> bool:
+    """Whether the element is in a repeated group of its parent's expression."""
+    above, _, label = path.rpartition("/")
+    return any(item[-1] in "+*" and label in base(item).strip("()").split() or item[:1] == "(" and label in
+               (base(x) for x in base(item).strip("()").split()) for item in expressions.get(above, ()))
+
+
+def main_path(places: dict[str, int], expressions: dict[str, list[str]]) -> str:
+    """The element that holds the article of a layout: <article> or <main> where there is one, else the deepest
+    element with most of the data that does not lie around it; of a repeated group, the element around the group."""
     below: dict[str, int] = defaultdict(int)
     for path, chars in places.items():
         if not path.endswith("!"):
@@ -277,67 +369,82 @@ def main_path(places: dict[str, int]) -> str:
             for k in range(1, len(parts) + 1):
                 below["/".join(parts[:k])] += chars
     named = [p for p in below if re.fullmatch(r"article|main", p.rsplit("/", 1)[-1].split(".")[0])]
-    if named:
-        inner = [p for p in named if re.match("article", p.rsplit("/", 1)[-1])] or named
+    if named and any(below[p] for p in named):
+        inner = [p for p in named if re.match("article", p.rsplit("/", 1)[-1]) and below[p]] or named
         return max(inner, key=lambda p: (below[p], p))
     total = below.get("", 0)
-    holders = [p for p in below if below[p] >= 0.7 * total and not re.fullmatch(
-        r"p|h\d|li|td|th|tr|pre|blockquote|dd|dt", p.rsplit("/", 1)[-1].split(".")[0])]
-    return max(holders, key=lambda p: (p.count("/"), below[p], p), default="")
+    holders = [p for p in below if below[p] >= 0.7 * total and not LEAF.search(p)]
+    best = max(holders, key=lambda p: (p.count("/"), below[p], p), default="")
+    while best and repeats(best, expressions):
+        best = best.rpartition("/")[0]
+    return best
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, main (path of the article), wrapper (JSON: place -> union-free expression)."""
-    counted = stream_counts(pages).withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(SALT)))
+    """host, layout, main (path of the article), constant (template texts of the host), one row for each layout."""
+    template = written(constants(pages), "html-constants")
+    counted = stream_counts(pages, template).withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(SALT)))
 
     def part(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         wrapper, chars = fold(group)
-        return pd.DataFrame({"host": [key[0]], "path": [key[1]], "stream": [wrapper], "chars": [chars]})
+        return pd.DataFrame({"host": [key[0]], "layout": [key[1]], "path": [key[2]], "stream": [wrapper], "chars": [chars]})
 
     def whole(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         places = {path: fold(g) for path, g in group.groupby("path")}
-        main = main_path({p: c for p, (_, c) in places.items()})
-        return pd.DataFrame({"host": [key[0]], "main": [main],
-                             "wrapper": [json.dumps({p: json.loads(w) for p, (w, _) in sorted(places.items())})]})
+        main = main_path({p: c for p, (_, c) in places.items()}, {p: json.loads(w) for p, (w, _) in places.items()})
+        return pd.DataFrame({"host": [key[0]], "layout": [key[1]], "main": [main]})
 
-    parts = counted.groupBy("host", "path", "salt").applyInPandas(part, "host string, path string, stream string, chars long")
-    return parts.groupBy("host").applyInPandas(whole, "host string, main string, wrapper string")
+    parts = counted.groupBy("host", "layout", "path", "salt").applyInPandas(
+        part, "host string, layout long, path string, stream string, chars long")
+    return (parts.groupBy("host", "layout").applyInPandas(whole, "host string, layout long, main string")
+            .join(template, "host", "left"))
 
 
-def read_page(source: str | None, main: str | None, wrapper: dict | None) -> str:
-    """The texts in the wrapper's article slots, in page order."""
-    texts = []
-    every = re.compile(r"/(?:article|main)(?:\.[^/!]*)?(?:/|$)")
-    for kind, path, what in blocks_of(source):
-        if kind != "text" or path.endswith("!"):
-            continue
-        if wrapper is not None and not any("#" in base(i) for i in wrapper.get(path, ())):
-            continue                                       # no slot of the wrapper
-        if main is not None and (path == main or path.startswith(main + "/")) or every.search(path):
-            texts.append(what)
-    return "\n".join(texts)
+def choose(texts: list[dict], main: str | None) -> str:
+    """The data texts in the layout's article, in page order; a page that has none there gives its own largest block.
+    Template texts count only on a page that has nothing else."""
+    every = lambda path: bool(NAMED.search(path))
+    inside = lambda path: main is not None and (path == main or path.startswith(main + "/"))
+    data = [t for t in texts if t["data"]]
+    kept = [t for t in data if inside(t["path"]) or every(t["path"])]
+    return "\n".join(t["text"] for t in kept)
 
 
 def extract(pages: DataFrame, found: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of every page, read along the wrapper of its host."""
-    joined = (pages.select("page_id", "url", "html", host_of(F.col("url")).alias("_host"))
-              .join(found.withColumnRenamed("host", "_host"), "_host", "left").select("page_id", "url", "html", "main", "wrapper"))
+    """page_id, url, text, n_chars of every page, read along the wrapper of its host and layout."""
+    template = found.where(F.col("constant").isNotNull()).groupBy("host").agg(F.first("constant").alias("constant"))
+    texts = "array<struct<path:string,text:string,data:boolean>>"
+    arrow = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("data", pa.bool_())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str | None, dict | None] = {}
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known()
         for batch in batches:
-            texts = []
-            for source, main, wrapper in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                if wrapper not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[wrapper] = None if wrapper is None else json.loads(wrapper)
-                texts.append(read_page(source, main, known[wrapper]))
+            layouts, made = [], []
+            for source, constant in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                paths, own, some = {""}, [], known.get(constant)
+                for kind, path, what in blocks_of(source):
+                    if kind == "close":
+                        paths.add(path)
+                    elif kind == "text" and not path.endswith("!"):
+                        own.append({"path": path, "text": what, "data": not some or (path, digest(what)) not in some})
+                layouts.append(layout_of(paths))
+                made.append(own)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+                [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), batch.column(2).cast(pa.string()),
+                 pa.array(layouts, pa.int64()), pa.array(made, arrow)], names=["page_id", "url", "_host", "layout", "texts"])
 
-    return joined.mapInArrow(run, SCHEMA)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [choose(t, main) for t, main in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(made, pa.string()), pa.array([len(t) for t in made], pa.int64())],
+                names=["page_id", "url", "text", "n_chars"])
+
+    parsed = (with_constants(pages, template).select("page_id", "url", "_host", "html", "constant")
+              .mapInArrow(read, f"page_id long, url string, _host string, layout long, texts {texts}"))
+    mains = found.select(F.col("host").alias("_host"), "layout", "main")
+    return (parsed.join(mains, ["_host", "layout"], "left").select("page_id", "url", "texts", "main")
+            .mapInArrow(write, SCHEMA))
 
 
 def op8_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -305,6 +305,27 @@ def test_pages_without_surroundings(spark):
     assert html_wrappers.extract(pages.limit(0), html_wrappers.wrappers(pages.limit(0))).count() == 0
 
 
+def extracted(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_wrappers.extract(pages, html_wrappers.wrappers(pages)).collect()}
+
+
+def test_constant_text_in_neutral_elements_is_template(spark):
+    body = lambda i: f"<p>story {i} begins here</p><p>and story {i} goes on</p>"
+    rows = [(i, f"http://n/{i}", f"<html><body><div><p>Home</p><p>Shop at our partner</p></div><div>{body(i)}</div></body></html>")
+            for i in range(8)]
+    rows += [(100 + i, "http://copies/", f"<html><body><div>{body(1)}</div></body></html>") for i in range(5)]
+    got = extracted(spark, rows)
+    assert all(got[i] == f"story {i} begins here\nand story {i} goes on" for i in range(8))
+    assert all(got[100 + i] == "story 1 begins here\nand story 1 goes on" for i in range(5))
+
+
+def test_repeated_groups_choose_the_element_around_them(spark):
+    parts = lambda i: "".join(f"<div class=head>part {k} of {i}</div><section>{' '.join(prose(40, 9 * i + k))}</section>" for k in range(3))
+    got = extracted(spark, [(i, f"http://g/{i}", f"<html><body><div class=text>{parts(i)}</div></body></html>") for i in range(6)])
+    assert all(f"part {k} of {i}" in got[i] for i in range(6) for k in range(3))
+
+
 def test_alignment_infers_optional_and_repeated_groups():
     assert html_wrappers.collapse(["p", "p", "p", "h2"]) == ["p+", "h2"]
     assert html_wrappers.collapse(["dt", "dd", "dt", "dd"]) == ["(dt dd)+"]
