@@ -224,8 +224,10 @@ def align(a: list[str], b: list[str]) -> list[str]:
 
 
 def layout_of(paths: Iterable[str]) -> int:
-    """All pages of a host are one layout."""
-    return 0
+    """Digest of a page's skeleton: its places that can hold blocks, down to <article> and <main>."""
+    places = {p for p in paths if not p.endswith("!") and not LEAF.search(p)}
+    skeleton = sorted(p for p in places if not NAMED.search(p.rsplit("/", 1)[0]))
+    return digest("\n".join(skeleton))
 
 
 def digest(text: str) -> int:
@@ -407,6 +409,12 @@ def choose(texts: list[dict], main: str | None) -> str:
     inside = lambda path: main is not None and (path == main or path.startswith(main + "/"))
     data = [t for t in texts if t["data"]]
     kept = [t for t in data if inside(t["path"]) or every(t["path"])]
+    if not kept and texts:
+        left, places = data or texts, defaultdict(int)
+        for t in left:
+            places[t["path"]] += len(t["text"])
+        own = main_path(places, {})
+        kept = [t for t in left if t["path"] == own or t["path"].startswith(own + "/")]
     return "\n".join(t["text"] for t in kept)
 
 

@@ -326,6 +326,18 @@ def test_repeated_groups_choose_the_element_around_them(spark):
     assert all(f"part {k} of {i}" in got[i] for i in range(6) for k in range(3))
 
 
+def test_every_layout_of_a_host_has_its_own_article(spark):
+    rows = [(i, f"http://h/{i}", page(f"<article><p>article {i} {'x ' * 50}</p></article>")) for i in range(6)]
+    rows += [(10 + i, f"http://h/{10 + i}", page(f"<div class=plain><p>plain text {i}</p></div>")) for i in range(3)]
+    rows += [(20, "http://h/20", "plain < text & no markup"), (21, "http://h/21", page("<article></article><div><p>beside it</p></div>"))]
+    rows += [(30 + i, f"http://k/{i}", page(f"<div class=big><p>{'many words ' * 30}{i}</p></div>")) for i in range(6)]
+    rows += [(40 + i, f"http://k/{9 + i}", page(f"<div class=small><p>few words {i}</p></div>")) for i in range(3)]
+    got = extracted(spark, rows)
+    assert all(got[10 + i] == f"plain text {i}" and got[40 + i] == f"few words {i}" for i in range(3))
+    assert got[20] == "plain < text & no markup" and got[21] == "beside it"
+    assert got[0].startswith("article 0") and got[30].endswith("words 0")
+
+
 def test_alignment_infers_optional_and_repeated_groups():
     assert html_wrappers.collapse(["p", "p", "p", "h2"]) == ["p+", "h2"]
     assert html_wrappers.collapse(["dt", "dd", "dt", "dd"]) == ["(dt dd)+"]
