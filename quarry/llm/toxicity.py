@@ -1,15 +1,15 @@
 """Operator 4, toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max index.
 
-Terms are the words, and beginnings of words, that tell the labels apart: a term is kept if its document
-counts under the two labels differ by a large factor and by more than chance allows (at most TERMS of them).
-Texts are TF-IDF vectors over these terms, with document frequencies over all documents.  Labelled examples, dealt into blocks, forms an inverted index; each term keeps its largest weight in
-each block.  A text's blocks are opened in the order of their upper bounds until no block
-can hold a nearer example than those found, so the nearest ones are exact.  Their votes are
+Terms are all words, and beginnings of words, of the indexed examples.  Texts are TF-IDF vectors over these terms,
+with document frequencies over all documents, and each term weighted by how far and how surely its document counts
+under the two labels differ; no weight is zero.  Labelled examples form an inverted index: rare terms are
+added up from their postings, common ones are bounded by their largest weight in each block of examples, and
+only examples whose bound reaches the nearest found are completed, so the nearest ones are exact.  Their votes are
 weighted by cosine and shrunk to the base rate, and isotonic regression on other labelled rows turns
 votes into probabilities.  The nearest examples are returned as evidence.
 
 The classifier is fitted on a bounded sample of labelled rows: LABELLED rows of each label (the smallest hashes of
-their ids) choose at most TERMS terms, and of these rows EXAMPLES are indexed and CALIBRATION calibrate.
+their ids) weight the terms, and of these rows EXAMPLES are indexed and CALIBRATION calibrate.
 
 Defined results: null and empty texts, and texts without a term, have no neighbours and get the
 calibrated score of no vote; rows with a null label and ids with contradicting labels are not learned
@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,13 +32,15 @@ from quarry.llm.common import crc_col, crc_of, map_rows, table
 from quarry.llm.decontaminate import words_of
 from quarry.llm.quality_model import bounded_sample, clean_labels
 
-TERMS = 4000
-LABELLED = 20_000              # of each label, to choose terms by
+LABELLED = 20_000              # of each label, to weight terms by
 EXAMPLES = 4000                # of each label, in the index
 CALIBRATION = 2000             # of each label, for the calibration
 BEGINNINGS = (4, 5, 6, 7)      # letters of a word's beginnings that are terms too, written with a star
-LIFT, SIGNIFICANCE = 8.0, 15.0  # least ratio of a term's rates, least G of its counts
+LIFT, SIGNIFICANCE = 8.0, 15.0  # ratio of a term's rates that has full weight, G of its counts that has half
+LEAST_WEIGHT = 0.01            # weight of a term that tells nothing about the labels
 NEAREST, BLOCK = 15, 64
+COMMON = 16                    # a term in more than one of so many examples is bounded by blocks
+CACHED = 500_000               # words whose terms are remembered
 SHRINK = 0.5                   # weight of the base rate among the votes
 THRESHOLD = 0.3
 SCHEMA = ("doc_id long, held_out boolean, score double, predicted int, "
@@ -54,39 +57,101 @@ def terms_of(words: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
                 yield letters[:k].encode() + b"*", word
 
 
+class TermNumbers:
+    """Numbers of the terms of a word; looked up once for each word met."""
+
+    def __init__(self, terms: Iterable[bytes]) -> None:
+        self.number = {t: i for i, t in enumerate(terms)}
+        self.known: dict[bytes, tuple[int, ...]] = {}
+
+    def __getstate__(self) -> dict:
+        return {"number": self.number, "known": {}}
+
+    def of(self, word: bytes) -> tuple[int, ...]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= CACHED:
+                self.known.clear()
+            found = self.known[word] = tuple(self.number[t] for t, _ in terms_of([word]) if t in self.number)
+        return found
+
+    def counts(self, words: dict[bytes, int]) -> dict[int, int]:
+        out: dict[int, int] = defaultdict(int)
+        for word, n in words.items():
+            for t in self.of(word):
+                out[t] += n
+        return out
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 class BlockMaxIndex:
-    """Unit vectors of the examples, term by term and block by block."""
-
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int) -> None:
-        self.n_blocks = -(-len(vectors) // BLOCK)
-        self.postings: dict[tuple[int, int], tuple[list, list]] = defaultdict(lambda: ([], []))
-        self.block_max = np.zeros((n_terms, self.n_blocks))
-        for e, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                places, weights = self.postings[term, e // BLOCK]
-                places.append(e % BLOCK)
-                weights.append(weight)
-                self.block_max[term, e // BLOCK] = max(self.block_max[term, e // BLOCK], weight)
-        self.postings = {k: (np.array(p), np.array(w)) for k, (p, w) in self.postings.items()}
+    """Unit vectors of the examples: postings of rare terms; of common terms the weights, and the largest in each block."""
+
+    def __init__(self, vectors: Iterable[dict[int, float]], n_terms: int) -> None:
+        terms, weights, sizes = [], [], []
+        for vector in vectors:
+            terms.append(np.fromiter(vector.keys(), np.int32, len(vector)))
+            weights.append(np.fromiter(vector.values(), np.float32, len(vector)))
+            sizes.append(len(vector))
+        self.n = len(sizes)
+        self.n_blocks = -(-self.n // BLOCK)
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        terms = np.concatenate([np.zeros(0, np.int32), *terms])
+        weights = np.concatenate([np.zeros(0, np.float32), *weights])
+        held = np.bincount(terms, minlength=n_terms)
+        common = np.flatnonzero(held * COMMON > self.n)
+        self.row = np.full(n_terms, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        at = self.row[terms]
+        self.common = np.zeros((self.n_blocks * BLOCK, len(common)), np.float32)
+        self.common[owner[at >= 0], at[at >= 0]] = weights[at >= 0]
+        self.block_max = np.ascontiguousarray(self.common.reshape(self.n_blocks, BLOCK, len(common)).max(axis=1).T
+                                              if self.n else np.zeros((len(common), 0), np.float32))
+        rare = np.flatnonzero(at < 0)
+        rare = rare[np.argsort(terms[rare], kind="stable")]
+        self.places, self.weights = owner[rare], weights[rare]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms[rare], minlength=n_terms))])
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
-        """The k largest positive cosines as (cosine, example); blocks that cannot hold one stay closed."""
-        if not query or not self.n_blocks:
+        """The k largest positive cosines as (cosine, example); examples that cannot be among them stay incomplete."""
+        if not query or not self.n:
             return []
-        terms, weights = list(query), np.array(list(query.values()))
-        bound = weights @ self.block_max[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] <= best[-1][0]:
-                break
-            cosine = np.zeros(BLOCK)
-            for t, w in zip(terms, weights, strict=True):
-                if (t, b) in self.postings:
-                    places, weight = self.postings[t, b]
-                    cosine[places] += w * weight
-            found = [(min(1.0, float(cosine[i])), b * BLOCK + int(i)) for i in np.flatnonzero(cosine)]
-            best = sorted([*best, *found], key=lambda x: -x[0])[:k]
-        return best
+        terms, weights = np.fromiter(query.keys(), np.int64, len(query)), np.fromiter(query.values(), float, len(query))
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        at = ranges(self.starts[terms], sizes)
+        cosine = np.bincount(self.places[at], self.weights[at] * np.repeat(weights, sizes), self.n).astype(float)
+        rows = self.row[terms]
+        rows, weights = rows[rows >= 0], weights[rows >= 0]
+        if not len(rows):
+            return [(min(1.0, float(cosine[i])), int(i)) for i in self.top(cosine, k) if cosine[i] > 0]
+        bound = cosine + np.repeat(weights @ self.block_max[rows], BLOCK)[:self.n] * (1 + 1e-6)
+        least = np.partition(cosine, -k)[-k] if self.n > k else 0.0
+        # Those with the highest bounds first: what they reach closes most of the others.
+        first = np.argpartition(bound, -4 * k)[-4 * k:] if self.n > 4 * k else np.arange(self.n)
+        cosine[first] += self.common[first[:, None], rows] @ weights
+        done = np.zeros(self.n, bool)
+        done[first] = True
+        if self.n > 4 * k:
+            least = max(least, np.partition(cosine[first], -k)[-k])
+            rest = np.flatnonzero((bound >= least) & ~done & (bound > 0))
+            for part in range(0, len(rest), 1024):
+                some = rest[part:part + 1024]
+                cosine[some] += self.common[some[:, None], rows] @ weights
+            done[rest] = True
+        cosine[~done] = 0.0
+        return [(min(1.0, float(cosine[i])), int(i)) for i in self.top(cosine, k) if cosine[i] > 0]
+
+    @staticmethod
+    def top(cosine: np.ndarray, k: int) -> np.ndarray:
+        """The k largest, the first of equal ones first."""
+        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
+        some = np.flatnonzero(cosine >= least)
+        return some[np.argsort(-cosine[some], kind="stable")][:k]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,18 +167,18 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Terms with idf, the index, the labels and ids of its examples, and the calibration."""
+    """Terms with their weights, the index, the labels and ids of its examples, and the calibration."""
 
-    def __init__(self, idf: dict[bytes, float], examples: list[tuple[int, int, list[bytes]]], base: float,
-                 calibration: list[tuple[int, int, list[bytes]]]) -> None:
-        self.number = {w: i for i, w in enumerate(idf)}
-        self.idf = list(idf.values())
+    def __init__(self, terms: TermNumbers, weights: np.ndarray, examples: list[tuple[int, int, bytes, list[int]]],
+                 base: float, calibration: list[tuple[int, int, bytes, list[int]]]) -> None:
+        self.terms, self.weights = terms, weights
+        counted = lambda e: dict(zip(e[2].split(), e[3], strict=True))
         self.base = base
         self.ids, self.labels = [e[0] for e in examples], [e[1] for e in examples]
-        self.index = BlockMaxIndex([self.vector(e[2]) for e in examples], len(idf))
+        self.index = BlockMaxIndex((self.vector(counted(e)) for e in examples), len(weights))
         self.at = self.rate = None
         if calibration:
-            votes = np.array([self.vote(self.neighbours(c[2])) for c in calibration])
+            votes = np.array([self.vote(self.neighbours(counted(c))) for c in calibration])
             # The sample is balanced; weights bring back the base rate of the labels.
             labels = np.array([c[1] for c in calibration], float)
             weight = np.where(labels == 1, base / max(1e-9, labels.mean()), (1 - base) / max(1e-9, 1 - labels.mean()))
@@ -121,16 +186,15 @@ class Model:
             ones, zeros = balanced * weight[labels == 1].max(initial=0), (1 - balanced) * weight[labels == 0].max(initial=0)
             self.rate = ones / np.maximum(1e-12, ones + zeros)
 
-    def vector(self, words: list[bytes]) -> dict[int, float]:
-        words, counts = Counter(words), Counter()
-        for term, word in terms_of(words):
-            if term in self.number:
-                counts[self.number[term]] += words[word]
-        raw = {t: (1 + np.log(c)) * self.idf[t] for t, c in counts.items()}
-        norm = np.sqrt(sum(v * v for v in raw.values()))
-        return {t: float(v / norm) for t, v in raw.items()}
+    def vector(self, words: dict[bytes, int]) -> dict[int, float]:
+        counts = self.terms.counts(words)
+        if not counts:
+            return {}
+        at = np.fromiter(counts.keys(), np.int64, len(counts))
+        raw = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.weights[at]
+        return dict(zip(at.tolist(), (raw / np.sqrt(raw @ raw)).tolist(), strict=True))
 
-    def neighbours(self, words: list[bytes]) -> list[tuple[float, int]]:
+    def neighbours(self, words: dict[bytes, int]) -> list[tuple[float, int]]:
         return self.index.nearest(self.vector(words), NEAREST)
 
     def vote(self, near: list[tuple[float, int]]) -> float:
@@ -142,84 +206,76 @@ class Model:
             return vote if self.labels else 0.0
         return float(np.interp(vote, self.at, self.rate))
 
-    def score(self, words: list[bytes]) -> tuple[float, list[tuple]]:
+    def score(self, words: dict[bytes, int]) -> tuple[float, list[tuple]]:
         near = self.neighbours(words)
         return self.calibrated(self.vote(near)), [(self.ids[e], c, self.labels[e]) for c, e in near[:3]]
 
 
-def term_counts(labelled: DataFrame) -> DataFrame:
-    """word, zeros, ones: documents of each label that hold the word, summed in each batch before the shuffle."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = (Counter(), Counter())
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[label].update({t for t, _ in terms_of(set(words_of(text)))})
-            words = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array([seen[0][w] for w in words], pa.int64()),
-                 pa.array([seen[1][w] for w in words], pa.int64())], names=["word", "zeros", "ones"])
-
-    return (labelled.select("label", "text").mapInArrow(run, "word binary, zeros long, ones long")
-            .groupBy("word").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")))
-
-
-def choose_terms(counts: DataFrame, zeros: int, ones: int) -> list[bytes]:
-    """The kept terms, most telling first."""
-    a, b, n = F.col("ones"), F.col("zeros"), zeros + ones
-    both = a + b
-    part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
-    g = 2 * (part(a, both * ones / n) + part(b, both * zeros / n))
-    lift = ((a + 0.5) / (ones + 1)) / ((b + 0.5) / (zeros + 1))
-    kept = (counts.withColumn("g", g).withColumn("lift", lift)
-            .where((F.col("g") >= SIGNIFICANCE) & ((F.col("lift") >= LIFT) | (F.col("lift") <= 1 / LIFT)))
-            .orderBy(F.desc("g"), "word").limit(TERMS).select("word"))
-    return [bytes(r["word"]) for r in kept.collect()]
-
+def term_weights(counts: dict[int, np.ndarray], zeros: int, ones: int) -> np.ndarray:
+    """The weight of each term: how far its rates under the two labels differ, times how sure that is."""
+    a, b = counts[1][:-1].astype(float), counts[0][:-1].astype(float)
+    both, total = a + b, zeros + ones
+    part = lambda o, e: np.where(o > 0, o * np.log(np.maximum(o, 1e-9) / np.maximum(e, 1e-9)), 0.0)
+    g = np.maximum(0.0, 2 * (part(a, both * ones / total) + part(b, both * zeros / total)))
+    lift = np.abs(np.log(((a + 0.5) / (ones + 1)) / ((b + 0.5) / (zeros + 1))))
+    return LEAST_WEIGHT + g / (g + SIGNIFICANCE) * np.minimum(1.0, lift / np.log(LIFT))
 
-def inverse_frequency(docs: DataFrame, terms: list[bytes]) -> dict[bytes, float]:
-    """term -> idf, from its document frequency over all documents; at most TERMS counts leave a batch."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
 
+def term_counts(docs: DataFrame, shared: Broadcast) -> dict[int, np.ndarray]:
+    """For each label the documents that hold each term, by its number, and last the number of all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, seen = 0, Counter()
+        terms = shared.value
+        size = len(terms.number) + 1
+        seen: dict[int, np.ndarray] = {}
         for batch in batches:
-            n += batch.num_rows
-            for text in batch.column(0).to_pylist():
-                seen.update({t for t, _ in terms_of(set(words_of(text))) if t in shared.value})
-        yield pa.RecordBatch.from_arrays([pa.array([None, *seen], pa.binary()), pa.array([n, *seen.values()], pa.int64())],
-                                         names=["word", "n"])
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held = set().union(*map(terms.of, set(words_of(text))))
+                held.add(size - 1)
+                seen.setdefault(label, np.zeros(size, np.int64))[np.fromiter(held, np.int64, len(held))] += 1
+        for label, n in seen.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), label, np.int32)), pa.array(at.astype(np.int32)),
+                                              pa.array(n[at])], names=["label", "term", "n"])
+
+    counted = (docs.select(F.col("label").cast("int"), "text").mapInArrow(run, "label int, term int, n long")
+               .groupBy("label", "term").agg(F.sum("n").alias("n")).toArrow())
+    label, term, n = (counted.column(k).to_numpy() for k in range(3))
+    out = {k: np.zeros(len(shared.value.number) + 1, np.int64) for k in (0, 1)}
+    for k in out:
+        out[k][term[label == k]] = n[label == k]
+    return out
+
+
+def inverse_frequency(docs: DataFrame, shared: Broadcast) -> np.ndarray:
+    """idf of each term, from its document frequency over all documents; at most the vocabulary leaves a task."""
+    df = term_counts(docs.select(F.lit(0).alias("label"), "text"), shared)[0]
+    return np.log(1 + df[-1] / np.maximum(1, df[:-1]))
+
+
+def labelled_words(docs: DataFrame, sample: DataFrame) -> list[tuple[int, int, bytes, list[int]]]:
+    """doc_id, label, words (joined by spaces) and their counts of the sampled documents."""
+    def terms(ids: list, labels: list, texts: list) -> dict:
+        counted = [Counter(words_of(t)) for t in texts]
+        return {"doc_id": ids, "label": labels, "words": [b" ".join(c) for c in counted],
+                "counts": [list(c.values()) for c in counted]}
 
-    counted = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    df = {r["word"] and bytes(r["word"]): r["n"] for r in counted}
-    return {t: float(np.log(1 + df[None] / max(1, df.get(t, 0)))) for t in terms}
+    picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).drop("_id")
+    got = map_rows(picked, terms, ["doc_id", "label", "text"], "doc_id long, label int, words binary, counts array<int>").toArrow()
+    return list(zip(*(c.to_pylist() for c in got.columns), strict=True))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     learn = clean_labels(labels, "toxic", crc_col() % 4 != 2)
     sizes = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
-        return Model({}, [], 0.0, [])
-    part = {k: bounded_sample(learn.where(F.col("label") == k), sizes[k], LABELLED) for k in (0, 1)}
-    sample = part[0].unionByName(part[1]).withColumnRenamed("doc_id", "_id")
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).drop("_id")
-    kept = choose_terms(term_counts(picked), min(LABELLED, sizes[0]), min(LABELLED, sizes[1]))
-    idf = inverse_frequency(docs, kept)
-    fewer = {k: bounded_sample(learn.where(F.col("label") == k), sizes[k], EXAMPLES + CALIBRATION) for k in (0, 1)}
-    sample = fewer[0].unionByName(fewer[1]).withColumnRenamed("doc_id", "_id")
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).drop("_id")
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(idf))
-
-    def useful(text: str | None) -> list[bytes]:           # only the words with a kept term leave the task
-        words = words_of(text)
-        some = {w for t, w in terms_of(set(words)) if t in shared.value}
-        return [w for w in words if w in some]
+        return Model(TermNumbers([]), np.zeros(0), [], 0.0, [])
 
-    def terms(ids: list, labels: list, texts: list) -> dict:
-        return {"doc_id": ids, "label": labels, "words": [useful(t) for t in texts]}
+    def sample(n: int) -> DataFrame:
+        part = {k: bounded_sample(learn.where(F.col("label") == k), sizes[k], n) for k in (0, 1)}
+        return part[0].unionByName(part[1]).withColumnRenamed("doc_id", "_id")
 
-    got = map_rows(picked, terms, ["doc_id", "label", "text"], "doc_id long, label int, words array<binary>").toArrow().to_pylist()
     # A third of the sample, by another hash of the id, calibrates; the rest is indexed.
-    got = sorted(((r["doc_id"], r["label"], r["words"]) for r in got), key=lambda r: (crc_of(f"{r[0]}:"), r[0], r[2]))
+    got = sorted(labelled_words(docs, sample(EXAMPLES + CALIBRATION)), key=lambda r: (crc_of(f"{r[0]}:"), r[0], r[2]))
     share = CALIBRATION / (EXAMPLES + CALIBRATION)
     calibration, examples = [], []
     for label in (0, 1):
@@ -227,15 +283,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         cut = int(len(own) * share)
         calibration += own[:cut]
         examples += own[cut:]
-    examples.sort(key=lambda r: (sorted(set(r[2])), r[1], r[0]))    # like examples share a block: tighter bounds
-    return Model(idf, examples, sizes[1] / (sizes[0] + sizes[1]), calibration)
+    terms = TermNumbers(sorted({t for w in {w for r in examples for w in r[2].split()} for t, _ in terms_of([w])}))
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    picked = docs.select("doc_id", "text").join(F.broadcast(sample(LABELLED)), F.col("doc_id") == F.col("_id"))
+    telling = term_weights(term_counts(picked, shared), min(LABELLED, sizes[0]), min(LABELLED, sizes[1]))
+    weights = telling * inverse_frequency(docs, shared)
+
+    # Like examples share a block, which tightens its bounds: they are ordered by their heaviest terms.
+    def heaviest(r: tuple) -> tuple:
+        found = {t for w in r[2].split() for t in terms.of(w)}
+        return sorted(found, key=lambda t: (-weights[t], t))[:8], r[1], r[0], r[2]
+
+    examples.sort(key=heaviest)
+    return Model(terms, weights, examples, sizes[1] / (sizes[0] + sizes[1]), calibration)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(ids: list, texts: list) -> dict:
-        made = [shared.value.score(words_of(t)) for t in texts]
+        made = [shared.value.score(Counter(words_of(t))) for t in texts]
         return {"doc_id": ids, "held_out": [crc_of(i) % 4 == 2 for i in ids], "score": [m[0] for m in made],
                 "predicted": [int(m[0] >= THRESHOLD) for m in made],
                 "evidence": [[dict(zip(("doc_id", "cosine", "label"), e, strict=True)) for e in m[1]] for m in made]}

@@ -144,6 +144,16 @@ def test_block_max_search_is_exact():
         assert np.allclose(got, [w for w in want if w > 0][:10])
 
 
+def test_copies_of_examples_are_found_whatever_their_words(spark, table_of):
+    docs, labels = toxic_table(spark)
+    model = toxicity.fit(table_of(docs), labels)
+    ids = set(model.ids)
+    copies = [(10_000 + i, t) for i, t in docs if i in ids]
+    rows = toxicity.score(table_of(copies), model).collect()
+    assert len(rows) == len(ids) and {r.doc_id % 10_000 for r in rows} == ids
+    assert all(r.evidence and r.evidence[0].doc_id == r.doc_id - 10_000 and r.evidence[0].cosine > 0.999 for r in rows)
+
+
 def test_isotonic_rises():
     at, rate = toxicity.isotonic(np.array([0, 0, 1, 2, 3, 3.0]), np.array([0, 1, 0, 1, 1, 1.0]))
     assert (np.diff(rate) > 0).all() and (np.diff(at) > 0).all()
