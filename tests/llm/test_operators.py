@@ -94,6 +94,24 @@ def test_quality_bands_reject_repetition_and_noise():
     assert loop
 
 
+def test_quality_bands_reject_encoded_text():
+    import base64
+    import zstandard
+    z = zstandard.ZstdCompressor(level=3)
+    r = random.Random(4)
+    text = lambda word, size: " ".join(word() for _ in range(size // 13 + 1))[:size]
+    encoded = lambda: base64.b64encode(r.randbytes(9)).decode()
+    letters = lambda: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=12))
+    assert not any(quality_rules.judge(text(encoded, n), z)[6] for n in (300, 600, 1500, 3000, 5000, 9000, 40_000))
+    assert not any(quality_rules.judge(text(letters, n), z)[6] for n in (2500, 5000, 9000, 40_000))
+    assert not any(quality_rules.judge(text(lambda: r.randbytes(6).hex(), n), z)[6] for n in (20_000, 40_000))
+    # Chunks of texts that are not much longer than one, and the end of a text.
+    clean = " ".join(prose(800, 1))[:4096]
+    assert quality_rules.judge(clean + " " + " ".join(prose(800, 2))[:3000], z)[6]
+    assert quality_rules.compression((clean + text(encoded, 3900)).encode(), z)[1:] == (1, False)
+    assert quality_rules.compression(clean.encode() + b"x", z)[1:] == (0, True)
+
+
 def test_quality_filter_keeps_columns(odd, table_of):
     out = quality_rules.quality_filter(odd)
     assert out.schema == odd.schema
