@@ -1,12 +1,13 @@
 """Operator 7, line dedup by pairwise alignment.
 
-Documents that overlap are found by what they share: a rare line (held by at most RARE_DOCS
-documents), two lines in a row, or the whole text.  Rare lines are the usual evidence; the other two
-have no limit of frequency, so that large groups of copies, whose lines are not rare, are found as well,
-while a line that many unrelated documents hold brings nobody together by itself.  For each such
+Documents that overlap are found by what they share: a line that is a passage by itself (PASSAGE_WORDS words), a
+shorter long line that is rare (held by at most RARE_SHARE of the documents, or RARE_DOCS of a small table), two lines
+in a row of which one is long, three short lines in a row, or the whole text.  Only single lines shorter than a
+passage have a limit of frequency: one that many unrelated documents hold brings nobody together by itself.  For each such
 piece of evidence the first document (smallest id) that holds it is paired with every later one: links grow
 with the lines, not with the square of a group.  Each pair is aligned by patience diff over line hashes;
-aligned blocks that hold a long line, or that make up the whole later document, are deleted from the later document.
+aligned blocks that hold a long line, that have PASSAGE_WORDS words in SHORT_LINES lines or more, or that make up the whole
+later document, are deleted from the later document.
 
 A line is deleted only where an earlier document holds it, so of every deleted line the first
 holder's copy stays.  Only ids and hashes of lines are shuffled to find and align pairs.
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import packed, table, written
 
-RARE_DOCS = 50                 # a line in more documents is no evidence by itself
+RARE_DOCS, RARE_SHARE = 50, 0.05  # a line shorter than a passage in more documents, and in more than this share, is no evidence
+PASSAGE_WORDS = 20             # words of a line that is a passage by itself, and of a block of short lines that goes
+SHORT_LINES = 3                # lines of a block of short lines that goes
 LONG_LINE = 40                 # characters of a line that is evidence, and that lets a block go
 
 KEY = ["_id", "_h"]
@@ -85,22 +88,33 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_blocks(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
-    """Ranges of lines of the later document to delete.  A hash is odd if its line is long, 0 if it is blank."""
+    """Ranges of lines of the later document to delete.  A hash is 0 if its line is blank; its lowest bit is set if the line
+    is long, the next if it is a passage, and three more count its words up to seven."""
     blocks: list[list[int]] = []
     for i, j in aligned(later, earlier):
         if blocks and blocks[-1][1] == i and blocks[-1][2] == j:
             blocks[-1][1:] = [i + 1, j + 1]
         else:
             blocks.append([i, i + 1, j + 1])
-    return [(s, e) for s, e, _ in blocks if e - s == len(later) or any(x & 1 for x in later[s:e])]
+    def goes(lines: list[int]) -> bool:
+        some = [x for x in lines if x]
+        return (len(lines) == len(later) or any(x & 1 for x in some)
+                or len(some) >= SHORT_LINES and sum(x >> 2 & 7 for x in some) >= PASSAGE_WORDS)
+
+    return [(s, e) for s, e, _ in blocks if goes(later[s:e])]
 
 
 def line_hashes(docs: DataFrame) -> DataFrame:
     """_id, _h, lines: one hash for each line of every distinct document with text."""
     trimmed = F.transform(F.split("text", "\n", -1), lambda line: F.btrim(line))
-    long = lambda line: F.when(F.length(line) >= LONG_LINE, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    def marks(line):
+        words = F.size(F.split(line, "\\s+"))
+        long = F.length(line) >= LONG_LINE
+        return (F.when(long, 1).otherwise(0) + F.when(long & (words >= PASSAGE_WORDS), 2).otherwise(0)
+                + 4 * F.least(words, F.lit(7))).cast("long")
+
     hashed = F.transform(trimmed, lambda line: F.when(line == "", F.lit(0).cast("long")).otherwise(
-        F.xxhash64(F.lit(7), line).bitwiseAND(F.lit(-2)).bitwiseOR(long(line))))
+        F.xxhash64(F.lit(7), line).bitwiseAND(F.lit(-32)).bitwiseOR(marks(line))))
     return (keyed(docs.select("doc_id", "text")).where(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != "")
             .select(*KEY, hashed.alias("lines")).groupBy(*KEY).agg(F.first("lines").alias("lines")))
 
@@ -108,18 +122,26 @@ def line_hashes(docs: DataFrame) -> DataFrame:
 def overlaps(lines: DataFrame) -> DataFrame:
     """Pairs (_id, _h, o_id, o_h) of a later document and the first document that holds the same evidence."""
     n = F.size("lines")
-    singles = F.filter("lines", lambda x: x.bitwiseAND(F.lit(1)) == 1)
+    singles = F.filter("lines", lambda x: x.bitwiseAND(F.lit(3)) == 1)
+    passages = F.filter("lines", lambda x: x.bitwiseAND(F.lit(3)) == 3)
+    short = lambda x: (x != 0) & (x.bitwiseAND(F.lit(1)) == 0)
+    after = lambda i, k: F.get("lines", i + k)
+    triples = F.when(n > 2, F.transform(F.slice("lines", 1, F.greatest(n - 2, F.lit(1))), lambda x, i: F.when(
+        short(x) & short(after(i, 1)) & short(after(i, 2)), F.xxhash64(x, after(i, 1), after(i, 2)))))
     doubles = F.when(n > 1, F.zip_with(
         F.slice("lines", 1, F.greatest(n - 1, F.lit(1))), F.slice("lines", 2, F.greatest(n - 1, F.lit(1))),
         lambda x, y: F.when((x != 0) & (y != 0) & ((x.bitwiseOR(y)).bitwiseAND(F.lit(1)) == 1), F.xxhash64(x, y))))
     pieces = lambda kind, values: F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("v")))
     every = F.flatten(F.array(pieces(0, F.array_distinct(singles)),
                               pieces(1, F.coalesce(F.array_distinct(doubles), F.array().cast("array<bigint>"))),
-                              pieces(2, F.array(F.xxhash64("lines")))))
+                              pieces(2, F.array(F.xxhash64("lines"))),
+                              pieces(3, F.array_distinct(passages)),
+                              pieces(4, F.coalesce(F.array_distinct(triples), F.array().cast("array<bigint>")))))
     seeds = written(lines.select(*KEY, F.explode(every).alias("s")).select(*KEY, "s.kind", "s.v").where(F.col("v").isNotNull()),
                     "line-seeds")
+    rare = max(RARE_DOCS, int(RARE_SHARE * lines.count()))
     first = (seeds.groupBy("kind", "v").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct(*KEY)).alias("o"))
-             .where((F.col("docs") > 1) & ((F.col("kind") != 0) | (F.col("docs") <= RARE_DOCS)))
+             .where((F.col("docs") > 1) & ((F.col("kind") != 0) | (F.col("docs") <= rare)))
              .select("kind", "v", F.col("o._id").alias("o_id"), F.col("o._h").alias("o_h")))
     return (seeds.join(first, ["kind", "v"]).where((F.col("_id") != F.col("o_id")) | (F.col("_h") != F.col("o_h")))
             .select(*KEY, "o_id", "o_h").distinct())

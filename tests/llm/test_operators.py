@@ -410,6 +410,22 @@ def test_frequent_line_alone_deletes_nothing_but_copies_are_found(table_of):
     assert got[1000] == docs[n][1] and all(got[1000 + i] == f"own {i}" for i in range(1, n))
 
 
+def test_frequent_passages_and_blocks_of_short_lines_go(table_of):
+    n = line_dedup.RARE_DOCS + 20
+    passage = " ".join(prose(60, 70))
+    short = "\n".join(" ".join(prose(5, 80 + k)) for k in range(6))
+    menu = "home\nabout\nterms"
+    own = lambda i: f"an own line of document {i} with enough characters"
+    docs = [(i, f"{own(i)}\n{passage}\nown end {i}") for i in range(n)]
+    docs += [(1000 + i, f"{own(1000 + i)}\n{short}\nown end {i}") for i in range(n)]
+    docs += [(2000 + i, f"{own(2000 + i)}\n{menu}\nown tail {i}") for i in range(n)]
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(table_of(docs)).collect()}
+    assert got[0] == docs[0][1] and got[1000] == docs[n][1]
+    assert all(got[i] == f"{own(i)}\nown end {i}" for i in range(1, n))
+    assert all(got[1000 + i] == f"{own(1000 + i)}\nown end {i}" for i in range(1, n))
+    assert all(got[i] == t for i, t in docs[2 * n:])
+
+
 def test_every_deleted_line_stays_in_an_earlier_document(table_of):
     pool = [f"{i} " + "x" * 45 for i in range(25)]
     docs = [(i, "\n".join(random.Random(i).choices(pool, k=6) + [f"own line {i} " + "y" * 40])) for i in range(60)]
