@@ -21,7 +21,6 @@ import sys
 from array import array
 from collections.abc import Iterable
 from heapq import heappop, heappush
-from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -35,20 +34,23 @@ UNIT = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 PUBLIC_TAIL = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 8                       # bits of a rank that index a leaf word of the bitmap
 LOW = (1 << LEAF) - 1
-CACHE = 250_000                # entries of a cache generation (two are kept: under 150 MB); only speed depends on it
+BIT = [1 << i for i in range(1 << LEAF)]
+CACHE_BYTES = 80_000_000       # of a cache generation (two are kept of two caches); only speed depends on it
+ENTRY = 230                    # bytes of an entry besides its text and ids, roughly
 CACHED_LENGTH = 64             # longer pre-tokens are never remembered
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class Memory:
-    """Bounded cache of two generations: a full one becomes the old one, and what is used again moves on."""
+    """Cache bounded in bytes, of two generations: a full one becomes the old one, and what is used again moves on."""
 
-    __slots__ = ("size", "new", "old")
+    __slots__ = ("limit", "room", "new", "old")
 
-    def __init__(self, size: int) -> None:
-        self.size, self.new, self.old = size, {}, {}
+    def __init__(self, limit: int) -> None:
+        self.limit = self.room = limit
+        self.new, self.old = {}, {}
 
-    def get(self, key: str) -> list[int] | None:
+    def get(self, key: str) -> bytes | None:
         found = self.new.get(key)
         if found is None:
             found = self.old.get(key)
@@ -56,12 +58,16 @@ class Memory:
                 self.put(key, found)
         return found
 
-    def put(self, key: str, ids: list[int]) -> None:
+    def put(self, key: str, ids: bytes) -> None:
         if len(key) <= CACHED_LENGTH:
-            if len(self.new) >= self.size:
-                self.new, self.old = {}, self.new
+            if self.room <= 0:
+                self.new, self.old, self.room = {}, self.new, self.limit
+            self.room -= ENTRY + len(key) + len(ids)
             self.new[key] = ids
 
+    def clear(self) -> None:
+        self.new, self.old, self.room = {}, {}, self.limit
+
 
 class Codec:
     """Encoder and decoder over mergeable ranks (bytes of a token -> its rank, which is its id)."""
@@ -73,7 +79,13 @@ class Codec:
         # In the public pattern a match is white space, or lies inside one run of other characters with
         # the space before it.  Such units are found by a plain scan and most are known already.
         self.unit = re.compile(UNIT) if pattern.endswith(PUBLIC_TAIL) else None
-        self.units, self.pieces = Memory(CACHE), Memory(2 * CACHE)
+        self.units, self.pieces = Memory(CACHE_BYTES), Memory(CACHE_BYTES)
+        # The queue of a merge.  Every merge leaves it empty, so it is made once: a bucket of list positions for each
+        # rank, and the leaf words of the bitmap over the ranks.
+        top_rank = max(ranks.values(), default=0)
+        self.buckets: list[list[int]] = [[] for _ in range(top_rank + 1)]
+        self.leaves = [0] * ((top_rank >> LEAF) + 1)
+        self.packed = {b: array("I", [i]).tobytes() for b, i in ranks.items()}
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Codec:
@@ -81,38 +93,36 @@ class Codec:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         return cls(ranks, pattern)
 
-    def merge(self, data: bytes) -> list[int]:
-        """Token ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(data)
+    def merge(self, data: bytes) -> bytes:
+        """Token ids of one pre-token, packed."""
+        whole = self.packed.get(data)
         if whole is not None:
-            return [whole]
+            return whole
         n = len(data)
-        get = ranks.get
+        get, buckets, leaves = self.ranks.get, self.buckets, self.leaves
         end = list(range(1, n + 1))            # the token at i covers data[i:end[i]]; end[i] is also its next
         before = list(range(-1, n))
-        rank_at: list[int | None] = [get(data[i:i + 2]) for i in range(n - 1)]    # of the pair that starts at i
-        rank_at += (None, None)
-        buckets: dict[int, list[int]] = {}     # rank -> heap of list positions
-        top, leaves = 0, {}                    # the bitmap: non-empty leaf words, and the words
+        rank_at = [get(data[i:i + 2]) for i in range(n - 1)]    # of the pair that starts at i
+        top = 0                                # the upper level of the bitmap: leaf words that are not empty
         for i, r in enumerate(rank_at):
             if r is not None:
-                if r in buckets:
-                    buckets[r].append(i)       # positions come in ascending order: a valid heap
-                else:
-                    buckets[r] = [i]
+                bucket = buckets[r]
+                if not bucket:
                     leaf = r >> LEAF
-                    leaves[leaf] = leaves.get(leaf, 0) | 1 << (r & LOW)
+                    leaves[leaf] |= BIT[r & LOW]
                     top |= 1 << leaf
+                bucket.append(i)               # positions come in ascending order: a valid heap
+        rank_at += (None, None)
         while top:
             leaf = (top & -top).bit_length() - 1             # find first set, in both levels
             word = leaves[leaf]
             low = word & -word
             r = leaf << LEAF | low.bit_length() - 1
             bucket = buckets[r]
-            i = heappop(bucket) if len(bucket) > 1 else bucket.pop()
-            if not bucket:
-                del buckets[r]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket.pop()
                 leaves[leaf] = word = word ^ low
                 if not word:
                     top ^= 1 << leaf
@@ -122,40 +132,49 @@ class Codec:
             k = end[i] = end[j]
             rank_at[i] = rank_at[j] = None
             before[k] = i
+            if k < n:
+                rank_at[i] = q = get(data[i:end[k]])
+                if q is not None:
+                    bucket = buckets[q]
+                    if bucket:
+                        heappush(bucket, i)
+                    else:
+                        bucket.append(i)
+                        leaf = q >> LEAF
+                        leaves[leaf] |= BIT[q & LOW]
+                        top |= 1 << leaf
             p = before[i]
-            changed = [(i, end[k])] if k < n else []
             if p >= 0:
-                changed.append((p, k))
-            for at, stop in changed:
-                rank_at[at] = q = get(data[at:stop])
-                if q is None:
-                    continue
-                if q in buckets:
-                    heappush(buckets[q], at)
-                else:
-                    buckets[q] = [at]
-                    leaf = q >> LEAF
-                    leaves[leaf] = leaves.get(leaf, 0) | 1 << (q & LOW)
-                    top |= 1 << leaf
-        ids, i = [], 0
+                rank_at[p] = q = get(data[p:k])
+                if q is not None:
+                    bucket = buckets[q]
+                    if bucket:
+                        heappush(bucket, p)
+                    else:
+                        bucket.append(p)
+                        leaf = q >> LEAF
+                        leaves[leaf] |= BIT[q & LOW]
+                        top |= 1 << leaf
+        ids, i, packed = [], 0, self.packed
         while i < n:
-            ids.append(ranks[data[i:end[i]]])
-            i = end[i]
-        return ids
-
-    def encode_unit(self, unit: str) -> list[int]:
-        """Ids of a stretch of text that no match of the pattern crosses."""
-        ids: list[int] = []
+            k = end[i]
+            ids.append(packed[data[i:k]])
+            i = k
+        return b"".join(ids)
+
+    def encode_unit(self, unit: str) -> bytes:
+        """Packed ids of a stretch of text that no match of the pattern crosses."""
+        ids = []
         for piece in self.pattern.findall(unit):
             known = self.pieces.get(piece)
             if known is None:
                 known = self.merge(piece.encode())
                 self.pieces.put(piece, known)
-            ids += known
-        return ids
+            ids.append(known)
+        return ids[0] if len(ids) == 1 else b"".join(ids)
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text: each match of the pattern is encoded separately."""
+    def encode_packed(self, text: str) -> bytes:
+        """Ids of a text as machine integers of 32 bits: each match of the pattern is encoded separately."""
         if self.unit is None:
             return self.encode_unit(text)
         units = self.unit.findall(text)
@@ -168,18 +187,27 @@ class Codec:
                     known = self.encode_unit(unit)
                     self.units.put(unit, known)
                 found[i] = known
-        return list(chain.from_iterable(found))
+        return b"".join(found)
+
+    def encode(self, text: str) -> list[int]:
+        return array("I", self.encode_packed(text)).tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def forget(self) -> None:
+        """Empties the caches: the worker process may go on with other work."""
+        self.units.clear()
+        self.pieces.clear()
+
 
-def little_endian(ids: list[int]) -> bytes:
-    """The ids as unsigned 32-bit integers, low byte first."""
-    packed = array("I", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
+def little_endian(packed: bytes) -> bytes:
+    """Packed ids as unsigned 32-bit integers, low byte first."""
+    if sys.byteorder == "little":
+        return packed
+    swapped = array("I", packed)
+    swapped.byteswap()
+    return swapped.tobytes()
 
 
 _codecs: dict[tuple, Codec] = {}
@@ -202,7 +230,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def rows(ids: list, texts: list) -> dict:
         c = codec(path, pattern)
         return {"doc_id": ids, "ids": [c.encode(t or "") for t in texts]}
-    return map_rows(docs, rows, ["doc_id", "text"], "doc_id long, ids array<int>")
+    return map_rows(docs, rows, ["doc_id", "text"], "doc_id long, ids array<int>", lambda: codec(path, pattern).forget())
 
 
 def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -219,12 +247,12 @@ def bpe_digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         c = codec(path, pattern)
         out = {"doc_id": doc_ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for t in texts:
-            ids = c.encode(t or "")
-            out["n_tokens"].append(len(ids))
-            out["ids_sha256"].append(hashlib.sha256(little_endian(ids)).hexdigest())
-            out["decoded_sha256"].append(hashlib.sha256(c.decode(ids)).hexdigest())
+            packed = c.encode_packed(t or "")
+            out["n_tokens"].append(len(packed) // 4)
+            out["ids_sha256"].append(hashlib.sha256(little_endian(packed)).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(c.decode(array("I", packed))).hexdigest())
         return out
-    return map_rows(docs, rows, ["doc_id", "text"], SCHEMA)
+    return map_rows(docs, rows, ["doc_id", "text"], SCHEMA, lambda: codec(path, pattern).forget())
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

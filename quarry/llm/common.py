@@ -30,23 +30,29 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "text")
 
 
-def map_rows(df: DataFrame, fn: Callable[[list], dict], columns: list[str], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, fn: Callable[[list], dict], columns: list[str], schema: str,
+             done: Callable[[], None] | None = None) -> DataFrame:
     """``fn`` gets the named columns of one Arrow batch as lists and returns a dict of output lists.
 
-    The batch is the unit of memory: nothing is kept between batches.
+    The batch is the unit of memory: nothing is kept between batches.  ``done`` runs at the end of each partition,
+    to free what ``fn`` has cached: the process may go on with other work.
     """
     out = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            # Texts vary from nothing to many MB: a batch is cut so that a slice holds few rows.
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                made = fn(*[part.column(i).to_pylist() for i in range(part.num_columns)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(made[f.name], type=f.type) for f in arrow], schema=arrow)
+        try:
+            for batch in batches:
+                # Texts vary from nothing to many MB: a batch is cut so that a slice holds few rows.
+                for at in range(0, batch.num_rows, 2000):
+                    part = batch.slice(at, 2000)
+                    made = fn(*[part.column(i).to_pylist() for i in range(part.num_columns)])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(made[f.name], type=f.type) for f in arrow], schema=arrow)
+        finally:
+            if done:
+                done()
 
     return df.select(*columns).mapInArrow(run, out)
 

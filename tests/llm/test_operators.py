@@ -35,10 +35,19 @@ def test_bpe_equals_the_public_library():
 
 
 def test_bpe_memory_is_bounded():
-    m = bpe.Memory(3)
+    m = bpe.Memory(3 * bpe.ENTRY)
     for i in range(50):
-        m.put(str(i), [i])
-    assert len(m.new) + len(m.old) <= 6 and m.get("49") == [49]
+        m.put(str(i), b"%d" % i)
+    assert len(m.new) + len(m.old) <= 6 and m.get("49") == b"49"
+    m.clear()
+    assert m.get("49") is None
+
+
+def test_bpe_queue_is_empty_after_each_merge():
+    own = bpe.codec(*bpe.default_vocabulary())
+    for _ in range(200):
+        own.merge("".join(RNG.choice("abc e") for _ in range(RNG.randint(2, 60))).encode())
+        assert not any(own.leaves) and not any(own.buckets)
 
 
 def test_bpe_query_shape(odd):
