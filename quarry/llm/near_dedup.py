@@ -12,10 +12,11 @@ Coordinates are joined in bands.  Texts that share a band are candidates, and ev
 pair that matters is verified on its whole texts (Jaccard similarity of THRESHOLD or more):
 1. equal texts are one node;
 2. in each bucket every node is compared with up to CENTRES nodes of it, so that links grow with the rows;
-   buckets that still hold several components get further centres, from the open ones only, as long as
-   that is less work than step 3;
-3. nodes of one bucket that are still in different components are compared with each other, so no
-   link between candidates is lost, while groups of copies are never expanded into pairs.
+3. nodes of one bucket that are still in different components are searched exactly, without pairing a
+   bucket: their shingles are ordered by frequency over all such nodes, and similar sets must meet in one
+   of their rarest shingles, at places that leave enough of both sets to reach the threshold.  So no link
+   between candidates is lost, and groups of copies are never expanded into pairs.
+What travels to a comparison are the sorted shingles of a text, made once for each node, not the text.
 Classes are the connected components, found by joins on written tables.
 
 A pair at the threshold misses all BANDS bands of ROWS with a chance of (1 - 0.8^6)^30 = 1e-4.
@@ -30,7 +31,6 @@ result; the filter keeps every column as it was.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +39,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import packed, table, written
+from quarry.session import sized_side
 
 WORDS = 5
 THRESHOLD = 0.8
 ROWS, BANDS = 6, 30
 K = ROWS * BANDS
-CENTRES = 4                    # nodes of a bucket that all others are compared with, in each round
-ROUNDS = 5                     # of centres at most; what is open then is compared in full
+CENTRES = 4                    # nodes of a bucket that all others are compared with
 SPARE = 4.0                    # darts per coordinate beyond log K: all but 2 % of the documents fill at once
 CHUNK = 500_000                # elements thrown at together,
 CHUNK_TEXTS = 500              # of so many texts at most: each takes some 1,700 darts, however short it is
@@ -128,15 +128,8 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return out.astype(np.uint64).view(np.int64)
 
 
-@lru_cache(maxsize=64)
-def shingle_set(text: str) -> np.ndarray:
-    """Distinct shingles in order; a centre's text comes up many times in a row."""
-    return np.unique(shingles(text))
-
-
-def similar(a: str, b: str) -> bool:
-    """Whether the Jaccard similarity of two whole texts reaches the threshold."""
-    x, y = shingle_set(a), shingle_set(b)
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two sets of shingles reaches the threshold."""
     if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
         return False                                       # too unlike in size
     common = len(np.intersect1d(x, y, assume_unique=True))
@@ -186,19 +179,63 @@ def nodes_of(docs: DataFrame) -> DataFrame:
     return written(distinct.select(F.monotonically_increasing_id().alias("node"), "_id", "_t", "bands"), "near-nodes")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, sh: the distinct shingles, in order, of the text of each wanted (node, _id, _t)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingles(t.as_py()).view(np.int64)) for t in batch.column(1)]
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))],
+                                             names=["node", "sh"])
+
+    # Rows that repeat id and text are in one node: one of them is read.
+    texts = keyed(docs.select("doc_id", "text")).join(sized_side(wanted), ["_id", "_t"]).select("node", "text")
+    made = texts.mapInArrow(run, "node long, sh array<long>")
+    return written(made.groupBy("node").agg(F.first("sh").alias("sh")), "near-shingles")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose whole texts are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [similar(a, b)
-                    for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            (x, at), (y, to) = ((c.values.to_numpy(), c.offsets.to_numpy()) for c in (batch.column(2), batch.column(3)))
+            near = [similar(x[at[i]:at[i + 1]], y[to[i]:to[i + 1]]) for i in range(batch.num_rows)]
             yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
-    one = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
-    two = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    one = sets.select(F.col("node").alias("u"), F.col("sh").alias("a"))
+    two = sets.select(F.col("node").alias("v"), F.col("sh").alias("b"))
     return pairs.join(one, "u").join(two, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def _at_least(share: float, n: Column) -> Column:
+    """The least whole number of ``share * n`` or more (the term allows for rounding of the product)."""
+    return F.ceil(F.lit(share) * n - F.lit(1e-9))
+
+
+def unlinked_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (u, v), u > v, of nodes (node, comp) in different components, with all that reach the threshold among them.
+
+    Each set is ordered by the frequency of its shingles, rare first.  Two sets similar enough have at least
+    ``t / (1 + t)`` of their joint size in common, so the first common shingle stands at a place in each after which that
+    many are left; shingles that only one node has can be no such place, but count as places.
+    """
+    rows = written(nodes.join(sets, "node").select("node", "comp", F.size("sh").cast("long").alias("n"), F.explode("sh").alias("s")), "near-open")
+    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    one = Window.partitionBy("node")
+    place = F.col("n") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("f", "s")) - 1
+    prefix = written(rows.join(often, "s").select("s", "node", "comp", "n", place.alias("at"))
+                     .where(F.col("at") <= F.col("n") - _at_least(THRESHOLD, F.col("n"))), "near-prefix")
+    x = prefix.select("s", *[F.col(c).alias(f"{c}_x") for c in ("node", "comp", "n", "at")])
+    y = prefix.select("s", *[F.col(c).alias(f"{c}_y") for c in ("node", "comp", "n", "at")])
+    common = _at_least(THRESHOLD / (1 + THRESHOLD), F.col("n_x") + F.col("n_y"))
+    met = x.join(y, "s").where(
+        (F.col("comp_x") != F.col("comp_y"))
+        & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y"))))
+        & (F.col("n_x") >= _at_least(THRESHOLD, F.col("n_y")))
+        & (F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y")) >= common))
+    return met.select(F.greatest("node_x", "node_y").alias("u"), F.least("node_x", "node_y").alias("v")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, comp: the smallest node of each linked node's component, by joins until nothing changes.
 
@@ -216,17 +253,16 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def masks(turn: int) -> list[int]:
-    """Numbers that, xor-ed with the nodes, put them into another order for each centre and round."""
-    return [int(m) & (1 << 50) - 1 for m in mix(np.arange(turn * CENTRES, (turn + 1) * CENTRES, dtype=np.uint64))]
+# Numbers that, xor-ed with the nodes, put them into another order for each centre.
+MASKS = [int(m) & (1 << 50) - 1 for m in mix(np.arange(CENTRES, dtype=np.uint64))]
 
 
-def centres(turn: int) -> list[Column]:
-    return [F.min(F.col("node").bitwiseXOR(F.lit(m))).alias(f"c{i}") for i, m in enumerate(masks(turn))]
+def centres() -> list[Column]:
+    return [F.min(F.col("node").bitwiseXOR(F.lit(m))).alias(f"c{i}") for i, m in enumerate(MASKS)]
 
 
-def centre_array(turn: int) -> Column:
-    return F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(m)) for i, m in enumerate(masks(turn))]).alias("centres")
+def centre_array() -> Column:
+    return F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(m)) for i, m in enumerate(MASKS)]).alias("centres")
 
 
 def with_centres(rows: DataFrame) -> DataFrame:
@@ -239,48 +275,37 @@ def near_classes(docs: DataFrame) -> DataFrame:
     """_t, class_id, class_text: for every distinct text that is near another one, its class (of smallest id)."""
     nodes = nodes_of(docs)
     rows = written(nodes.select("node", F.explode("bands").alias("bucket")), "near-buckets")
-    first = rows.groupBy("bucket").agg(*centres(0), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    shared = written(rows.join(first, "bucket").select("bucket", "node", centre_array(0)), "near-shared")
+    first = rows.groupBy("bucket").agg(*centres(), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    shared = written(rows.join(first, "bucket").select("bucket", "node", centre_array()), "near-shared")
     wanted = shared.select("node").distinct().join(nodes.select("node", "_id", "_t"), "node")
-    texts = written(keyed(docs.select("doc_id", "text")).join(wanted, ["_id", "_t"])
-                    .groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+    sets = shingles_of(docs, wanted)
     tried = written(with_centres(shared), "near-tried")
-    links = written(verified(tried, texts), "near-verified")
+    links = written(verified(tried, sets), "near-verified")
     comps = components(links)
-    pairs = None
-    for turn in range(1, ROUNDS + 1):
-        tagged = shared.select("bucket", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        split = tagged.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("bucket")
-        open_rows = written(tagged.join(split, "bucket"), "near-open")
-        sizes = open_rows.groupBy("bucket", "comp").count().groupBy("bucket").agg(
-            F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("q"))
-        n_open, pairs = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2), F.lit(0.0))).first()
-        if pairs <= CENTRES * n_open or turn == ROUNDS:
-            break
-        middle = open_rows.groupBy("bucket").agg(*centres(turn))
-        more = with_centres(open_rows.join(middle, "bucket").select("bucket", "node", centre_array(turn)))
-        more = written(more.join(tried, ["u", "v"], "left_anti"), "near-tried")
-        tried = tried.unionByName(more)
-        links = links.unionByName(written(verified(more, texts), "near-verified"))
-        comps = components(links)
-    if pairs:
-        one = open_rows.select("bucket", F.col("node").alias("u"), F.col("comp").alias("cu"))
-        two = open_rows.select("bucket", F.col("node").alias("v"), F.col("comp").alias("cv"))
-        rest = one.join(two, "bucket").where("cu > cv").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        more = written(verified(rest.join(tried, ["u", "v"], "left_anti"), texts), "near-verified")
-        comps = components(links.unionByName(more))
+    tagged = shared.select("bucket", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    split = tagged.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("bucket")
+    still = written(tagged.join(split, "bucket").select("node", "comp").distinct(), "near-unlinked")
+    rest = written(unlinked_pairs(still, sets).join(tried, ["u", "v"], "left_anti"), "near-rest")
+    comps = components(links.unionByName(written(verified(rest, sets), "near-verified")))
     named = comps.join(nodes.select("node", "_id", "_t"), "node")
     best = named.groupBy("comp").agg(F.min(F.struct("_id", "_t")).alias("best"))
     return written(named.join(best, "comp").select("_t", F.col("best._id").alias("class_id"), F.col("best._t").alias("class_text")),
                    "near-classes")
 
 
-def classed(docs: DataFrame) -> DataFrame:
-    """The documents with _id, _t, and the class of their text: _class, _best (digest of the text that stays)."""
-    alone = keyed(docs.select("doc_id", "text")).where(F.col("_t").isNotNull()).groupBy("_t").agg(F.min("_id").alias("own"))
-    named = (alone.join(near_classes(docs), "_t", "left")
-             .select("_t", F.coalesce("class_id", "own").alias("_class"), F.coalesce("class_text", "_t").alias("_best")))
-    return keyed(docs).join(named, "_t", "left")
+def copies(docs: DataFrame) -> DataFrame:
+    """_t, _class, _best (digest of the text that stays), _n (rows of the text) of each text that is in several rows or
+    in a class with others; written, so that Catalyst knows its size."""
+    rows = keyed(docs.select("doc_id", "text")).where(F.col("_t").isNotNull()).groupBy("_t").agg(
+        F.min("_id").alias("own"), F.count(F.lit(1)).alias("_n"))
+    named = rows.join(near_classes(docs), "_t", "left").where((F.col("_n") > 1) | F.col("class_id").isNotNull())
+    return sized_side(named.select("_t", F.coalesce("class_id", "own").alias("_class"), F.coalesce("class_text", "_t").alias("_best"), "_n"))
+
+
+def classed(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``keyed`` rows with the class of their text: _class, _best, _n; a text in no table of ``copies`` is its own."""
+    return (rows.join(known, "_t", "left").withColumn("_class", F.coalesce("_class", "_id"))
+            .withColumn("_best", F.coalesce("_best", "_t")).withColumn("_n", F.coalesce("_n", F.lit(1).cast("long"))))
 
 
 def has_word() -> Column:
@@ -289,17 +314,21 @@ def has_word() -> Column:
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """One document of each class of near duplicates, with all columns; documents without words stay."""
-    best = classed(packed(docs)).where(~has_word() | ((F.col("_id") == F.col("_class")) & (F.col("_t") == F.col("_best"))))
+    rows = classed(keyed(packed(docs)), copies(docs))
+    best = (F.col("_id") == F.col("_class")) & (F.col("_t") == F.col("_best"))
+    alone = rows.where(~has_word() | (best & (F.col("_n") == 1)))
+    # Rows that repeat id and text: one stays.
     row = Window.partitionBy("_t", "_id").orderBy("_id")
-    once = best.where(has_word()).withColumn("_n", F.row_number().over(row)).where("_n = 1")
-    return once.select("row.*").union(docs.where(~has_word()))
+    once = rows.where(has_word() & best & (F.col("_n") > 1)).withColumn("_k", F.row_number().over(row)).where("_k = 1")
+    return alone.select("row.*").union(once.select("row.*"))
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class; a document without near duplicates has its own), duplicate."""
     docs = table(spark, sf_dir, "documents")
+    rows = keyed(docs.select("doc_id", "text")).withColumn("_words", has_word()).drop("text")
     null_id = F.lit(-(2 ** 63))
     named = F.when(F.col("_class") == null_id, F.lit(None)).otherwise(F.col("_class"))
-    return classed(docs.select("doc_id", "text")).select(
-        "doc_id", F.when(has_word(), named).otherwise(F.col("doc_id").cast("long")).alias("class_id"),
-        (has_word() & (F.col("_id") != F.col("_class"))).alias("duplicate"))
+    return classed(rows, copies(docs)).select(
+        "doc_id", F.when(F.col("_words"), named).otherwise(F.col("doc_id").cast("long")).alias("class_id"),
+        (F.col("_words") & (F.col("_id") != F.col("_class"))).alias("duplicate"))

@@ -499,7 +499,7 @@ def test_near_duplicates_against_brute_force(table_of):
         docs.append((len(docs), " ".join(chain)))
     docs += [(len(docs), None), (len(docs) + 1, ""), (len(docs) + 2, "two words"), (len(docs) + 3, "two words")]
     table = table_of(docs).select("doc_id", "text")
-    named = {r.doc_id: r for r in near_dedup.classed(table).select("doc_id", "_class").collect()}
+    named = {r.doc_id: r for r in near_dedup.classed(near_dedup.keyed(table), near_dedup.copies(table)).select("doc_id", "_class").collect()}
     want = brute_classes(docs)
     for i, t in docs:
         if t:
@@ -509,6 +509,26 @@ def test_near_duplicates_against_brute_force(table_of):
     assert {r.doc_id for r in kept.collect()} == {i for i, t in docs if not t or want[i] == i}
 
 
+def test_unlinked_pairs_hold_all_similar_ones(spark):
+    """A large group whose members are about as similar as the threshold, next to texts of other sizes."""
+    core = prose(300, 9)
+    texts = []
+    for i in range(120):
+        words = list(core)
+        r = random.Random(i)
+        for _ in range(r.randrange(3, 9)):                  # each edit changes five shingles
+            words[r.randrange(300)] = f"own{i}x{r.random()}"
+        texts.append(words[:r.choice([300, 300, 250, 240])])
+    sets = [np.unique(near_dedup.shingles(" ".join(t)).view(np.int64)) for t in texts]
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(sets)], "node long, sh array<long>")
+    nodes = spark.createDataFrame([(i, i % 50) for i in range(len(sets))], "node long, comp long")
+    want = {(i, j) for i in range(len(sets)) for j in range(i) if i % 50 != j % 50 and near_dedup.similar(sets[i], sets[j])}
+    pairs = near_dedup.unlinked_pairs(nodes, frame)
+    got = {(r.u, r.v) for r in pairs.collect()}
+    assert want and want <= got and len(got) < 0.9 * 120 * 119 / 2
+    assert {(r.u, r.v) for r in near_dedup.verified(pairs, frame).collect()} == want
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(101, 100)], "u long, v long")
     got = {r.node: r.comp for r in near_dedup.components(links).collect()}
