@@ -188,8 +188,9 @@ def shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))],
                                              names=["node", "sh"])
 
-    # Rows that repeat id and text are in one node: one of them is read.
-    texts = keyed(docs.select("doc_id", "text")).join(sized_side(wanted), ["_id", "_t"]).select("node", "text")
+    # Rows that repeat id and text are in one node: one of them is read.  Texts are dealt out by their digests whatever
+    # the number of wanted ones, so that small tables go the way of large ones.
+    texts = keyed(docs.select("doc_id", "text")).join(wanted.hint("merge"), ["_id", "_t"]).select("node", "text")
     made = texts.mapInArrow(run, "node long, sh array<long>")
     return written(made.groupBy("node").agg(F.first("sh").alias("sh")), "near-shingles")
 
@@ -237,20 +238,31 @@ def unlinked_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, comp: the smallest node of each linked node's component, by joins until nothing changes.
+    """node, comp: the smallest node of each linked node's component, by joins until no link is left.
 
-    A step takes the smallest label among a node and its neighbours, then the label of that label."""
-    both = written(links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))), "near-links")
-    labels = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("comp")).withColumnRenamed("u", "node"), "near-labels")
+    Every node points to the smallest of itself and its neighbours; pointers are followed to their ends by
+    doubling, and the links between different ends are the next round's, so rounds shrink fast and chains take
+    the logarithm of their length."""
+    edges = written(links.select("u", "v").distinct(), "near-links")
+    labels = None
     while True:
-        around = (both.join(labels.select(F.col("node").alias("v"), "comp"), "v")
-                  .groupBy("u").agg(F.min("comp").alias("low")).withColumnRenamed("u", "node"))
-        near = labels.join(around, "node").select("node", F.col("comp").alias("old"), F.least("comp", "low").alias("near"))
-        jump = labels.select(F.col("node").alias("near"), F.col("comp").alias("far"))
-        stepped = written(near.join(jump, "near").select("node", "old", F.least("near", "far").alias("comp")), "near-labels")
-        labels = stepped.select("node", "comp")
-        if stepped.where("comp <> old").isEmpty():
-            return labels
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        ends = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("comp")), "near-ends")
+        moved = True
+        while moved:
+            far = ends.select(F.col("u").alias("comp"), F.col("comp").alias("far"))
+            jumped = written(ends.join(far, "comp").select("u", F.col("far").alias("comp"), (F.col("far") != F.col("comp")).alias("moved")), "near-ends")
+            ends, moved = jumped.select("u", "comp"), not jumped.where("moved").isEmpty()
+        if labels is None:
+            labels = ends
+        else:
+            further = ends.select(F.col("u").alias("comp"), F.col("comp").alias("far"))
+            labels = written(labels.join(further, "comp", "left").select("u", F.coalesce("far", "comp").alias("comp")), "near-labels")
+        edges = written(edges.join(ends.select("u", F.col("comp").alias("cu")), "u")
+                        .join(ends.select(F.col("u").alias("v"), F.col("comp").alias("cv")), "v").where("cu <> cv")
+                        .select(F.greatest("cu", "cv").alias("u"), F.least("cu", "cv").alias("v")).distinct(), "near-links")
+        if edges.isEmpty():
+            return labels.select(F.col("u").alias("node"), "comp")
 
 
 # Numbers that, xor-ed with the nodes, put them into another order for each centre.
@@ -286,7 +298,13 @@ def near_classes(docs: DataFrame) -> DataFrame:
     split = tagged.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("bucket")
     still = written(tagged.join(split, "bucket").select("node", "comp").distinct(), "near-unlinked")
     rest = written(unlinked_pairs(still, sets).join(tried, ["u", "v"], "left_anti"), "near-rest")
-    comps = components(links.unionByName(written(verified(rest, sets), "near-verified")))
+    # The new links join whole components: a node that has none yet is one of its own.
+    label = lambda end: still.select(F.col("node").alias(end), F.col("comp").alias(f"c{end}"))
+    bridges = verified(rest, sets).join(label("u"), "u").join(label("v"), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+    merged = components(bridges)
+    every = comps.unionByName(merged.select("node", F.col("node").alias("comp")).join(comps.select("node"), "node", "left_anti"))
+    comps = every.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("far")), "comp", "left").select(
+        "node", F.coalesce("far", "comp").alias("comp"))
     named = comps.join(nodes.select("node", "_id", "_t"), "node")
     best = named.groupBy("comp").agg(F.min(F.struct("_id", "_t")).alias("best"))
     return written(named.join(best, "comp").select("_t", F.col("best._id").alias("class_id"), F.col("best._t").alias("class_text")),
