@@ -1,19 +1,21 @@
 """Link graph, PageRank and breadth-first crawl order.
 
-PageRank is a DataFrame loop.  Edge weights 1/outdeg are computed once and written bucketed by source, so a
-step shuffles the ranks and the partial sums per target, never the edges.  A source with very many
-links is split over several buckets (salted by target).  Every step is written once; one
-aggregate per step gives the largest change and the dangling mass.
+PageRank is a DataFrame loop over two tables bucketed alike by (source, salt): the edges with their weights 1/outdeg,
+written once, and the ranks, written by every step.  A step joins them bucket by bucket, so neither is exchanged;
+only the sums per target cross the network.  A source with very many links is split over several buckets (salted by
+target).  One aggregate per step gives the largest change and the dangling mass.  The tables are dropped when the
+ranks are written.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import reliable_checkpoint, scratch_path, sized_side
+from quarry.session import reliable_checkpoint, remove_path, scratch_path
 
 
 def link_graph(nodes: DataFrame, links: DataFrame, keep_self_links: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -35,17 +37,69 @@ def link_graph(nodes: DataFrame, links: DataFrame, keep_self_links: bool = False
 LINKS_PER_BUCKET = 100_000
 
 
-def bucketed_edges(edges: DataFrame, outdeg: DataFrame) -> DataFrame:
-    """src, salt, dst, wt (1/outdeg), bucketed by (src, salt) in the shared folder."""
-    spark = edges.sparkSession
-    parts = F.ceil(F.col("outdeg") / LINKS_PER_BUCKET)
-    weighted = edges.join(outdeg, "src").select(
-        "src", F.pmod(F.xxhash64("dst"), parts).alias("salt"), "dst", (1.0 / F.col("outdeg")).alias("wt"))
-    name = f"quarry_edges_{uuid.uuid4().hex[:12]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (weighted.repartition(buckets, "src", "salt").write.format("parquet").bucketBy(buckets, "src", "salt").sortBy("src", "salt")
-     .option("path", scratch_path(spark, "edges")).saveAsTable(name))
-    return spark.table(name)
+@dataclass
+class BucketedTable:
+    """A written table of the session's catalog, bucketed by (src, salt), that lives until it is dropped."""
+
+    spark: SparkSession
+    name: str
+    path: str
+
+    @classmethod
+    def write(cls, df: DataFrame, kind: str, buckets: int) -> BucketedTable:
+        spark = df.sparkSession
+        made = cls(spark, f"quarry_{kind}_{uuid.uuid4().hex[:12]}", scratch_path(spark, kind))
+        try:
+            df.write.format("parquet").bucketBy(buckets, "src", "salt").option("path", made.path).saveAsTable(made.name)
+        except BaseException:
+            made.drop()
+            raise
+        return made
+
+    @property
+    def frame(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove_path(self.spark, self.path)
+
+
+def _parts(outdeg: str) -> F.Column:
+    """Buckets' keys of a source: 0 without links."""
+    return F.coalesce(F.ceil(F.col(outdeg) / LINKS_PER_BUCKET), F.lit(0).cast("long"))
+
+
+def _salts(parts: str) -> F.Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col(parts), F.lit(1).cast("long")) - 1)).alias("salt")
+
+
+def bucketed_edges(edges: DataFrame, outdeg: DataFrame, buckets: int) -> BucketedTable:
+    """src, salt, dst, wt (1/outdeg), dst_parts (keys that the target stands under), bucketed by (src, salt)."""
+    weighted = (edges.join(outdeg, "src")
+                .select("src", F.pmod(F.xxhash64("dst"), _parts("outdeg")).alias("salt"), "dst", (1.0 / F.col("outdeg")).alias("wt"))
+                .join(outdeg.select(F.col("src").alias("dst"), _parts("outdeg").alias("dst_parts")), "dst", "left")
+                .select("src", "salt", "dst", "wt", F.coalesce("dst_parts", F.lit(0).cast("long")).alias("dst_parts")))
+    return BucketedTable.write(weighted.repartition(buckets, "src", "salt"), "edges", buckets)
+
+
+def first_ranks(node_ids: DataFrame, outdeg: DataFrame, n: int, buckets: int) -> BucketedTable:
+    """src (a page), salt, parts, dangling, prev, rank = 1/N: a page stands once under each of its keys."""
+    state = (node_ids.withColumnRenamed("id", "src").join(outdeg, "src", "left")
+             .select("src", F.col("outdeg").isNull().alias("dangling"), _parts("outdeg").alias("parts"),
+                     F.lit(None).cast("double").alias("prev"), F.lit(1.0 / n).alias("rank"))
+             .select("src", _salts("parts"), "parts", "dangling", "prev", "rank"))
+    return BucketedTable.write(state.repartition(buckets, "src", "salt"), "ranks", buckets)
+
+
+def rank_step(edges: DataFrame, state: DataFrame, decay: float, share: float, base: float) -> DataFrame:
+    """The next ranks: decay * (sum over in-links + ``share`` of the dangling mass) + ``base``."""
+    sent = edges.join(state.select("src", "salt", "rank"), ["src", "salt"])
+    sums = sent.groupBy("dst").agg(F.sum(F.col("rank") * F.col("wt")).alias("c"), F.max("dst_parts").alias("dst_parts"))
+    received = sums.select(F.col("dst").alias("src"), _salts("dst_parts"), "c")
+    return (state.select("src", "salt", "parts", "dangling", F.col("rank").alias("prev")).join(received, ["src", "salt"], "left")
+            .select("src", "salt", "parts", "dangling", "prev",
+                    (F.lit(decay) * (F.coalesce("c", F.lit(0.0)) + F.lit(share)) + F.lit(base)).alias("rank")))
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, decay: float = 0.85, epsilon: float = 1e-4, limit: int = 200) -> DataFrame:
@@ -56,37 +110,33 @@ def pagerank(nodes: DataFrame, edges: DataFrame, decay: float = 0.85, epsilon: f
     after ``limit`` steps returns the latest ranks; limit 0 returns 1/N.  Ranks shrink with the number
     of pages, so pass an epsilon that is a share of 1/N for large graphs.
     """
+    spark = nodes.sparkSession
     node_ids = reliable_checkpoint(nodes.select("id").distinct(), "nodes")
     n = node_ids.count()
     if n == 0:
         return node_ids.withColumn("rank", F.lit(0.0))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     outdeg = reliable_checkpoint(edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg")), "outdeg")
-    weighted = bucketed_edges(edges, outdeg)
-    ranks = reliable_checkpoint(
-        node_ids.join(outdeg.withColumnRenamed("src", "id"), "id", "left")
-        .select("id", F.col("outdeg").isNull().alias("dangling"),
-                F.coalesce(F.ceil(F.col("outdeg") / LINKS_PER_BUCKET), F.lit(0)).alias("parts"), F.lit(1.0 / n).alias("rank")), "ranks")
-    dangling_mass = ranks.where("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
-    base = (1.0 - decay) / n
-    for _ in range(limit):
-        # A source stands once for each of its bucket parts; sources without links stand nowhere.
-        src_side = (ranks.where("parts > 0")
-                    .select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("salt"),
-                            F.col("rank").alias("r")))
-        contrib = (weighted.join(src_side, ["src", "salt"])
-                   .groupBy("dst").agg(F.sum(F.col("r") * F.col("wt")).alias("c")))
-        new = reliable_checkpoint(
-            ranks.join(contrib.withColumnRenamed("dst", "id"), "id", "left")
-            .select("id", "dangling", "parts",
-                    (F.lit(decay) * (F.coalesce("c", F.lit(0.0)) + F.lit(dangling_mass / n)) + F.lit(base)).alias("rank"),
-                    F.col("rank").alias("prev")), "ranks")
-        stats = new.agg(F.max(F.abs(F.col("rank") - F.col("prev"))).alias("delta"),
-                        F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dm")).first()
-        if stats["delta"] <= epsilon:
-            return new.select("id", F.col("prev").alias("rank"))
-        dangling_mass = stats["dm"]
-        ranks = new.select("id", "dangling", "parts", "rank")
-    return ranks.select("id", "rank")
+    tables = [bucketed_edges(edges, outdeg, buckets)]
+    try:
+        tables.append(first_ranks(node_ids, outdeg, n, buckets))
+        one = F.col("salt") == 0               # a page's first row; its others repeat the rank
+        mass = F.coalesce(F.sum(F.when(one & F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dm")
+        dangling = tables[-1].frame.agg(mass).first()["dm"]
+        answer = "rank"
+        for _ in range(limit):
+            step = rank_step(tables[0].frame, tables[-1].frame, decay, dangling / n, (1.0 - decay) / n)
+            tables.append(BucketedTable.write(step, "ranks", buckets))
+            tables.pop(1).drop()
+            stats = tables[-1].frame.agg(F.max(F.abs(F.col("rank") - F.col("prev"))).alias("delta"), mass).first()
+            if stats["delta"] <= epsilon:
+                answer = "prev"
+                break
+            dangling = stats["dm"]
+        return reliable_checkpoint(tables[-1].frame.where(one).select(F.col("src").alias("id"), F.col(answer).alias("rank")), "pagerank")
+    finally:
+        for table in tables:
+            table.drop()
 
 
 def rank_of(ranks: DataFrame, ids: DataFrame) -> DataFrame:

@@ -109,19 +109,44 @@ def test_absolute_links_are_normalised():
     assert web.resolve_link("http://s.org/q/", "../z?k=1#f") == "http://s.org/z?k=1"
 
 
-def test_pagerank_joins_edges_in_place_and_splits_a_hot_source(spark, monkeypatch):
+def _star():
+    return [(0, i) for i in range(1, 12)] + [(i, 0) for i in range(1, 12)]
+
+
+def test_pagerank_splits_a_hot_source_and_leaves_no_table(spark, monkeypatch):
     nodes = spark.createDataFrame([(i,) for i in range(12)], "id long")
-    edges = spark.createDataFrame([(0, i) for i in range(1, 12)] + [(i, 0) for i in range(1, 12)], "src long, dst long")
-    whole = {r["id"]: r["rank"] for r in graph.pagerank(nodes, edges, epsilon=1e-9).collect()}
+    edges = spark.createDataFrame(_star(), "src long, dst long")
+    whole = {r["id"]: r["rank"] for r in graph.pagerank(nodes, edges, epsilon=0, limit=4).collect()}
+    monkeypatch.setattr(graph, "LINKS_PER_BUCKET", 2)
+    split = {r["id"]: r["rank"] for r in graph.pagerank(nodes, edges, epsilon=0, limit=4).collect()}
+    assert whole.keys() == split.keys() and all(abs(whole[i] - split[i]) < 1e-12 for i in whole)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("quarry_")]
+
+
+def test_rank_step_exchanges_neither_edges_nor_ranks(spark, monkeypatch):
     monkeypatch.setattr(graph, "LINKS_PER_BUCKET", 2)
-    split = {r["id"]: r["rank"] for r in graph.pagerank(nodes, edges, epsilon=1e-9).collect()}
-    assert all(abs(whole[i] - split[i]) < 1e-12 for i in whole)
+    nodes = spark.createDataFrame([(i,) for i in range(12)], "id long")
+    edges = spark.createDataFrame(_star(), "src long, dst long")
     outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
-    kept = graph.bucketed_edges(edges, outdeg)
-    assert kept.where("src = 0").select("salt").distinct().count() > 1
-    side = spark.range(12).select(F.col("id").alias("src"), F.lit(0).cast("long").alias("salt"), F.lit(0.1).alias("r"))
-    plan = kept.join(side.hint("merge"), ["src", "salt"])._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"Exchange hashpartitioning\(src", plan)) <= 1, plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    made = [graph.bucketed_edges(edges, outdeg, 4), graph.first_ranks(nodes, outdeg, 12, 4)]
+    try:
+        assert made[0].frame.where("src = 0").select("salt").distinct().count() > 1
+        step = graph.rank_step(made[0].frame, made[1].frame, 0.85, 0.0, 0.15 / 12)
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        # Two exchanges: the sums by target, and their way to the buckets of the ranks.
+        assert re.findall(r"Exchange hashpartitioning\((\w+)", plan) == ["src", "dst"], plan
+        assert len(re.findall("Bucketed: true", plan)) == 3 and plan.count("SortMergeJoin") == 2, plan
+        made.append(graph.BucketedTable.write(step, "ranks", 4))
+        files = made[2].frame.select(F.input_file_name().alias("f")).distinct().count()
+        assert files <= 4          # one task for each bucket: the next step reads them in place again
+        rank = {r["src"]: r["rank"] for r in made[2].frame.collect()}
+        assert abs(rank[0] - (0.85 * 11 / 12 + 0.15 / 12)) < 1e-12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for t in made:
+            t.drop()
 
 
 def test_crawl_filters_are_joins(spark):
