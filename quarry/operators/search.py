@@ -3,7 +3,8 @@
 * and_search      SCH-1/2  AND of all query words, rank = total occurrences (repeats count again)
 * tfidf_search    SCH-3    OR of words, score = sum over query tokens of idf * tf
 * cosine_search   SCH-4    cosine of TF-IDF vectors; the numerator repeats per query token
-* ranked_search   SCH-5/6  cosine * sqrt(PageRank), k best per query, zero scores included
+* ranked_search   SCH-5/6  cosine * sqrt(PageRank), k best per query, zero scores included (operators/impacts.py
+                           finds the positive ones without scoring every pair)
 
 Query words are written first; below Catalyst's byte threshold they are broadcast, so the large
 token/posting side is not shuffled on ``word``, and beyond it the join shuffles with skew splitting.  Scores are
@@ -159,13 +160,10 @@ def cosine_search(vectors: DataFrame, doc_norms: DataFrame, idf_df: DataFrame, q
 
 def ranked_search(relevance: DataFrame, ranks: DataFrame, pages: DataFrame, queries: DataFrame, k: int = 20,
                   key: str = "doc_id") -> DataFrame:
-    """SCH-5 / SCH-6 / JN-12: score = relevance * sqrt(rank) over *every* page, k best per query.
+    """SCH-5 / SCH-6 / JN-12: score = relevance * sqrt(rank) over *every* page, k best per query, from relevances that are
+    there already; ``impacts.RankedSearch`` finds the same without scoring every pair.
 
-    Pages without a shared word score 0.  Instead of pairing every page with every query, the
-    positive scores come from the word join and the zero-score fill comes from the first
-    ``k + |positives|`` pages in key order (a positive count below k bounds this by 2k), found
-    by an equi-join on the page ordinal.  ``queries`` has one row per query_id.
-    """
+    ``queries`` has one row per query_id."""
     if k < 0:
         raise ValueError("k must be non-negative")
     checked = ranks.select(F.col("id").alias(key),
@@ -173,26 +171,31 @@ def ranked_search(relevance: DataFrame, ranks: DataFrame, pages: DataFrame, quer
                            .otherwise(F.raise_error(F.lit("a page without a positive rank"))).alias("prank"))
     scored = (relevance.join(checked, key)
               .select("query_id", key, (F.col("relevance") * F.sqrt("prank")).alias("score")))
-    # Used by three branches below; written once so the scoring join is not recomputed per branch.
-    positive = reliable_checkpoint(scored.where(F.col("score") > 0))
-    best = top_k_per_query(positive, k, "score", key).drop("pos")
-    npos = positive.groupBy("query_id").agg(F.count(F.lit(1)).alias("npos"))
-    need = (queries.select("query_id").distinct().join(npos, "query_id", "left")
-            .select("query_id", F.coalesce("npos", F.lit(0)).alias("npos"))
-            .where(F.col("npos") < k))
-    # A query that needs filling has fewer than k positives, so every slot is below 2k: only the
-    # first 2k pages in key order can take part (exact).  They come from a bounded top-k
-    # (TakeOrderedAndProject), so the page table is never sorted; numbering 2k rows is trivial.
-    first = pages.select(key).distinct().orderBy(key).limit(2 * k)
+    best = reliable_checkpoint(top_k_per_query(scored.where(F.col("score") > 0), k, "score", key).drop("pos"), "best")
+    return with_zero_scores(best, pages, queries.select("query_id").distinct().withColumn("k", F.lit(k)), key)
+
+
+def with_zero_scores(best: DataFrame, pages: DataFrame, limits: DataFrame, key: str = "doc_id") -> DataFrame:
+    """query_id, key, score, pos: the best positive scores, filled up with pages of score 0 to each query's own k.
+
+    ``best`` holds at most k rows a query, so a query that needs filling has all of its positive pages in it.  The fill
+    comes from the first ``k + |positives|`` pages in key order, below twice the largest k: a bounded top-k
+    (TakeOrderedAndProject), so the page table is never sorted, found by an equi-join on the page ordinal.
+    ``limits`` has one row per query: query_id, k.
+    """
+    limits = sized_side(limits.where("k > 0").select("query_id", F.col("k").cast("int").alias("k")))
+    most = limits.agg(F.max("k")).first()[0] or 0
+    npos = best.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("npos"))
+    need = (limits.join(npos, "query_id", "left").withColumn("npos", F.coalesce("npos", F.lit(0))).where(F.col("npos") < F.col("k")))
+    first = pages.select(key).distinct().orderBy(key).limit(2 * most)
     ordered_pages = first.withColumn("_ord", F.row_number().over(Window.orderBy(key)))
-    slots = need.select("query_id", "npos", F.explode(F.sequence(F.lit(1), F.col("npos") + k)).alias("_ord"))
+    slots = need.select("query_id", "npos", "k", F.explode(F.sequence(F.lit(1), F.col("npos") + F.col("k"))).alias("_ord"))
     fill = (slots.join(ordered_pages, "_ord")
-            .join(positive.select("query_id", key), ["query_id", key], "left_anti"))
+            .join(best.select("query_id", key), ["query_id", key], "left_anti"))
     fill = (fill.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy("_ord")))
-            .where(F.col("_r") <= k - F.col("npos"))
+            .where(F.col("_r") <= F.col("k") - F.col("npos"))
             .select("query_id", key, F.lit(0.0).alias("score")))
-    both = best.unionByName(fill)
-    return top_k_per_query(both, k, "score", key)
+    return top_k_per_query(best.select("query_id", key, "score").unionByName(fill), most, "score", key)
 
 
 def result_lines(hits: DataFrame, name: str = "doc_name", rank: str = "rank", pos: str = "pos") -> DataFrame:
