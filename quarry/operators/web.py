@@ -154,16 +154,24 @@ _WS_RUN = re.compile(r"[ \t\n\r\f]+")
 class _PageParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.title, self.body, self.article, self.links = [], [], [], []
+        self.title, self.body, self.links = [], [], []
+        self.blocks: list[tuple[str, int, int]] = []        # text, words, words inside links
+        self._block, self._linked = [], []
         self.description = None
-        self.skip = self.in_title = self.in_body = self.in_article = 0
+        self.skip = self.in_title = self.in_body = self.in_link = 0
         self.in_head = False
 
     def _sep(self):
         if self.in_body:
             self.body.append(" ")
-        if self.in_article:
-            self.article.append(" ")
+            self.end_block()
+
+    def end_block(self):
+        text = _norm_ws(self._block)
+        if text:
+            linked = _norm_ws(self._linked)
+            self.blocks.append((text, text.count(" ") + 1, linked.count(" ") + 1 if linked else 0))
+        self._block, self._linked = [], []
 
     def handle_starttag(self, tag, attrs):
         # A page without a body tag has one all the same: it opens at the first thing that no head can hold, and
@@ -175,9 +183,8 @@ class _PageParser(HTMLParser):
             self.skip += 1
         elif tag == "title":
             self.in_title += 1
-        elif tag == "article":
-            self.in_article += 1
         elif tag == "a":
+            self.in_link = 1
             for k, v in attrs:
                 if k == "href" and v is not None:
                     self.links.append(v)
@@ -198,8 +205,9 @@ class _PageParser(HTMLParser):
             self.in_title = max(0, self.in_title - 1)
         elif tag == "head":
             self.in_head = False
-        elif tag == "article":
-            self.in_article = max(0, self.in_article - 1)
+        elif tag == "a":
+            self.in_link = 0
+            self._linked.append(" ")
 
     def handle_data(self, data):
         if self.skip:
@@ -211,8 +219,9 @@ class _PageParser(HTMLParser):
             self.in_body = 1
         if self.in_body:
             self.body.append(data)
-        if self.in_article:
-            self.article.append(data)
+            self._block.append(data)
+            if self.in_link:
+                self._linked.append(data)
 
 
 def _norm_ws(parts: list[str]) -> str:
@@ -252,13 +261,14 @@ def _without_dots(path: str) -> str:
 
 def _parse_batches(batches):
     for pdf in batches:
-        out = {"page_id": [], "uri": [], "title": [], "description": [], "body_text": [], "article_text": [],
+        out = {"page_id": [], "uri": [], "title": [], "description": [], "body_text": [], "blocks": [],
                "links": [], "error": []}
         for pid, uri, html in zip(pdf["page_id"], pdf["uri"], pdf["html"]):
             p, error = _PageParser(), None
             try:
                 p.feed(html or "")
                 p.close()
+                p.end_block()
             except (AssertionError, ValueError, IndexError) as broken:
                 error = f"{type(broken).__name__}: {broken}"     # the row keeps what was parsed, and says so
             links = [r for r in (resolve_link(uri, h) for h in p.links) if r is not None]
@@ -267,14 +277,41 @@ def _parse_batches(batches):
             out["title"].append(_norm_ws(p.title))
             out["description"].append(p.description)
             out["body_text"].append(_norm_ws(p.body))
-            out["article_text"].append(_norm_ws(p.article))
+            out["blocks"].append([{"text": t, "words": w, "linked": n} for t, w, n in p.blocks])
             out["links"].append(links)
             out["error"].append(error)
         yield pd.DataFrame(out)
 
 
 PARSED_SCHEMA = ("page_id long, uri string, title string, description string, body_text string, "
-                 "article_text string, links array<string>, error string")
+                 "blocks array<struct<text: string, words: int, linked: int>>, links array<string>, error string")
+
+# A block of text speaks for the main text by its words, against it by those inside links and by being a block: headings,
+# menus, adverts and footers are short or made of links, paragraphs are neither.
+LINK_WEIGHT = 3
+BLOCK_COST = 8
+
+
+def main_text(blocks) -> Column:
+    """EXT-3: the run of neighbouring blocks whose scores (words - LINK_WEIGHT * linked words - BLOCK_COST) have the largest
+    sum, joined by spaces; '' if no sum is positive.  Of equal sums the run that ends first, and of those the shortest."""
+    b = F.col(blocks) if isinstance(blocks, str) else blocks
+    zero = F.lit(0).cast("long")
+    init = F.struct(zero.alias("i"), zero.alias("sum"), zero.alias("start"), zero.alias("best"), zero.alias("from"), zero.alias("to"))
+
+    def step(acc, x):
+        i = acc["i"] + 1
+        fresh = acc["sum"] <= 0
+        total = F.when(fresh, zero).otherwise(acc["sum"]) + x["words"] - LINK_WEIGHT * x["linked"] - BLOCK_COST
+        start = F.when(fresh, i).otherwise(acc["start"])
+        better = total > acc["best"]
+        return F.struct(i.alias("i"), total.alias("sum"), start.alias("start"), F.when(better, total).otherwise(acc["best"]).alias("best"),
+                        F.when(better, start).otherwise(acc["from"]).alias("from"), F.when(better, i).otherwise(acc["to"]).alias("to"))
+
+    run = F.aggregate(b, init, step)
+    texts = F.transform(b, lambda x: x["text"])
+    return F.when(run["best"] > 0, F.array_join(F.slice(texts, run["from"].cast("int"), (run["to"] - run["from"] + 1).cast("int")), " ")
+                  ).otherwise("")
 
 
 def blurb(description, text) -> Column:
@@ -299,12 +336,14 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """EXT-1..3 / STR-14 / STR-13 / UDF-4: (page_id, uri, title, blurb, words, links, error).
 
     The Python step emits texts and resolved links; words (STR-2), title fallback and blurb are
-    computed in the JVM.  The article text stands in for the reference's readability extractor.
+    computed in the JVM.  The blurb is taken from the main text, found by the density of text and links over the
+    page's blocks, and from the whole body where no block stands out.
     """
     raw = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("uri"),
                        F.col(html_col).alias("html"))
     parsed = raw.mapInPandas(_parse_batches, PARSED_SCHEMA)
-    body = F.when(F.col("article_text") != "", F.col("article_text")).otherwise(F.col("body_text"))
+    parsed = parsed.withColumn("_main", main_text("blocks"))
+    body = F.when(F.col("_main") != "", F.col("_main")).otherwise(F.col("body_text"))
     return parsed.select(
         "page_id", "uri",
         F.coalesce(F.when(F.col("title") != "", F.col("title")), F.col("uri")).alias("title"),

@@ -19,8 +19,8 @@ from quarry.operators import quality, search, tfidf, web
 from quarry.operators.topk import top_k
 from quarry.plans import sql
 from quarry.plans import tables as tb
-from quarry.session import reliable_checkpoint, scratch_path
-from quarry.sources import index_store
+from quarry.session import reliable_checkpoint, scratch_path, sized_side
+from quarry.sources import index_store, querylog
 from quarry.streaming import stream as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,7 +201,8 @@ def doc_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(m.norms, "doc_id", "left").select("doc_id", _r6(F.coalesce("norm", F.lit(0.0))).alias("norm"))
 
 
-_COSINE_REL = f"""{sql.QUERY_LOG}, {sql.query_words('cosine')}, {sql.cosine_model()},
+def _relevance_sql(key: str = "doc_id", table: str = "documents", text: str = "text") -> str:
+    return f"""{sql.QUERY_LOG}, {sql.query_words('cosine')}, {sql.cosine_model(key, table, text)},
 qcnt AS (SELECT query_id, word, count(*) AS cnt FROM qw GROUP BY ALL),
 qlen AS (SELECT query_id, count(*) AS qlen FROM qw GROUP BY ALL),
 qv AS (SELECT query_id, word, cnt, cnt / qlen * idf AS qv FROM qcnt JOIN qlen USING (query_id) JOIN cidf USING (word)),
@@ -211,6 +212,9 @@ rel AS (SELECT query_id, k, CASE WHEN norm * qnorm <> 0 THEN num / (norm * qnorm
         FROM num JOIN cnorm USING (k) JOIN qn USING (query_id))"""
 
 
+_COSINE_REL = _relevance_sql()
+
+
 @register("cosine_search", f"""
 WITH {_COSINE_REL}
 SELECT query_id, k AS doc_id, round(relevance, 6) AS relevance FROM rel
@@ -537,19 +541,85 @@ def extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.extension_filter(links, "dst_uri")
 
 
-@register("page_words")
+@register("page_words", f"""
+WITH {sql.PARSED_PAGES}, w AS (SELECT page_id, {sql.STR2.format(x='body')} AS ws FROM parsed)
+SELECT page_id, CAST(unnest(generate_series(0, len(ws) - 1)) AS INTEGER) AS pos, unnest(ws) AS word FROM w
+""")
 def page_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT-2 / STR-2: visible body words of every page (script, style and comments excluded)."""
     parsed = _parsed_pages(spark, sf_dir)
     return parsed.select("page_id", F.posexplode("words").alias("pos", "word"))
 
 
-@register("page_summary")
+@register("page_summary", f"""
+WITH {sql.PARSED_PAGES}, {sql.SUMMARIES} SELECT page_id, uri, title, blurb FROM summaries
+""")
 def page_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT-3 / STR-13 / STR-14 / PRJ-1: uri, title (fallback uri) and blurb of every page."""
     return web.summaries(_parsed_pages(spark, sf_dir))
 
 
+_REQUEST_K = "length(text) % 30"
+
+
+@register("search_requests", f"""
+WITH {sql.QUERY_LOG} SELECT ql.query_id, raw, CAST(CASE WHEN length(text) % 3 = 0 THEN 20 ELSE {_REQUEST_K} END AS INTEGER) AS k
+FROM ql JOIN benchmark b ON b.item_id = ql.query_id
+""")
+def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10 / STR-7 / LIM-2: search requests with the query and, in two of three, the number of results asked for."""
+    return querylog.from_search_requests(_requests(spark, sf_dir))
+
+
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request for every logged query, as a web front end would log it."""
+    b = tb.table(spark, sf_dir, "benchmark").select("item_id", F.length("text").alias("n"))
+    ql = tb.query_log(spark, sf_dir).join(b.withColumnRenamed("item_id", "query_id"), "query_id")
+    uri = F.concat(F.lit("/search?query="), F.replace("raw", F.lit(" "), F.lit("+")),
+                   F.when(F.col("n") % 3 != 0, F.concat(F.lit("&num_results="), (F.col("n") % 30).cast("string"))).otherwise(""))
+    return ql.select("query_id", uri.alias("uri"))
+
+
+_PAGE_TABLES = f"""{sql.PARSED_PAGES}, {sql.SUMMARIES},
+site AS (SELECT uri, arg_min(title, p.page_id) AS title, arg_min(blurb, p.page_id) AS blurb, arg_min(p.body, p.page_id) AS body,
+           regexp_extract(uri, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1) AS host
+         FROM parsed p JOIN (SELECT page_id, blurb FROM summaries) USING (page_id) GROUP BY uri)"""
+_SITE_EDGES = ("SELECT DISTINCT src, dst FROM (SELECT uri AS src, min(uri) OVER (PARTITION BY host) AS dst FROM site UNION ALL "
+               "SELECT src_uri, dst_uri FROM links WHERE dst_uri IN (SELECT uri FROM site)) WHERE src <> dst")
+
+
+@register("page_search", f"""
+WITH {_LINKS_SQL}, {_PAGE_TABLES}, {_relevance_sql("uri", "site", "body")}, {sql.pagerank_unrolled("SELECT uri AS id FROM site", _SITE_EDGES, 5)},
+req AS (SELECT ql.query_id, CASE WHEN length(text) % 3 = 0 THEN 20 ELSE {_REQUEST_K} END AS k FROM ql JOIN benchmark b ON b.item_id = ql.query_id),
+sc AS (SELECT req.query_id, req.k, s.uri, s.title, s.blurb, coalesce(rel.relevance, 0) * sqrt(pr5.rank) AS score
+       FROM req CROSS JOIN site s JOIN pr5 ON pr5.id = s.uri LEFT JOIN rel ON rel.query_id = req.query_id AND rel.k = s.uri)
+SELECT query_id, CAST(pos AS INTEGER) AS pos, uri, title, blurb, round(score * sqrt((SELECT n FROM pcnt)), 6) AS score FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id
+     ORDER BY CASE WHEN score > 0 THEN round(log10(score), 11) END DESC NULLS LAST, uri) AS pos FROM sc)
+WHERE pos <= k
+""")
+def page_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10 / SCH-6 / JN-12 / LIM-2 / SET-2: the requests are searched over the parsed pages, each for its own number of
+    results; title and blurb are fetched for the winners only.  Pages of one URI are one page; links are those of the markup and
+    one from each page to the first page of its host."""
+    parsed = reliable_checkpoint(web.distinct_pages(_parsed_pages(spark, sf_dir), "uri", "page_id"), "parsed")
+    requests = reliable_checkpoint(querylog.from_search_requests(_requests(spark, sf_dir)), "requests")
+    m = tfidf.Model(parsed.select("uri", F.array_join("words", " ").alias("text")), "uri", "text", "cosine")
+    home = parsed.groupBy(urls.url_host("uri").alias("host")).agg(F.min("uri").alias("dst"))
+    links = web.page_links(parsed).select(F.col("src_uri").alias("src"), F.col("dst_uri").alias("dst")).unionByName(
+        parsed.select(F.col("uri").alias("src"), urls.url_host("uri").alias("host")).join(sized_side(home), "host").select("src", "dst"))
+    nodes, edges = graph.link_graph(parsed.select(F.col("uri").alias("id")), links)
+    ranks = graph.pagerank(nodes, edges, 0.85, 0.0, 5)
+    index = impacts.write_impacts(m.tf, m.idf, m.norms, ranks, scratch_path(spark, "impacts"), "uri")
+    weights = impacts.query_weights(search.query_tokens(requests, "cosine"), m.idf)
+    limits = requests.select("query_id", "k")
+    best = impacts.RankedSearch(index, weights, limits).best("uri").drop("pos")
+    winners = sized_side(search.with_zero_scores(best, parsed, limits, "uri"))
+    shown = web.summaries(parsed).drop("page_id").join(winners, "uri")
+    return shown.select("query_id", F.col("pos").cast("int").alias("pos"), "uri", "title", "blurb",
+                        _r6(F.col("score") * float(parsed.count()) ** 0.5).alias("score"))
+
+
 # ------------------------------------------------------------------ written index, checks
 
 def _global_index(spark, sf_dir) -> ix.Index:

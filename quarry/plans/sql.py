@@ -109,3 +109,53 @@ DOC_GRAPH_EDGES = (
     "UNION ALL SELECT d.doc_id AS src, m.dst FROM documents d JOIN "
     "(SELECT lang, min(doc_id) AS dst FROM documents GROUP BY lang) m USING (lang)) "
     "WHERE dst IS NOT NULL AND src <> dst")
+
+
+# Pages of plain markup: what the HTML parser makes of them, as SQL.  Comments, scripts and styles go; the body is what follows
+# its tag; block tags part the text, other tags vanish; links are marked by \x01 and \x02, blocks by \x03.
+_BLOCKS = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|"
+           "pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul")
+
+
+def _decoded(x: str) -> str:
+    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
+
+
+def _spaces(x: str) -> str:
+    return f"trim(regexp_replace({x}, '[ \\t\\n\\r\\f]+', ' ', 'g'), ' ')"
+
+
+PARSED_PAGES = rf"""
+pm AS (SELECT page_id, url, html, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+         '(?is)<(script|style)[^>]*>.*?</(script|style)>', '', 'g') AS m FROM pages),
+pb AS (SELECT page_id, url, {_spaces(_decoded("regexp_extract(m, '(?is)<title[^>]*>(.*?)</title>', 1)"))} AS title,
+         {_decoded("regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(m, '(?is)<body[^>]*>(.*)$', 1), "
+                   "'(?i)<a( [^>]*)?>', chr(1), 'g'), '(?i)</a>', chr(2), 'g'), '(?i)</?(" + _BLOCKS + ")( [^>]*)?/?>', chr(3), 'g'), '<[^>]*>', '', 'g')")}
+           AS marked FROM pm),
+pp AS (SELECT page_id, url, title, marked, {_spaces("translate(marked, chr(1) || chr(2) || chr(3), '  ')".replace("'  '", "chr(1) || chr(2) || ' '"))} AS b0 FROM pb),
+parsed AS (SELECT page_id, url AS uri, CASE WHEN title <> '' THEN title ELSE url END AS title,
+         {_spaces("replace(replace(b0, chr(1), ''), chr(2), '')")} AS body, marked FROM pp)"""
+
+SUMMARIES = rf"""
+bk AS (SELECT page_id, unnest(string_split(marked, chr(3))) AS x, unnest(generate_series(1, len(string_split(marked, chr(3))))) AS i FROM parsed),
+bt AS (SELECT page_id, i, {_spaces("replace(replace(x, chr(1), ''), chr(2), '')")} AS t,
+         {_spaces("array_to_string(regexp_extract_all(x, '\x01([^\x02]*)', 1), ' ')")} AS l FROM bk),
+bs AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) AS i, t, len(string_split(t, ' '))
+         - 3 * CASE WHEN l = '' THEN 0 ELSE len(string_split(l, ' ')) END - 8 AS score FROM bt WHERE t <> ''),
+bp AS (SELECT *, sum(score) OVER (PARTITION BY page_id ORDER BY i) AS s FROM bs),
+b1 AS (SELECT page_id, i, t, s, s - score AS before FROM bp),
+b2 AS (SELECT page_id, i, t, s - min(before) OVER w AS best, arg_max(i, struct_pack(a := -before, b := i)) OVER w AS start FROM b1
+       WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+b3 AS (SELECT page_id, arg_max(struct_pack(f := start, e := i), struct_pack(a := best, b := -i)) AS run, max(best) AS best FROM b2 GROUP BY page_id),
+mt AS (SELECT b1.page_id, string_agg(t, ' ' ORDER BY i) AS main FROM b1 JOIN b3 USING (page_id)
+       WHERE best > 0 AND i BETWEEN run.f AND run.e GROUP BY b1.page_id),
+tx AS (SELECT page_id, string_split_regex(coalesce(main, body), '[ 	
+
+]+') AS w FROM parsed LEFT JOIN mt USING (page_id)),
+wl AS (SELECT page_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS j FROM tx),
+ws AS (SELECT page_id, word, j, sum(length(word) + 1) OVER (PARTITION BY page_id ORDER BY j) AS n FROM wl),
+bl AS (SELECT page_id, string_agg(word || CASE WHEN n > 200 THEN '...' ELSE ' ' END, '' ORDER BY j) AS blurb FROM ws
+       WHERE n - length(word) - 1 <= 200 GROUP BY page_id),
+summaries AS (SELECT page_id, uri, title, blurb FROM parsed JOIN bl USING (page_id))"""

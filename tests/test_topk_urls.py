@@ -67,3 +67,12 @@ def test_query_log_from_requests(spark):
                                   (3, "/query?terms=a&terms=b%20c")], "query_id long, uri string")
     got = {r["query_id"]: r["raw"] for r in querylog.from_requests(reqs).collect()}
     assert got == {1: "Whale Ocean", 3: "b c"}
+
+
+def test_search_requests_carry_their_own_number_of_results(spark):
+    reqs = spark.createDataFrame([
+        (1, "/search?query=a+b%21&num_results=5"), (2, "/search?query=x"), (3, "/search?num_results=7&query=y&query=z&num_results=%38"),
+        (4, "/search?query=q&num_results=many"), (5, "/search?num_results=0"), (6, "/search"), (7, None), (8, "/search?query=n&num_results=-1")],
+        "query_id long, uri string")
+    got = {r["query_id"]: (r["raw"], r["k"]) for r in querylog.from_search_requests(reqs).collect()}
+    assert got == {1: ("a b!", 5), 2: ("x", 20), 3: ("z", 8), 4: ("q", 20), 5: ("", 0), 6: ("", 20), 7: ("", 20), 8: ("n", 20)}

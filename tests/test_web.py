@@ -58,7 +58,8 @@ def test_parse_page(spark):
     assert p["links"] == ["http://s.org/a", "http://s.org/b?q=1"]
     assert p["words"] == ["a", "b", "mc", "head", "hello", "world", "more"]
     assert "var" not in p["words"] and "hidden" not in p["words"]
-    assert p["blurb"] == "Head Hello world & more. "
+    # No block of this page stands out, so the blurb is taken from the whole body.
+    assert p["blurb"] == "A B MC Head Hello world & more. "
 
 
 def test_blurb_cut(spark):
@@ -87,3 +88,32 @@ def test_save_raw_pages(spark):
     assert set(rows) == {"a.org", "b.org"}
     parsed = web.read_raw_pages(back.select("content")).collect()
     assert sorted(r["uri"] for r in parsed) == ["http://a.org/x", "http://b.org/y"]
+
+
+def test_main_text_is_found_by_density_without_article_tags(spark):
+    long = "a paragraph of plain prose that says something in more than a dozen words, "
+    menu = "<ul>" + "".join(f'<li><a href="/{i}">a menu entry of quite a few words that are all inside a link</a></li>' for i in range(6)) + "</ul>"
+    pages = [
+        (1, f"<body>{menu}<div><h2>Head</h2><div>{long}one.</div><div>short.</div><div>{long}{long}two <a href='/x'>with a link</a>.</div></div>"
+            f"<div>small print</div>{menu}</body>"),
+        (2, f"<body><div>{long}alone.</div>{menu}<div>{long}first. {long}second. {long}third.</div></body>"),
+        (3, f"<body>{menu}<p>too short to stand out</p></body>"), (4, ""), (5, None),
+        (6, f"<body><p>{long}left open <a href='/y'>{long}<p>{long}not closed {long}"),
+        (7, "<body>" + "<p>" + "word " * 40_000 + "</p>" * 2 + menu)]
+    frame = spark.createDataFrame([(i, f"http://s.org/{i}", h) for i, h in pages], "page_id long, url string, html string")
+    raw = frame.select("page_id", frame.url.alias("uri"), "html").mapInPandas(web._parse_batches, web.PARSED_SCHEMA)
+    got = {r.page_id: r.main for r in raw.select("page_id", web.main_text("blocks").alias("main")).collect()}
+    assert got[1] == f"{long}one. short. {long}{long}two with a link."
+    assert got[2] == f"{long}first. {long}second. {long}third."
+    assert got[3] == got[4] == got[5] == ""
+    assert got[6].startswith(f"{long}left open") is False and "left open" not in got[6]
+    assert got[7] == ("word " * 40_000).strip()
+
+    def brute(blocks):
+        scores = [b["words"] - 3 * b["linked"] - 8 for b in blocks]
+        runs = [(-sum(scores[i:j + 1]), j, -i) for i in range(len(scores)) for j in range(i, len(scores))]
+        best = min(runs, default=(0, 0, 0))
+        return " ".join(b["text"] for b in blocks[-best[2]:best[1] + 1]) if best[0] < 0 else ""
+    assert all(brute(r.blocks) == got[r.page_id] for r in raw.collect())
+    blurbs = {r.page_id: r.blurb for r in web.parse_pages(frame).collect()}
+    assert blurbs[1].startswith(long) and blurbs[3].startswith("a menu entry")
