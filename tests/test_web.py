@@ -94,7 +94,7 @@ def test_main_text_is_found_by_density_without_article_tags(spark):
     long = "a paragraph of plain prose that says something in more than a dozen words, "
     menu = "<ul>" + "".join(f'<li><a href="/{i}">a menu entry of quite a few words that are all inside a link</a></li>' for i in range(6)) + "</ul>"
     pages = [
-        (1, f"<body>{menu}<div><h2>Head</h2><div>{long}one.</div><div>short.</div><div>{long}{long}two <a href='/x'>with a link</a>.</div></div>"
+        (1, f"<body>{menu}<div><h2>Head</h2><div>{long}one.</div><div>rather short.</div><div>{long}{long}two <a href='/x'>with a link</a>.</div></div>"
             f"<div>small print</div>{menu}</body>"),
         (2, f"<body><div>{long}alone.</div>{menu}<div>{long}first. {long}second. {long}third.</div></body>"),
         (3, f"<body>{menu}<p>too short to stand out</p></body>"), (4, ""), (5, None),
@@ -103,7 +103,7 @@ def test_main_text_is_found_by_density_without_article_tags(spark):
     frame = spark.createDataFrame([(i, f"http://s.org/{i}", h) for i, h in pages], "page_id long, url string, html string")
     raw = frame.select("page_id", frame.url.alias("uri"), "html").mapInPandas(web._parse_batches, web.PARSED_SCHEMA)
     got = {r.page_id: r.main for r in raw.select("page_id", web.main_text("blocks").alias("main")).collect()}
-    assert got[1] == f"{long}one. short. {long}{long}two with a link."
+    assert got[1] == f"{long}one. rather short. {long}{long}two with a link."
     assert got[2] == f"{long}first. {long}second. {long}third."
     assert got[3] == got[4] == got[5] == ""
     assert got[6].startswith(f"{long}left open") is False and "left open" not in got[6]
