@@ -81,6 +81,21 @@ def url_subject(url) -> Column:
     return F.concat(url_path_raw(u), F.when(has_q, F.concat(F.lit("?"), q)).otherwise(F.lit("")))
 
 
+def normalised(uri) -> Column:
+    """STR-9 in the JVM, for absolute URIs: scheme and host in lower case, an empty path is '/', '.' and '..' segments are
+    resolved ('..' above the root goes), the fragment is dropped.  Null for anything else."""
+    u = _col(uri)
+    origin = F.lower(F.regexp_extract(u, _AUTH + r"[^/?#]*", 0))
+    path = url_path_raw(u)
+    parts = F.split(path, "/", -1)
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"), lambda acc, x: (
+        F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.array_append(acc, x))))
+    ends = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), F.lit("/")).otherwise("")
+    plain = F.when(path.contains("/."), F.concat(F.lit("/"), F.array_join(kept, "/"), ends)).otherwise(path)
+    query = F.regexp_extract(u, r"^[^?#]*(\?[^#]*)", 1)
+    return F.when(F.length(origin) > 0, F.concat(origin, F.when(plain == "", "/").otherwise(plain), query))
+
+
 def word_bucket(word, buckets: int) -> Column:
     """STR-10: bucket of a word, used as the postings partition column."""
     return F.pmod(F.xxhash64(_col(word)), F.lit(buckets)).cast("int")

@@ -15,12 +15,14 @@ from quarry.functions import tokenize as tk
 from quarry.functions import urls
 from quarry.operators import graph, impacts
 from quarry.operators import index as ix
+from quarry.operators import crawl as crawling
 from quarry.operators import quality, search, tfidf, web
+from quarry.operators.ordinals import next_within
 from quarry.operators.topk import top_k
 from quarry.plans import sql
 from quarry.plans import tables as tb
 from quarry.session import reliable_checkpoint, scratch_path, sized_side
-from quarry.sources import index_store, querylog
+from quarry.sources import index_store, querylog, segments
 from quarry.streaming import stream as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -735,6 +737,55 @@ def crawl_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.bfs_order(edges, seeds, 100).select("id", F.col("distance").cast("int").alias("distance"))
 
 
+_CRAWL_STOP, _CRAWL_LIMIT, _CRAWL_LEVELS = 120, 300, 8
+_NORMAL = ("lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', 0)) || "
+           "CASE WHEN regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) = '' THEN '/' "
+           "ELSE regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) END || regexp_extract({u}, '^[^?#]*(\\?[^#]*)', 1)")
+
+
+def _crawl_filtered_sql() -> str:
+    url_of = lambda x: _NORMAL.replace("\\\\", "\\").format(u=x)
+    subject, host = _SUBJECT_SQL.replace("url", "uri"), _HOST_SQL.replace("url", "uri")
+    levels = "".join(f""",
+l{d} AS (SELECT DISTINCT ce.dst AS uri FROM l{d - 1} JOIN ce ON ce.src = l{d - 1}.uri WHERE ce.dst IN (SELECT uri FROM ok) AND ce.dst NOT IN (SELECT uri FROM v{d - 1})),
+v{d} AS (SELECT * FROM v{d - 1} UNION ALL SELECT uri, {d} AS distance FROM l{d})""" for d in range(1, _CRAWL_LEVELS + 1))
+    return f"""
+WITH {_LINKS_SQL}, {_ROBOTS_SQL},
+pg AS (SELECT page_id, url, {_HOST_SQL} AS host FROM pages),
+nx AS (SELECT url AS src, lead(url) OVER (PARTITION BY host ORDER BY page_id) AS dst FROM pg),
+ce AS (SELECT DISTINCT {url_of('src')} AS src, {url_of('dst')} AS dst FROM (SELECT src_uri AS src, dst_uri AS dst FROM links
+       UNION ALL SELECT src, dst FROM nx WHERE dst IS NOT NULL)),
+sd AS (SELECT DISTINCT {url_of('u')} AS uri FROM (SELECT arg_min(url, page_id) AS u FROM pg GROUP BY host)),
+cand AS (SELECT uri, {host} AS host, {subject} AS subject FROM (SELECT uri FROM sd UNION SELECT dst FROM ce)),
+ok AS (SELECT uri FROM cand LEFT JOIN rules USING (host)
+       WHERE host IN (SELECT host FROM pg GROUP BY host HAVING count(*) >= 2) AND NOT regexp_matches(subject, '{web.extension_pattern()}')
+       GROUP BY uri HAVING coalesce(bool_or(rules.kind = 'allow' AND subject LIKE rules.lk ESCAPE '\\'), false)
+         OR NOT coalesce(bool_or(rules.kind = 'disallow' AND subject LIKE rules.lk ESCAPE '\\'), false)),
+l0 AS (SELECT uri FROM sd WHERE uri IN (SELECT uri FROM ok)), v0 AS (SELECT uri, 0 AS distance FROM l0){levels}
+SELECT uri, CAST(distance AS INTEGER) AS distance, CAST(row_number() OVER (ORDER BY distance, uri) AS BIGINT) AS pos
+FROM (SELECT * FROM v{_CRAWL_LEVELS} ORDER BY distance, uri LIMIT {_CRAWL_LIMIT})
+"""
+
+
+@register("crawl_filtered", _crawl_filtered_sql())
+def crawl_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GRF-4 / FLT-4..7 / JN-9 / LIM-1 / SRC-9 / SNK-4 / Q-12: a crawl over the links of the pages and from each page to the next
+    of its host, from the first page of every host; hosts with two pages or more, robots rules and file extensions
+    decide what is admitted.  The crawl stops after 120 URIs and is resumed from its state to 300."""
+    pages = tb.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    named = pages.select("page_id", F.col("url").alias("uri"), urls.url_host("url").alias("host"))
+    following = next_within(named, ["host"], ["page_id"], "uri", "next").where("next IS NOT NULL")
+    links = web.page_links(web.parse_pages(pages)).select("src_uri", "dst_uri").unionByName(
+        following.select(F.col("uri").alias("src_uri"), F.col("next").alias("dst_uri")))
+    hosts = named.groupBy("host").count().where("count >= 2").select("host")
+    rules = sized_side(web.parse_robots(_robots_table(pages), _ROBOTS_AGENT))
+    seeds = named.groupBy("host").agg(F.min_by("uri", "page_id").alias("uri")).select("uri")
+    admission = crawling.Admission(hosts=sized_side(hosts), robots=rules, extensions=web.EXTENSION_BLACKLIST)
+    state = scratch_path(spark, "crawl")
+    crawling.crawl(links, seeds, state, _CRAWL_STOP, admission)
+    return crawling.crawl(links, seeds, state, _CRAWL_LIMIT, admission)
+
+
 # ------------------------------------------------------------------ streaming
 
 @register("stream_queries", ORACLE["and_search"])
@@ -770,3 +821,24 @@ def incremental_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     idx = streaming.read_stream_index(spark, f"{root}/index")
     return ix.doc_names(idx.doc_table, idx.postings).select("doc_name", "word", "n")
+
+
+@register("segmented_index", f"""
+WITH {sql.COUNT_DOCS}, {sql.COUNT_POSITIONS}
+SELECT cd.doc_name, pos.word, CAST(count(*) AS INTEGER) AS n, list(pos.pos ORDER BY pos.pos) AS positions, true AS ids_dense, CAST(4 AS INTEGER) AS batches
+FROM pos JOIN cd USING (doc_id) GROUP BY ALL
+""")
+def segmented_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM-2 / SET-6 / SNK-2 / SRC-7: the documents arrive in four files, one micro-batch each; small segments are merged on the
+    way, one batch is sent again; result = the postings of the last version by name, and whether its ids are dense."""
+    root = scratch_path(spark, "segments")
+    docs = tb.documents(spark, sf_dir).select("doc_name", "text")
+    docs.repartition(4, "doc_name").write.parquet(f"{root}/incoming")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming")
+    streaming.stream_segments(stream, f"{root}/index", f"{root}/checkpoint", merge_docs=1 << 40, merge_at=3).awaitTermination()
+    segments.add_batch(docs.limit(1), f"{root}/index", 0)
+    idx = segments.open_segments(spark, f"{root}/index")
+    dense = idx.doc_table.agg(F.max("doc_id") == F.count(F.lit(1))).first()[0]
+    found = ix.doc_names(idx.doc_table, idx.postings).select("doc_name", "word", "n", "positions")
+    batches = len(segments.manifest(spark, f"{root}/index")["batches"])
+    return found.withColumn("ids_dense", F.lit(dense)).withColumn("batches", F.lit(batches))

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators import index as ix
 from quarry.operators import search
-from quarry.sources import querylog
+from quarry.sources import querylog, segments
 from quarry.sources.files import _exists
 
 
@@ -75,3 +75,17 @@ def read_stream_index(spark: SparkSession, path: str) -> ix.Index:
     base = path.rstrip("/")
     return ix.Index(spark.read.parquet(f"{base}/doc_table").drop("batch_id"),
                     spark.read.parquet(f"{base}/postings").drop("batch_id"))
+
+
+def stream_segments(doc_stream: DataFrame, path: str, checkpoint: str, name: str = "doc_name", text: str = "text",
+                    merge_docs: int = 0, merge_at: int = 4, available_now: bool = True) -> StreamingQuery:
+    """STM-2 into a segmented index: a segment and a version for each micro-batch; when ``merge_at`` segments of at most
+    ``merge_docs`` documents have gathered, they become one.  A replayed batch is known by its id."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        segments.add_batch(batch, path, epoch_id, name, text)
+        if merge_docs:
+            segments.merge_small(batch.sparkSession, path, merge_docs, merge_at)
+
+    w = doc_stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
