@@ -18,6 +18,7 @@ import base64
 import hashlib
 import re
 import sys
+import threading
 from array import array
 from collections.abc import Iterable
 from heapq import heappop, heappush
@@ -36,6 +37,7 @@ LEAF = 8                       # bits of a rank that index a leaf word of the bi
 LOW = (1 << LEAF) - 1
 BIT = [1 << i for i in range(1 << LEAF)]
 CACHE_BYTES = 80_000_000       # of a cache generation (two are kept of two caches); only speed depends on it
+IDLE = 1.5                     # seconds after a partition until an idle worker empties its caches
 ENTRY = 230                    # bytes of an entry besides its text and ids, roughly
 CACHED_LENGTH = 64             # longer pre-tokens are never remembered
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -80,6 +82,7 @@ class Codec:
         # the space before it.  Such units are found by a plain scan and most are known already.
         self.unit = re.compile(UNIT) if pattern.endswith(PUBLIC_TAIL) else None
         self.units, self.pieces = Memory(CACHE_BYTES), Memory(CACHE_BYTES)
+        self.timer: threading.Timer | None = None
         # The queue of a merge.  Every merge leaves it empty, so it is made once: a bucket of list positions for each
         # rank, and the leaf words of the bitmap over the ranks.
         top_rank = max(ranks.values(), default=0)
@@ -195,8 +198,16 @@ class Codec:
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def rest(self) -> None:
+        """To be called at the end of a partition: the caches serve the worker's next partition, and are emptied if none
+        comes within ``IDLE`` seconds, since the process may go on with other work."""
+        if self.timer:
+            self.timer.cancel()
+        self.timer = threading.Timer(IDLE, self.forget)
+        self.timer.daemon = True
+        self.timer.start()
+
     def forget(self) -> None:
-        """Empties the caches: the worker process may go on with other work."""
         self.units.clear()
         self.pieces.clear()
 
@@ -217,7 +228,11 @@ def codec(path: str, pattern: str) -> Codec:
     """The codec of a rank file, loaded once per worker process."""
     if (path, pattern) not in _codecs:
         _codecs[path, pattern] = Codec.load(path, pattern)
-    return _codecs[path, pattern]
+    found = _codecs[path, pattern]
+    if found.timer:
+        found.timer.cancel()
+        found.timer = None
+    return found
 
 
 def default_vocabulary() -> tuple[str, str]:
@@ -230,7 +245,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def rows(ids: list, texts: list) -> dict:
         c = codec(path, pattern)
         return {"doc_id": ids, "ids": [c.encode(t or "") for t in texts]}
-    return map_rows(docs, rows, ["doc_id", "text"], "doc_id long, ids array<int>", lambda: codec(path, pattern).forget())
+    return map_rows(docs, rows, ["doc_id", "text"], "doc_id long, ids array<int>", lambda: codec(path, pattern).rest())
 
 
 def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -252,7 +267,7 @@ def bpe_digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             out["ids_sha256"].append(hashlib.sha256(little_endian(packed)).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(c.decode(array("I", packed))).hexdigest())
         return out
-    return map_rows(docs, rows, ["doc_id", "text"], SCHEMA, lambda: codec(path, pattern).forget())
+    return map_rows(docs, rows, ["doc_id", "text"], SCHEMA, lambda: codec(path, pattern).rest())
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,20 @@ def test_bpe_memory_is_bounded():
     assert m.get("49") is None
 
 
+def test_bpe_caches_outlive_a_partition_only_while_work_comes(monkeypatch):
+    import time
+    monkeypatch.setattr(bpe, "IDLE", 0.2)
+    own = bpe.codec(*bpe.default_vocabulary())
+    own.encode("some words that are remembered")
+    own.rest()
+    assert bpe.codec(*bpe.default_vocabulary()).units.new and own.timer is None
+    time.sleep(0.4)
+    assert own.units.new
+    own.rest()
+    time.sleep(0.4)
+    assert not own.units.new and not own.pieces.new
+
+
 def test_bpe_queue_is_empty_after_each_merge():
     own = bpe.codec(*bpe.default_vocabulary())
     for _ in range(200):
