@@ -22,7 +22,7 @@ from quarry.operators.topk import top_k
 from quarry.plans import sql
 from quarry.plans import tables as tb
 from quarry.session import reliable_checkpoint, scratch_path, sized_side
-from quarry.sources import index_store, querylog, segments
+from quarry.sources import index_store, page_files, querylog, segments
 from quarry.streaming import stream as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -737,6 +737,23 @@ def crawl_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.bfs_order(edges, seeds, 100).select("id", F.col("distance").cast("int").alias("distance"))
 
 
+@register("saved_pages", f"""
+SELECT md5(url) AS page_key, {_HOST_SQL} AS host, url AS uri, md5(h) AS html_md5, CAST(length(h) AS BIGINT) AS n_chars
+FROM (SELECT url, arg_min(html, page_id) AS h FROM pages WHERE html IS NOT NULL GROUP BY url)
+""")
+def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 / SRC-4 / SRC-5 / SET-2 / STR-12: every page is saved as a file of its own under its host, the tree is listed and read again, and
+    the metadata header gives back its URI."""
+    pages = tb.table(spark, sf_dir, "pages").where("html IS NOT NULL")
+    first = web.distinct_pages(pages.select(F.col("url").alias("uri"), "page_id", F.col("html").alias("body")), "uri", "page_id")
+    root = scratch_path(spark, "page-files")
+    page_files.save_page_files(first.select("uri", "body"), root)
+    found = page_files.read_files(page_files.list_tree(spark, root))
+    back = web.read_raw_pages(found.select("name", F.decode("content", "UTF-8").alias("content")))
+    return back.select(F.element_at(F.split("name", "/"), -1).alias("page_key"), urls.url_host("uri").alias("host"), "uri",
+                       F.md5("html").alias("html_md5"), F.length("html").cast("long").alias("n_chars"))
+
+
 _CRAWL_STOP, _CRAWL_LIMIT, _CRAWL_LEVELS = 120, 300, 8
 _NORMAL = ("lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', 0)) || "
            "CASE WHEN regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) = '' THEN '/' "

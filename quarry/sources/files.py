@@ -1,7 +1,7 @@
 """File sources and sinks: text trees, parsed-page cache, column CSV, visited-URL log.
 
-All I/O is Spark's (``binaryFile``, Parquet, CSV) against any Hadoop-compatible path, so the same
-code reads a local folder in tests and a shared store on a cluster.
+Tables are read and written by Spark (Parquet, CSV) on any Hadoop-compatible path; trees of files are listed and read
+by tasks (``page_files``).
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.sources.page_files import list_tree, read_files
+
 
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -16,53 +18,20 @@ def _fs_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    p, fs = _fs_path(spark, path)
-    return fs.makeQualified(p).toString().rstrip("/")
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs_path(spark, path)
     return fs.exists(p)
 
 
-def _unreadable(spark: SparkSession, root: str, recursive: bool) -> list[str]:
-    """Names that no Spark reader lists: those of files, or of folders above them, that start with '.' or '_'."""
-    p, fs = _fs_path(spark, root)
-    base = _qualified(spark, root) + "/"
-    names, found = fs.listFiles(p, recursive), []
-    while names.hasNext():
-        name = names.next().getPath().toString()[len(base):]
-        if any(part[:1] in "._" for part in name.split("/")) and not name.endswith(".crc"):
-            found.append(name)
-    return found
-
-
 def read_tree(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
-    """SRC-1 / SRC-3 / SRC-4 / FLT-3: every regular file under ``root`` -> (path, name, text).
+    """SRC-1 / SRC-3 / SRC-4 / FLT-3: every regular file under ``root`` -> (path, name, text), listed and read by tasks.
 
     ``name`` is the path relative to ``root``; ``text`` keeps every byte as one character
-    (ISO-8859-1), so a byte above 0x7F stays non-ASCII for FLT-1.  A missing root, an empty
-    string or a root that is not a directory is an error, and so is a tree that holds names starting with
-    '.' or '_' (checksum files aside): Spark's readers pass over them, which would lose files silently.
+    (ISO-8859-1), so a byte above 0x7F stays non-ASCII for FLT-1; it is null for a file that cannot be read.  Names may
+    start with any character.  A missing root, an empty string or a root that is not a directory is an error.
     """
-    if not root:
-        raise ValueError("root must be a directory path")
-    p, fs = _fs_path(spark, root)
-    if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
-        raise ValueError(f"{root} is not a directory")
-    if hidden := _unreadable(spark, root, recursive):
-        raise ValueError(f"{len(hidden)} files cannot be read by Spark because of their names, e.g. {sorted(hidden)[:3]}")
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root)
-    base = _qualified(spark, root) + "/"
-    return df.select(
-        F.col("path"),
-        F.expr(f"substring(path, {len(base) + 1})").alias("name"),
-        F.decode(F.col("content"), "ISO-8859-1").alias("text"),
-    )
+    found = read_files(list_tree(spark, root, recursive, glob))
+    return found.select("path", "name", F.decode(F.col("content"), "ISO-8859-1").alias("text"))
 
 
 def save_parsed_pages(parsed: DataFrame, path: str) -> None:

@@ -4,15 +4,18 @@ Layout under ``path``::
 
     doc_table/                 (index_id, doc_id, doc_name)
     postings/bucket=B/         (index_id, word, doc_id, n, positions), sorted by word in each file
-    _manifest/                 one JSON row: version, buckets, counts, order-free checksums
+    _digests/                  one JSON row per bucket: bucket, rows, order-free checksum
+    _manifest/                 one JSON row: version, buckets, counts, order-free checksums, the digest of the digests
 
 The manifest is the commit record: it is deleted before a write touches the tables and written last,
 so an index without it is not valid and a write that was cut off cannot pass as committed.  Checksums are ``bit_xor`` of per-row ``xxhash64`` values, so
-they do not depend on row order or partitioning and cannot overflow.
+they do not depend on row order or partitioning and cannot overflow.  Each bucket has a digest of its own, so a lookup can
+check the buckets it reads (``checked_lookup``) without reading the others.
 """
 
 from __future__ import annotations
 
+import zlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +24,10 @@ from pyspark.sql import functions as F
 from quarry.functions.urls import word_bucket
 from quarry.operators.index import Index
 from quarry.session import sized_side
+from quarry.sources.files import _exists
 
-VERSION = 1
+VERSION = 2
+POSTINGS = "index_id string, word string, doc_id long, n int, positions array<int>, bucket int"
 
 
 def _fs_delete(spark: SparkSession, path: str) -> None:
@@ -33,15 +38,29 @@ def _fs_delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def _checksums(doc_table: DataFrame, postings: DataFrame) -> dict:
+def _doc_checksums(doc_table: DataFrame) -> dict:
     d = doc_table.agg(F.count(F.lit(1)).alias("n_docs"),
-                      F.coalesce(F.bit_xor(F.xxhash64("index_id", "doc_id", "doc_name")), F.lit(0)).alias("doc_checksum")
-                      ).first()
-    p = postings.agg(F.count(F.lit(1)).alias("n_postings"),
-                     F.coalesce(F.bit_xor(F.xxhash64("index_id", "word", "doc_id", "n", "positions")), F.lit(0))
-                     .alias("postings_checksum")).first()
-    return {"n_docs": int(d["n_docs"]), "doc_checksum": int(d["doc_checksum"]),
-            "n_postings": int(p["n_postings"]), "postings_checksum": int(p["postings_checksum"])}
+                      F.coalesce(F.bit_xor(F.xxhash64("index_id", "doc_id", "doc_name")), F.lit(0)).alias("doc_checksum")).first()
+    return {"n_docs": int(d["n_docs"]), "doc_checksum": int(d["doc_checksum"])}
+
+
+def bucket_digests(postings: DataFrame) -> DataFrame:
+    """bucket, n, checksum of every bucket of ``postings``."""
+    row = F.xxhash64("index_id", "word", "doc_id", "n", "positions")
+    return postings.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(row).alias("checksum"))
+
+
+def _combined(digests: list) -> dict:
+    """Counts and checksums of the whole from those of its buckets (as many as the index has)."""
+    whole = root = 0
+    for d in sorted(digests, key=lambda d: d["bucket"]):
+        whole ^= d["checksum"]
+        root = zlib.crc32(f"{d['bucket']}:{d['rows']}:{d['checksum']};".encode(), root)
+    return {"n_postings": sum(d["rows"] for d in digests), "postings_checksum": whole, "digest": root}
+
+
+def _checksums(doc_table: DataFrame, postings: DataFrame) -> dict:
+    return _doc_checksums(doc_table) | _combined(bucket_digests(postings).collect())
 
 
 def write_index(index: Index, path: str, buckets: int = 64) -> dict:
@@ -50,24 +69,30 @@ def write_index(index: Index, path: str, buckets: int = 64) -> dict:
     spark = index.postings.sparkSession
     path = path.rstrip("/")
     _fs_delete(spark, f"{path}/_manifest")
+    _fs_delete(spark, f"{path}/_digests")
     index.doc_table.select("index_id", "doc_id", "doc_name").write.mode("overwrite").parquet(f"{path}/doc_table")
     (index.postings.select("index_id", "word", "doc_id", "n", "positions")
      .withColumn("bucket", word_bucket("word", buckets))
      .hint("rebalance", "bucket")
      .sortWithinPartitions("bucket", "word", "doc_id")
      .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
-    written_docs = spark.read.parquet(f"{path}/doc_table")
-    written_postings = spark.read.parquet(f"{path}/postings")
-    manifest = {"version": VERSION, "buckets": buckets, **_checksums(written_docs, written_postings.drop("bucket"))}
+    digests = bucket_digests(spark.read.schema(POSTINGS).parquet(f"{path}/postings"))
+    digests.coalesce(1).write.mode("overwrite").json(f"{path}/_digests")
+    manifest = {"version": VERSION, "buckets": buckets, **_doc_checksums(spark.read.parquet(f"{path}/doc_table")),
+                **_combined(read_digests(spark, path))}
     spark.createDataFrame([manifest]).coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
     return manifest
 
 
+def read_digests(spark: SparkSession, path: str) -> list:
+    return spark.read.schema("bucket int, rows long, checksum long").json(f"{path.rstrip('/')}/_digests").collect()
+
+
 def read_manifest(spark: SparkSession, path: str) -> dict:
-    try:
-        row = spark.read.json(f"{path.rstrip('/')}/_manifest").first()
-    except Exception as exc:  # noqa: BLE001
-        raise ValueError(f"{path} is not a committed index (no manifest)") from exc
+    at = f"{path.rstrip('/')}/_manifest"
+    if not _exists(spark, f"{at}/_SUCCESS"):
+        raise ValueError(f"{path} is not a committed index (no manifest)")
+    row = spark.read.json(at).first()
     if row is None or row["version"] != VERSION:
         raise ValueError(f"{path} has no valid manifest")
     return row.asDict()
@@ -79,7 +104,7 @@ def open_index(spark: SparkSession, path: str, validate: bool = True) -> tuple[I
     manifest = read_manifest(spark, path)
     idx = Index(spark.read.parquet(f"{path}/doc_table"), spark.read.parquet(f"{path}/postings"))
     if validate:
-        got = _checksums(idx.doc_table, idx.postings.drop("bucket"))
+        got = _checksums(idx.doc_table, idx.postings)
         bad = {k: (manifest[k], v) for k, v in got.items() if manifest[k] != v}
         if bad:
             raise ValueError(f"index {path} fails validation: {bad}")
@@ -116,6 +141,30 @@ def lookup_words(index: Index, words: DataFrame, buckets: int | None = None) ->
     return reduce(DataFrame.unionByName, out)
 
 
+def changed_buckets(spark: SparkSession, path: str, buckets: list[int] | None = None) -> list[int]:
+    """DQ-1 / SRC-7: those of the given buckets (or of all) whose content is not what was written; only they are read.  Digests
+    that do not agree with the manifest are an error."""
+    path = path.rstrip("/")
+    manifest, digests = read_manifest(spark, path), read_digests(spark, path)
+    if _combined(digests)["digest"] != manifest["digest"]:
+        raise ValueError(f"the digests of {path} are not those of its manifest")
+    wanted = set(range(manifest["buckets"])) if buckets is None else set(buckets)
+    scan = spark.read.schema(POSTINGS).parquet(f"{path}/postings").where(F.col("bucket").isin(sorted(wanted)))
+    got = {r["bucket"]: (r["rows"], r["checksum"]) for r in bucket_digests(scan).collect()}
+    was = {d["bucket"]: (d["rows"], d["checksum"]) for d in digests if d["bucket"] in wanted}
+    return sorted(b for b in wanted if got.get(b) != was.get(b))
+
+
+def checked_lookup(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
+    """JN-1 with the check of SRC-7: the postings of ``words`` from one index, after the buckets they lie in were checked."""
+    idx, n = open_indexes(spark, [path])
+    w = sized_side(words.select("word").distinct())
+    wanted = [r[0] for r in w.select(word_bucket("word", n)).distinct().collect()]
+    if bad := changed_buckets(spark, path, wanted):
+        raise ValueError(f"buckets {bad} of {path} are not what was written")
+    return lookup_words(idx, w)
+
+
 def lookup_positions(index: Index, wanted: DataFrame, buckets: int | None = None) -> DataFrame:
     """JN-5: positions of the (index_id, word, doc_id) rows of ``wanted``, read from the words' buckets only;
     absent ones drop out."""

@@ -1,3 +1,4 @@
+import hashlib
 import os
 import tempfile
 
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import index as ix
 from quarry.operators import search
-from quarry.sources import files
+from quarry.sources import files, page_files
 
 TREE = {
     "a.txt": b"apple pie. ",
@@ -32,8 +33,7 @@ def tree():
 
 def test_read_tree_and_index(spark, tree):
     df = files.read_tree(spark, tree)
-    # Spark lists no zero-length files; an empty file would get no doc id anyway.
-    assert sorted(r["name"] for r in df.collect()) == sorted(set(TREE) - {"empty"})
+    assert sorted(r["name"] for r in df.collect()) == sorted(TREE)
     idx = ix.build_index(df, "name", "text")
     # ASCII, non-empty, worded files in path-component order; "nul" keeps only "apple" (ends the text).
     assert [r["doc_name"] for r in idx.doc_table.orderBy("doc_id").collect()] == ["a/b", "a!", "a.txt"]
@@ -75,3 +75,49 @@ def test_parsed_cache_csv_and_visited(spark):
     files.append_visited(spark.createDataFrame([("http://x.org/",)], "uri string"), visited)
     files.append_visited(spark.createDataFrame([("http://y.org/",)], "uri string"), visited)
     assert sorted(r["id"] for r in files.load_visited(spark, visited).collect()) == ["http://x.org/", "http://y.org/"]
+
+
+def test_every_name_is_listed_by_tasks(spark, tmp_path, monkeypatch):
+    names = [".hidden", "_d/x.txt", "a/.b/_c/d e.txt", "ü/é.html", "a/b.HTML", "..two", "a/[x]*.txt"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"words here. \xe9")
+    (tmp_path / "a" / "loop").symlink_to(tmp_path)
+    monkeypatch.setattr(page_files, "FOLDERS_PER_TASK", 1)
+    listed = page_files.list_tree(spark, str(tmp_path))
+    assert sorted(r.name for r in listed.collect()) == sorted(names)
+    got = {r.name: r.text for r in files.read_tree(spark, f"file://{tmp_path}").collect()}
+    assert got == dict.fromkeys(names, "words here. é")
+    assert [r.name for r in files.read_tree(spark, str(tmp_path), glob="*.html").collect()] == ["ü/é.html"]
+    assert sorted(r.name for r in files.read_tree(spark, str(tmp_path), recursive=False).collect()) == ["..two", ".hidden"]
+    # The driver lists nothing: folders are rows of jobs, and a tree of three levels takes four of them.
+    monkeypatch.setattr(page_files, "_entries", lambda *a: [("p", "n", 1, False)])
+    assert page_files.list_tree(spark, str(tmp_path)).collect()[0].path == "p"
+    gone = spark.createDataFrame([(str(tmp_path / "gone"), "gone", 1)], "path string, name string, size long")
+    assert page_files.read_files(gone).first().content is None
+
+
+def test_pages_are_saved_one_file_each(spark, tmp_path):
+    from quarry.operators import web
+    root = str(tmp_path / "saved")
+    pages = spark.createDataFrame([("http://a.org/1", "<p>one é"), ("http://a.org/2", ""), ("http://b.org/", None), ("no host", "x"),
+                                   ("http://a.org/1", "<p>one é"), ("http://../etc", "y")], "uri string, body string")
+    placed = page_files.save_page_files(pages.fillna({"body": ""}), root)
+    assert placed.count() == 5
+    found = page_files.read_files(page_files.list_tree(spark, root))
+    assert sorted(r.name.count("/") for r in found.collect()) == [1] * 5 and not any(".attempts" in r.name for r in found.collect())
+    back = {r.uri: r.html for r in web.read_raw_pages(found.select(F.decode("content", "UTF-8").alias("content"))).collect()}
+    assert back == {"http://a.org/1": "<p>one é", "http://a.org/2": "", "http://b.org/": "", "no host": "x", "http://../etc": "y"}
+    assert os.path.exists(os.path.join(root, "a.org", hashlib.md5(b"http://a.org/1").hexdigest()))
+    page_files.save_page_files(spark.createDataFrame([("http://a.org/1", "new")], "uri string, body string"), root)
+    again = page_files.read_files(page_files.list_tree(spark, root))
+    assert again.count() == 5 and again.where("contains(decode(content, 'UTF-8'), 'new')").count() == 1
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    root = str(tmp_path / "saved")
+    bad = spark.range(40).select(F.concat(F.lit("http://a.org/"), "id").alias("uri"),
+                                 F.when(F.col("id") == 33, F.raise_error(F.lit("cut off"))).otherwise("x").alias("body"))
+    with pytest.raises(Exception, match="cut off"):
+        page_files.save_page_files(bad, root)
+    assert not os.path.exists(root) or [n for n in os.listdir(root) if not n.endswith(".crc")] == []

@@ -68,3 +68,21 @@ def test_distinct_pages(spark):
                                "uri string, path string, body string")
     got = {r["uri"]: (r["path"], r["body"]) for r in web.distinct_pages(df).collect()}
     assert got == {"u1": ("a/x.html", "one"), "u2": ("c.html", "three")}
+
+
+def test_lookup_checks_only_the_buckets_it_reads(spark, built):
+    path = scratch_path(spark, "digests")
+    index_store.write_index(built, path, buckets=16)
+    bucket = {r["word"]: r["bucket"] for r in spark.read.parquet(f"{path}/postings").select("word", "bucket").distinct().collect()}
+    cat, other = "cat", next(w for w in bucket if bucket[w] != bucket["cat"])
+    words = spark.createDataFrame([(cat,)], "word string")
+    assert index_store.checked_lookup(spark, path, words).count() == 2 and index_store.changed_buckets(spark, path) == []
+    extra = spark.read.parquet(f"{path}/postings").where(f"word = '{other}'").limit(1)
+    extra.write.mode("append").partitionBy("bucket").parquet(f"{path}/postings")
+    assert index_store.checked_lookup(spark, path, words).count() == 2
+    assert index_store.changed_buckets(spark, path) == [bucket[other]]
+    with pytest.raises(ValueError, match=rf"buckets \[{bucket[other]}\]"):
+        index_store.checked_lookup(spark, path, spark.createDataFrame([(other,)], "word string"))
+    spark.createDataFrame([(bucket[other], 99, 1)], "bucket int, rows long, checksum long").coalesce(1).write.mode("append").json(f"{path}/_digests")
+    with pytest.raises(ValueError, match="digests"):
+        index_store.changed_buckets(spark, path)
