@@ -22,6 +22,16 @@ from quarry.operators.ordinals import ordinal_within
 from quarry.session import sized_side, reliable_checkpoint
 
 
+# --- fixed values: sentences and lines of a result page (must equal the reference's) ---
+NO_RESULTS = "No results found for <b>"
+ONE_RESULT = "1 result found for <b>"
+MANY_RESULTS = " results found for <b>"
+END_OF_HEADER = "</b>"
+STATIC_PREFIX = "/static/"
+RESULT_LINE = ' <li> <a href="%s">%s</a> [%d]<br>'
+# ----------------------------------------------------------------------------------------
+
+
 def query_tokens(query_log: DataFrame, dialect: str = "count", raw: str = "raw") -> DataFrame:
     """STR-5: (query_id, qi, word) — one row per query token, order kept in ``qi``."""
     return query_log.select("query_id", F.posexplode(tk.query_words(raw, dialect)).alias("qi", "word"))
@@ -201,8 +211,8 @@ def with_zero_scores(best: DataFrame, pages: DataFrame, limits: DataFrame, key:
 def result_lines(hits: DataFrame, name: str = "doc_name", rank: str = "rank", pos: str = "pos") -> DataFrame:
     """PRJ-2 per hit: link is the name when it starts with http://, else /static/ + name."""
     link = F.when(F.col(name).startswith("http://"), urls.escape_html(F.col(name))) \
-        .otherwise(F.concat(F.lit("/static/"), F.col(name)))
-    line = F.format_string(' <li> <a href="%s">%s</a> [%d]<br>', link, F.col(name), F.col(rank))
+        .otherwise(F.concat(F.lit(STATIC_PREFIX), F.col(name)))
+    line = F.format_string(RESULT_LINE, link, F.col(name), F.col(rank))
     return hits.select("query_id", pos, line.alias("line"))
 
 
@@ -211,8 +221,8 @@ def result_headers(query_log: DataFrame, hits: DataFrame, raw: str = "raw") -> D
     counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_results"))
     n = F.coalesce(F.col("n_results"), F.lit(0)).cast("long")
     q = urls.escape_html(F.trim(F.lower(F.col(raw))))
-    header = (F.when(n == 0, F.concat(F.lit("No results found for <b>"), q, F.lit("</b>")))
-              .when(n == 1, F.concat(F.lit("1 result found for <b>"), q, F.lit("</b>")))
-              .otherwise(F.concat(n.cast("string"), F.lit(" results found for <b>"), q, F.lit("</b>"))))
+    header = (F.when(n == 0, F.concat(F.lit(NO_RESULTS), q, F.lit(END_OF_HEADER)))
+              .when(n == 1, F.concat(F.lit(ONE_RESULT), q, F.lit(END_OF_HEADER)))
+              .otherwise(F.concat(n.cast("string"), F.lit(MANY_RESULTS), q, F.lit(END_OF_HEADER))))
     return (query_log.select("query_id", raw).join(counts, "query_id", "left")
             .select("query_id", n.alias("n_results"), header.alias("header")))

@@ -353,9 +353,9 @@ _ESC = ("replace(replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'
 @register("result_page", f"""
 WITH {_AND_HITS}, cnt AS (SELECT query_id, count(*) AS n FROM h GROUP BY ALL)
 SELECT ql.query_id, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n_results,
-  CASE WHEN coalesce(cnt.n, 0) = 0 THEN 'No results found for <b>' || {_ESC.format(x='trim(lower(raw))')} || '</b>'
-       WHEN cnt.n = 1 THEN '1 result found for <b>' || {_ESC.format(x='trim(lower(raw))')} || '</b>'
-       ELSE CAST(cnt.n AS VARCHAR) || ' results found for <b>' || {_ESC.format(x='trim(lower(raw))')} || '</b>' END
+  CASE WHEN coalesce(cnt.n, 0) = 0 THEN '{search.NO_RESULTS}' || {_ESC.format(x='trim(lower(raw))')} || '{search.END_OF_HEADER}'
+       WHEN cnt.n = 1 THEN '{search.ONE_RESULT}' || {_ESC.format(x='trim(lower(raw))')} || '{search.END_OF_HEADER}'
+       ELSE CAST(cnt.n AS VARCHAR) || '{search.MANY_RESULTS}' || {_ESC.format(x='trim(lower(raw))')} || '{search.END_OF_HEADER}' END
   AS header
 FROM ql LEFT JOIN cnt USING (query_id)
 """)
@@ -367,7 +367,7 @@ def result_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("result_lines", f"""
 WITH {_AND_HITS}
 SELECT h.query_id, CAST(h.pos AS BIGINT) AS pos,
-  ' <li> <a href="/static/' || d.doc_name || '">' || d.doc_name || '</a> [' || CAST(h.rank AS VARCHAR) || ']<br>' AS line
+  printf('{search.RESULT_LINE}', '{search.STATIC_PREFIX}' || d.doc_name, d.doc_name, h.rank) AS line
 FROM h JOIN cd d USING (doc_id)
 """)
 def result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,8 +471,8 @@ rl AS (SELECT host, unnest(string_split(text, chr(10))) AS raw,
               unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS ln FROM rb),
 rc AS (SELECT host, ln, trim(split_part(raw, '#', 1)) AS line FROM rl),
 rp AS (SELECT host, ln,
-         CASE WHEN strpos(line, ':') > 0 THEN trim(split_part(line, ':', 1)) ELSE 'Ignore' END AS directive,
-         CASE WHEN strpos(line, ':') > 0 THEN trim(substr(line, strpos(line, ':') + 1)) ELSE line END AS data
+         CASE WHEN strpos(line, ':') > 0 THEN trim(split_part(line, ':', 1)) END AS directive,
+         CASE WHEN strpos(line, ':') > 0 THEN trim(substr(line, strpos(line, ':') + 1)) END AS data
        FROM rc WHERE line <> ''),
 ru AS (SELECT *, last_value(CASE WHEN directive = 'User-agent' THEN data END IGNORE NULLS)
          OVER (PARTITION BY host ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ua FROM rp),
@@ -807,12 +807,12 @@ def crawl_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_queries", ORACLE["and_search"])
 def stream_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STM-1: logged queries arrive as a file stream; each micro-batch is searched against the
+    """STM-1: logged queries arrive in three files, one micro-batch each; every batch is searched against the
     fixed index (foreachBatch, idempotent per batch id); result = the batch result."""
     root = scratch_path(spark, "stream-queries")
     bench = tb.table(spark, sf_dir, "benchmark")
-    stream = (spark.readStream.schema(bench.schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "benchmark.parquet").parquet(sf_dir))
+    bench.repartition(3, "item_id").write.parquet(f"{root}/incoming")
+    stream = spark.readStream.schema(bench.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming")
     # The fixed index: term counts materialised once; every micro-batch only probes it.
     counts = reliable_checkpoint(ix.term_counts(ix.word_tokens(_count_docs(spark, sf_dir), ["doc_id"], "t"), ["doc_id"]))
     q = streaming.stream_search(stream.withColumnRenamed("item_id", "query_id"), counts, f"{root}/out",
