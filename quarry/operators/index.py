@@ -44,8 +44,11 @@ def indexable_docs(docs: DataFrame, name: str = "doc_name", text: str = "text",
     return d.where(tk.is_ascii("t") & F.coalesce(has_words, F.lit(False)))
 
 
-def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_last_word: bool = False) -> DataFrame:
-    """STR-1 + WIN-2: (keys..., word, pos) with pos the byte offset of the word's first letter."""
+def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_last_word: bool = False,
+                      placed: bool = False) -> DataFrame:
+    """STR-1 + WIN-2: (keys..., word, pos) with pos the byte offset of the word's first letter.
+
+    ``placed`` says that the rows are hash-partitioned on the keys already, as a window over them leaves them."""
     chunk_re = "([A-Za-z]+[^A-Za-z]*)" if keep_last_word else "([A-Za-z]+[^A-Za-z]+)"
     # Documents are hash-partitioned on their key *before* exploding: the shuffle moves the text
     # once instead of the (2-3x larger) token rows, and both the offset window and the later
@@ -53,7 +56,7 @@ def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_la
     # Prefix length and chunk array are projected before the explode so neither is re-evaluated
     # per exploded row.
     # No partition count is given, so AQE may coalesce or split this shuffle.
-    arr = docs.repartition(*keys).select(*keys, tk.count_prefix_len(text).alias("_pre"),
+    arr = (docs if placed else docs.repartition(*keys)).select(*keys, tk.count_prefix_len(text).alias("_pre"),
                       F.regexp_extract_all(F.col(text), F.lit(chunk_re), 1).alias("_cs"))
     exploded = arr.select(*keys, "_pre", F.posexplode_outer("_cs").alias("_i", "_c")).where(F.col("_c").isNotNull())
     before = Window.partitionBy(*keys).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,7 +118,8 @@ def build_index(docs: DataFrame, name: str = "doc_name", text: str = "text", ind
     # One document per name: of several texts under one name the smallest is indexed.
     first = Window.partitionBy(*key).orderBy("t")
     one = d.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*key, "t")
-    tokens = positioned_tokens(one, key, "t", keep_last_word)
+    # The window has put each document where the offsets and the postings need it: the text is shuffled once.
+    tokens = positioned_tokens(one, key, "t", keep_last_word, placed=True)
     postings = word_positions(tokens, key).join(doc_table, key).select("index_id", "word", "doc_id", "n", "positions")
     if existing is not None:
         postings = existing.postings.select("index_id", "word", "doc_id", "n", "positions").unionByName(postings)

@@ -94,3 +94,17 @@ def test_same_document_in_two_indices_appears_twice(spark):
     log = spark.createDataFrame([(1, "pears")], "query_id long, raw string")
     hits = search.and_search(two, search.query_tokens(log, "count"))
     assert sorted((r["index_id"], r["doc_id"]) for r in hits.collect()) == [("0", 1234), ("1", 1234)]
+
+
+def test_build_shuffles_the_text_once(spark):
+    docs = spark.createDataFrame([("a/1", "the cat sat. "), ("a/2", "the dog ran. ")], "doc_name string, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ix.build_index(docs).postings._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "REPARTITION_BY_COL" not in plan, plan
+    # Between the documents and their words there is one exchange.
+    down = plan[plan.index("Generate posexplode"):]
+    assert down[:down.index("Scan ExistingRDD")].count("Exchange ") == 1, plan
