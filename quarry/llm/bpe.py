@@ -36,7 +36,7 @@ PUBLIC_TAIL = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 8                       # bits of a rank that index a leaf word of the bitmap
 LOW = (1 << LEAF) - 1
 BIT = [1 << i for i in range(1 << LEAF)]
-CACHE_BYTES = 80_000_000       # of a cache generation (two are kept of two caches); only speed depends on it
+CACHE_BYTES = 64_000_000       # of a cache generation (two are kept of two caches); only speed depends on it
 IDLE = 1.5                     # seconds after a partition until an idle worker empties its caches
 ENTRY = 230                    # bytes of an entry besides its text and ids, roughly
 CACHED_LENGTH = 64             # longer pre-tokens are never remembered
