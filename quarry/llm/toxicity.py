@@ -1,26 +1,26 @@
 """Operator 4, toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max index.
 
-Terms are all words, and beginnings of words, of the indexed examples.  Texts are TF-IDF vectors over these terms,
-with document frequencies over all documents, and each term weighted by how far and how surely its document counts
-under the two labels differ; no weight is zero.  Labelled examples form an inverted index: rare terms are
-added up from their postings, common ones are bounded by their largest weight in each block of examples, and
-only examples whose bound reaches the nearest found are completed, so the nearest ones are exact.  Their votes are
-weighted by cosine and shrunk to the base rate, and isotonic regression on other labelled rows turns
-votes into probabilities.  The nearest examples are returned as evidence.
+Terms are all words, and beginnings of words, of the indexed examples, known by 64-bit hashes.  Texts are TF-IDF
+vectors over these terms, with document frequencies over all documents, and each term weighted by how far and how
+surely its document counts under the two labels differ; no weight is zero.  Labelled examples form an inverted
+index in blocks of like examples.  Rare terms are added up from their postings; common ones have their largest weight in
+each block, and both together bound a block's cosines.  A query completes its blocks of highest bounds first, then all
+blocks whose bound reaches the nearest found, so the nearest ones are exact and other blocks are not read.  Their votes are weighted by cosine and shrunk to the base
+rate, and isotonic regression on other labelled rows turns votes into probabilities.  The nearest examples are
+returned as evidence.
 
 The classifier is fitted on a bounded sample of labelled rows: LABELLED rows of each label (the smallest hashes of
 their ids) weight the terms, and of these rows EXAMPLES are indexed and CALIBRATION calibrate.
 
 Defined results: null and empty texts, and texts without a term, have no neighbours and get the
 calibrated score of no vote; rows with a null label and ids with contradicting labels are not learned
-from; without usable labels the score is 0; equal cosines keep the example found first, in
+from; without usable labels the score is 0; equal cosines keep the example that comes first in
 block order; repeated rows get equal scores; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,58 +29,128 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import crc_col, crc_of, map_rows, table
-from quarry.llm.decontaminate import words_of
+from quarry.llm.decontaminate import WORD_BYTES
 from quarry.llm.quality_model import bounded_sample, clean_labels
 
 LABELLED = 20_000              # of each label, to weight terms by
 EXAMPLES = 4000                # of each label, in the index
 CALIBRATION = 2000             # of each label, for the calibration
-BEGINNINGS = (4, 5, 6, 7)      # letters of a word's beginnings that are terms too, written with a star
+BEGINNINGS = (4, 5, 6, 7)       # bytes of a word's beginnings that are terms too
 LIFT, SIGNIFICANCE = 8.0, 15.0  # ratio of a term's rates that has full weight, G of its counts that has half
 LEAST_WEIGHT = 0.01            # weight of a term that tells nothing about the labels
 NEAREST, BLOCK = 15, 64
-COMMON = 16                    # a term in more than one of so many examples is bounded by blocks
-CACHED = 500_000               # words whose terms are remembered
+FIRST = 4                      # blocks completed for each query before the others are held against what they gave
+COMMON = 32                    # a term in more than one of so many examples is kept in the matrix
+QUERIES, POSTINGS = 256, 1 << 21  # texts that are searched for together, and postings that are read at once
+PIECE = 1 << 20                # bytes of text that are split into words together
 SHRINK = 0.5                   # weight of the base rate among the votes
 THRESHOLD = 0.3
 SCHEMA = ("doc_id long, held_out boolean, score double, predicted int, "
           "evidence array<struct<doc_id:long,cosine:double,label:int>>")
 
-
-def terms_of(words: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
-    """(term, word): each word and its beginnings, which inflected and compounded forms share."""
-    for word in words:
-        yield word, word
-        letters = word.decode()
-        for k in BEGINNINGS:
-            if len(letters) > k:
-                yield letters[:k].encode() + b"*", word
-
-
-class TermNumbers:
-    """Numbers of the terms of a word; looked up once for each word met."""
-
-    def __init__(self, terms: Iterable[bytes]) -> None:
-        self.number = {t: i for i, t in enumerate(terms)}
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def __getstate__(self) -> dict:
-        return {"number": self.number, "known": {}}
-
-    def of(self, word: bytes) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            found = self.known[word] = tuple(self.number[t] for t, _ in terms_of([word]) if t in self.number)
-        return found
-
-    def counts(self, words: dict[bytes, int]) -> dict[int, int]:
-        out: dict[int, int] = defaultdict(int)
-        for word, n in words.items():
-            for t in self.of(word):
-                out[t] += n
-        return out
+_BYTES = np.frombuffer(bytes(0 if c == 32 else c for c in WORD_BYTES), np.uint8)    # 0 where no word is
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(31)
+    h *= _MIX
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def piece_terms(data: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """First bytes of the words; and for whole words and each length of beginnings: which words have one, and hashes."""
+    held = np.flatnonzero(data)
+    edge = np.flatnonzero(np.diff(held, prepend=-2) > 1)
+    sizes = np.diff(np.append(edge, len(held)))
+    if not len(edge):
+        return edge, [], []
+    place = np.arange(len(held)) - np.repeat(edge, sizes)
+    powers = np.cumprod(np.full(int(sizes.max()), _BASE, np.uint64))
+    values = data[held].astype(np.uint64) * powers[place]
+    which, hashes = [np.arange(len(edge))], [mixed(np.add.reduceat(values, edge))]
+    for k in BEGINNINGS:
+        longer = np.flatnonzero(sizes > k)
+        part = values[edge[longer][:, None] + np.arange(k)].sum(axis=1, dtype=np.uint64)
+        which.append(longer)
+        hashes.append(mixed(part + np.uint64(k)))
+    return held[edge], which, hashes
+
+
+def text_terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the text and the hash of every term of the texts, repeats included."""
+    coded = [(t or "").encode() for t in texts]
+    ends = np.cumsum([len(c) + 1 for c in coded])
+    data = _BYTES[np.frombuffer(b" ".join(coded) + b" ", np.uint8)] if coded else np.zeros(0, np.uint8)
+    owners, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        to = min(len(data), at + PIECE)
+        while to < len(data) and data[to]:      # a piece ends where no word is
+            to += 1
+        first, which, found = piece_terms(data[at:to])
+        owner = np.searchsorted(ends, first + at, "right")
+        owners += [owner[w] for w in which]
+        hashes += found
+        at = to
+    return np.concatenate(owners), np.concatenate(hashes)
+
+
+class Counts:
+    """Terms of texts in rows: text ``i`` holds ``terms[starts[i]:starts[i + 1]]``, ascending, so many times each."""
+
+    def __init__(self, n: int, owner: np.ndarray, terms: np.ndarray) -> None:
+        key = np.sort((owner.astype(np.int64) << 32) | terms)
+        new = np.flatnonzero(np.diff(key, prepend=-1))
+        self.n, self.owner, self.terms = n, key[new] >> 32, key[new] & 0xFFFFFFFF
+        self.times = np.diff(np.append(new, len(key)))
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.searchsorted(self.owner, np.arange(self.n + 1))
+
+
+class Vocabulary:
+    """Numbers of terms by their hashes: the place in ascending order, found by the leading bits."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.unique(hashes)
+        bits = np.uint64(max(8, min(22, len(self.hashes).bit_length() + 3)))
+        self.shift = np.uint64(64) - bits
+        self.first = np.searchsorted(self.hashes >> self.shift, np.arange((1 << int(bits)) + 1, dtype=np.uint64)).astype(np.int32)
+        self.most = int(np.diff(self.first).max())
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def counts(self, n: int, owner: np.ndarray, hashes: np.ndarray) -> Counts:
+        """The known terms of ``n`` texts."""
+        slot = hashes >> self.shift
+        at, end = self.first[slot], self.first[slot + np.uint64(1)]
+        owners, terms = [owner[:0]], [np.zeros(0, np.int64)]
+        for _ in range(self.most):
+            left = np.flatnonzero(at < end)
+            owner, hashes, at, end = owner[left], hashes[left], at[left], end[left]
+            same = self.hashes[at] == hashes
+            owners.append(owner[same])
+            terms.append(at[same].astype(np.int64))
+            at = np.where(same, end, at + 1)
+        return Counts(n, np.concatenate(owners), np.concatenate(terms))
+
+    def of(self, texts: list[str | None]) -> Counts:
+        return self.counts(len(texts), *text_terms(texts))
+
+
+def parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that have about PIECE characters together."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= PIECE:
+            yield at, i + 1
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -89,69 +159,110 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def alike(rows: np.ndarray) -> np.ndarray:
+    """An order of unit rows in which every BLOCK of them are alike: they are halved, at multiples of BLOCK, along the
+    direction in which they differ most, over and over."""
+    order, todo = np.arange(len(rows)), [(0, len(rows))]
+    while todo:
+        a, b = todo.pop()
+        if b - a <= BLOCK:
+            continue
+        own = rows[order[a:b]]
+        own = own - own.mean(axis=0)
+        along = own[np.argmax((own * own).sum(axis=1))]
+        for _ in range(8):
+            along = (own @ along) @ own
+            along /= max(1e-30, float(np.sqrt(along @ along)))
+        order[a:b] = order[a:b][np.argsort(own @ along, kind="stable")]
+        middle = a + BLOCK * max(1, (b - a) // (2 * BLOCK))
+        todo += [(a, middle), (middle, b)]
+    return order
+
+
 class BlockMaxIndex:
-    """Unit vectors of the examples: postings of rare terms; of common terms the weights, and the largest in each block."""
-
-    def __init__(self, vectors: Iterable[dict[int, float]], n_terms: int) -> None:
-        terms, weights, sizes = [], [], []
-        for vector in vectors:
-            terms.append(np.fromiter(vector.keys(), np.int32, len(vector)))
-            weights.append(np.fromiter(vector.values(), np.float32, len(vector)))
-            sizes.append(len(vector))
-        self.n = len(sizes)
-        self.n_blocks = -(-self.n // BLOCK)
-        owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
-        terms = np.concatenate([np.zeros(0, np.int32), *terms])
-        weights = np.concatenate([np.zeros(0, np.float32), *weights])
-        held = np.bincount(terms, minlength=n_terms)
-        common = np.flatnonzero(held * COMMON > self.n)
-        self.row = np.full(n_terms, -1, np.int32)
-        self.row[common] = np.arange(len(common))
-        at = self.row[terms]
-        self.common = np.zeros((self.n_blocks * BLOCK, len(common)), np.float32)
-        self.common[owner[at >= 0], at[at >= 0]] = weights[at >= 0]
-        self.block_max = np.ascontiguousarray(self.common.reshape(self.n_blocks, BLOCK, len(common)).max(axis=1).T
-                                              if self.n else np.zeros((len(common), 0), np.float32))
-        rare = np.flatnonzero(at < 0)
-        rare = rare[np.argsort(terms[rare], kind="stable")]
-        self.places, self.weights = owner[rare], weights[rare]
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms[rare], minlength=n_terms))])
-
-    def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
-        """The k largest positive cosines as (cosine, example); examples that cannot be among them stay incomplete."""
-        if not query or not self.n:
-            return []
-        terms, weights = np.fromiter(query.keys(), np.int64, len(query)), np.fromiter(query.values(), float, len(query))
-        sizes = self.starts[terms + 1] - self.starts[terms]
-        at = ranges(self.starts[terms], sizes)
-        cosine = np.bincount(self.places[at], self.weights[at] * np.repeat(weights, sizes), self.n).astype(float)
-        rows = self.row[terms]
-        rows, weights = rows[rows >= 0], weights[rows >= 0]
-        if not len(rows):
-            return [(min(1.0, float(cosine[i])), int(i)) for i in self.top(cosine, k) if cosine[i] > 0]
-        bound = cosine + np.repeat(weights @ self.block_max[rows], BLOCK)[:self.n] * (1 + 1e-6)
-        least = np.partition(cosine, -k)[-k] if self.n > k else 0.0
-        # Those with the highest bounds first: what they reach closes most of the others.
-        first = np.argpartition(bound, -4 * k)[-4 * k:] if self.n > 4 * k else np.arange(self.n)
-        cosine[first] += self.common[first[:, None], rows] @ weights
-        done = np.zeros(self.n, bool)
-        done[first] = True
-        if self.n > 4 * k:
-            least = max(least, np.partition(cosine[first], -k)[-k])
-            rest = np.flatnonzero((bound >= least) & ~done & (bound > 0))
-            for part in range(0, len(rest), 1024):
-                some = rest[part:part + 1024]
-                cosine[some] += self.common[some[:, None], rows] @ weights
-            done[rest] = True
-        cosine[~done] = 0.0
-        return [(min(1.0, float(cosine[i])), int(i)) for i in self.top(cosine, k) if cosine[i] > 0]
+    """Unit vectors of the examples in blocks: postings of rare terms; of common terms the weights in each block that holds
+    them, and the largest of these."""
+
+    def __init__(self, n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int) -> None:
+        self.n, self.n_blocks = n, -(-n // BLOCK)
+        common = np.flatnonzero(np.bincount(terms, minlength=n_terms) * COMMON > n)
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        dense = self.column[terms] >= 0
+        matrix = np.zeros((n, len(common)), np.float32)
+        matrix[owner[dense], self.column[terms[dense]]] = weights[dense]
+        # Like examples share a block, which tightens its bounds.
+        self.example = alike(matrix)            # of each place
+        place = np.empty(n, np.int64)
+        place[self.example] = np.arange(n)
+        # Of each block the columns that its examples hold, and their weights.
+        self.held, self.block_max = [], np.zeros((len(common), self.n_blocks), np.float32)
+        for b in range(self.n_blocks):
+            own = matrix[self.example[b * BLOCK:(b + 1) * BLOCK]]
+            columns = np.flatnonzero(own.any(axis=0)).astype(np.int32)
+            self.held.append((columns, np.ascontiguousarray(own[:, columns])))
+            self.block_max[:, b] = own.max(axis=0)
+        terms, weights, places = terms[~dense], weights[~dense], place[owner[~dense]]
+        order = np.lexsort((places, terms))
+        self.places, self.weights = places[order].astype(np.int32), weights[order].astype(np.float32)
+        self.posting = np.searchsorted(terms[order], np.arange(n_terms + 1)).astype(np.int32)
+        self.read = self.blocks = 0             # blocks completed, and blocks bounded
+
+    def nearest(self, n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of ``n`` queries (rows in order) the k largest positive cosines and their examples, the first place first
+        among equal ones."""
+        column = self.column[terms]
+        read = np.cumsum(np.bincount(owner, (self.posting[terms + 1] - self.posting[terms]) + 1, n))
+        out, at = [], 0
+        while at < n:
+            within = int(np.searchsorted(read, (read[at - 1] if at else 0) + POSTINGS, "right"))
+            to = min(n, at + QUERIES, max(at + 1, within))
+            a, b = np.searchsorted(owner, [at, to])
+            out += self._nearest(to - at, owner[a:b] - at, terms[a:b], weights[a:b], column[a:b], k)
+            at = to
+        return out
 
-    @staticmethod
-    def top(cosine: np.ndarray, k: int) -> np.ndarray:
-        """The k largest, the first of equal ones first."""
-        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
-        some = np.flatnonzero(cosine >= least)
-        return some[np.argsort(-cosine[some], kind="stable")][:k]
+    def _nearest(self, n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray, column: np.ndarray,
+                 k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not self.n or not len(owner):
+            return [(np.zeros(0), np.zeros(0, np.int64))] * n
+        dense = np.zeros((len(self.block_max), n), np.float32)
+        dense[column[column >= 0], owner[column >= 0]] = weights[column >= 0]
+        owner, terms, weights = owner[column < 0], terms[column < 0], weights[column < 0]
+        # Rare terms are in few examples of a block: their sums are exact and bound a block better than their maxima.
+        sizes = self.posting[terms + 1] - self.posting[terms]
+        at = ranges(self.posting[terms].astype(np.int64), sizes)
+        width = self.n_blocks * BLOCK
+        cosine = np.bincount(np.repeat(owner * width, sizes) + self.places[at], np.repeat(weights, sizes) * self.weights[at], n * width)
+        cosine = cosine.astype(float, copy=False).reshape(n, self.n_blocks, BLOCK)
+        bound = (cosine.max(axis=2) + dense.T @ self.block_max) * (1 + 1e-5)
+        done = bound <= 0
+
+        def complete(wanted: np.ndarray) -> None:
+            # A block is multiplied with the queries that ask for it.
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                asked, (columns, weights) = np.flatnonzero(wanted[:, block]), self.held[block]
+                cosine[asked, block, :len(weights)] += (weights @ dense.take(columns, 0).take(asked, 1)).T
+            done[wanted] = True
+            self.read += int(wanted.sum())
+
+        first = np.argpartition(bound, -FIRST, axis=1)[:, -FIRST:] if self.n_blocks > FIRST else np.tile(np.arange(self.n_blocks), (n, 1))
+        wanted = np.zeros_like(done)
+        np.put_along_axis(wanted, first, True, axis=1)
+        complete(wanted & ~done)
+        found = np.take_along_axis(cosine, first[:, :, None], axis=1).reshape(n, -1)
+        # The k-th largest cosine is no smaller than the k-th largest of the first blocks.
+        least = np.maximum(0.0, np.partition(found, -k, axis=1)[:, -k]) if found.shape[1] > k else np.zeros(n)
+        complete(~done & (bound >= least[:, None]))
+        cosine[~done] = 0.0
+        cosine = cosine.reshape(n, width)
+        self.blocks += bound.size
+        out = []
+        for row, enough in zip(cosine, least, strict=True):
+            some = np.flatnonzero((row >= enough) & (row > 0))
+            some = some[np.argsort(-row[some], kind="stable")][:k]
+            out.append((np.minimum(1.0, row[some]), self.example[some]))
+        return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,46 +280,39 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Terms with their weights, the index, the labels and ids of its examples, and the calibration."""
 
-    def __init__(self, terms: TermNumbers, weights: np.ndarray, examples: list[tuple[int, int, bytes, list[int]]],
-                 base: float, calibration: list[tuple[int, int, bytes, list[int]]]) -> None:
-        self.terms, self.weights = terms, weights
-        counted = lambda e: dict(zip(e[2].split(), e[3], strict=True))
-        self.base = base
-        self.ids, self.labels = [e[0] for e in examples], [e[1] for e in examples]
-        self.index = BlockMaxIndex((self.vector(counted(e)) for e in examples), len(weights))
+    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, ids: list, labels: np.ndarray, examples: Counts, base: float,
+                 calibration: Counts, calibration_labels: np.ndarray) -> None:
+        self.vocabulary, self.weights, self.ids, self.labels, self.base = vocabulary, weights, ids, labels, base
+        self.index = BlockMaxIndex(examples.n, examples.owner, examples.terms, self.vectors(examples), len(weights))
         self.at = self.rate = None
-        if calibration:
-            votes = np.array([self.vote(self.neighbours(counted(c))) for c in calibration])
+        if calibration.n:
+            votes = np.array([self.vote(*near) for near in self.neighbours(calibration)])
             # The sample is balanced; weights bring back the base rate of the labels.
-            labels = np.array([c[1] for c in calibration], float)
+            labels = calibration_labels.astype(float)
             weight = np.where(labels == 1, base / max(1e-9, labels.mean()), (1 - base) / max(1e-9, 1 - labels.mean()))
             self.at, balanced = isotonic(votes, labels)
             ones, zeros = balanced * weight[labels == 1].max(initial=0), (1 - balanced) * weight[labels == 0].max(initial=0)
             self.rate = ones / np.maximum(1e-12, ones + zeros)
 
-    def vector(self, words: dict[bytes, int]) -> dict[int, float]:
-        counts = self.terms.counts(words)
-        if not counts:
-            return {}
-        at = np.fromiter(counts.keys(), np.int64, len(counts))
-        raw = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.weights[at]
-        return dict(zip(at.tolist(), (raw / np.sqrt(raw @ raw)).tolist(), strict=True))
+    def vectors(self, texts: Counts) -> np.ndarray:
+        """The weights of the texts' terms; each text's vector has length 1."""
+        raw = (1 + np.log(texts.times)) * self.weights[texts.terms]
+        return raw / np.sqrt(np.bincount(texts.owner, raw * raw, texts.n))[texts.owner]
 
-    def neighbours(self, words: dict[bytes, int]) -> list[tuple[float, int]]:
-        return self.index.nearest(self.vector(words), NEAREST)
+    def neighbours(self, texts: Counts) -> list[tuple[np.ndarray, np.ndarray]]:
+        return self.index.nearest(texts.n, texts.owner, texts.terms, self.vectors(texts), NEAREST)
 
-    def vote(self, near: list[tuple[float, int]]) -> float:
-        total = sum(c for c, _ in near) + SHRINK
-        return (sum(c for c, e in near if self.labels[e]) + SHRINK * self.base) / total
+    def vote(self, cosines: np.ndarray, examples: np.ndarray) -> float:
+        return (float(cosines @ self.labels[examples]) + SHRINK * self.base) / (float(cosines.sum()) + SHRINK)
 
     def calibrated(self, vote: float) -> float:
         if self.at is None:
-            return vote if self.labels else 0.0
+            return vote if len(self.labels) else 0.0
         return float(np.interp(vote, self.at, self.rate))
 
-    def score(self, words: dict[bytes, int]) -> tuple[float, list[tuple]]:
-        near = self.neighbours(words)
-        return self.calibrated(self.vote(near)), [(self.ids[e], c, self.labels[e]) for c, e in near[:3]]
+    def score(self, texts: list[str | None]) -> list[tuple[float, list[tuple]]]:
+        return [(self.calibrated(self.vote(c, e)), [(self.ids[i], float(x), int(self.labels[i])) for x, i in zip(c[:3], e[:3], strict=True)])
+                for a, b in parts(texts) for c, e in self.neighbours(self.vocabulary.of(texts[a:b]))]
 
 
 def term_weights(counts: dict[int, np.ndarray], zeros: int, ones: int) -> np.ndarray:
@@ -222,16 +326,20 @@ def term_weights(counts: dict[int, np.ndarray], zeros: int, ones: int) -> np.nda
 
 
 def term_counts(docs: DataFrame, shared: Broadcast) -> dict[int, np.ndarray]:
-    """For each label the documents that hold each term, by its number, and last the number of all documents."""
+    """For each label (-1: not sampled) the documents that hold each term, by its number, and last the number of all
+    documents.  One pass over the texts; at most the vocabulary leaves a task for each label."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = shared.value
-        size = len(terms.number) + 1
+        vocabulary = shared.value
         seen: dict[int, np.ndarray] = {}
         for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held = set().union(*map(terms.of, set(words_of(text))))
-                held.add(size - 1)
-                seen.setdefault(label, np.zeros(size, np.int64))[np.fromiter(held, np.int64, len(held))] += 1
+            texts, labels = batch.column(1).to_pylist(), np.array(batch.column(0).to_pylist(), np.int64)
+            for a, b in parts(texts):
+                held = vocabulary.of(texts[a:b])
+                for label in np.unique(labels[a:b]):
+                    own = labels[a:b] == label
+                    n = seen.setdefault(int(label), np.zeros(len(vocabulary) + 1, np.int64))
+                    n += np.bincount(held.terms[own[held.owner]], minlength=len(n))
+                    n[-1] += own.sum()
         for label, n in seen.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), label, np.int32)), pa.array(at.astype(np.int32)),
@@ -240,42 +348,48 @@ def term_counts(docs: DataFrame, shared: Broadcast) -> dict[int, np.ndarray]:
     counted = (docs.select(F.col("label").cast("int"), "text").mapInArrow(run, "label int, term int, n long")
                .groupBy("label", "term").agg(F.sum("n").alias("n")).toArrow())
     label, term, n = (counted.column(k).to_numpy() for k in range(3))
-    out = {k: np.zeros(len(shared.value.number) + 1, np.int64) for k in (0, 1)}
+    out = {k: np.zeros(len(shared.value) + 1, np.int64) for k in (-1, 0, 1)}
     for k in out:
         out[k][term[label == k]] = n[label == k]
     return out
 
 
-def inverse_frequency(docs: DataFrame, shared: Broadcast) -> np.ndarray:
-    """idf of each term, from its document frequency over all documents; at most the vocabulary leaves a task."""
-    df = term_counts(docs.select(F.lit(0).alias("label"), "text"), shared)[0]
-    return np.log(1 + df[-1] / np.maximum(1, df[:-1]))
-
-
-def labelled_words(docs: DataFrame, sample: DataFrame) -> list[tuple[int, int, bytes, list[int]]]:
-    """doc_id, label, words (joined by spaces) and their counts of the sampled documents."""
+def sampled_terms(docs: DataFrame, sample: DataFrame) -> list[tuple[int, int, np.ndarray]]:
+    """doc_id, label and the hashes of the terms, repeats included, of the sampled documents, in a fixed order."""
     def terms(ids: list, labels: list, texts: list) -> dict:
-        counted = [Counter(words_of(t)) for t in texts]
-        return {"doc_id": ids, "label": labels, "words": [b" ".join(c) for c in counted],
-                "counts": [list(c.values()) for c in counted]}
+        found = []
+        for t in texts:
+            found.append(np.sort(text_terms([t])[1]).view(np.int64))
+        return {"doc_id": ids, "label": labels, "hashes": found}
 
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).drop("_id")
-    got = map_rows(picked, terms, ["doc_id", "label", "text"], "doc_id long, label int, words binary, counts array<int>").toArrow()
-    return list(zip(*(c.to_pylist() for c in got.columns), strict=True))
+    got = map_rows(picked, terms, ["doc_id", "label", "text"], "doc_id long, label int, hashes array<long>").toArrow()
+    rows = []
+    for batch in got.to_batches():
+        ids, labels, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+        flat, ends = hashes.flatten().to_numpy().view(np.uint64), np.cumsum([0, *hashes.value_lengths().to_pylist()])
+        rows += [(i, y, flat[ends[k]:ends[k + 1]]) for k, (i, y) in enumerate(zip(ids, labels, strict=True))]
+    return sorted(rows, key=lambda r: (crc_of(f"{r[0]}:"), r[0], r[2].tobytes()))
+
+
+def counted(rows: list[tuple[int, int, np.ndarray]], vocabulary: Vocabulary) -> Counts:
+    hashes = np.concatenate([np.zeros(0, np.uint64), *(r[2] for r in rows)])
+    return vocabulary.counts(len(rows), np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows]), hashes)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     learn = clean_labels(labels, "toxic", crc_col() % 4 != 2)
     sizes = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
+    none = Counts(0, np.zeros(0, np.int64), np.zeros(0, np.int64))
     if not sizes.get(0) or not sizes.get(1):
-        return Model(TermNumbers([]), np.zeros(0), [], 0.0, [])
+        return Model(Vocabulary(np.zeros(0, np.uint64)), np.zeros(0), [], np.zeros(0), none, 0.0, none, np.zeros(0))
 
     def sample(n: int) -> DataFrame:
         part = {k: bounded_sample(learn.where(F.col("label") == k), sizes[k], n) for k in (0, 1)}
         return part[0].unionByName(part[1]).withColumnRenamed("doc_id", "_id")
 
     # A third of the sample, by another hash of the id, calibrates; the rest is indexed.
-    got = sorted(labelled_words(docs, sample(EXAMPLES + CALIBRATION)), key=lambda r: (crc_of(f"{r[0]}:"), r[0], r[2]))
+    got = sampled_terms(docs, sample(EXAMPLES + CALIBRATION))
     share = CALIBRATION / (EXAMPLES + CALIBRATION)
     calibration, examples = [], []
     for label in (0, 1):
@@ -283,26 +397,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         cut = int(len(own) * share)
         calibration += own[:cut]
         examples += own[cut:]
-    terms = TermNumbers(sorted({t for w in {w for r in examples for w in r[2].split()} for t, _ in terms_of([w])}))
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample(LABELLED)), F.col("doc_id") == F.col("_id"))
-    telling = term_weights(term_counts(picked, shared), min(LABELLED, sizes[0]), min(LABELLED, sizes[1]))
-    weights = telling * inverse_frequency(docs, shared)
-
-    # Like examples share a block, which tightens its bounds: they are ordered by their heaviest terms.
-    def heaviest(r: tuple) -> tuple:
-        found = {t for w in r[2].split() for t in terms.of(w)}
-        return sorted(found, key=lambda t: (-weights[t], t))[:8], r[1], r[0], r[2]
+    vocabulary = Vocabulary(np.concatenate([np.zeros(0, np.uint64), *(r[2] for r in examples)]))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    marked = (docs.select("doc_id", "text").join(F.broadcast(sample(LABELLED)), F.col("doc_id") == F.col("_id"), "left")
+              .select(F.coalesce("label", F.lit(-1)).alias("label"), "text"))
+    counts = term_counts(marked, shared)
+    df = counts[-1] + counts[0] + counts[1]
+    weights = (term_weights(counts, min(LABELLED, sizes[0]), min(LABELLED, sizes[1]))
+               * np.log(1 + df[-1] / np.maximum(1, df[:-1])))
 
-    examples.sort(key=heaviest)
-    return Model(terms, weights, examples, sizes[1] / (sizes[0] + sizes[1]), calibration)
+    return Model(vocabulary, weights, [r[0] for r in examples], np.array([r[1] for r in examples], float), counted(examples, vocabulary),
+                 sizes[1] / (sizes[0] + sizes[1]), counted(calibration, vocabulary), np.array([r[1] for r in calibration]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(ids: list, texts: list) -> dict:
-        made = [shared.value.score(Counter(words_of(t))) for t in texts]
+        made = shared.value.score(texts)
         return {"doc_id": ids, "held_out": [crc_of(i) % 4 == 2 for i in ids], "score": [m[0] for m in made],
                 "predicted": [int(m[0] >= THRESHOLD) for m in made],
                 "evidence": [[dict(zip(("doc_id", "cosine", "label"), e, strict=True)) for e in m[1]] for m in made]}

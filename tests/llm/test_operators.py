@@ -171,18 +171,77 @@ def test_toxicity_on_held_out_rows(spark, table_of, odd):
     assert {r.score for r in toxicity.score(odd, none).collect()} == {0.0}
 
 
+def rows_of(vectors):
+    """Vectors given as dicts, as rows of (owner, term, weight)."""
+    rows = [(i, t, x) for i, v in enumerate(vectors) for t, x in sorted(v.items())]
+    return tuple(np.array([r[k] for r in rows], kind) for k, kind in enumerate((np.int64, np.int64, float)))
+
+
 def test_block_max_search_is_exact():
     r = random.Random(1)
-    vectors = []
-    for _ in range(700):
-        v = {t: r.random() for t in r.sample(range(40), r.randint(1, 6))}
-        norm = sum(x * x for x in v.values()) ** 0.5
-        vectors.append({t: x / norm for t, x in v.items()})
-    index = toxicity.BlockMaxIndex(vectors, 40)
-    for q in vectors[:80]:
-        got = [c for c, _ in index.nearest(q, 10)]
-        want = sorted((min(1.0, sum(q.get(t, 0) * x for t, x in v.items())) for v in vectors), reverse=True)[:10]
-        assert np.allclose(got, [w for w in want if w > 0][:10])
+    for topics in (1, 40):      # of 40 topics the blocks have words of their own, and most are never completed
+        vectors = []
+        for i in range(900):
+            v = {50 * (i * topics // 900) + t: r.random() for t in r.sample(range(50), r.randint(1, 8))}
+            norm = sum(x * x for x in v.values()) ** 0.5
+            vectors.append({t: x / norm for t, x in v.items()})
+        r.shuffle(vectors)
+        index = toxicity.BlockMaxIndex(900, *rows_of(vectors), 2000)
+        queries = vectors[:300] + [{}, {1999: 1.0}]
+        for q, (got, examples) in zip(queries, index.nearest(len(queries), *rows_of(queries), 10), strict=True):
+            cosines = [min(1.0, sum(q.get(t, 0) * x for t, x in v.items())) for v in vectors]
+            want = [w for w in sorted(cosines, reverse=True)[:10] if w > 0]
+            assert np.allclose(got, want, atol=1e-5) and len(got) == len(want)
+            assert np.allclose([cosines[e] for e in examples], got, atol=1e-5)
+        if topics > 1:
+            assert index.read < 0.5 * index.blocks
+
+
+def test_equal_cosines_keep_the_first_places():
+    index = toxicity.BlockMaxIndex(200, *rows_of([{0: 1.0}] * 200), 1)
+    (cosines, examples), = index.nearest(1, *rows_of([{0: 1.0}]), 15)
+    assert cosines.tolist() == [1.0] * 15 and examples.tolist() == index.example[:15].tolist()
+
+
+def plain_terms(text):
+    words = decontaminate.words_of(text)
+    return [("", w) for w in words] + [(k, w[:k]) for w in words for k in toxicity.BEGINNINGS if len(w) > k]
+
+
+def test_toxicity_evidence_against_brute_force(spark, table_of, monkeypatch):
+    monkeypatch.setattr(toxicity, "PIECE", 100)
+    docs, labels = toxic_table(spark, 240)
+    docs += [(1000, None), (1001, ""), (1002, "w1 " * 3000 + "Scoundrel été"), (1003, docs[5][1])]
+    model = toxicity.fit(table_of(docs), labels)
+    held = {i: plain_terms(t) for i, t in docs}
+    number = {t: k for k, t in enumerate(sorted({t for i in model.ids for t in held[i]}, key=str))}
+    counts = {y: np.zeros(len(number) + 1) for y in (0, 1)}
+    df = np.zeros(len(number))
+    for i, terms in held.items():
+        for t in set(terms) & number.keys():
+            df[number[t]] += 1
+            if i < 1000 and crc_of(i) % 4 != 2:
+                counts[int(i % 4 == 0)][number[t]] += 1
+    learned = [i for i in range(240) if crc_of(i) % 4 != 2]
+    ones = sum(i % 4 == 0 for i in learned)
+    weights = toxicity.term_weights(counts, len(learned) - ones, ones) * np.log(1 + len(docs) / np.maximum(1, df))
+
+    def vector(terms):
+        v = np.zeros(len(number))
+        for t in terms:
+            if t in number:
+                v[number[t]] += 1
+        v = np.where(v > 0, 1 + np.log(np.maximum(1, v)), 0) * weights
+        return v / max(1e-30, np.sqrt(v @ v))
+
+    examples = np.array([vector(held[i]) for i in model.ids])
+    rows = {r.doc_id: r for r in toxicity.score(table_of(docs), model).collect()}
+    assert rows.keys() == held.keys()
+    for i, r in rows.items():
+        cosines = examples @ vector(held[i])
+        assert np.allclose([e.cosine for e in r.evidence], [c for c in sorted(cosines, reverse=True)[:3] if c > 0], atol=1e-5)
+        assert all(abs(cosines[model.ids.index(e.doc_id)] - e.cosine) < 1e-5 for e in r.evidence)
+    assert rows[1000].score == rows[1001].score and rows[1003].score == rows[5].score
 
 
 def test_copies_of_examples_are_found_whatever_their_words(spark, table_of):
