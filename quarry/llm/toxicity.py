@@ -5,9 +5,9 @@ vectors over these terms, with document frequencies over all documents, and each
 surely its document counts under the two labels differ; no weight is zero.  Labelled examples form an inverted
 index in blocks of like examples.  Rare terms are added up from their postings; common ones have their largest weight in
 each block, and both together bound a block's cosines.  A query completes its blocks of highest bounds first, then all
-blocks whose bound reaches the nearest found, so the nearest ones are exact and other blocks are not read.  Their votes are weighted by cosine and shrunk to the base
-rate, and isotonic regression on other labelled rows turns votes into probabilities.  The nearest examples are
-returned as evidence.
+blocks whose bound reaches the nearest found, so the nearest ones are exact and other blocks are not read.  Their votes
+are weighted by cosine and shrunk to the base rate, and isotonic regression on other labelled rows turns votes into
+probabilities.  The nearest examples are returned as evidence.
 
 The classifier is fitted on a bounded sample of labelled rows: LABELLED rows of each label (the smallest hashes of
 their ids) weight the terms, and of these rows EXAMPLES are indexed and CALIBRATION calibrate.
@@ -41,7 +41,8 @@ LEAST_WEIGHT = 0.01            # weight of a term that tells nothing about the l
 NEAREST, BLOCK = 15, 64
 FIRST = 4                      # blocks completed for each query before the others are held against what they gave
 COMMON = 32                    # a term in more than one of so many examples is kept in the matrix
-QUERIES, POSTINGS = 256, 1 << 21  # texts that are searched for together, and postings that are read at once
+QUERIES, POSTINGS = 256, 1 << 20  # texts that are searched for together, and postings that are read at once
+FOLDED = 256                   # dimensions by which like examples are found
 PIECE = 1 << 20                # bytes of text that are split into words together
 SHRINK = 0.5                   # weight of the base rate among the votes
 THRESHOLD = 0.3
@@ -99,15 +100,16 @@ def text_terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 class Counts:
     """Terms of texts in rows: text ``i`` holds ``terms[starts[i]:starts[i + 1]]``, ascending, so many times each."""
 
-    def __init__(self, n: int, owner: np.ndarray, terms: np.ndarray) -> None:
-        key = np.sort((owner.astype(np.int64) << 32) | terms)
-        new = np.flatnonzero(np.diff(key, prepend=-1))
-        self.n, self.owner, self.terms = n, key[new] >> 32, key[new] & 0xFFFFFFFF
-        self.times = np.diff(np.append(new, len(key)))
-
-    @property
-    def starts(self) -> np.ndarray:
-        return np.searchsorted(self.owner, np.arange(self.n + 1))
+    def __init__(self, n: int, owner: np.ndarray, terms: np.ndarray, times: np.ndarray | None = None) -> None:
+        key = (owner.astype(np.int64) << 32) | terms
+        if times is None:
+            key = np.sort(key)
+            new = np.flatnonzero(np.diff(key, prepend=-1))
+            key, self.times = key[new], np.diff(np.append(new, len(key)))
+        else:       # of distinct terms
+            order = np.argsort(key)
+            key, self.times = key[order], times[order]
+        self.n, self.owner, self.terms = n, key >> 32, key & 0xFFFFFFFF
 
 
 class Vocabulary:
@@ -115,7 +117,7 @@ class Vocabulary:
 
     def __init__(self, hashes: np.ndarray) -> None:
         self.hashes = np.unique(hashes)
-        bits = np.uint64(max(8, min(22, len(self.hashes).bit_length() + 3)))
+        bits = np.uint64(max(8, min(22, len(self.hashes).bit_length() + 1)))
         self.shift = np.uint64(64) - bits
         self.first = np.searchsorted(self.hashes >> self.shift, np.arange((1 << int(bits)) + 1, dtype=np.uint64)).astype(np.int32)
         self.most = int(np.diff(self.first).max())
@@ -123,19 +125,18 @@ class Vocabulary:
     def __len__(self) -> int:
         return len(self.hashes)
 
-    def counts(self, n: int, owner: np.ndarray, hashes: np.ndarray) -> Counts:
-        """The known terms of ``n`` texts."""
+    def counts(self, n: int, owner: np.ndarray, hashes: np.ndarray, times: np.ndarray | None = None) -> Counts:
+        """The known terms of ``n`` texts; with ``times`` each is given once."""
         slot = hashes >> self.shift
         at, end = self.first[slot], self.first[slot + np.uint64(1)]
-        owners, terms = [owner[:0]], [np.zeros(0, np.int64)]
-        for _ in range(self.most):
-            left = np.flatnonzero(at < end)
-            owner, hashes, at, end = owner[left], hashes[left], at[left], end[left]
-            same = self.hashes[at] == hashes
-            owners.append(owner[same])
-            terms.append(at[same].astype(np.int64))
-            at = np.where(same, end, at + 1)
-        return Counts(n, np.concatenate(owners), np.concatenate(terms))
+        term, left = np.full(len(hashes), -1, np.int32), np.arange(len(hashes))
+        for step in range(self.most):
+            left = left[at[left] + step < end[left]]
+            same = self.hashes[at[left] + step] == hashes[left]
+            term[left[same]] = at[left[same]] + step
+            left = left[~same]
+        known = term >= 0
+        return Counts(n, owner[known], term[known], None if times is None else times[known])
 
     def of(self, texts: list[str | None]) -> Counts:
         return self.counts(len(texts), *text_terms(texts))
@@ -160,7 +161,7 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def alike(rows: np.ndarray) -> np.ndarray:
-    """An order of unit rows in which every BLOCK of them are alike: they are halved, at multiples of BLOCK, along the
+    """An order of rows in which every BLOCK of them are alike: they are halved, at multiples of BLOCK, along the
     direction in which they differ most, over and over."""
     order, todo = np.arange(len(rows)), [(0, len(rows))]
     while todo:
@@ -179,6 +180,13 @@ def alike(rows: np.ndarray) -> np.ndarray:
     return order
 
 
+def folded(n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The vectors in FOLDED dimensions, in which terms add up or cancel by a hash: enough to tell which are alike."""
+    h = mixed(terms.astype(np.uint64) * _BASE + np.uint64(1))
+    sign = np.where(h >> np.uint64(63), weights, -weights)
+    return np.bincount(owner * FOLDED + (h % np.uint64(FOLDED)).astype(np.int64), sign, n * FOLDED).astype(np.float32).reshape(n, FOLDED)
+
+
 class BlockMaxIndex:
     """Unit vectors of the examples in blocks: postings of rare terms; of common terms the weights in each block that holds
     them, and the largest of these."""
@@ -189,28 +197,41 @@ class BlockMaxIndex:
         self.column = np.full(n_terms, -1, np.int32)
         self.column[common] = np.arange(len(common))
         dense = self.column[terms] >= 0
-        matrix = np.zeros((n, len(common)), np.float32)
-        matrix[owner[dense], self.column[terms[dense]]] = weights[dense]
         # Like examples share a block, which tightens its bounds.
-        self.example = alike(matrix)            # of each place
+        self.example = alike(folded(n, owner, terms, weights))      # of each place
         place = np.empty(n, np.int64)
         place[self.example] = np.arange(n)
-        # Of each block the columns that its examples hold, and their weights.
-        self.held, self.block_max = [], np.zeros((len(common), self.n_blocks), np.float32)
-        for b in range(self.n_blocks):
-            own = matrix[self.example[b * BLOCK:(b + 1) * BLOCK]]
-            columns = np.flatnonzero(own.any(axis=0)).astype(np.int32)
-            self.held.append((columns, np.ascontiguousarray(own[:, columns])))
-            self.block_max[:, b] = own.max(axis=0)
+        at = np.flatnonzero(dense)
+        at = at[np.argsort(place[owner[at]], kind="stable")]
+        self.common = place[owner[at]].astype(np.int32), self.column[terms[at]], weights[at].astype(np.float32)
+        self.held = self.block_max = None
         terms, weights, places = terms[~dense], weights[~dense], place[owner[~dense]]
         order = np.lexsort((places, terms))
         self.places, self.weights = places[order].astype(np.int32), weights[order].astype(np.float32)
         self.posting = np.searchsorted(terms[order], np.arange(n_terms + 1)).astype(np.int32)
         self.read = self.blocks = 0             # blocks completed, and blocks bounded
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"held": None, "block_max": None}
+
+    def unfold(self) -> None:
+        """Of each block the columns that its examples hold, and their weights as a matrix; done where the index is used."""
+        places, columns, weights = self.common
+        n_columns = int(self.column.max(initial=-1)) + 1
+        self.held, self.block_max = [], np.zeros((n_columns, self.n_blocks), np.float32)
+        ends = np.searchsorted(places, np.arange(self.n_blocks + 1) * BLOCK)
+        for b, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            own, at = np.unique(columns[x:y], return_inverse=True)
+            matrix = np.zeros((min(BLOCK, self.n - b * BLOCK), len(own)), np.float32)
+            matrix[places[x:y] - b * BLOCK, at] = weights[x:y]
+            self.held.append((own, matrix))
+            self.block_max[own, b] = matrix.max(axis=0)
+
     def nearest(self, n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each of ``n`` queries (rows in order) the k largest positive cosines and their examples, the first place first
         among equal ones."""
+        if self.held is None:
+            self.unfold()
         column = self.column[terms]
         read = np.cumsum(np.bincount(owner, (self.posting[terms + 1] - self.posting[terms]) + 1, n))
         out, at = [], 0
@@ -293,6 +314,7 @@ class Model:
             self.at, balanced = isotonic(votes, labels)
             ones, zeros = balanced * weight[labels == 1].max(initial=0), (1 - balanced) * weight[labels == 0].max(initial=0)
             self.rate = ones / np.maximum(1e-12, ones + zeros)
+            self.index.held = self.index.block_max = None
 
     def vectors(self, texts: Counts) -> np.ndarray:
         """The weights of the texts' terms; each text's vector has length 1."""
@@ -354,27 +376,27 @@ def term_counts(docs: DataFrame, shared: Broadcast) -> dict[int, np.ndarray]:
     return out
 
 
-def sampled_terms(docs: DataFrame, sample: DataFrame) -> list[tuple[int, int, np.ndarray]]:
-    """doc_id, label and the hashes of the terms, repeats included, of the sampled documents, in a fixed order."""
+def sampled_terms(docs: DataFrame, sample: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """doc_id, label, and the hashes of the terms and their counts, of the sampled documents, in a fixed order."""
     def terms(ids: list, labels: list, texts: list) -> dict:
-        found = []
-        for t in texts:
-            found.append(np.sort(text_terms([t])[1]).view(np.int64))
-        return {"doc_id": ids, "label": labels, "hashes": found}
+        found = [np.unique(text_terms([t])[1], return_counts=True) for t in texts]
+        return {"doc_id": ids, "label": labels, "hashes": [h.view(np.int64) for h, _ in found], "times": [n for _, n in found]}
 
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).drop("_id")
-    got = map_rows(picked, terms, ["doc_id", "label", "text"], "doc_id long, label int, hashes array<long>").toArrow()
+    got = map_rows(picked, terms, ["doc_id", "label", "text"], "doc_id long, label int, hashes array<long>, times array<int>").toArrow()
     rows = []
     for batch in got.to_batches():
-        ids, labels, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
-        flat, ends = hashes.flatten().to_numpy().view(np.uint64), np.cumsum([0, *hashes.value_lengths().to_pylist()])
-        rows += [(i, y, flat[ends[k]:ends[k + 1]]) for k, (i, y) in enumerate(zip(ids, labels, strict=True))]
-    return sorted(rows, key=lambda r: (crc_of(f"{r[0]}:"), r[0], r[2].tobytes()))
+        ids, labels, hashes, times = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)
+        ends = np.cumsum([0, *hashes.value_lengths().to_pylist()])
+        flat, times = hashes.flatten().to_numpy().view(np.uint64), times.flatten().to_numpy()
+        rows += [(i, y, flat[a:b], times[a:b]) for i, y, a, b in zip(ids, labels, ends[:-1], ends[1:], strict=True)]
+    return sorted(rows, key=lambda r: (crc_of(f"{r[0]}:"), r[0], r[2].tobytes(), r[3].tobytes()))
 
 
-def counted(rows: list[tuple[int, int, np.ndarray]], vocabulary: Vocabulary) -> Counts:
+def counted(rows: list[tuple[int, int, np.ndarray, np.ndarray]], vocabulary: Vocabulary) -> Counts:
     hashes = np.concatenate([np.zeros(0, np.uint64), *(r[2] for r in rows)])
-    return vocabulary.counts(len(rows), np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows]), hashes)
+    times = np.concatenate([np.zeros(0, np.int32), *(r[3] for r in rows)])
+    return vocabulary.counts(len(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[2]) for r in rows]), hashes, times)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -398,6 +420,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         calibration += own[:cut]
         examples += own[cut:]
     vocabulary = Vocabulary(np.concatenate([np.zeros(0, np.uint64), *(r[2] for r in examples)]))
+    held, other = counted(examples, vocabulary), counted(calibration, vocabulary)
+    ids, labelled, judged = [r[0] for r in examples], np.array([r[1] for r in examples], float), np.array([r[1] for r in calibration])
+    del got, own, examples, calibration
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     marked = (docs.select("doc_id", "text").join(F.broadcast(sample(LABELLED)), F.col("doc_id") == F.col("_id"), "left")
               .select(F.coalesce("label", F.lit(-1)).alias("label"), "text"))
@@ -405,9 +430,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     df = counts[-1] + counts[0] + counts[1]
     weights = (term_weights(counts, min(LABELLED, sizes[0]), min(LABELLED, sizes[1]))
                * np.log(1 + df[-1] / np.maximum(1, df[:-1])))
-
-    return Model(vocabulary, weights, [r[0] for r in examples], np.array([r[1] for r in examples], float), counted(examples, vocabulary),
-                 sizes[1] / (sizes[0] + sizes[1]), counted(calibration, vocabulary), np.array([r[1] for r in calibration]))
+    return Model(vocabulary, weights, ids, labelled, held, sizes[1] / (sizes[0] + sizes[1]), other, judged)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
