@@ -21,6 +21,7 @@ block order; repeated rows get equal scores; an empty table gives an empty resul
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,18 @@ class Counts:
         self.n, self.owner, self.terms = n, key >> 32, key & 0xFFFFFFFF
 
 
+    @classmethod
+    def joined(cls, parts: list[Counts]) -> Counts:
+        """The texts of all parts, one part after another."""
+        out = cls(0, np.zeros(0, np.int32), np.zeros(0, np.int32))
+        first = np.cumsum([0, *(p.n for p in parts)])
+        out.n = int(first[-1])
+        out.owner = np.concatenate([np.zeros(0, np.int32), *((p.owner + n).astype(np.int32) for p, n in zip(parts, first, strict=False))])
+        out.terms = np.concatenate([np.zeros(0, np.int32), *(p.terms.astype(np.int32) for p in parts)])
+        out.times = np.concatenate([np.zeros(0, np.int32), *(p.times.astype(np.int32) for p in parts)])
+        return out
+
+
 class Vocabulary:
     """Numbers of terms by their hashes: the place in ascending order, found by the leading bits."""
 
@@ -182,9 +195,13 @@ def alike(rows: np.ndarray) -> np.ndarray:
 
 def folded(n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The vectors in FOLDED dimensions, in which terms add up or cancel by a hash: enough to tell which are alike."""
-    h = mixed(terms.astype(np.uint64) * _BASE + np.uint64(1))
-    sign = np.where(h >> np.uint64(63), weights, -weights)
-    return np.bincount(owner * FOLDED + (h % np.uint64(FOLDED)).astype(np.int64), sign, n * FOLDED).astype(np.float32).reshape(n, FOLDED)
+    out = np.zeros(n * FOLDED, np.float32)
+    for at in range(0, len(terms), PIECE):
+        part = slice(at, at + PIECE)
+        h = mixed(terms[part].astype(np.uint64) * _BASE + np.uint64(1))
+        to = owner[part].astype(np.int64) * FOLDED + (h % np.uint64(FOLDED)).astype(np.int64)
+        np.add.at(out, to, np.where(h >> np.uint64(63), weights[part], -weights[part]).astype(np.float32))
+    return out.reshape(n, FOLDED)
 
 
 class BlockMaxIndex:
@@ -319,7 +336,7 @@ class Model:
     def vectors(self, texts: Counts) -> np.ndarray:
         """The weights of the texts' terms; each text's vector has length 1."""
         raw = (1 + np.log(texts.times)) * self.weights[texts.terms]
-        return raw / np.sqrt(np.bincount(texts.owner, raw * raw, texts.n))[texts.owner]
+        return raw if not len(raw) else raw / np.sqrt(np.bincount(texts.owner, raw * raw, texts.n))[texts.owner]
 
     def neighbours(self, texts: Counts) -> list[tuple[np.ndarray, np.ndarray]]:
         return self.index.nearest(texts.n, texts.owner, texts.terms, self.vectors(texts), NEAREST)
@@ -390,13 +407,17 @@ def sampled_terms(docs: DataFrame, sample: DataFrame) -> list[tuple[int, int, np
         ends = np.cumsum([0, *hashes.value_lengths().to_pylist()])
         flat, times = hashes.flatten().to_numpy().view(np.uint64), times.flatten().to_numpy()
         rows += [(i, y, flat[a:b], times[a:b]) for i, y, a, b in zip(ids, labels, ends[:-1], ends[1:], strict=True)]
-    return sorted(rows, key=lambda r: (crc_of(f"{r[0]}:"), r[0], r[2].tobytes(), r[3].tobytes()))
+    return sorted(rows, key=lambda r: (crc_of(f"{r[0]}:"), r[0], len(r[2]), crc32(r[2]), crc32(r[3])))
 
 
 def counted(rows: list[tuple[int, int, np.ndarray, np.ndarray]], vocabulary: Vocabulary) -> Counts:
-    hashes = np.concatenate([np.zeros(0, np.uint64), *(r[2] for r in rows)])
-    times = np.concatenate([np.zeros(0, np.int32), *(r[3] for r in rows)])
-    return vocabulary.counts(len(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[2]) for r in rows]), hashes, times)
+    """Rows in the order given; some at a time, which bounds what the driver holds beside the result."""
+    made = []
+    for at in range(0, len(rows), 500):
+        part = rows[at:at + 500]
+        owner = np.repeat(np.arange(len(part), dtype=np.int32), [len(r[2]) for r in part])
+        made.append(vocabulary.counts(len(part), owner, np.concatenate([r[2] for r in part]), np.concatenate([r[3] for r in part])))
+    return Counts.joined(made)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
