@@ -385,11 +385,11 @@ def term_counts(docs: DataFrame, shared: Broadcast) -> dict[int, np.ndarray]:
                                               pa.array(n[at])], names=["label", "term", "n"])
 
     counted = (docs.select(F.col("label").cast("int"), "text").mapInArrow(run, "label int, term int, n long")
-               .groupBy("label", "term").agg(F.sum("n").alias("n")).toArrow())
-    label, term, n = (counted.column(k).to_numpy() for k in range(3))
+               .groupBy("term").agg(*[F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (-1, 0, 1)])
+               .toArrow())
     out = {k: np.zeros(len(shared.value) + 1, np.int64) for k in (-1, 0, 1)}
-    for k in out:
-        out[k][term[label == k]] = n[label == k]
+    for at, k in enumerate(out, 1):
+        out[k][counted.column(0).to_numpy()] = counted.column(at).to_numpy()
     return out
 
 
@@ -444,6 +444,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     held, other = counted(examples, vocabulary), counted(calibration, vocabulary)
     ids, labelled, judged = [r[0] for r in examples], np.array([r[1] for r in examples], float), np.array([r[1] for r in calibration])
     del got, own, examples, calibration
+    pa.default_memory_pool().release_unused()
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     marked = (docs.select("doc_id", "text").join(F.broadcast(sample(LABELLED)), F.col("doc_id") == F.col("_id"), "left")
               .select(F.coalesce("label", F.lit(-1)).alias("label"), "text"))
