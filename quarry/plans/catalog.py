@@ -830,10 +830,7 @@ def incremental_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     is appended to an index whose ids continue across batches; result = postings keyed by
     document name.  The table's own files are streamed; nothing is copied."""
     root = scratch_path(spark, "stream-index")
-    schema = tb.table(spark, sf_dir, "documents").schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-              .select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("doc_name"), "text"))
+    stream = tb.document_stream(spark, sf_dir).select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("doc_name"), "text")
     q = streaming.stream_index(stream, f"{root}/index", f"{root}/checkpoint")
     q.awaitTermination()
     idx = streaming.read_stream_index(spark, f"{root}/index")

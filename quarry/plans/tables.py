@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators.ordinals import next_within
 from quarry.session import sized_side
 from quarry.sources import querylog
+from quarry.sources.files import _fs_path
 
 
 # Tables whose rows carry long texts: tokenizing them is CPU-heavy per byte.
@@ -24,6 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(spread) if spread and name in TEXT_TABLES else df
 
 
+def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as a file stream, one file per micro-batch, whether the table is one file or a folder of part files."""
+    at = sf_dir.rstrip("/")
+    stream = spark.readStream.schema(table(spark, sf_dir, "documents").schema).option("maxFilesPerTrigger", 1)
+    path, fs = _fs_path(spark, f"{at}/documents.parquet")
+    if fs.getFileStatus(path).isDirectory():
+        return stream.parquet(f"{at}/documents.parquet")
+    return stream.option("pathGlobFilter", "documents.parquet").parquet(at)      # a stream's path must be a folder
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents with a path-like name ``source/doc_id`` (the index's document name)."""
     d = table(spark, sf_dir, "documents")

@@ -42,3 +42,21 @@ def test_stream_search_matches_batch(spark):
     q.awaitTermination()
     got = sorted((r["query_id"], r["doc_id"], r["rank"]) for r in spark.read.parquet(os.path.join(root, "out")).collect())
     assert got == [(1, 10, 3), (2, 11, 1)]
+
+
+def test_documents_stream_from_one_file_and_from_a_folder_of_part_files(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from quarry.plans import catalog
+
+    rows = [(i, "web" if i % 2 else "mail", f"Alpha beta{i % 3} alpha. Tail word {i}") for i in range(9)]
+    table = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "source": [r[1] for r in rows], "text": [r[2] for r in rows]})
+    (tmp_path / "one").mkdir()
+    pq.write_table(table, tmp_path / "one/documents.parquet")
+    (tmp_path / "parts/documents.parquet").mkdir(parents=True)
+    for i in range(3):
+        pq.write_table(table.slice(3 * i, 3), tmp_path / f"parts/documents.parquet/part-{i:05d}.parquet")
+    one, parts = (sorted(map(tuple, catalog.incremental_index(spark, str(tmp_path / d)).collect())) for d in ("one", "parts"))
+    assert one and parts == one
+    assert {r[0] for r in parts} == {f"{r[1]}/{r[0]}" for r in rows}
