@@ -1,10 +1,8 @@
 """Inverted index of the count dialect: doc table, word positions and postings.
 
-Long form throughout: ``tokens(index_id, doc_name, word, pos)`` ->
-``postings(index_id, word, doc_id, n, positions)``.  Offsets come from a running sum of chunk
-lengths inside one document (the window is partitioned by document, whose size is bounded by
-one text value); the ``(document, word)`` aggregation reuses that partitioning.  Ids are joined to the
-finished postings, so no text crosses the network for them.
+Long form throughout: ``postings(index_id, word, doc_id, n, positions)``.  A document's words, their numbers and offsets
+need its own text only and are made where the text is read (``rows``); ids are joined to the texts before, so no token
+or posting crosses the network for them.  Keys that stand over several texts go by windows and grouping.
 """
 
 from __future__ import annotations
@@ -15,8 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
+from quarry.operators import rows
 from quarry.operators.ordinals import ordinal_within
-from quarry.session import sized_side
+from quarry.session import reliable_checkpoint, sized_side
 
 
 @dataclass
@@ -44,20 +43,20 @@ def indexable_docs(docs: DataFrame, name: str = "doc_name", text: str = "text",
     return d.where(tk.is_ascii("t") & F.coalesce(has_words, F.lit(False)))
 
 
-def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_last_word: bool = False,
-                      placed: bool = False) -> DataFrame:
-    """STR-1 + WIN-2: (keys..., word, pos) with pos the byte offset of the word's first letter.
+def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_last_word: bool = False) -> DataFrame:
+    """STR-1 + WIN-2: (keys..., word, pos) with pos the byte offset of the word's first letter."""
+    once, repeated = rows.split_repeated(docs.select(*keys, text), keys)
+    tokens = rows.placed_words(once, keys, text, keep_last_word).select(*keys, "word", F.explode("positions").alias("pos"))
+    return tokens if repeated is None else tokens.unionByName(_joined_tokens(repeated, keys, text, keep_last_word))
 
-    ``placed`` says that the rows are hash-partitioned on the keys already, as a window over them leaves them."""
+
+def _joined_tokens(docs: DataFrame, keys: list[str], text: str, keep_last_word: bool) -> DataFrame:
+    """The tokens of keys with several texts: offsets run on over all chunks of a key."""
     chunk_re = "([A-Za-z]+[^A-Za-z]*)" if keep_last_word else "([A-Za-z]+[^A-Za-z]+)"
-    # Documents are hash-partitioned on their key *before* exploding: the shuffle moves the text
-    # once instead of the (2-3x larger) token rows, and both the offset window and the later
-    # (doc, word) aggregation find their distribution already in place.
     # Prefix length and chunk array are projected before the explode so neither is re-evaluated
     # per exploded row.
-    # No partition count is given, so AQE may coalesce or split this shuffle.
-    arr = (docs if placed else docs.repartition(*keys)).select(*keys, tk.count_prefix_len(text).alias("_pre"),
-                      F.regexp_extract_all(F.col(text), F.lit(chunk_re), 1).alias("_cs"))
+    arr = docs.repartition(*keys).select(*keys, tk.count_prefix_len(text).alias("_pre"),
+                                         F.regexp_extract_all(F.col(text), F.lit(chunk_re), 1).alias("_cs"))
     exploded = arr.select(*keys, "_pre", F.posexplode_outer("_cs").alias("_i", "_c")).where(F.col("_c").isNotNull())
     before = Window.partitionBy(*keys).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
     return exploded.select(
@@ -67,6 +66,14 @@ def positioned_tokens(docs: DataFrame, keys: list[str], text: str = "t", keep_la
     )
 
 
+def document_postings(docs: DataFrame, keys: list[str], text: str = "t", keep_last_word: bool = False) -> DataFrame:
+    """AGG-4 / AGG-5 / ARR-1 / ARR-2 straight from the texts: (keys..., word, n, positions).  A document's postings need
+    its own text only, so nothing is shuffled; keys with several texts are grouped."""
+    once, repeated = rows.split_repeated(docs.select(*keys, text), keys)
+    made = rows.placed_words(once, keys, text, keep_last_word)
+    return made if repeated is None else made.unionByName(word_positions(_joined_tokens(repeated, keys, text, keep_last_word), keys))
+
+
 def word_tokens(docs: DataFrame, keys: list[str], text: str = "t") -> DataFrame:
     """STR-1 words without offsets: (keys..., word), one row per occurrence."""
     # explode_outer + null filter: a plain explode adds an inferred size() filter that would run
@@ -114,13 +121,18 @@ def build_index(docs: DataFrame, name: str = "doc_name", text: str = "text", ind
     d = indexable_docs(docs, name, text, index_id, keep_last_word).select(*key, "t")
     if existing is not None:
         d = d.join(existing.doc_table.select(*key), key, "left_anti")
-    doc_table = assign_doc_ids(d.select(*key), None if existing is None else existing.doc_table)
+    # The names with their numbers of texts are written once: ids and repeated names both come from them.
+    names = reliable_checkpoint(d.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), "names")
+    doc_table = assign_doc_ids(names.select(*key), None if existing is None else existing.doc_table)
     # One document per name: of several texts under one name the smallest is indexed.
-    first = Window.partitionBy(*key).orderBy("t")
-    one = d.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*key, "t")
-    # The window has put each document where the offsets and the postings need it: the text is shuffled once.
-    tokens = positioned_tokens(one, key, "t", keep_last_word, placed=True)
-    postings = word_positions(tokens, key).join(doc_table, key).select("index_id", "word", "doc_id", "n", "positions")
+    one = d
+    if not (repeated := names.where("_n > 1").select(*key)).isEmpty():
+        first = Window.partitionBy(*key).orderBy("t")
+        least = d.join(repeated, key, "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*key, "t")
+        one = d.join(repeated, key, "left_anti").unionByName(least)
+    # Texts get their ids before they become postings: a text is shuffled once, its postings only into their buckets.
+    numbered = one.join(doc_table.hint("shuffle_hash"), key).select("index_id", "doc_id", "t")
+    postings = rows.placed_words(numbered, ["index_id", "doc_id"], "t", keep_last_word).select("index_id", "word", "doc_id", "n", "positions")
     if existing is not None:
         postings = existing.postings.select("index_id", "word", "doc_id", "n", "positions").unionByName(postings)
     return Index(doc_table, postings)

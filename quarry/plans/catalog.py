@@ -129,8 +129,7 @@ SELECT word, doc_id, CAST(count(*) AS INTEGER) AS n, list(pos ORDER BY pos) AS p
 """)
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-4 / AGG-5 / AGG-13: word -> doc -> ascending positions."""
-    tokens = ix.positioned_tokens(_count_docs(spark, sf_dir), ["doc_id"], "t")
-    return ix.word_positions(tokens, ["doc_id"]).select("word", "doc_id", "n", "positions")
+    return ix.document_postings(_count_docs(spark, sf_dir), ["doc_id"], "t").select("word", "doc_id", "n", "positions")
 
 
 @register("vocab_size", f"""
