@@ -68,9 +68,9 @@ def chunk_word(chunk) -> Column:
 
 def cosine_words(text) -> Column:
     """STR-2: lower -> split on whitespace -> delete punctuation -> drop empties."""
-    parts = F.split(F.lower(_col(text)), ASCII_WS)
-    cleaned = F.transform(parts, lambda x: F.regexp_replace(x, PUNCT, ""))
-    return F.filter(cleaned, lambda x: x != "")
+    # One pattern over the whole text: punctuation is no white space, so its words are the same as piece by piece.
+    cleaned = F.regexp_replace(F.lower(_col(text)), f"{PUNCT}+", "")
+    return F.filter(F.split(cleaned, ASCII_WS), lambda x: x != "")
 
 
 # ---------------------------------------------------------------- tfidf dialect (STR-3, STR-4)
@@ -87,7 +87,10 @@ def tfidf_words(text) -> Column:
     """
     t = _col(text)
     trimmed = F.regexp_replace(t, f"^{UNICODE_WS}|{UNICODE_WS}$", "")
-    pieces = F.transform(F.split(trimmed, UNICODE_WS), normalize_term)
+    # Patterns over the whole text: every gap becomes one blank, then all but words and blanks goes, so a piece
+    # without a word character stays as an empty term between its blanks.
+    spaced = F.regexp_replace(trimmed, UNICODE_WS, " ")
+    pieces = F.split(F.lower(F.regexp_replace(spaced, r"[^\p{L}\p{N}_ ]+", "")), " ")
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(pieces)
 
 

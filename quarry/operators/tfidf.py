@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import tokenize as tk
+from quarry.operators import rows
 from quarry.session import reliable_checkpoint
 
 
@@ -36,6 +37,15 @@ def term_frequency(tokens: DataFrame, key: str) -> DataFrame:
             .withColumn("tf", F.col("cnt") / F.col("len")))
 
 
+def document_terms(docs: DataFrame, key: str, text: str, dialect: str) -> DataFrame:
+    """AGG-1/2/3 straight from the texts: (key, word, cnt, len, tf).  A document's counts need its own text only, so nothing
+    is shuffled; texts of one key and of one length are counted together."""
+    once, repeated = rows.split_repeated(docs.select(key, text), [key])
+    made = (rows.counted_words(once.select(key, tk.words_of(text, dialect).alias("_ws")), [key], "_ws")
+            .select(key, "len", "word", "cnt", (F.col("cnt") / F.col("len")).alias("tf")))
+    return made if repeated is None else made.unionByName(term_frequency(doc_tokens(repeated, key, text, dialect), key))
+
+
 def document_count(docs: DataFrame) -> int:
     """AGG-9: number of documents, wordless ones included (a single scalar action)."""
     return docs.count()
@@ -94,7 +104,7 @@ class Model:
 
     @cached_property
     def tf(self) -> DataFrame:
-        return self._keep(term_frequency(doc_tokens(self._docs, self.key, self._text, self.dialect), self.key))
+        return self._keep(document_terms(self._docs, self.key, self._text, self.dialect))
 
     @cached_property
     def idf(self) -> DataFrame:
