@@ -15,17 +15,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import sized_side, reliable_checkpoint
+from quarry.session import reliable_checkpoint, sized_side, tasks_for
 
 
 def _exprs(cols: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def in_order(df: DataFrame, order_by: Sequence) -> DataFrame:
+    """``df`` in a global order, by as many tasks as its rows need, so that one task's sort does not grow with the input.  The
+    rows are counted, and sampled for the ranges, before they are sorted: ``df`` should be written."""
+    tasks = tasks_for(df.sparkSession, df.count())
+    if tasks is None:
+        return df.orderBy(*_exprs(order_by))
+    return df.repartitionByRange(tasks, *_exprs(order_by)).sortWithinPartitions(*_exprs(order_by))
+
+
 def with_ordinal(df: DataFrame, order_by: Sequence, name: str = "ordinal") -> DataFrame:
     """Add ``name`` = 1..N following ``order_by`` (ascending unless Columns say otherwise)."""
     tagged = (
-        df.orderBy(*_exprs(order_by))
+        in_order(reliable_checkpoint(df), order_by)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_mono", F.monotonically_increasing_id())
     )

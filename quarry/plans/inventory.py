@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.functions import urls
 from quarry.operators import collect, graph, quality, search, tfidf, web
 from quarry.operators import index as ix
-from quarry.operators.ordinals import ordinal_within
+from quarry.operators.ordinals import in_order, ordinal_within
 from quarry.plans import sql
 from quarry.plans import tables as tb
 from quarry.plans.catalog import (_AND_HITS, _HOST_SQL, _LINKS_SQL, _ROBOTS_AGENT, _ROBOTS_SQL, _SUBJECT_SQL, ORACLE, QUERIES, _cosine_model, _count_docs, _global_index,
@@ -33,7 +33,7 @@ def tfidf_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = search.tfidf_search(m.tf, m.idf, search.query_tokens(tb.query_log(spark, sf_dir), "tfidf"), "doc_id")
     rounded = hits.select("query_id", "doc_id", _r6("score").alias("score"))
     ordered = ordinal_within(rounded, ["query_id"], [F.col("score").desc(), "doc_id"], "pos")
-    return ordered.orderBy("query_id", "pos").select("query_id", "doc_id", "score", "pos")
+    return in_order(ordered.select("query_id", "doc_id", "score", "pos"), ["query_id", "pos"])
 
 
 @register("vector_maps", f"""
