@@ -259,28 +259,37 @@ def _without_dots(path: str) -> str:
     return "/".join(out) or "/"
 
 
+# Pages that are handed on at a time: a parsed page takes many times its bytes in Python.
+PAGES_AT_ONCE = 64
+
+
 def _parse_batches(batches):
-    for pdf in batches:
-        out = {"page_id": [], "uri": [], "title": [], "description": [], "body_text": [], "blocks": [],
-               "links": [], "error": []}
-        for pid, uri, html in zip(pdf["page_id"], pdf["uri"], pdf["html"]):
-            p, error = _PageParser(), None
-            try:
-                p.feed(html or "")
-                p.close()
-                p.end_block()
-            except (AssertionError, ValueError, IndexError) as broken:
-                error = f"{type(broken).__name__}: {broken}"     # the row keeps what was parsed, and says so
-            links = [r for r in (resolve_link(uri, h) for h in p.links) if r is not None]
-            out["page_id"].append(pid)
-            out["uri"].append(uri)
-            out["title"].append(_norm_ws(p.title))
-            out["description"].append(p.description)
-            out["body_text"].append(_norm_ws(p.body))
-            out["blocks"].append([{"text": t, "words": w, "linked": n} for t, w, n in p.blocks])
-            out["links"].append(links)
-            out["error"].append(error)
-        yield pd.DataFrame(out)
+    for whole in batches:
+        for at in range(0, len(whole), PAGES_AT_ONCE):
+            yield _parsed(whole.iloc[at:at + PAGES_AT_ONCE])
+
+
+def _parsed(pdf):
+    out = {"page_id": [], "uri": [], "title": [], "description": [], "body_text": [], "blocks": [],
+           "links": [], "error": []}
+    for pid, uri, html in zip(pdf["page_id"], pdf["uri"], pdf["html"]):
+        p, error = _PageParser(), None
+        try:
+            p.feed(html or "")
+            p.close()
+            p.end_block()
+        except (AssertionError, ValueError, IndexError) as broken:
+            error = f"{type(broken).__name__}: {broken}"     # the row keeps what was parsed, and says so
+        links = [r for r in (resolve_link(uri, h) for h in p.links) if r is not None]
+        out["page_id"].append(pid)
+        out["uri"].append(uri)
+        out["title"].append(_norm_ws(p.title))
+        out["description"].append(p.description)
+        out["body_text"].append(_norm_ws(p.body))
+        out["blocks"].append([{"text": t, "words": w, "linked": n} for t, w, n in p.blocks])
+        out["links"].append(links)
+        out["error"].append(error)
+    return pd.DataFrame(out)
 
 
 PARSED_SCHEMA = ("page_id long, uri string, title string, description string, body_text string, "
