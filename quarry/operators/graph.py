@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import reliable_checkpoint, remove_path, scratch_path
+from quarry.session import reliable_checkpoint, remove_path, scratch_path, tasks_for
 
 
 def link_graph(nodes: DataFrame, links: DataFrame, keep_self_links: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -27,10 +27,15 @@ def link_graph(nodes: DataFrame, links: DataFrame, keep_self_links: bool = False
     edges = links.select("src", "dst")
     if not keep_self_links:
         edges = edges.where(F.col("src") != F.col("dst"))
-    edges = (edges.join(node_ids.withColumnRenamed("id", "src"), "src", "left_semi")
-             .join(node_ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
-             .select("src", "dst").distinct())
-    return node_ids, edges
+    # Links are made distinct first, by as many tasks as they need; the joins then stream them past hash tables of nodes,
+    # so no task sorts its links or gathers them in an aggregate that grows with the input.
+    edges = reliable_checkpoint(edges, "links")
+    if tasks := tasks_for(edges.sparkSession, edges.count()):
+        edges = edges.repartition(tasks, "src", "dst")
+    edges = edges.distinct()
+    for end in ("src", "dst"):
+        edges = edges.join(node_ids.withColumnRenamed("id", end).hint("shuffle_hash"), end, "left_semi")
+    return node_ids, edges.select("src", "dst")
 
 
 # Links of one source in one bucket; a source with more is split.
@@ -76,6 +81,7 @@ def _salts(parts: str) -> F.Column:
 
 def bucketed_edges(edges: DataFrame, outdeg: DataFrame, buckets: int) -> BucketedTable:
     """src, salt, dst, wt (1/outdeg), dst_parts (keys that the target stands under), bucketed by (src, salt)."""
+    outdeg = outdeg.hint("shuffle_hash")       # its rows are nodes; the links stream past and are not sorted
     weighted = (edges.join(outdeg, "src")
                 .select("src", F.pmod(F.xxhash64("dst"), _parts("outdeg")).alias("salt"), "dst", (1.0 / F.col("outdeg")).alias("wt"))
                 .join(outdeg.select(F.col("src").alias("dst"), _parts("outdeg").alias("dst_parts")), "dst", "left")
@@ -115,7 +121,9 @@ def pagerank(nodes: DataFrame, edges: DataFrame, decay: float = 0.85, epsilon: f
     n = node_ids.count()
     if n == 0:
         return node_ids.withColumn("rank", F.lit(0.0))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = reliable_checkpoint(edges, "links")
+    # A bucket is one task of every step: their number follows the links.
+    buckets = tasks_for(spark, edges.count()) or int(spark.conf.get("spark.sql.shuffle.partitions"))
     outdeg = reliable_checkpoint(edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg")), "outdeg")
     tables = [bucketed_edges(edges, outdeg, buckets)]
     try:

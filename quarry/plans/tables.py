@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.ordinals import next_within
-from quarry.session import sized_side
+from quarry.session import sized_side, tasks_for
 from quarry.sources import querylog
 from quarry.sources.files import _fs_path
 
@@ -52,7 +52,9 @@ def part_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                   "l_extendedprice")
     nodes = li.select(F.col("l_partkey").alias("id"))
-    # An order has a handful of lines: one shuffle and a window.
+    # An order has a handful of lines: one shuffle, to as many tasks as the lines need, and a window.
+    if tasks := tasks_for(spark, li.count()):
+        li = li.repartition(tasks, "l_orderkey")
     line = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     nxt = li.withColumn("next_part", F.lead("l_partkey").over(line))
     links = nxt.where(F.col("next_part").isNotNull()).select(F.col("l_partkey").alias("src"),

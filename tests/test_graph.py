@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import graph, quality
 
@@ -47,3 +48,15 @@ def test_bfs_order(spark):
     assert [r["id"] for r in graph.bfs_order(edges, seeds, 2).collect()] == [1, 2]
     visited = spark.createDataFrame([(3,)], "id long")
     assert [r["id"] for r in graph.bfs_order(edges, seeds, 10, visited=visited).collect()] == [1, 2, 4, 5]
+
+
+def test_buckets_follow_the_links(spark, monkeypatch):
+    nodes = spark.range(60).select("id")
+    links = nodes.crossJoin(spark.range(60).withColumnRenamed("id", "dst")).select(F.col("id").alias("src"), "dst")
+    want = {r["id"]: r["rank"] for r in graph.pagerank(*graph.link_graph(nodes, links), 0.85, 0.0, 3).collect()}
+    monkeypatch.setattr("quarry.session.ROWS_PER_TASK", 100)
+    written = []
+    write = graph.BucketedTable.write.__func__
+    monkeypatch.setattr(graph.BucketedTable, "write", classmethod(lambda cls, df, kind, n: written.append(n) or write(cls, df, kind, n)))
+    got = {r["id"]: r["rank"] for r in graph.pagerank(*graph.link_graph(nodes, links), 0.85, 0.0, 3).collect()}
+    assert set(written) == {36} and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
