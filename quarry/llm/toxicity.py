@@ -44,6 +44,7 @@ FIRST = 4                      # blocks completed for each query before the othe
 COMMON = 32                    # a term in more than one of so many examples is kept in the matrix
 QUERIES, POSTINGS = 256, 1 << 20  # texts that are searched for together, and postings that are read at once
 FOLDED = 256                   # dimensions by which like examples are found
+TERMS = 1 << 17                # terms that the driver weights together
 PIECE = 1 << 20                # bytes of text that are split into words together
 SHRINK = 0.5                   # weight of the base rate among the votes
 THRESHOLD = 0.3
@@ -356,7 +357,15 @@ class Model:
 
 def term_weights(counts: dict[int, np.ndarray], zeros: int, ones: int) -> np.ndarray:
     """The weight of each term: how far its rates under the two labels differ, times how sure that is."""
-    a, b = counts[1][:-1].astype(float), counts[0][:-1].astype(float)
+    n = len(counts[1]) - 1
+    out = np.empty(n)
+    for at in range(0, n, TERMS):       # some terms at a time: the driver holds no other array of the vocabulary's length
+        to = min(n, at + TERMS)
+        out[at:to] = _part_weights(counts[1][at:to].astype(float), counts[0][at:to].astype(float), zeros, ones)
+    return out
+
+
+def _part_weights(a: np.ndarray, b: np.ndarray, zeros: int, ones: int) -> np.ndarray:
     both, total = a + b, zeros + ones
     part = lambda o, e: np.where(o > 0, o * np.log(np.maximum(o, 1e-9) / np.maximum(e, 1e-9)), 0.0)
     g = np.maximum(0.0, 2 * (part(a, both * ones / total) + part(b, both * zeros / total)))
@@ -386,10 +395,12 @@ def term_counts(docs: DataFrame, shared: Broadcast) -> dict[int, np.ndarray]:
 
     counted = (docs.select(F.col("label").cast("int"), "text").mapInArrow(run, "label int, term int, n long")
                .groupBy("term").agg(*[F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (-1, 0, 1)])
+               .select("term", "n-1", F.col("n0").cast("int"), F.col("n1").cast("int"))     # of the sample, which is bounded
                .toArrow())
-    out = {k: np.zeros(len(shared.value) + 1, np.int64) for k in (-1, 0, 1)}
-    for at, k in enumerate(out, 1):
-        out[k][counted.column(0).to_numpy()] = counted.column(at).to_numpy()
+    out = {k: np.zeros(len(shared.value) + 1, np.int64 if k < 0 else np.int32) for k in (-1, 0, 1)}
+    for batch in counted.to_batches():
+        for at, k in enumerate(out, 1):
+            out[k][batch.column(0).to_numpy()] = batch.column(at).to_numpy()
     return out
 
 
@@ -449,9 +460,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     marked = (docs.select("doc_id", "text").join(F.broadcast(sample(LABELLED)), F.col("doc_id") == F.col("_id"), "left")
               .select(F.coalesce("label", F.lit(-1)).alias("label"), "text"))
     counts = term_counts(marked, shared)
-    df = counts[-1] + counts[0] + counts[1]
-    weights = (term_weights(counts, min(LABELLED, sizes[0]), min(LABELLED, sizes[1]))
-               * np.log(1 + df[-1] / np.maximum(1, df[:-1])))
+    pa.default_memory_pool().release_unused()
+    weights = term_weights(counts, min(LABELLED, sizes[0]), min(LABELLED, sizes[1]))
+    df = counts[-1]
+    df += counts[0]
+    df += counts[1]
+    for at in range(0, len(weights), TERMS):
+        to = min(len(weights), at + TERMS)
+        weights[at:to] *= np.log(1 + df[-1] / np.maximum(1, df[at:to]))
     return Model(vocabulary, weights, ids, labelled, held, sizes[1] / (sizes[0] + sizes[1]), other, judged)
 
 

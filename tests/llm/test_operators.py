@@ -670,3 +670,24 @@ def test_registered_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
     assert numbers == list(range(1, 14))
     assert defaultdict(int, registry.ORACLE).keys() <= registry.QUERIES.keys()
+
+
+def test_packed_ids_decode_to_their_bytes():
+    from quarry.llm import bpe
+    c = bpe.codec(*bpe.default_vocabulary())
+    for text in ("", "plain words, 12 numbers", "é́ 日本語 \U0001f600\n\t x", "aaaa" * 300):
+        packed = c.encode_packed(text)
+        assert c.decode_packed(packed) == text.encode() == c.decode(c.encode(text))
+
+
+def test_term_weights_some_terms_at_a_time_equal_all_at_once(monkeypatch):
+    import numpy as np
+
+    from quarry.llm import toxicity
+    rng = np.random.default_rng(3)
+    counts = {k: rng.integers(0, 40, 1001).astype(np.int32) for k in (0, 1)}
+    whole, sizes = toxicity.term_weights(counts, 900, 700), []
+    part = toxicity._part_weights
+    monkeypatch.setattr(toxicity, "TERMS", 64)
+    monkeypatch.setattr(toxicity, "_part_weights", lambda a, *more: sizes.append(len(a)) or part(a, *more))
+    assert (toxicity.term_weights(counts, 900, 700) == whole).all() and max(sizes) == 64 and sum(sizes) == 1000
