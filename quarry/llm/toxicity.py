@@ -40,9 +40,9 @@ BEGINNINGS = (4, 5, 6, 7)       # bytes of a word's beginnings that are terms to
 LIFT, SIGNIFICANCE = 8.0, 15.0  # ratio of a term's rates that has full weight, G of its counts that has half
 LEAST_WEIGHT = 0.01            # weight of a term that tells nothing about the labels
 NEAREST, BLOCK = 15, 64
-FIRST = 4                      # blocks completed for each query before the others are held against what they gave
+FIRST, SHARE = 4, 8            # blocks completed for each query (or one in SHARE) before the others are held against what they gave
 COMMON = 32                    # a term in more than one of so many examples is kept in the matrix
-QUERIES, POSTINGS = 256, 1 << 20  # texts that are searched for together, and postings that are read at once
+QUERIES, POSTINGS = 512, 1 << 18  # texts that are searched for together, and postings that are read at once
 FOLDED = 256                   # dimensions by which like examples are found
 TERMS = 1 << 17                # terms that the driver weights together
 PIECE = 1 << 20                # bytes of text that are split into words together
@@ -214,6 +214,7 @@ class BlockMaxIndex:
         common = np.flatnonzero(np.bincount(terms, minlength=n_terms) * COMMON > n)
         self.column = np.full(n_terms, -1, np.int32)
         self.column[common] = np.arange(len(common))
+        self.n_columns = len(common)
         dense = self.column[terms] >= 0
         # Like examples share a block, which tightens its bounds.
         self.example = alike(folded(n, owner, terms, weights))      # of each place
@@ -221,8 +222,10 @@ class BlockMaxIndex:
         place[self.example] = np.arange(n)
         at = np.flatnonzero(dense)
         at = at[np.argsort(place[owner[at]], kind="stable")]
-        self.common = place[owner[at]].astype(np.int32), self.column[terms[at]], weights[at].astype(np.float32)
-        self.held = self.block_max = None
+        held = place[owner[at]]
+        self.ends = np.searchsorted(held, np.arange(self.n_blocks + 1) * BLOCK)
+        self.common = held % BLOCK * self.n_columns + self.column[terms[at]], weights[at].astype(np.float32)
+        self.block_max = None
         terms, weights, places = terms[~dense], weights[~dense], place[owner[~dense]]
         order = np.lexsort((places, terms))
         self.places, self.weights = places[order].astype(np.int32), weights[order].astype(np.float32)
@@ -230,34 +233,45 @@ class BlockMaxIndex:
         self.read = self.blocks = 0             # blocks completed, and blocks bounded
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"held": None, "block_max": None}
+        return self.__dict__ | {"block_max": None}
+
+    def block(self, b: int) -> np.ndarray:
+        """The weights of the common terms in the examples of a block, as a matrix."""
+        cells, weights = (x[self.ends[b]:self.ends[b + 1]] for x in self.common)
+        matrix = np.zeros(BLOCK * self.n_columns, np.float32)
+        matrix[cells] = weights
+        return matrix.reshape(BLOCK, -1)
 
     def unfold(self) -> None:
-        """Of each block the columns that its examples hold, and their weights as a matrix; done where the index is used."""
-        places, columns, weights = self.common
-        n_columns = int(self.column.max(initial=-1)) + 1
-        self.held, self.block_max = [], np.zeros((n_columns, self.n_blocks), np.float32)
-        ends = np.searchsorted(places, np.arange(self.n_blocks + 1) * BLOCK)
-        for b, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-            own, at = np.unique(columns[x:y], return_inverse=True)
-            matrix = np.zeros((min(BLOCK, self.n - b * BLOCK), len(own)), np.float32)
-            matrix[places[x:y] - b * BLOCK, at] = weights[x:y]
-            self.held.append((own, matrix))
-            self.block_max[own, b] = matrix.max(axis=0)
+        """The largest weight of each common term in each block; done where the index is used."""
+        self.block_max = np.zeros((self.n_columns, self.n_blocks), np.float32)
+        for b in range(self.n_blocks):
+            self.block_max[:, b] = self.block(b).max(axis=0, initial=0)
 
     def nearest(self, n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each of ``n`` queries (rows in order) the k largest positive cosines and their examples, the first place first
         among equal ones."""
-        if self.held is None:
+        if self.block_max is None:
             self.unfold()
-        column = self.column[terms]
-        read = np.cumsum(np.bincount(owner, (self.posting[terms + 1] - self.posting[terms]) + 1, n))
-        out, at = [], 0
-        while at < n:
-            within = int(np.searchsorted(read, (read[at - 1] if at else 0) + POSTINGS, "right"))
-            to = min(n, at + QUERIES, max(at + 1, within))
+        column, out = self.column[terms], []
+        for at in range(0, n, QUERIES):
+            to = min(n, at + QUERIES)
             a, b = np.searchsorted(owner, [at, to])
             out += self._nearest(to - at, owner[a:b] - at, terms[a:b], weights[a:b], column[a:b], k)
+        return out
+
+    def rare(self, n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The sums of the rare terms: a row for each query, a column for each place."""
+        width, first = self.n_blocks * BLOCK, self.posting[terms].astype(np.int64)
+        out, sizes = np.zeros((n, width)), self.posting[terms + 1] - self.posting[terms]
+        read = np.cumsum(np.bincount(owner, sizes, n))
+        at = 0
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(read, (read[at - 1] if at else 0) + POSTINGS, "right")))
+            a, b = np.searchsorted(owner, [at, to])
+            own, places = sizes[a:b], ranges(first[a:b], sizes[a:b])
+            cells = np.repeat((owner[a:b] - at) * width, own) + self.places[places]
+            out[at:to] = np.bincount(cells, np.repeat(weights[a:b], own) * self.weights[places], (to - at) * width).reshape(to - at, width)
             at = to
         return out
 
@@ -265,27 +279,24 @@ class BlockMaxIndex:
                  k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         if not self.n or not len(owner):
             return [(np.zeros(0), np.zeros(0, np.int64))] * n
-        dense = np.zeros((len(self.block_max), n), np.float32)
-        dense[column[column >= 0], owner[column >= 0]] = weights[column >= 0]
-        owner, terms, weights = owner[column < 0], terms[column < 0], weights[column < 0]
+        dense = np.zeros((n, len(self.block_max)), np.float32)
+        dense[owner[column >= 0], column[column >= 0]] = weights[column >= 0]
         # Rare terms are in few examples of a block: their sums are exact and bound a block better than their maxima.
-        sizes = self.posting[terms + 1] - self.posting[terms]
-        at = ranges(self.posting[terms].astype(np.int64), sizes)
-        width = self.n_blocks * BLOCK
-        cosine = np.bincount(np.repeat(owner * width, sizes) + self.places[at], np.repeat(weights, sizes) * self.weights[at], n * width)
-        cosine = cosine.astype(float, copy=False).reshape(n, self.n_blocks, BLOCK)
-        bound = (cosine.max(axis=2) + dense.T @ self.block_max) * (1 + 1e-5)
+        cosine = self.rare(n, owner[column < 0], terms[column < 0], weights[column < 0]).reshape(n, self.n_blocks, BLOCK)
+        bound = (cosine.max(axis=2) + dense @ self.block_max) * (1 + 1e-5)
         done = bound <= 0
 
         def complete(wanted: np.ndarray) -> None:
             # A block is multiplied with the queries that ask for it.
             for block in np.flatnonzero(wanted.any(axis=0)):
-                asked, (columns, weights) = np.flatnonzero(wanted[:, block]), self.held[block]
-                cosine[asked, block, :len(weights)] += (weights @ dense.take(columns, 0).take(asked, 1)).T
+                asked = np.flatnonzero(wanted[:, block])
+                cosine[asked, block] += dense.take(asked, 0) @ self.block(block).T
             done[wanted] = True
             self.read += int(wanted.sum())
 
-        first = np.argpartition(bound, -FIRST, axis=1)[:, -FIRST:] if self.n_blocks > FIRST else np.tile(np.arange(self.n_blocks), (n, 1))
+        n_first = max(FIRST, self.n_blocks // SHARE)
+        first = (np.argpartition(bound, -n_first, axis=1)[:, -n_first:] if self.n_blocks > n_first
+                 else np.tile(np.arange(self.n_blocks), (n, 1)))
         wanted = np.zeros_like(done)
         np.put_along_axis(wanted, first, True, axis=1)
         complete(wanted & ~done)
@@ -294,7 +305,7 @@ class BlockMaxIndex:
         least = np.maximum(0.0, np.partition(found, -k, axis=1)[:, -k]) if found.shape[1] > k else np.zeros(n)
         complete(~done & (bound >= least[:, None]))
         cosine[~done] = 0.0
-        cosine = cosine.reshape(n, width)
+        cosine = cosine.reshape(n, -1)
         self.blocks += bound.size
         out = []
         for row, enough in zip(cosine, least, strict=True):
@@ -332,7 +343,7 @@ class Model:
             self.at, balanced = isotonic(votes, labels)
             ones, zeros = balanced * weight[labels == 1].max(initial=0), (1 - balanced) * weight[labels == 0].max(initial=0)
             self.rate = ones / np.maximum(1e-12, ones + zeros)
-            self.index.held = self.index.block_max = None
+            self.index.block_max = None
 
     def vectors(self, texts: Counts) -> np.ndarray:
         """The weights of the texts' terms; each text's vector has length 1."""

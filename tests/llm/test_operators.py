@@ -691,3 +691,19 @@ def test_term_weights_some_terms_at_a_time_equal_all_at_once(monkeypatch):
     monkeypatch.setattr(toxicity, "TERMS", 64)
     monkeypatch.setattr(toxicity, "_part_weights", lambda a, *more: sizes.append(len(a)) or part(a, *more))
     assert (toxicity.term_weights(counts, 900, 700) == whole).all() and max(sizes) == 64 and sum(sizes) == 1000
+
+
+def test_search_keeps_its_batches_whatever_the_number_of_postings(monkeypatch):
+    r = random.Random(2)
+    vectors = [{0: 0.5, **{t: 0.2 for t in r.sample(range(1, 400), 12)}} for _ in range(300)]
+    queries = vectors[:100] + [{}]
+    index = toxicity.BlockMaxIndex(300, *rows_of(vectors), 400)
+    whole = index.nearest(len(queries), *rows_of(queries), 10)
+    monkeypatch.setattr(toxicity, "POSTINGS", 50)       # fewer than those of one query
+    calls, search = [], toxicity.BlockMaxIndex._nearest
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "_nearest", lambda self, n, *more: calls.append(n) or search(self, n, *more))
+    for q, (got, examples), (same, others) in zip(queries, index.nearest(len(queries), *rows_of(queries), 10), whole, strict=True):
+        cosines = [sum(q.get(t, 0) * x for t, x in v.items()) for v in vectors]
+        assert np.allclose(got, [min(1.0, c) for c in sorted(cosines, reverse=True)[:10] if c > 0], atol=1e-5)
+        assert (got == same).all() and (examples == others).all()
+    assert calls == [len(queries)]                      # the blocks' matrices are made once for all of them
