@@ -2,7 +2,7 @@
 
 Every match of the split pattern (a pre-token) starts as a linked list of single bytes.  Each pair
 of neighbours that is a token waits in the bucket of its merge rank; a two-level bitmap marks the
-buckets that are not empty, so the next rank to merge is found by two find-first-set steps however
+buckets that are not empty, so the next rank to merge is found by two find-first-set steps (lowest rank first) however
 many ranks there are.  Buckets are heaps of list positions (the leftmost pair of a rank merges first);
 merging leaves stale entries behind, which are skipped when they come up.  Work per pre-token
 is O(n log n) at worst, so a pre-token of megabytes is no special case.
@@ -31,13 +31,13 @@ from quarry.llm.common import map_rows, table
 
 # --- fixed values: white space as the split pattern's \\s has it, and units it never cuts across ---
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-UNIT = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+LETTER = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u01ba"       # letters all; a run of them that another character of ASCII ends is one match
+UNIT = rf" ?[{LETTER}]++(?=[{SPACE}!-/:-@\[-`{{-~]|\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 # -------------------------------------------------------------------------------------------------
 PUBLIC_TAIL = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 8                       # bits of a rank that index a leaf word of the bitmap
 LOW = (1 << LEAF) - 1
-BIT = [1 << i for i in range(1 << LEAF)]
-CACHE_BYTES = 64_000_000       # of a cache generation (two are kept of two caches); only speed depends on it
+CACHE_BYTES = 100_000_000      # of a cache generation (two are kept); only speed depends on it
 IDLE = 1.5                     # seconds after a partition until an idle worker empties its caches
 ENTRY = 230                    # bytes of an entry besides its text and ids, roughly
 CACHED_LENGTH = 64             # longer pre-tokens are never remembered
@@ -82,13 +82,18 @@ class Codec:
         # In the public pattern a match is white space, or lies inside one run of other characters with
         # the space before it.  Such units are found by a plain scan and most are known already.
         self.unit = re.compile(UNIT) if pattern.endswith(PUBLIC_TAIL) else None
-        self.units, self.pieces = Memory(CACHE_BYTES), Memory(CACHE_BYTES)
+        # Of units and of matches: a match by itself is a unit of one match.
+        self.units = self.pieces = Memory(CACHE_BYTES)
         self.timer: threading.Timer | None = None
         # The queue of a merge.  Every merge leaves it empty, so it is made once: a bucket of list positions for each
-        # rank, and the leaf words of the bitmap over the ranks.
+        # rank, and the leaf words of the bitmap over the ranks.  Ranks count from the last one here: the lowest rank
+        # is the highest bit, which Python finds in one step.
         top_rank = max(ranks.values(), default=0)
+        self.turn = {b: top_rank - i for b, i in ranks.items()}
+        self.turn_of_two = [[self.turn.get(bytes((a, b))) for b in range(256)] for a in range(256)]
         self.buckets: list[list[int]] = [[] for _ in range(top_rank + 1)]
         self.leaves = [0] * ((top_rank >> LEAF) + 1)
+        self.bits = [1 << i for i in range(max(len(self.leaves), 1 << LEAF))]
         self.packed = {b: array("I", [i]).tobytes() for b, i in ranks.items()}
         self.table = np.full(top_rank + 1, None, object)        # the bytes by id, to be taken many at a time
         for i, b in self.bytes_of.items():
@@ -106,33 +111,33 @@ class Codec:
         if whole is not None:
             return whole
         n = len(data)
-        get, buckets, leaves = self.ranks.get, self.buckets, self.leaves
+        get, two, buckets, leaves, bits = self.turn.get, self.turn_of_two, self.buckets, self.leaves, self.bits
         end = list(range(1, n + 1))            # the token at i covers data[i:end[i]]; end[i] is also its next
         before = list(range(-1, n))
-        rank_at = [get(data[i:i + 2]) for i in range(n - 1)]    # of the pair that starts at i
+        rank_at = [two[a][b] for a, b in zip(data, data[1:], strict=False)]     # of the pair that starts at i
         top = 0                                # the upper level of the bitmap: leaf words that are not empty
         for i, r in enumerate(rank_at):
             if r is not None:
                 bucket = buckets[r]
                 if not bucket:
                     leaf = r >> LEAF
-                    leaves[leaf] |= BIT[r & LOW]
-                    top |= 1 << leaf
+                    leaves[leaf] |= bits[r & LOW]
+                    top |= bits[leaf]
                 bucket.append(i)               # positions come in ascending order: a valid heap
         rank_at += (None, None)
         while top:
-            leaf = (top & -top).bit_length() - 1             # find first set, in both levels
+            leaf = top.bit_length() - 1                      # find the highest bit set, in both levels
             word = leaves[leaf]
-            low = word & -word
-            r = leaf << LEAF | low.bit_length() - 1
+            bit = word.bit_length() - 1
+            r = leaf << LEAF | bit
             bucket = buckets[r]
             if len(bucket) > 1:
                 i = heappop(bucket)
             else:
                 i = bucket.pop()
-                leaves[leaf] = word = word ^ low
+                leaves[leaf] = word = word ^ bits[bit]
                 if not word:
-                    top ^= 1 << leaf
+                    top ^= bits[leaf]
             if rank_at[i] != r:                # stale: the pair has changed or gone
                 continue
             j = end[i]                         # merge the token at i with its neighbour at j
@@ -148,8 +153,8 @@ class Codec:
                     else:
                         bucket.append(i)
                         leaf = q >> LEAF
-                        leaves[leaf] |= BIT[q & LOW]
-                        top |= 1 << leaf
+                        leaves[leaf] |= bits[q & LOW]
+                        top |= bits[leaf]
             p = before[i]
             if p >= 0:
                 rank_at[p] = q = get(data[p:k])
@@ -160,8 +165,8 @@ class Codec:
                     else:
                         bucket.append(p)
                         leaf = q >> LEAF
-                        leaves[leaf] |= BIT[q & LOW]
-                        top |= 1 << leaf
+                        leaves[leaf] |= bits[q & LOW]
+                        top |= bits[leaf]
         ids, i, packed = [], 0, self.packed
         while i < n:
             k = end[i]
@@ -173,12 +178,17 @@ class Codec:
         """Packed ids of a stretch of text that no match of the pattern crosses."""
         ids = []
         for piece in self.pattern.findall(unit):
-            known = self.pieces.get(piece)
+            known = self.units.get(piece)
             if known is None:
                 known = self.merge(piece.encode())
-                self.pieces.put(piece, known)
+                self.units.put(piece, known)
             ids.append(known)
-        return ids[0] if len(ids) == 1 else b"".join(ids)
+        if len(ids) == 1:
+            return ids[0]
+        known = b"".join(ids)
+        if self.unit is not None:
+            self.units.put(unit, known)
+        return known
 
     def encode_packed(self, text: str) -> bytes:
         """Ids of a text as machine integers of 32 bits: each match of the pattern is encoded separately."""
@@ -186,14 +196,11 @@ class Codec:
             return self.encode_unit(text)
         units = self.unit.findall(text)
         found = list(map(self.units.new.get, units))
-        for i, known in enumerate(found):
-            if known is None:
-                unit = units[i]
-                known = self.units.get(unit)
+        if None in found:
+            for i, known in enumerate(found):
                 if known is None:
-                    known = self.encode_unit(unit)
-                    self.units.put(unit, known)
-                found[i] = known
+                    known = self.units.get(units[i])
+                    found[i] = self.encode_unit(units[i]) if known is None else known
         return b"".join(found)
 
     def encode(self, text: str) -> list[int]:
@@ -217,7 +224,6 @@ class Codec:
 
     def forget(self) -> None:
         self.units.clear()
-        self.pieces.clear()
 
 
 def little_endian(packed: bytes) -> bytes:

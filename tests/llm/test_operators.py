@@ -707,3 +707,17 @@ def test_search_keeps_its_batches_whatever_the_number_of_postings(monkeypatch):
         assert np.allclose(got, [min(1.0, c) for c in sorted(cosines, reverse=True)[:10] if c > 0], atol=1e-5)
         assert (got == same).all() and (examples == others).all()
     assert calls == [len(queries)]                      # the blocks' matrices are made once for all of them
+
+
+def test_units_end_where_matches_end_and_are_remembered_once():
+    import regex
+    path, pattern = bpe.default_vocabulary()
+    own = bpe.Codec.load(path, pattern)
+    letters = [chr(i) for i in range(0x1bb + 100) if bpe.re.fullmatch(f"[{bpe.LETTER}]", chr(i))]
+    assert len(letters) > 300 and all(regex.fullmatch(r"\p{L}", c) for c in letters)
+    own.encode(" zqxjk. zqxjk, (zqxjk)")
+    assert " zqxjk" in own.units.new and not {" zqxjk.", " zqxjk,"} & own.units.new.keys()
+    r, marks = random.Random(4), "ab'sStreé\xd7ßĀƻ \u0301²½Ⅷ19_-.,\"\n\t \x1c\x85\u2028—😀日"
+    for _ in range(3000):
+        text = "".join(r.choice(marks) for _ in range(r.randint(0, 30)))
+        assert own.encode_packed(text) == b"".join(own.merge(m.encode()) for m in own.pattern.findall(text))
