@@ -46,6 +46,7 @@ QUERIES, POSTINGS = 512, 1 << 18  # texts that are searched for together, and po
 FOLDED = 256                   # dimensions by which like examples are found
 TERMS = 1 << 17                # terms that the driver weights together
 PIECE = 1 << 20                # bytes of text that are split into words together
+TEXTS = 512                    # texts of the sample that the driver reads together; whole batches of queries
 SHRINK = 0.5                   # weight of the base rate among the votes
 THRESHOLD = 0.3
 SCHEMA = ("doc_id long, held_out boolean, score double, predicted int, "
@@ -113,18 +114,31 @@ class Counts:
             key, self.times = key[order], times[order]
         self.n, self.owner, self.terms = n, key >> 32, key & 0xFFFFFFFF
 
-
     @classmethod
-    def joined(cls, parts: list[Counts]) -> Counts:
-        """The texts of all parts, one part after another."""
-        out = cls(0, np.zeros(0, np.int32), np.zeros(0, np.int32))
-        first = np.cumsum([0, *(p.n for p in parts)])
-        out.n = int(first[-1])
-        out.owner = np.concatenate([np.zeros(0, np.int32), *((p.owner + n).astype(np.int32) for p, n in zip(parts, first, strict=False))])
-        out.terms = np.concatenate([np.zeros(0, np.int32), *(p.terms.astype(np.int32) for p in parts)])
-        out.times = np.concatenate([np.zeros(0, np.int32), *(p.times.astype(np.int32) for p in parts)])
+    def joined(cls, parts: Iterator[Counts], most: int) -> Counts:
+        """The texts of all parts, one part after another, with ``most`` terms at most; a part is dropped once it is copied."""
+        out, at = cls(0, np.zeros(0, np.int32), np.zeros(0, np.int32)), 0
+        owner, terms, times = (np.empty(most, np.int32) for _ in range(3))
+        for part in parts:
+            to = at + len(part.terms)
+            owner[at:to], terms[at:to], times[at:to] = part.owner + out.n, part.terms, part.times
+            out.n, at = out.n + part.n, to
+        out.owner, out.terms, out.times = owner[:at], terms[:at], times[:at]
         return out
 
+    def slices(self, size: int) -> Iterator[Counts]:
+        """The texts, so many at a time."""
+        for at in range(0, self.n, size):
+            part = Counts.__new__(Counts)
+            a, b = np.searchsorted(self.owner, [at, at + size])
+            part.n, part.owner = min(size, self.n - at), self.owner[a:b] - at
+            part.terms, part.times = self.terms[a:b], self.times[a:b]
+            yield part
+
+    def clear(self) -> None:
+        """Frees the terms; the number of texts stays."""
+        self.owner = self.terms = self.times = np.zeros(0, np.int32)
+
 
 class Vocabulary:
     """Numbers of terms by their hashes: the place in ascending order, found by the leading bits."""
@@ -156,6 +170,22 @@ class Vocabulary:
         return self.counts(len(texts), *text_terms(texts))
 
 
+def distinct(lists: list[np.ndarray]) -> np.ndarray:
+    """The distinct hashes of all lists; some lists at a time, which bounds what is held beside the result."""
+    found = np.zeros(0, np.uint64)
+    for at in range(0, len(lists), TEXTS):
+        found = np.unique(np.concatenate([found, *lists[at:at + TEXTS]]))
+    return found
+
+
+def tally(numbers: np.ndarray, n: int) -> np.ndarray:
+    """How often each number below ``n`` is there; bincount makes a copy in 64 bits, so some are counted at a time."""
+    out = np.zeros(n, np.int64)
+    for at in range(0, len(numbers), POSTINGS):
+        out += np.bincount(numbers[at:at + POSTINGS], minlength=n)
+    return out
+
+
 def parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Ranges of texts that have about PIECE characters together."""
     at, size = 0, 0
@@ -197,8 +227,8 @@ def alike(rows: np.ndarray) -> np.ndarray:
 def folded(n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The vectors in FOLDED dimensions, in which terms add up or cancel by a hash: enough to tell which are alike."""
     out = np.zeros(n * FOLDED, np.float32)
-    for at in range(0, len(terms), PIECE):
-        part = slice(at, at + PIECE)
+    for at in range(0, len(terms), POSTINGS):
+        part = slice(at, at + POSTINGS)
         h = mixed(terms[part].astype(np.uint64) * _BASE + np.uint64(1))
         to = owner[part].astype(np.int64) * FOLDED + (h % np.uint64(FOLDED)).astype(np.int64)
         np.add.at(out, to, np.where(h >> np.uint64(63), weights[part], -weights[part]).astype(np.float32))
@@ -211,25 +241,35 @@ class BlockMaxIndex:
 
     def __init__(self, n: int, owner: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int) -> None:
         self.n, self.n_blocks = n, -(-n // BLOCK)
-        common = np.flatnonzero(np.bincount(terms, minlength=n_terms) * COMMON > n)
+        count = tally(terms, n_terms)
+        common = np.flatnonzero(count * COMMON > n)
         self.column = np.full(n_terms, -1, np.int32)
         self.column[common] = np.arange(len(common))
         self.n_columns = len(common)
-        dense = self.column[terms] >= 0
         # Like examples share a block, which tightens its bounds.
         self.example = alike(folded(n, owner, terms, weights))      # of each place
-        place = np.empty(n, np.int64)
-        place[self.example] = np.arange(n)
-        at = np.flatnonzero(dense)
-        at = at[np.argsort(place[owner[at]], kind="stable")]
-        held = place[owner[at]]
-        self.ends = np.searchsorted(held, np.arange(self.n_blocks + 1) * BLOCK)
-        self.common = held % BLOCK * self.n_columns + self.column[terms[at]], weights[at].astype(np.float32)
+        starts = np.searchsorted(owner, np.arange(n + 1))
+        held = np.zeros(n + 1, np.int64)        # common terms of the places before
+        count[common] = 0
+        self.posting = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+        for place, i in enumerate(self.example):
+            held[place + 1] = held[place] + np.count_nonzero(self.column[terms[starts[i]:starts[i + 1]]] >= 0)
+        self.ends = held[np.minimum(n, np.arange(self.n_blocks + 1) * BLOCK)]
+        self.common = np.empty(held[-1], np.int32), np.empty(held[-1], np.float32)
+        self.places, self.weights = np.empty(self.posting[-1], np.int32), np.empty(self.posting[-1], np.float32)
         self.block_max = None
-        terms, weights, places = terms[~dense], weights[~dense], place[owner[~dense]]
-        order = np.lexsort((places, terms))
-        self.places, self.weights = places[order].astype(np.int32), weights[order].astype(np.float32)
-        self.posting = np.searchsorted(terms[order], np.arange(n_terms + 1)).astype(np.int32)
+        # The terms are dealt out example by example, by ascending places: nothing of the postings' length is sorted.
+        free = self.posting[:-1].copy()
+        for place, i in enumerate(self.example):
+            own, weight = terms[starts[i]:starts[i + 1]], weights[starts[i]:starts[i + 1]]
+            column = self.column[own]
+            dense = column >= 0
+            part = slice(held[place], held[place + 1])
+            self.common[0][part], self.common[1][part] = place % BLOCK * self.n_columns + column[dense], weight[dense]
+            own = own[~dense]
+            to = free[own]
+            self.places[to], self.weights[to] = place, weight[~dense]
+            free[own] += 1
         self.read = self.blocks = 0             # blocks completed, and blocks bounded
 
     def __getstate__(self) -> dict:
@@ -333,10 +373,17 @@ class Model:
     def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, ids: list, labels: np.ndarray, examples: Counts, base: float,
                  calibration: Counts, calibration_labels: np.ndarray) -> None:
         self.vocabulary, self.weights, self.ids, self.labels, self.base = vocabulary, weights, ids, labels, base
-        self.index = BlockMaxIndex(examples.n, examples.owner, examples.terms, self.vectors(examples), len(weights))
+        vectors = np.empty(len(examples.terms), np.float32)
+        at = 0
+        for part in examples.slices(TEXTS):
+            vectors[at:at + len(part.terms)] = self.vectors(part)
+            at += len(part.terms)
+        self.index = BlockMaxIndex(examples.n, examples.owner, examples.terms, vectors, len(weights))
+        del vectors
+        examples.clear()        # they are in the index, and the driver's caller still has the object
         self.at = self.rate = None
         if calibration.n:
-            votes = np.array([self.vote(*near) for near in self.neighbours(calibration)])
+            votes = np.array([self.vote(*near) for part in calibration.slices(TEXTS) for near in self.neighbours(part)])
             # The sample is balanced; weights bring back the base rate of the labels.
             labels = calibration_labels.astype(float)
             weight = np.where(labels == 1, base / max(1e-9, labels.mean()), (1 - base) / max(1e-9, 1 - labels.mean()))
@@ -434,12 +481,13 @@ def sampled_terms(docs: DataFrame, sample: DataFrame) -> list[tuple[int, int, np
 
 def counted(rows: list[tuple[int, int, np.ndarray, np.ndarray]], vocabulary: Vocabulary) -> Counts:
     """Rows in the order given; some at a time, which bounds what the driver holds beside the result."""
-    made = []
-    for at in range(0, len(rows), 500):
-        part = rows[at:at + 500]
-        owner = np.repeat(np.arange(len(part), dtype=np.int32), [len(r[2]) for r in part])
-        made.append(vocabulary.counts(len(part), owner, np.concatenate([r[2] for r in part]), np.concatenate([r[3] for r in part])))
-    return Counts.joined(made)
+    def made() -> Iterator[Counts]:
+        for at in range(0, len(rows), TEXTS):
+            part = rows[at:at + TEXTS]
+            owner = np.repeat(np.arange(len(part), dtype=np.int32), [len(r[2]) for r in part])
+            yield vocabulary.counts(len(part), owner, np.concatenate([r[2] for r in part]), np.concatenate([r[3] for r in part]))
+
+    return Counts.joined(made(), sum(len(r[2]) for r in rows))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -462,7 +510,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         cut = int(len(own) * share)
         calibration += own[:cut]
         examples += own[cut:]
-    vocabulary = Vocabulary(np.concatenate([np.zeros(0, np.uint64), *(r[2] for r in examples)]))
+    vocabulary = Vocabulary(distinct([r[2] for r in examples]))
     held, other = counted(examples, vocabulary), counted(calibration, vocabulary)
     ids, labelled, judged = [r[0] for r in examples], np.array([r[1] for r in examples], float), np.array([r[1] for r in calibration])
     del got, own, examples, calibration

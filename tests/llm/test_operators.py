@@ -693,6 +693,58 @@ def test_term_weights_some_terms_at_a_time_equal_all_at_once(monkeypatch):
     assert (toxicity.term_weights(counts, 900, 700) == whole).all() and max(sizes) == 64 and sum(sizes) == 1000
 
 
+def test_the_index_is_built_without_sorting_its_postings():
+    import tracemalloc
+    rng = np.random.default_rng(6)
+    n, per, n_terms = 1000, 800, 40_000
+    terms = np.concatenate([np.sort(rng.choice(n_terms, per, replace=False)) for _ in range(n)]).astype(np.int32)
+    terms[::per], terms[1::per] = 0, 1                  # two common ones
+    owner, weights = np.repeat(np.arange(n, dtype=np.int32), per), rng.random(n * per).astype(np.float32)
+    some = terms.reshape(n, per)
+    keep = np.ones(n * per, bool)
+    for i in range(n):                                  # each term is given once in a text
+        seen, first = np.unique(some[i], return_index=True)
+        keep[i * per:(i + 1) * per] = np.isin(np.arange(per), first)
+    owner, terms, weights = owner[keep], terms[keep], weights[keep]
+    tracemalloc.start()
+    index = toxicity.BlockMaxIndex(n, owner, terms, weights, n_terms)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 30 * len(terms)                       # bytes: 8 of a posting stay
+    place = np.empty(n, np.int64)
+    place[index.example] = np.arange(n)
+    common = index.column[terms] >= 0
+    order = np.lexsort((place[owner[~common]], terms[~common]))
+    assert (index.places == place[owner[~common]][order]).all() and (index.weights == weights[~common][order]).all()
+    assert (index.posting == np.searchsorted(terms[~common][order], np.arange(n_terms + 1))).all()
+    for b in range(index.n_blocks):
+        want = np.zeros((toxicity.BLOCK, index.n_columns), np.float32)
+        here = common & (place[owner] // toxicity.BLOCK == b)
+        want[place[owner[here]] % toxicity.BLOCK, index.column[terms[here]]] = weights[here]
+        assert (index.block(b) == want).all()
+
+
+def test_sample_counts_are_read_some_texts_at_a_time(monkeypatch):
+    r = random.Random(8)
+    rows = []
+    for i in range(40):
+        held = np.unique(np.array([r.randrange(300) for _ in range(r.randint(0, 30))], np.uint64))
+        rows.append((i, 0, held, np.array([r.randint(1, 9) for _ in held], np.int32)))
+    monkeypatch.setattr(toxicity, "TEXTS", 7)
+    seen, plain = [], np.unique
+    monkeypatch.setattr(toxicity.np, "unique", lambda x, **more: seen.append(len(x)) or plain(x, **more))
+    known = toxicity.distinct([x[2] for x in rows])
+    assert known.tolist() == sorted({int(h) for x in rows for h in x[2]}) and len(seen) == 6
+    found = toxicity.counted(rows, toxicity.Vocabulary(known))
+    assert found.n == 40 and found.owner.dtype == found.terms.dtype == found.times.dtype == np.int32
+    assert found.owner.tolist() == [i for i, x in enumerate(rows) for _ in x[2]]
+    assert known[found.terms].tolist() == [h for x in rows for h in x[2].tolist()]
+    assert found.times.tolist() == [n for x in rows for n in x[3].tolist()]
+    parts = list(found.slices(7))
+    assert [p.n for p in parts] == [7] * 5 + [5] and sum((p.times.tolist() for p in parts), []) == found.times.tolist()
+    assert (toxicity.tally(found.terms, 400) == np.bincount(found.terms, minlength=400)).all()
+
+
 def test_search_keeps_its_batches_whatever_the_number_of_postings(monkeypatch):
     r = random.Random(2)
     vectors = [{0: 0.5, **{t: 0.2 for t in r.sample(range(1, 400), 12)}} for _ in range(300)]
