@@ -37,8 +37,8 @@ UNIT = rf" ?[{LETTER}]++(?=[{SPACE}!-/:-@\[-`{{-~]|\Z)| ?[^{SPACE}]+|[{SPACE}]+(
 PUBLIC_TAIL = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 8                       # bits of a rank that index a leaf word of the bitmap
 LOW = (1 << LEAF) - 1
-CACHE_BYTES = 100_000_000      # of a cache generation (two are kept); only speed depends on it
-IDLE = 1.5                     # seconds after a partition until an idle worker empties its caches
+CACHE_BYTES = 40_000_000       # of a cache generation (two are kept); only speed depends on it
+IDLE = 1.5                     # seconds after a partition until an idle worker lets go of its codec
 ENTRY = 230                    # bytes of an entry besides its text and ids, roughly
 CACHED_LENGTH = 64             # longer pre-tokens are never remembered
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -214,7 +214,7 @@ class Codec:
         return b"".join(self.table[np.frombuffer(packed, np.uint32)].tolist())
 
     def rest(self) -> None:
-        """To be called at the end of a partition: the caches serve the worker's next partition, and are emptied if none
+        """To be called at the end of a partition: tables and caches serve the worker's next partition, and are freed if none
         comes within ``IDLE`` seconds, since the process may go on with other work."""
         if self.timer:
             self.timer.cancel()
@@ -224,6 +224,8 @@ class Codec:
 
     def forget(self) -> None:
         self.units.clear()
+        for key in [k for k, c in _codecs.items() if c is self]:
+            _codecs.pop(key, None)
 
 
 def little_endian(packed: bytes) -> bytes:
@@ -239,10 +241,10 @@ _codecs: dict[tuple, Codec] = {}
 
 
 def codec(path: str, pattern: str) -> Codec:
-    """The codec of a rank file, loaded once per worker process."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec.load(path, pattern)
-    found = _codecs[path, pattern]
+    """The codec of a rank file, loaded once per worker process, and again after it was idle."""
+    found = _codecs.get((path, pattern))
+    if found is None:
+        found = _codecs[path, pattern] = Codec.load(path, pattern)
     if found.timer:
         found.timer.cancel()
         found.timer = None

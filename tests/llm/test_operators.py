@@ -57,6 +57,21 @@ def test_bpe_caches_outlive_a_partition_only_while_work_comes(monkeypatch):
     assert not own.units.new and not own.pieces.new
 
 
+def test_an_idle_worker_lets_go_of_its_codec(monkeypatch):
+    import time
+    monkeypatch.setattr(bpe, "IDLE", 0.2)
+    where = bpe.default_vocabulary()
+    own = bpe.codec(*where)
+    known = own.encode("some words, whole or not")
+    own.rest()
+    assert bpe.codec(*where) is own                     # the next partition comes in time
+    own.rest()
+    time.sleep(0.6)
+    assert own not in bpe._codecs.values() and not own.units.new
+    assert bpe.codec(*where).encode("some words, whole or not") == known == own.encode("some words, whole or not")
+    assert 4 * bpe.CACHE_BYTES < 200_000_000            # two generations in each of an executor's two workers
+
+
 def test_bpe_queue_is_empty_after_each_merge():
     own = bpe.codec(*bpe.default_vocabulary())
     for _ in range(200):
