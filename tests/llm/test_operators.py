@@ -760,6 +760,43 @@ def test_sample_counts_are_read_some_texts_at_a_time(monkeypatch):
     assert (toxicity.tally(found.terms, 400) == np.bincount(found.terms, minlength=400)).all()
 
 
+def test_the_driver_holds_some_of_the_sample_at_a_time(spark, table_of, monkeypatch):
+    docs, labels = toxic_table(spark)
+    frame = table_of(docs + docs[:40] + [(12, None), (13, "")])        # rows that repeat an id, and texts without a term
+    whole = {(r.doc_id, r.score) for r in toxicity.score(frame.repartition(1), toxicity.fit(frame.repartition(1), labels)).collect()}
+    calls, plain = [], toxicity.counted
+    monkeypatch.setattr(toxicity, "TEXTS", 16)
+    monkeypatch.setattr(toxicity, "counted", lambda rows, known: calls.append(len(rows)) or plain(rows, known))
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "nearest", None)       # here only: tasks have processes of their own
+    fitted = toxicity.fit(frame.repartition(5), labels)
+    assert max(calls) == 16 and sum(calls) == len(fitted.ids) < 450    # examples; no row that calibrates
+    rows = toxicity.score(frame, fitted).collect()
+    assert len(rows) == len(docs) + 42
+    scores = dict(whole)
+    assert len(scores) == len(docs) and all(abs(scores[r.doc_id] - r.score) < 1e-6 for r in rows if r.doc_id not in (12, 13))
+
+
+def test_index_and_terms_are_sent_without_what_follows_from_them():
+    import pickle
+    rng = np.random.default_rng(9)
+    n, per, n_terms = 200, 300, 50_000
+    terms = np.concatenate([[0], *[np.append(0, np.sort(rng.choice(np.arange(1, n_terms), per, replace=False))) for _ in range(n)]])[1:]
+    owner, weights = np.repeat(np.arange(n), per + 1), rng.random(n * (per + 1)).astype(np.float32)
+    index = toxicity.BlockMaxIndex(n, owner, terms.astype(np.int32), weights, n_terms)
+    sent = pickle.dumps(index, 5)
+    assert len(sent) < 6 * len(index.places) + 4 * n_terms + 10_000     # 6 bytes a posting, and where those of each term start
+    again = pickle.loads(sent)
+    assert (again.column == index.column).all() and again.n_columns == index.n_columns > 0
+    for (a, b), (c, d) in zip(*[x.nearest(n, owner, terms, weights, 5) for x in (index, again)], strict=True):
+        assert (a == c).all() and (b == d).all()
+    hashes = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
+    known = toxicity.Vocabulary(hashes)
+    sent = pickle.dumps(known, 5)
+    assert len(sent) < 8 * len(known) + 1000
+    found = pickle.loads(sent).counts(1, np.zeros(5000, np.int64), hashes)
+    assert known.hashes[found.terms].tolist() == sorted(hashes.tolist())
+
+
 def test_search_keeps_its_batches_whatever_the_number_of_postings(monkeypatch):
     r = random.Random(2)
     vectors = [{0: 0.5, **{t: 0.2 for t in r.sample(range(1, 400), 12)}} for _ in range(300)]
