@@ -8,6 +8,7 @@ A key that stands in several rows is told apart first (``split_repeated``); its
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from quarry.session import reliable_checkpoint
 
 SLICE = 256
+# Bytes of rows that a task holds to put them in another order.
+GATHER = 64 << 20
 
 
 def split_repeated(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
@@ -66,6 +69,58 @@ def counted_words(df: DataFrame, keys: list[str], words: str) -> DataFrame:
     return _by_slices(df, [*keys, words], made, _counted)
 
 
+def offsets(lengths) -> pa.Array:
+    """Where lists of such lengths begin and end."""
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+
+
+# What the cosine dialect deletes, as Java's \\p{Punct} does.
+_PUNCT = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _counted_lower(texts: pa.Array) -> tuple[pa.Array, list[pa.Array]]:
+    """Of every text in lower case: the number of its words in the cosine dialect, and each word with its number."""
+    # bytes.split() knows ASCII white space only, and no byte of another letter is ASCII.
+    lists = [t.as_py().translate(None, _PUNCT).split() if t.is_valid else [] for t in texts.cast(pa.binary())]
+    found = [Counter(words) for words in lists]
+    row = np.repeat(np.arange(len(found)), [len(words) for words in found])
+    lengths = np.array([len(words) for words in lists], np.int32)
+    words = pa.array([w for words in found for w in words], pa.binary()).cast(pa.string())
+    return pa.array(row), [pa.array(lengths[row]), words, pa.array([n for words in found for n in words.values()], pa.int64())]
+
+
+def counted_cosine_words(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys..., len, word, cnt) as ``counted_words`` of ``tokenize.cosine_words``; no arrays of words leave the JVM."""
+    made = [StructField("len", IntegerType()), StructField("word", StringType()), StructField("cnt", LongType())]
+    return _by_slices(df.select(*keys, F.lower(text).alias(text)), [*keys, text], made, _counted_lower)
+
+
+def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of a partition in tables of about ``GATHER`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHER:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if sum(batch.num_rows for batch in held):
+        yield pa.Table.from_batches(held)
+
+
+def packed(table: pa.Table) -> bytes:
+    """A table as compressed bytes."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: pa.Buffer) -> pa.Table:
+    with pa.ipc.open_stream(data) as stream:
+        return stream.read_all()
+
+
 def _words_at(text: str, pattern: re.Pattern) -> dict[str, list[int]]:
     found: dict[str, list[int]] = {}
     for m in pattern.finditer(text):
@@ -83,15 +138,11 @@ def placed_words(df: DataFrame, keys: list[str], text: str, keep_last_word: bool
         places = [p for words in found for p in words.values()]
         n = np.fromiter(map(len, places), np.int32, len(places))
         flat = np.fromiter((x for p in places for x in p), np.int32, int(n.sum()))
-        positions = pa.ListArray.from_arrays(_offsets(n), pa.array(flat))
+        positions = pa.ListArray.from_arrays(offsets(n), pa.array(flat))
         words = pa.array([w for words in found for w in words], pa.string())
         entries = pa.StructArray.from_arrays([words, pa.array(n), positions], ["word", "n", "positions"])
-        return None, [pa.ListArray.from_arrays(_offsets([len(words) for words in found]), entries)]
+        return None, [pa.ListArray.from_arrays(offsets([len(words) for words in found]), entries)]
 
     entry = StructType([StructField("word", StringType()), StructField("n", IntegerType()), StructField("positions", ArrayType(IntegerType()))])
     lists = _by_slices(df, [*keys, text], [StructField("_words", ArrayType(entry))], work)
     return lists.select(*keys, F.posexplode("_words").alias("_i", "_w")).select(*keys, "_w.word", "_w.n", "_w.positions")
-
-
-def _offsets(lengths) -> pa.Array:
-    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))

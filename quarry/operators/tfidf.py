@@ -7,10 +7,16 @@ norm(doc) = sqrt(sum of squared weights).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from quarry.functions import tokenize as tk
 from quarry.operators import rows
@@ -41,8 +47,9 @@ def document_terms(docs: DataFrame, key: str, text: str, dialect: str) -> DataFr
     """AGG-1/2/3 straight from the texts: (key, word, cnt, len, tf).  A document's counts need its own text only, so nothing
     is shuffled; texts of one key and of one length are counted together."""
     once, repeated = rows.split_repeated(docs.select(key, text), [key])
-    made = (rows.counted_words(once.select(key, tk.words_of(text, dialect).alias("_ws")), [key], "_ws")
-            .select(key, "len", "word", "cnt", (F.col("cnt") / F.col("len")).alias("tf")))
+    counted = (rows.counted_cosine_words(once, [key], text) if dialect == "cosine" else
+               rows.counted_words(once.select(key, tk.words_of(text, dialect).alias("_ws")), [key], "_ws"))
+    made = counted.select(key, "len", "word", "cnt", (F.col("cnt") / F.col("len")).alias("tf"))
     return made if repeated is None else made.unionByName(term_frequency(doc_tokens(repeated, key, text, dialect), key))
 
 
@@ -67,6 +74,36 @@ def norms(vectors: DataFrame, key: str) -> DataFrame:
     return vectors.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
 
 
+def norms_by_chunk(tf: DataFrame, idf_df: DataFrame, key: str) -> DataFrame:
+    """AGG-10: (key, norm) as by ``norms``, but a word meets its idf once for a chunk of documents, not once for each of them:
+    chunks are packed, their distinct words ask for idf, and what they get goes to the chunk."""
+    schema = StructType([StructField("chunk", StringType()), StructField("word", StringType()), StructField("place", IntegerType()), StructField("docs", BinaryType())])
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for n, table in enumerate(rows.tables(batches)):
+            chunk = f"{TaskContext.get().partitionId()}-{n}"
+            words = table.column("word").combine_chunks().dictionary_encode()
+            many = len(words.dictionary)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk] * many, pa.string()), words.dictionary, pa.array(range(many), pa.int32()), pa.nulls(many, pa.binary())], schema.names)
+            # The chunk stands under its own name in place of a word, so chunks are dealt out too.
+            docs = rows.packed(pa.table({"key": table.column(key), "place": words.indices, "tf": table.column("tf")}))
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([chunk]), pa.array([-1], pa.int32()), pa.array([docs], pa.binary())], schema.names)
+
+    def squares(chunk: pa.Table) -> pa.Table:
+        answers = chunk.filter(pc.greater_equal(chunk.column("place"), 0))
+        idf = np.full(len(answers), np.nan)
+        idf[answers.column("place").to_numpy()] = answers.column("idf").to_numpy()
+        docs = rows.unpacked(chunk.filter(pc.less(chunk.column("place"), 0)).column("docs")[0].as_buffer())
+        w = docs.column("tf").to_numpy() * idf[docs.column("place").to_numpy()]
+        known = ~np.isnan(w)                # a word without idf counts for nothing
+        found = pa.table({"key": docs.column("key"), "square": w * w}).filter(pa.array(known)).group_by("key").aggregate([("square", "sum")])
+        return pa.table({"key": found.column("key"), "square": found.column("square_sum")})
+
+    answered = tf.select(key, "word", "tf").mapInArrow(asked, schema).join(idf_df.select("word", "idf"), "word", "left").drop("word")
+    made = StructType([StructField("key", tf.schema[key].dataType), StructField("square", DoubleType())])
+    return answered.groupBy("chunk").applyInArrow(squares, made).groupBy(F.col("key").alias(key)).agg(F.sqrt(F.sum("square")).alias("norm"))
+
+
 def vector_maps(vectors: DataFrame, key: str) -> DataFrame:
     """MAP-1: (key, vector MAP<word, weight>) built at the edge of the API."""
     return vectors.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "w"))).alias("vector"))
@@ -96,7 +133,7 @@ class Model:
         self.key = key
         self.dialect = dialect
         self._docs, self._text = docs, text
-        self._keep = reliable_checkpoint if materialise else (lambda df: df)
+        self._keep = reliable_checkpoint if materialise else (lambda df, **_: df)
 
     @cached_property
     def n_docs(self) -> int:
@@ -104,7 +141,9 @@ class Model:
 
     @cached_property
     def tf(self) -> DataFrame:
-        return self._keep(document_terms(self._docs, self.key, self._text, self.dialect))
+        # tf is made when it is read: its eight bytes would be half of the table.
+        terms = document_terms(self._docs, self.key, self._text, self.dialect).drop("tf")
+        return self._keep(terms, compression="zstd").withColumn("tf", F.col("cnt") / F.col("len"))
 
     @cached_property
     def idf(self) -> DataFrame:
@@ -116,4 +155,4 @@ class Model:
 
     @cached_property
     def norms(self) -> DataFrame:
-        return self._keep(norms(self.vectors, self.key))
+        return self._keep(norms_by_chunk(self.tf, self.idf, self.key))

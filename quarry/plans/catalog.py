@@ -21,7 +21,7 @@ from quarry.operators.ordinals import next_within
 from quarry.operators.topk import top_k
 from quarry.plans import sql
 from quarry.plans import tables as tb
-from quarry.session import reliable_checkpoint, scratch_path, sized_side
+from quarry.session import reliable_checkpoint, scratch_path, shuffles_end_with_their_job, sized_side
 from quarry.sources import index_store, page_files, querylog, segments
 from quarry.streaming import stream as streaming
 
@@ -305,15 +305,16 @@ def ranked_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCH-5 / SCH-6 / WIN-4: cosine * sqrt(PageRank) over every document, 20 best, from an impact index whose bounds say
     which words need not be read; the score is reported times sqrt(N), so that rounding means the same for corpora of
     any size."""
-    m = _cosine_model(spark, sf_dir)
-    ql = tb.query_log(spark, sf_dir)
-    qw = search.query_tokens(ql, "cosine")
-    nodes, links = tb.doc_links(spark, sf_dir)
-    nodes, edges = graph.link_graph(nodes, links)
-    ranks = graph.pagerank(nodes, edges, 0.85, 0.0, 5)
-    index = impacts.write_impacts(m.tf, m.idf, m.norms, ranks, scratch_path(spark, "impacts"), "doc_id")
-    limits = ql.select("query_id").distinct().withColumn("k", F.lit(20))
-    best = impacts.RankedSearch(index, impacts.query_weights(qw, m.idf), limits).best("doc_id").drop("pos")
+    with shuffles_end_with_their_job(spark):
+        m = _cosine_model(spark, sf_dir)
+        ql = tb.query_log(spark, sf_dir)
+        qw = search.query_tokens(ql, "cosine")
+        nodes, links = tb.doc_links(spark, sf_dir)
+        nodes, edges = graph.link_graph(nodes, links)
+        ranks = graph.pagerank(nodes, edges, 0.85, 0.0, 5)
+        index = impacts.write_impacts(m.tf, m.idf, m.norms, ranks, scratch_path(spark, "impacts"), "doc_id")
+        limits = ql.select("query_id").distinct().withColumn("k", F.lit(20))
+        best = impacts.RankedSearch(index, impacts.query_weights(qw, m.idf), limits).best("doc_id").drop("pos")
     pages = tb.table(spark, sf_dir, "documents").select("doc_id")
     top = search.with_zero_scores(best, pages, limits, "doc_id")
     return top.select("query_id", "doc_id", _r6(F.col("score") * float(pages.count()) ** 0.5).alias("score"),

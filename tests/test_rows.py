@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.functions import tokenize
 from quarry.operators import index as ix
 from quarry.operators import ordinals, rows, tfidf, web
 
@@ -65,3 +66,13 @@ def test_tasks_of_an_order_follow_the_rows(spark, monkeypatch):
     got = ordinals.ordinal_within(df, ["g"], ["v"], "pos").collect()
     for g in range(3):
         assert [r["pos"] for r in sorted((r for r in got if r["g"] == g), key=lambda r: r["v"])] == list(range(1, sum(r["g"] == g for r in got) + 1))
+
+
+def test_cosine_words_counted_in_tasks_equal_those_of_the_tokenizer(spark):
+    texts = ["The cat, THE dog--cat.", " \t\n\x0b\x0c\r lead", "a\u00a0b a\u2003b\x1cc", "\u0130stanbul \u03a3\u03a3 \u00c9T\u00c9 \u00a1ole! \u3002x", "!!! ... ", "", None,
+             "x\x00y 'q' $+<=>^`|~ [a]{b}\\c_d/e@f#g%h&i*j(k)", "\U0001f600 a-b", "one"]
+    d = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    want = rows.counted_words(d.select("k", tokenize.cosine_words("t").alias("w")), ["k"], "w")
+    got = rows.counted_cosine_words(d, ["k"], "t")
+    assert got.schema == want.schema and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 17
